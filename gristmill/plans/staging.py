@@ -1,0 +1,31 @@
+"""Staged tables: cut the lineage with a table in the shared folder."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; a temporary one only where none is named."""
+    folder = spark.conf.get(SETTING, None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="gristmill-")
+        spark.conf.set(SETTING, folder)
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows once and go on from the written table."""
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
