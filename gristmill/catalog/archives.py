@@ -17,7 +17,7 @@ from gristmill.catalog.common import (
 from gristmill.functions.paths import base_name, cut_of, netloc, without_gz
 from gristmill.operators.manifest import anti_landed
 from gristmill.plans.coarse import clean_rows, run_coarse
-from gristmill.plans.staging import new_folder
+from gristmill.sources.staging import new_folder
 from gristmill.sources import wet
 from gristmill.streaming.incremental import clean_stream, stream_wet, write_new
 
@@ -35,6 +35,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Title "), F.col("doc_id"), F.lit("  ")).alias("title"),
         F.col("text").alias("raw_content"),
         "source",
+        "lang",
     )
 
 
@@ -42,10 +43,17 @@ def _archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of archive text per document, framed as the text source frames it."""
     record = F.concat(wet.to_wet_text(), F.lit(wet.RECORD_END))
     return _documents(spark, sf_dir).select(
-        "doc_id", F.col("source").alias("file"), record.alias("value")
+        "doc_id", F.col("source").alias("file"), "lang", "length", record.alias("value")
     )
 
 
+def _spoiled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, with a byte that is no UTF-8 at the end of very long texts."""
+    spoiled = F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF0A"))).cast("string")
+    value = F.when(F.col("length") > 20_000, spoiled).otherwise(F.col("value"))
+    return _archive_rows(spark, sf_dir).select("file", value.alias("value"))
+
+
 def _archive_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "archives")
     _documents(spark, sf_dir).select(wet.to_wet_text().alias("value")).write.option(
@@ -60,12 +68,12 @@ PARSED = f"""SELECT 'https://user@' || source || '.example.org:8080/' || doc_id
     '2023-02-05T10:20:30Z' AS date_download, 'sha1:' || upper(md5(text)) AS digest,
     n_chars AS length, len(string_split({STRIPPED}, chr(10)))::INTEGER AS nlines,
     'user@' || source || '.example.org:8080' AS source_domain, 'Title ' || doc_id AS title,
-    {STRIPPED} AS raw_content, doc_id, source
+    {STRIPPED} AS raw_content, doc_id, source, lang
   FROM documents WHERE {STRIPPED} <> ''"""
 
 
 def wet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wet.parse_documents(_archive_rows(spark, sf_dir).drop("file"), "value")
+    return wet.parse_documents(_archive_rows(spark, sf_dir).select("doc_id", "value"), "value")
 
 
 def wet_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,18 +91,18 @@ def wet_inner_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wet_parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed and kept documents per file, for a length limit."""
-    records = wet.parse_records(_archive_rows(spark, sf_dir))
+    records = wet.parse_records(_archive_rows(spark, sf_dir).select("file", "value"))
     stats = wet.parse_stats(records, min_len=1000, by="file")
     return stats.withColumn("kept_ratio", F.round("kept_ratio", 6))
 
 
 def wet_bad_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with broken headers: type changed, date cut, length no number."""
-    kind = F.col("doc_id") % 4
+    lang = F.col("lang")
     value = (
-        F.when(kind == 0, F.replace("value", F.lit("Type: conversion"), F.lit("Type: response")))
-        .when(kind == 1, F.replace("value", F.lit("WARC-Date: 2023"), F.lit("WARC-Date:2023")))
-        .when(kind == 2, F.replace("value", F.lit("Content-Length: "), F.lit("Content-Length: x")))
+        F.when(lang == "fr", F.replace("value", F.lit("Type: conversion"), F.lit("Type: response")))
+        .when(lang == "de", F.replace("value", F.lit("WARC-Date: 2023"), F.lit("WARC-Date:2023")))
+        .when(lang == "es", F.replace("value", F.lit("Content-Length: "), F.lit("Content-Length: x")))
         .otherwise(F.col("value"))
     )
     rows = _archive_rows(spark, sf_dir).select("doc_id", value.alias("value"))
@@ -115,27 +123,17 @@ def wet_file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wet_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per sound file; a file with one unreadable byte is withheld."""
-    broken = F.col("doc_id") % 97 == 5
-    value = F.when(
-        broken, F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF0A"))).cast("string")
-    ).otherwise(F.col("value"))
-    rows = _archive_rows(spark, sf_dir).select("file", value.alias("value"))
-    good, _ = wet.quarantine(wet.parse_records(rows))
+    good, _ = wet.quarantine(wet.parse_records(_spoiled_rows(spark, sf_dir)))
     return good.where("is_doc").groupBy("file").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def wet_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    broken = F.col("doc_id") % 97 == 5
-    value = F.when(
-        broken, F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF0A"))).cast("string")
-    ).otherwise(F.col("value"))
-    rows = _archive_rows(spark, sf_dir).select("file", value.alias("value"))
-    return wet.bad_files(wet.parse_records(rows))
+    return wet.bad_files(wet.parse_records(_spoiled_rows(spark, sf_dir)))
 
 
 def wet_to_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive text to cleaned documents in one narrow stage."""
-    docs = wet.parse_documents(_archive_rows(spark, sf_dir).drop("file"), "value")
+    docs = wet.parse_documents(_archive_rows(spark, sf_dir).select("doc_id", "value"), "value")
     return clean_rows(docs.select("doc_id", "raw_content"), DEMO_WORDS).select(
         "doc_id", "n_kept", F.col("raw_content").alias("text")
     )
@@ -188,11 +186,11 @@ def cut_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths not landed; landed files carry the name with or without ``.gz``."""
     paths = _page_paths(spark, sf_dir)
-    n = F.col("page_id")
+    path, name = F.col("path"), base_name(F.col("path"))
     landed = paths.select(
-        F.when(n % 3 == 0, F.concat(F.lit("out/"), base_name(F.col("path"))))
-        .when(n % 3 == 1, F.concat(F.lit("out/"), without_gz(base_name(F.col("path")))))
-        .otherwise(F.concat(F.lit("out/other-"), base_name(F.col("path"))))
+        F.when(F.contains(path, F.lit(".com/")), F.concat(F.lit("out/"), name))
+        .when(F.contains(path, F.lit(".net/")), F.concat(F.lit("out/"), without_gz(name)))
+        .otherwise(F.concat(F.lit("out/other-"), name))
         .alias("path")
     )
     return anti_landed(paths, landed)
@@ -239,8 +237,8 @@ SQL = {
         round(count(*) FILTER (length(raw_content) >= 1000) / count(*), 6) AS kept_ratio
         FROM (SELECT * FROM ({PARSED}) AS a) AS b GROUP BY source""",
     "wet_bad_headers": f"""SELECT doc_id, date_download,
-        CASE WHEN doc_id % 4 = 2 THEN 0 ELSE length END AS length
-        FROM ({PARSED}) AS a WHERE doc_id % 4 IN (2, 3)""",
+        CASE WHEN lang = 'es' THEN 0 ELSE length END AS length
+        FROM ({PARSED}) AS a WHERE lang NOT IN ('fr', 'de')""",
     "wet_file_headers": """SELECT source AS file, concat_ws('|', 'WARC/1.0',
         'WARC-Type: conversion', 'WARC-Target-URI: https://user@' || source || '.example.org:8080/' || doc_id,
         'WARC-Date: 2023-02-05T10:20:30Z', 'WARC-Record-ID: <urn:uuid:0>', 'WARC-Refers-To: <urn:uuid:0>',
@@ -249,9 +247,9 @@ SQL = {
         FROM documents JOIN (SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source) AS m
         USING (source, doc_id)""",
     "wet_quarantine": f"""SELECT source AS file, count(*) AS n_docs FROM ({PARSED}) AS a
-        WHERE source NOT IN (SELECT source FROM documents WHERE doc_id % 97 = 5) GROUP BY source""",
+        WHERE source NOT IN (SELECT source FROM documents WHERE n_chars > 20000) GROUP BY source""",
     "wet_failed_files": """SELECT source AS file, 'bad_utf8' AS reason, count(*) AS n_bad
-        FROM documents WHERE doc_id % 97 = 5 GROUP BY source""",
+        FROM documents WHERE n_chars > 20000 GROUP BY source""",
     "wet_to_clean": f"SELECT doc_id, n_kept, raw_content AS text FROM ({CLEAN}) AS c",
     "coarse_run_files": f"""SELECT url, title, length, {REREAD} AS raw_content FROM ({CLEAN}) AS c""",
     "incremental_clean": f"SELECT url, n_kept, raw_content FROM ({CLEAN}) AS c",
@@ -259,5 +257,6 @@ SQL = {
         AS netloc FROM pages""",
     "cut_names": f"""SELECT page_id, split_part(path, '/', 3) AS cut,
         page_id || '.warc.wet' AS file FROM {PAGE_PATHS}""",
-    "landed_anti_join": f"SELECT page_id, path FROM {PAGE_PATHS} WHERE page_id % 3 = 2",
+    "landed_anti_join": f"""SELECT page_id, path FROM {PAGE_PATHS}
+        WHERE NOT contains(path, '.com/') AND NOT contains(path, '.net/')""",
 }

@@ -21,7 +21,7 @@ from gristmill.operators.postfilter import (
 )
 from gristmill.operators.reasons import funnel
 from gristmill.plans.post import REASONS, observe_funnel
-from gristmill.plans.staging import new_folder
+from gristmill.sources.staging import new_folder
 from gristmill.sources.corpus import read_corpus, write_corpus
 
 

@@ -10,7 +10,7 @@ from gristmill.functions.paths import local_name
 from gristmill.operators import manifest as m
 from gristmill.operators.numbering import renumber
 from gristmill.plans.acquire import fetch_plan, shuffled_manifest
-from gristmill.plans.staging import new_folder
+from gristmill.sources.staging import new_folder
 from gristmill.sources.manifests import read_manifests, write_manifest
 
 
@@ -117,7 +117,7 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fetch_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exclude, shuffle, batch, skip landed files, split: the way to the workers."""
     paths = _manifest(spark, sf_dir)
-    landed = paths.where(F.col("pos") % 5 == 0).select("path")
+    landed = paths.where(F.contains("path", F.lit(".org/"))).select("path")
     return fetch_plan(shuffled_manifest(paths), landed, start=10, step=50, k=2, workers=3)
 
 
@@ -219,7 +219,7 @@ SQL = {
                 ((10 + (pos - 10) // 50 * 50) // 50) || 'w_'
                   || ((10 + ((pos - 10) // 50 + 1) * 50) // 50) || 'w' AS batch_label
               FROM {SHUFFLED} WHERE pos >= 10 AND pos < 110
-                AND path NOT IN (SELECT path FROM {MANIFEST} WHERE pos % 5 = 0)) AS b""",
+                AND NOT contains(path, '.org/')) AS b""",
     "failed_after": f"""SELECT path, count(*) AS n_tries FROM {ATTEMPTS}
         WHERE try <= 5 GROUP BY path HAVING NOT bool_or(ok)""",
     "failed_after_rounds": f"""SELECT path, count(*) AS n_tries FROM {ATTEMPTS}

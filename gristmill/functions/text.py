@@ -20,8 +20,13 @@ WHITESPACE = (
 )
 # The same set as the inside of a Java character class.
 WS_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Whitespace other than the blank and the line feed; absent from most texts.
-RARE_WS = r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Whitespace other than the blank and the line feed, which most
+# texts lack. Those of the second group share their first two bytes in UTF-8.
+RARE_BLANKS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u205f\u3000"
+RARE_BLANKS_E280 = (
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f"
+)
+
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -37,12 +42,17 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def lstrip(c: Column) -> Column:
+    return F.ltrim(c, F.lit(WHITESPACE))
+
+
 def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(WHITESPACE))
 
 
 def is_blank(c: Column) -> Column:
-    return strip(c) == ""
+    # Trimming the left side alone stops at the first visible character.
+    return lstrip(c) == ""
 
 
 def lines(c: Column) -> Column:
@@ -53,10 +63,6 @@ def first_char(c: Column) -> Column:
     return F.substring(c, 1, 1)
 
 
-def last_char(c: Column) -> Column:
-    return F.substring(c, -1, 1)
-
-
 def remove(c: Column, token: str) -> Column:
     return F.replace(c, F.lit(token), F.lit(""))
 
@@ -67,15 +73,61 @@ def count_token(c: Column, token: str) -> Column:
     return lost if len(token) == 1 else (lost / len(token)).cast("int")
 
 
-def blanks_for_whitespace(c: Column) -> Column:
+def ends_with_any(c: Column, ends: Sequence[str]) -> Column:
+    """True when the text without trailing whitespace ends with one of ``ends``.
+
+    Tried on the text as it is first: most paragraphs have nothing to trim.
+    """
+
+    def chain(x: Column) -> Column:
+        cond = F.endswith(x, F.lit(ends[0]))
+        for end in ends[1:]:
+            cond = cond | F.endswith(x, F.lit(end))
+        return cond
+
+    return chain(c) | let(rstrip(c), chain)
+
+
+def holds_any(c: Column, tokens: Sequence[str]) -> Column:
+    """True when the text holds one of a short list of literal tokens."""
+    tokens = list(tokens)
+    if not tokens:
+        return F.lit(False)
+
+    def any_of(t: Column) -> Column:
+        cond = F.contains(t, F.lit(tokens[0]))
+        for token in tokens[1:]:
+            cond = cond | F.contains(t, F.lit(token))
+        return cond
+
+    return let(c, any_of)
+
+
+def has_rare_blank(c: Column) -> Column:
+    """True when the text has whitespace other than blanks and line feeds.
+
+    Byte searches only; a character class costs several times as much.
+    """
+    return let(
+        c,
+        lambda t: holds_any(t, RARE_BLANKS)
+        | (
+            F.contains(t.cast("binary"), F.lit(bytearray(b"\xe2\x80")))
+            & holds_any(t, RARE_BLANKS_E280)
+        ),
+    )
+
+
+def blanks_for_whitespace(c: Column, rare: Column | None = None) -> Column:
     """Every whitespace character as one plain blank.
 
-    The class test is cheap and mostly negative; ``translate`` walks the text
-    code point by code point, so it only runs on texts that need it.
+    ``translate`` walks the text code point by code point, so it only runs on
+    texts that need it. ``rare`` tells that, where it is known for many pieces.
     """
-    return F.when(
-        c.rlike(RARE_WS), F.translate(c, WHITESPACE, " " * len(WHITESPACE))
-    ).otherwise(F.replace(c, F.lit("\n"), F.lit(" ")))
+    rare = has_rare_blank(c) if rare is None else rare
+    return F.when(rare, F.translate(c, WHITESPACE, " " * len(WHITESPACE))).otherwise(
+        F.replace(c, F.lit("\n"), F.lit(" "))
+    )
 
 
 def words(c: Column) -> Column:
@@ -83,6 +135,19 @@ def words(c: Column) -> Column:
     return F.array_remove(F.split(blanks_for_whitespace(c), " "), "")
 
 
+def word_count(spaced: Column, ink: Column) -> Column:
+    """Number of words in a text whose whitespace is plain blanks, given its ink length.
+
+    Single blanks between words are counted without building an array.
+    """
+    return let(
+        F.btrim(spaced),
+        lambda t: F.when(
+            F.contains(t, F.lit("  ")), F.size(F.array_remove(F.split(t, " "), ""))
+        ).otherwise(F.when(t == "", 0).otherwise(F.length(t) - ink + 1)),
+    )
+
+
 def ink_length(c: Column) -> Column:
     """Number of characters that are not whitespace."""
     return F.length(remove(blanks_for_whitespace(c), " "))
@@ -97,18 +162,3 @@ def unix_newlines(c: Column) -> Column:
     return F.when(
         F.contains(c, F.lit("\r")), F.regexp_replace(c, r"\r\n?", "\n")
     ).otherwise(c)
-
-
-def holds_any(c: Column, tokens: Sequence[str]) -> Column:
-    """True when the text holds one of a short list of literal tokens."""
-    tokens = list(tokens)
-    if not tokens:
-        return F.lit(False)
-
-    def any_of(t: Column) -> Column:
-        cond = F.contains(t, F.lit(tokens[0]))
-        for token in tokens[1:]:
-            cond = cond | F.contains(t, F.lit(token))
-        return cond
-
-    return let(c, any_of)

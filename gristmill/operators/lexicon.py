@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import holds_any, strip
+from gristmill.functions.text import holds_any, let, strip
 
 # Entries put before every list.
 LITERALS = ("{", "}", "javascript", "lorem ipsum")
@@ -59,40 +59,50 @@ def drop_unmatchable(lexicon: DataFrame) -> DataFrame:
     return lexicon.where(F.col("word") == F.lower("word"))
 
 
-def substring_pairs(texts: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
+def substring_pairs(
+    texts: DataFrame, key: str, text: str, words: DataFrame, chunk: int = 4_096
+) -> DataFrame:
     """Distinct (key, word) where the text contains the word, by equi-join.
 
     Each text gives its substrings of just the lengths that occur in the list,
     so nothing is compared pairwise and no false candidate leaves the join. The
-    word side is distinct, hence a frequent substring meets one row.
+    word side is distinct, hence a frequent substring meets one row. Texts are
+    cut in overlapping chunks, which bounds the memory per row, and each chunk
+    gives a substring once.
     """
     listed = words.select("word").where("word <> ''").distinct()
     lengths = listed.agg(F.sort_array(F.collect_set(F.length("word")))).scalar()
-    chars = F.split(F.col(text), "")
-    windows = (
+    overlap = F.array_max("_lengths") - 1
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(chunk))
+    chunks = (
         texts.withColumn("_lengths", lengths)
-        .withColumn("_chars", chars)
+        .where("_lengths[0] IS NOT NULL")
         .select(
             key,
             "_lengths",
             F.explode(
+                F.transform(starts, lambda i: F.substring(F.col(text), i, overlap + chunk))
+            ).alias("_chunk"),
+        )
+    )
+
+    def pieces(c: Column) -> Column:
+        """All substrings of a chunk with a listed length."""
+        return let(
+            F.split(c, ""),
+            lambda chars: F.flatten(
                 F.transform(
-                    F.sequence(F.lit(1), F.size("_chars")),
-                    lambda i: F.array_join(F.slice("_chars", i, F.array_max("_lengths")), ""),
+                    F.filter("_lengths", lambda n: n <= F.size(chars)),
+                    lambda n: F.transform(
+                        F.sequence(F.lit(1), F.size(chars) - n + 1),
+                        lambda i: F.array_join(F.slice(chars, i, n), ""),
+                    ),
                 )
-            ).alias("_window"),
+            ),
         )
-    )
-    pieces = windows.select(
-        key,
-        F.explode(
-            F.transform(
-                F.filter("_lengths", lambda n: n <= F.length("_window")),
-                lambda n: F.substring(F.col("_window"), F.lit(1), n),
-            )
-        ).alias("word"),
-    )
-    return pieces.join(listed, "word").select(key, "word").distinct()
+
+    found = chunks.select(key, F.explode(F.array_distinct(pieces(F.col("_chunk")))).alias("word"))
+    return found.join(listed, "word").select(key, "word").distinct()
 
 
 def shortest_listed(lexicon: DataFrame) -> DataFrame:

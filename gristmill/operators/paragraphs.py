@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.text import (
     blanks_for_whitespace,
-    last_char,
+    ends_with_any,
+    has_rare_blank,
     let,
     lines,
     remove,
     strip,
+    word_count,
 )
 from gristmill.operators.reasons import first_reason
 
@@ -43,45 +45,49 @@ class ParagraphRules:
     few_paragraphs: int = 3
 
 
-def _word_rules(p: Column, rules: ParagraphRules):
+def _word_rules(p: Column, rules: ParagraphRules, rare: Column | None):
     """Word count and mean length, over the text without U+FFFD."""
-    spaced = blanks_for_whitespace(remove(p, REPLACEMENT_CHAR))
 
-    def check(s: Column) -> Column:
-        n_words = F.size(F.array_remove(F.split(s, " "), ""))
-        n_ink = F.length(remove(s, " "))
+    def check(spaced: Column) -> Column:
         return let(
-            n_words,
-            lambda n: first_reason(
-                [
-                    ("few_words", n <= rules.few_words),
-                    (
-                        "word_length",
-                        (n_ink < n * rules.min_word_length) | (n_ink > n * rules.max_word_length),
-                    ),
-                ]
+            F.length(remove(spaced, " ")),
+            lambda ink: let(
+                word_count(spaced, ink),
+                lambda n: first_reason(
+                    [
+                        ("few_words", n <= rules.few_words),
+                        (
+                            "word_length",
+                            (ink < n * rules.min_word_length) | (ink > n * rules.max_word_length),
+                        ),
+                    ]
+                ),
             ),
         )
 
-    return let(spaced, check)
+    return let(blanks_for_whitespace(remove(p, REPLACEMENT_CHAR), rare), check)
 
 
-def paragraph_reason(p: Column, rules: ParagraphRules = ParagraphRules()) -> Column:
-    """Why a paragraph is dropped, NULL when it stays."""
-    return F.coalesce(
-        first_reason(
-            [
-                ("no_end_mark", ~last_char(strip(p)).isin(*rules.end_marks)),
-                ("short", F.length(strip(p)) < rules.min_chars),
-            ]
-        ),
-        _word_rules(p, rules),
+def paragraph_reason(
+    p: Column, rules: ParagraphRules = ParagraphRules(), rare: Column | None = None
+) -> Column:
+    """Why a paragraph is dropped, NULL when it stays.
+
+    ``rare`` may tell whether the text around it has unusual whitespace.
+    """
+    return F.when(~ends_with_any(p, rules.end_marks), "no_end_mark").otherwise(
+        F.when(F.length(strip(p)) < rules.min_chars, "short").otherwise(
+            _word_rules(p, rules, rare)
+        )
     )
 
 
 def kept_paragraphs(text: Column, rules: ParagraphRules = ParagraphRules()) -> Column:
     """Array of the paragraphs that stay, characters still untouched."""
-    return F.filter(lines(text), lambda p: paragraph_reason(p, rules).isNull())
+    return let(
+        has_rare_blank(text),
+        lambda rare: F.filter(lines(text), lambda p: paragraph_reason(p, rules, rare).isNull()),
+    )
 
 
 def tidy_characters(text: Column) -> Column:

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.text import (
     count_token,
+    ends_with_any,
     first_char,
     is_blank,
     let,
     lines,
-    strip,
+    lstrip,
 )
 from gristmill.operators.lexicon import lexicon_hit
 from gristmill.operators.reasons import first_reason
@@ -27,6 +28,9 @@ from gristmill.operators.reasons import first_reason
 # Characters that open a bullet point.
 BULLETS = tuple("-–—⁃*+●•·◦▪▫▶▸▹►▼▽▾▿")
 
+# Endings of a paragraph that trails off.
+ELLIPSES = ("...", "…")
+
 
 @dataclass(frozen=True)
 class PassageRules:
@@ -40,6 +44,7 @@ class PassageRules:
     max_ellipsis_share: float = 0.3
     max_symbol_share: float = 0.1
     bullets: Sequence[str] = BULLETS
+    ellipses: Sequence[str] = ELLIPSES
     symbols: Sequence[tuple[str, str]] = (
         ("hash_signs", "#"),
         ("ellipsis_signs", "…"),
@@ -52,11 +57,11 @@ def paragraphs(text: Column) -> Column:
 
 
 def _starts_as_bullet(p: Column, rules: PassageRules) -> Column:
-    return first_char(strip(p)).isin(*rules.bullets)
+    return first_char(lstrip(p)).isin(*rules.bullets)
 
 
-def _trails_off(p: Column) -> Column:
-    return F.endswith(strip(p), F.lit("...")) | F.endswith(strip(p), F.lit("…"))
+def _trails_off(p: Column, rules: PassageRules) -> Column:
+    return ends_with_any(p, rules.ellipses)
 
 
 def layout(text: Column, rules: PassageRules = PassageRules()) -> Column:
@@ -67,7 +72,7 @@ def layout(text: Column, rules: PassageRules = PassageRules()) -> Column:
             F.size(ps).alias("n"),
             F.size(F.filter(ps, lambda p: F.length(p) < rules.short_paragraph)).alias("n_short"),
             F.size(F.filter(ps, lambda p: _starts_as_bullet(p, rules))).alias("n_bullet"),
-            F.size(F.filter(ps, _trails_off)).alias("n_ellipsis"),
+            F.size(F.filter(ps, lambda p: _trails_off(p, rules))).alias("n_ellipsis"),
         ),
     )
 
@@ -78,8 +83,12 @@ def symbol_share(text: Column, token: str) -> Column:
 
 
 def _symbol_rules(text: Column, rules: PassageRules):
+    # Most texts lack the token, which one search tells.
     return [
-        (name, symbol_share(text, token) > rules.max_symbol_share)
+        (
+            name,
+            F.contains(text, F.lit(token)) & (symbol_share(text, token) > rules.max_symbol_share),
+        )
         for name, token in rules.symbols
     ]
 
@@ -102,7 +111,7 @@ def layout_reasons(text: Column, rules: PassageRules = PassageRules()) -> Column
 
     def late(ps: Column) -> Column:
         n_bullet = F.size(F.filter(ps, lambda p: _starts_as_bullet(p, rules)))
-        n_ellipsis = F.size(F.filter(ps, _trails_off))
+        n_ellipsis = F.size(F.filter(ps, lambda p: _trails_off(p, rules)))
         return first_reason(
             [
                 ("bullets", F.try_divide(n_bullet, F.size(ps)) > rules.max_bullet_share),

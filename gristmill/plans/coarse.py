@@ -17,21 +17,19 @@ from pyspark.sql import functions as F
 from gristmill.operators.manifest import anti_landed
 from gristmill.operators.paragraphs import ParagraphRules, clean_documents
 from gristmill.operators.passage import PassageRules, keep_passages
-from gristmill.plans.staging import stage
+from gristmill.sources.staging import stage
 from gristmill.sources.listing import landed_partitions, list_archives, path_batches
 from gristmill.sources.wet import (
     ORDER,
-    bad_files,
     header_text,
     parse_records,
+    quarantine,
     read_wet_rows,
     to_wet_text,
     write_wet,
 )
 
 FAILED_FOLDER = "_failed"
-# Up to this many failed files travel as a broadcast.
-BROADCAST_FILES = 100_000
 
 
 @dataclass
@@ -81,17 +79,6 @@ def coarse_rows(
     return cleaned.select("file", *ORDER, "bad", wet.alias("wet"))
 
 
-def withhold_failed(staged: DataFrame, failed: DataFrame, n_failed: int) -> DataFrame:
-    """Rows to write, without any row of a failed file."""
-    sound = staged.where("bad IS NULL")
-    if n_failed == 0:
-        return sound
-    files = failed.select("file")
-    if n_failed <= BROADCAST_FILES:
-        files = F.broadcast(files)
-    return sound.join(files, "file", "left_anti")
-
-
 def run_coarse(
     spark: SparkSession,
     data: str,
@@ -119,9 +106,9 @@ def run_coarse(
             F.count_if(F.col("is_doc") & (F.length("raw_content") >= min_len)).alias("n_docs"),
         )
         staged = stage(coarse_rows(records, words, passage, paragraph, min_len), "coarse")
-        failed = bad_files(staged)
+        sound, failed = quarantine(staged)
         n_failed = failed.count()
-        write_wet(withhold_failed(staged, failed, n_failed), out)
+        write_wet((sound if n_failed else staged), out)
         if n_failed:
             failed.write.mode("append").json(f"{out.rstrip('/')}/{FAILED_FOLDER}")
         report.n_files += len(paths)

@@ -17,14 +17,17 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.paths import base_name, netloc, without_gz
 from gristmill.functions.text import (
+    WHITESPACE,
     WS_CLASS,
     let,
     lines,
+    lstrip,
     rstrip,
     second_word,
     strip,
     unix_newlines,
 )
+from gristmill.sources.staging import stage
 
 NEWLINES = {"crlf": "\r\n", "lf": "\n"}
 TYPE_FIELD = "WARC-Type: "
@@ -55,10 +58,12 @@ def split_records(value: Column) -> Column:
     that holds the marker itself (the start of a file in another newline style)
     loses its first line; any other row continues right after the separator.
     """
-    text = unix_newlines(value)
-    text = F.when(
-        text.rlike(rf"\A[{WS_CLASS}]*WARC/"), F.regexp_replace(text, r"\A[^\n]*(?:\n|\z)", "")
-    ).otherwise(F.concat(F.lit(TYPE_FIELD), text))
+    text = let(
+        unix_newlines(value),
+        lambda t: F.when(
+            F.startswith(lstrip(t), F.lit("WARC/")), F.regexp_replace(t, r"\A[^\n]*(?:\n|\z)", "")
+        ).otherwise(F.concat(F.lit(TYPE_FIELD), t)),
+    )
     marker = rf"(?md)^[{WS_CLASS}&&[^\n]]*WARC/1\.0[{WS_CLASS}&&[^\n]]*(?:\n|\z)"
     pieces = let(
         text,
@@ -66,10 +71,15 @@ def split_records(value: Column) -> Column:
             F.array(t)
         ),
     )
-    # Each record ends with a line break of its own (blanks after it belong to
-    # an indented marker).
-    return F.transform(
-        pieces, lambda p: F.regexp_replace(p, rf"\n[{WS_CLASS}&&[^\n]]*\z", "")
+    return F.transform(pieces, without_last_newline)
+
+
+def without_last_newline(record: Column) -> Column:
+    """Drop the line break that ends a record (blanks after it belong to an indented marker)."""
+    return let(
+        F.rtrim(record, F.lit(WHITESPACE.replace("\n", ""))),
+        lambda t: F.when(F.endswith(t, F.lit("\n")), F.substring(t, F.lit(1), F.length(t) - 1))
+        .otherwise(record),
     )
 
 
@@ -264,9 +274,11 @@ def bad_files(records: DataFrame) -> DataFrame:
 def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split in records of sound files and the list of failed files.
 
-    The input is read for both parts: stage expensive inputs first.
+    The list is staged: its size is then known, so the planner broadcasts a
+    short one and joins a long one. Stage expensive inputs as well, they are
+    read for both parts.
     """
-    failed = bad_files(records)
+    failed = stage(bad_files(records), "failed")
     return records.join(failed.select("file"), "file", "left_anti"), failed
 
 
