@@ -159,6 +159,5 @@ def second_word(c: Column) -> Column:
 
 
 def unix_newlines(c: Column) -> Column:
-    return F.when(
-        F.contains(c, F.lit("\r")), F.regexp_replace(c, r"\r\n?", "\n")
-    ).otherwise(c)
+    unix = F.replace(c, F.lit("\r\n"), F.lit("\n"))
+    return F.replace(unix, F.lit("\r"), F.lit("\n"))

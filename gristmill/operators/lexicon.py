@@ -60,7 +60,7 @@ def drop_unmatchable(lexicon: DataFrame) -> DataFrame:
 
 
 def substring_pairs(
-    texts: DataFrame, key: str, text: str, words: DataFrame, chunk: int = 4_096
+    texts: DataFrame, key: str, text: str, words: DataFrame, chunk: int = 4_096, step: int = 64
 ) -> DataFrame:
     """Distinct (key, word) where the text contains the word, by equi-join.
 
@@ -87,21 +87,24 @@ def substring_pairs(
     )
 
     def pieces(c: Column) -> Column:
-        """All substrings of a chunk with a listed length."""
-        return let(
-            F.split(c, ""),
-            lambda chars: F.flatten(
-                F.transform(
-                    F.filter("_lengths", lambda n: n <= F.size(chars)),
-                    lambda n: F.transform(
-                        F.sequence(F.lit(1), F.size(chars) - n + 1),
-                        lambda i: F.array_join(F.slice(chars, i, n), ""),
-                    ),
-                )
-            ),
+        """All substrings of a listed length that start in one of ``step`` places."""
+        return F.flatten(
+            F.transform(
+                F.filter("_lengths", lambda n: n <= F.length(c)),
+                lambda n: F.transform(
+                    F.sequence(F.lit(1), F.least(F.length(c) - n + 1, F.lit(step))),
+                    lambda i: F.substring(c, i, n),
+                ),
+            )
         )
 
-    found = chunks.select(key, F.explode(F.array_distinct(pieces(F.col("_chunk")))).alias("word"))
+    # Finding the i-th character takes i steps, so substrings come from short parts.
+    parts = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("_chunk"), F.lit(1)), F.lit(step)),
+        lambda i: let(F.substring("_chunk", i, overlap + step), pieces),
+    )
+    unique = F.array_distinct(F.flatten(parts))
+    found = chunks.select(key, F.explode(unique).alias("word"))
     return found.join(listed, "word").select(key, "word").distinct()
 
 

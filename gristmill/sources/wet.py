@@ -19,6 +19,7 @@ from gristmill.functions.paths import base_name, netloc, without_gz
 from gristmill.functions.text import (
     WHITESPACE,
     WS_CLASS,
+    is_blank,
     let,
     lines,
     lstrip,
@@ -57,12 +58,15 @@ def split_records(value: Column) -> Column:
     A record is its lines after the marker line, joined by line feeds. A row
     that holds the marker itself (the start of a file in another newline style)
     loses its first line; any other row continues right after the separator.
+    The blank row before the first marker of a file gives no record.
     """
     text = let(
         unix_newlines(value),
         lambda t: F.when(
             F.startswith(lstrip(t), F.lit("WARC/")), F.regexp_replace(t, r"\A[^\n]*(?:\n|\z)", "")
-        ).otherwise(F.concat(F.lit(TYPE_FIELD), t)),
+        )
+        .when(is_blank(t), F.lit(""))
+        .otherwise(F.concat(F.lit(TYPE_FIELD), t)),
     )
     marker = rf"(?md)^[{WS_CLASS}&&[^\n]]*WARC/1\.0[{WS_CLASS}&&[^\n]]*(?:\n|\z)"
     pieces = let(
@@ -71,15 +75,21 @@ def split_records(value: Column) -> Column:
             F.array(t)
         ),
     )
-    return F.transform(pieces, without_last_newline)
+    return F.transform(F.filter(pieces, lambda p: ~is_blank(p)), without_last_newline)
 
 
 def without_last_newline(record: Column) -> Column:
     """Drop the line break that ends a record (blanks after it belong to an indented marker)."""
-    return let(
-        F.rtrim(record, F.lit(WHITESPACE.replace("\n", ""))),
-        lambda t: F.when(F.endswith(t, F.lit("\n")), F.substring(t, F.lit(1), F.length(t) - 1))
-        .otherwise(record),
+
+    def cut(t: Column) -> Column:
+        return F.substring(t, F.lit(1), F.length(t) - 1)
+
+    newline = F.lit("\n")
+    return F.when(F.endswith(record, newline), cut(record)).otherwise(
+        let(
+            F.rtrim(record, F.lit(WHITESPACE.replace("\n", ""))),
+            lambda t: F.when(F.endswith(t, newline), cut(t)).otherwise(record),
+        )
     )
 
 
@@ -88,7 +98,7 @@ def _named(header: Column, name: str) -> Column:
     return F.get(F.filter(header, lambda h: F.startswith(h, F.lit(name + ":"))), F.lit(0))
 
 
-def parse_record(record: Column, by_name: bool = False) -> Column:
+def parse_record(record: Column, *, by_name: bool = False) -> Column:
     """Struct of one record: kind, bad, header_text and the document columns.
 
     Header fields are found by position, as archives write them; ``by_name``
@@ -116,6 +126,7 @@ def parse_record(record: Column, by_name: bool = False) -> Column:
             line = _named(header, name) if by_name else F.get(header, F.lit(i))
             return second_word(line)
 
+        kind = at(0, "WARC-Type")
         last = _named(header, "Content-Length") if by_name else F.element_at(header, -1)
         n = F.size(body)
         tail_blank = (n >= 2) & (F.get(body, n - 1) == "") & (F.get(body, n - 2) == "")
@@ -124,7 +135,7 @@ def parse_record(record: Column, by_name: bool = False) -> Column:
         return let(
             F.slice(body, F.lit(2), n_content),
             lambda content: F.struct(
-                at(0, "WARC-Type").alias("kind"),
+                kind.alias("kind"),
                 at(1, "WARC-Target-URI").alias("url"),
                 at(2, "WARC-Date").alias("date_download"),
                 at(5, "WARC-Block-Digest").alias("digest"),
@@ -132,7 +143,9 @@ def parse_record(record: Column, by_name: bool = False) -> Column:
                 F.size(content).alias("nlines"),
                 F.get(body, F.lit(0)).alias("title"),
                 F.array_join(content, "\n").alias("raw_content"),
-                F.array_join(stripped, "\n").alias("record_text"),
+                F.when(
+                    ~F.equal_null(kind, F.lit("conversion")), F.array_join(stripped, "\n")
+                ).alias("record_text"),
             ),
         )
 
@@ -159,7 +172,7 @@ def parse_documents(
     def wanted(r: Column) -> Column:
         return is_document(r) & (F.length(r["raw_content"]) >= min_len)
 
-    parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p, by_name))
+    parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p, by_name=by_name))
     docs = rows.select(*others, F.explode(F.filter(parsed, wanted)).alias("_r"))
     return docs.select(
         *others,
@@ -174,15 +187,14 @@ def parse_records(rows: DataFrame, value: str = "value", by_name: bool = False)
     """Every non-blank record with its validity, for headers, statistics and quarantine.
 
     ``bad`` names a reason to distrust the file, ``is_doc`` marks documents,
-    ``piece`` counts records inside a row. ``record_text`` is set for all records
-    that are no documents.
+    ``piece`` counts records inside a row. ``record_text`` holds the stripped lines
+    of records of another type than documents.
     """
     others = [c for c in rows.columns if c != value]
-    parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p, by_name))
-    seen = F.filter(parsed, lambda r: strip(r["record_text"]) != TYPE_FIELD.strip())
+    parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p, by_name=by_name))
     valid = F.call_function("is_valid_utf8", F.col(value))
     flat = rows.select(
-        *others, valid.alias("_utf8"), F.posexplode(seen).alias("piece", "_r")
+        *others, valid.alias("_utf8"), F.posexplode(parsed).alias("piece", "_r")
     )
     doc = F.coalesce(is_document(F.col("_r")), F.lit(False))
     return flat.select(
@@ -191,7 +203,7 @@ def parse_records(rows: DataFrame, value: str = "value", by_name: bool = False)
         F.col("_r.kind").alias("kind"),
         doc.alias("is_doc"),
         F.when(~F.col("_utf8"), "bad_utf8").alias("bad"),
-        F.when(~doc, F.col("_r.record_text")).alias("record_text"),
+        F.col("_r.record_text").alias("record_text"),
         *[
             netloc(F.col("_r.url")).alias(c) if c == "source_domain" else F.col(f"_r.{c}")
             for c in DOC_COLUMNS
@@ -235,12 +247,9 @@ def file_headers(rows: DataFrame) -> DataFrame:
 
     Only one candidate per task and file is shuffled.
     """
-    first = F.filter(
-        F.transform(
-            split_records(F.col("value")),
-            lambda p: F.array_join(F.transform(lines(p), strip), "\n"),
-        ),
-        lambda t: t != TYPE_FIELD.strip(),
+    first = F.transform(
+        split_records(F.col("value")),
+        lambda p: F.array_join(F.transform(lines(p), strip), "\n"),
     )
     order = F.struct("block_start", "row_id")
     return (
