@@ -60,15 +60,21 @@ def drop_unmatchable(lexicon: DataFrame) -> DataFrame:
 
 
 def substring_pairs(
-    texts: DataFrame, key: str, text: str, words: DataFrame, chunk: int = 4_096, step: int = 64
+    texts: DataFrame,
+    key: str,
+    text: str,
+    words: DataFrame,
+    chunk: int = 4_096,
+    step: int = 64,
+    salts: int = 16,
 ) -> DataFrame:
     """Distinct (key, word) where the text contains the word, by equi-join.
 
     Each text gives its substrings of just the lengths that occur in the list,
     so nothing is compared pairwise and no false candidate leaves the join. The
-    word side is distinct, hence a frequent substring meets one row. Texts are
-    cut in overlapping chunks, which bounds the memory per row, and each chunk
-    gives a substring once.
+    word side is distinct, hence a frequent substring meets one row; salts spread
+    its occurrences over several tasks. Texts are cut in overlapping chunks, which
+    bounds the memory per row, and each chunk gives a substring once.
     """
     listed = words.select("word").where("word <> ''").distinct()
     lengths = listed.agg(F.sort_array(F.collect_set(F.length("word")))).scalar()
@@ -104,8 +110,13 @@ def substring_pairs(
         lambda i: let(F.substring("_chunk", i, overlap + step), pieces),
     )
     unique = F.array_distinct(F.flatten(parts))
-    found = chunks.select(key, F.explode(unique).alias("word"))
-    return found.join(listed, "word").select(key, "word").distinct()
+    found = chunks.select(
+        key,
+        F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("_salt"),
+        F.explode(unique).alias("word"),
+    )
+    salted = listed.select("word", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    return found.join(salted, ["word", "_salt"]).select(key, "word").distinct()
 
 
 def shortest_listed(lexicon: DataFrame) -> DataFrame:

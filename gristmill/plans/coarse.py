@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,12 @@ from gristmill.operators.manifest import anti_landed
 from gristmill.operators.paragraphs import ParagraphRules, clean_documents
 from gristmill.operators.passage import PassageRules, keep_passages
 from gristmill.sources.staging import stage
-from gristmill.sources.listing import landed_partitions, list_archives, path_batches
+from gristmill.sources.listing import (
+    landed_partitions,
+    list_archives,
+    path_batches,
+    unreadable_files,
+)
 from gristmill.sources.wet import (
     ORDER,
     header_text,
@@ -79,6 +86,33 @@ def coarse_rows(
     return cleaned.select("file", *ORDER, "bad", wet.alias("wet"))
 
 
+def stage_batch(
+    spark: SparkSession, paths: list[str], newline: str, min_len: int, *rules
+) -> tuple[DataFrame | None, dict[str, int], list[str]]:
+    """Staged rows of a batch, its counts, and the files that could not be read.
+
+    Only when reading fails are the files checked one by one; the batch then runs
+    again without the broken ones. Any other failure is raised.
+    """
+    unreadable: list[str] = []
+    while True:
+        seen = Observation()
+        good = [p for p in paths if p not in set(unreadable)]
+        if not good:
+            return None, {"n_parsed": 0, "n_docs": 0}, unreadable
+        records = parse_records(read_wet_rows(spark, good, newline)).observe(
+            seen,
+            F.count_if("is_doc").alias("n_parsed"),
+            F.count_if(F.col("is_doc") & (F.length("raw_content") >= min_len)).alias("n_docs"),
+        )
+        try:
+            return stage(coarse_rows(records, *rules, min_len), "coarse"), seen.get, unreadable
+        except (PySparkException, Py4JJavaError):
+            unreadable = [] if unreadable else unreadable_files(spark, paths)
+            if not unreadable:
+                raise
+
+
 def run_coarse(
     spark: SparkSession,
     data: str,
@@ -93,26 +127,29 @@ def run_coarse(
     """Clean every archive under ``data`` that has no output under ``out`` yet.
 
     Works through the files in batches of bounded length; a run that was broken
-    off goes on with the files that have not landed. Files with bad text are
-    written to ``out/_failed`` as JSON lines and leave no output.
+    off goes on with the files that have not landed. Files with bad text or a
+    broken compression leave no output and are listed in ``out/_failed`` as JSON
+    lines.
     """
     report = CoarseReport()
     pending = anti_landed(list_archives(spark, data), landed_partitions(spark, out, "archive"))
     for paths in path_batches(pending, batch_files):
-        seen = Observation()
-        records = parse_records(read_wet_rows(spark, paths, newline)).observe(
-            seen,
-            F.count_if("is_doc").alias("n_parsed"),
-            F.count_if(F.col("is_doc") & (F.length("raw_content") >= min_len)).alias("n_docs"),
+        staged, counts, unreadable = stage_batch(
+            spark, paths, newline, min_len, words, passage, paragraph
+        )
+        failed = spark.createDataFrame(
+            [(p, "unreadable", 1) for p in unreadable], "file string, reason string, n_bad bigint"
         )
-        staged = stage(coarse_rows(records, words, passage, paragraph, min_len), "coarse")
-        sound, failed = quarantine(staged)
+        if staged is not None:
+            sound, bad = quarantine(staged)
+            has_bad = not bad.isEmpty()
+            write_wet(sound if has_bad else staged, out)
+            failed = failed.unionByName(bad)
         n_failed = failed.count()
-        write_wet((sound if n_failed else staged), out)
         if n_failed:
             failed.write.mode("append").json(f"{out.rstrip('/')}/{FAILED_FOLDER}")
         report.n_files += len(paths)
         report.n_failed += n_failed
-        report.n_parsed += seen.get["n_parsed"]
-        report.n_docs += seen.get["n_docs"]
+        report.n_parsed += counts["n_parsed"]
+        report.n_docs += counts["n_docs"]
     return report

@@ -1,4 +1,4 @@
-"""File listings as DataFrames; file contents are never read."""
+"""File listings as DataFrames, and the check of files that could not be read."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.sources.staging import stage
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,14 +48,51 @@ def landed_partitions(spark: SparkSession, out: str, *columns: str) -> DataFrame
 def path_batches(files: DataFrame, size: int) -> Iterator[list[str]]:
     """Lists of at most ``size`` paths, in order; only one is on the driver at a time.
 
+    The listing is staged in order, so that a batch reads its own stretch of it.
     Each batch starts after the last path of the one before, so it ends even if
     files of an earlier batch did not land.
     """
+    listing = stage(files.select("path").orderBy("path"), "listing")
     last = ""
     while True:
-        batch = files.where(F.col("path") > last).orderBy("path").limit(size)
-        paths = [r["path"] for r in batch.select("path").collect()]
+        batch = listing.where(F.col("path") > last).orderBy("path").limit(size)
+        paths = [r["path"] for r in batch.collect()]
         if not paths:
             return
         yield paths
         last = paths[-1]
+
+
+def unreadable_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the given gzip files that do not decompress to their end.
+
+    A file is checked by one task, which keeps none of its text.
+    """
+
+    def check(batches):
+        import zlib
+
+        import pandas as pd
+
+        for batch in batches:
+            bad = []
+            for path, data in zip(batch["path"], batch["content"], strict=True):
+                rest, sound = data, True
+                while rest and sound:
+                    member = zlib.decompressobj(wbits=31)
+                    try:
+                        while rest and not member.eof:
+                            member.decompress(rest, 1 << 24)
+                            rest = member.unused_data if member.eof else member.unconsumed_tail
+                        sound = member.eof
+                    except zlib.error:
+                        sound = False
+                if not sound:
+                    bad.append(path)
+            yield pd.DataFrame({"path": bad}, dtype="object")
+
+    zipped = [p for p in paths if p.endswith(".gz")]
+    if not zipped:
+        return []
+    files = spark.read.format("binaryFile").load(zipped).select("path", "content")
+    return sorted(r["path"] for r in files.mapInPandas(check, "path string").collect())

@@ -59,6 +59,29 @@ def test_first_stage_end_to_end(spark, tmp_path):
     assert urls(spark, out) == ["http://h1:8/p", "http://h4:8/p", "http://h7:8/p"]
 
 
+def test_broken_compression_puts_a_file_aside(spark, tmp_path):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    archive(data, "a.wet.gz", {"1": GOOD})
+    archive(data, "b.wet", {"2": GOOD})
+    archive(data, "cut.wet.gz", {str(i): GOOD for i in range(3, 40)})
+    whole = (data / "cut.wet.gz").read_bytes()
+    (data / "cut.wet.gz").write_bytes(whole[: len(whole) // 2])
+    (data / "noise.wet.gz").write_bytes(b"no gzip at all")
+    # Two members, the second one damaged.
+    (data / "two.wet.gz").write_bytes((data / "a.wet.gz").read_bytes() + whole[:-9])
+    report = run_coarse(spark, str(data), out)
+    assert (report.n_files, report.n_failed, report.n_docs) == (5, 3, 2)
+    assert urls(spark, out) == ["http://h1:8/p", "http://h2:8/p"]
+
+
+def test_a_batch_of_broken_files_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "noise.wet.gz").write_bytes(b"no gzip at all")
+    report = run_coarse(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert (report.n_files, report.n_failed, report.n_docs) == (1, 1, 0)
+
+
 def test_nothing_to_do(spark, tmp_path):
     report = run_coarse(spark, str(tmp_path / "none"), str(tmp_path / "out"))
     assert report.n_files == 0
