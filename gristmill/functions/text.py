@@ -63,6 +63,19 @@ def first_char(c: Column) -> Column:
     return F.substring(c, 1, 1)
 
 
+def swap(c: Column, old: str, new: str) -> Column:
+    """Replace a literal token that most texts lack; a plain search goes first.
+
+    ``replace`` compares at every byte and takes several times as long.
+    """
+    return let(
+        c,
+        lambda t: F.when(
+            F.contains(t, F.lit(old)), F.replace(t, F.lit(old), F.lit(new))
+        ).otherwise(t),
+    )
+
+
 def remove(c: Column, token: str) -> Column:
     return F.replace(c, F.lit(token), F.lit(""))
 
@@ -73,19 +86,27 @@ def count_token(c: Column, token: str) -> Column:
     return lost if len(token) == 1 else (lost / len(token)).cast("int")
 
 
-def ends_with_any(c: Column, ends: Sequence[str]) -> Column:
-    """True when the text without trailing whitespace ends with one of ``ends``.
+def ends_in(c: Column, ends: Sequence[str]) -> Column:
+    """True when the text ends with one of ``ends``."""
+    cond = F.endswith(c, F.lit(ends[0]))
+    for end in ends[1:]:
+        cond = cond | F.endswith(c, F.lit(end))
+    return cond
 
-    Tried on the text as it is first: most paragraphs have nothing to trim.
-    """
 
-    def chain(x: Column) -> Column:
-        cond = F.endswith(x, F.lit(ends[0]))
-        for end in ends[1:]:
-            cond = cond | F.endswith(x, F.lit(end))
-        return cond
+def rstrip_unless(c: Column, ends: Sequence[str]) -> Column:
+    """Text without trailing whitespace; visible ``ends`` show that there is none."""
+    return F.when(ends_in(c, ends), c).otherwise(rstrip(c))
+
+
+def ends_with_any(c: Column, ends: Sequence[str]) -> Column:
+    """True when the text without trailing whitespace ends with one of ``ends``."""
+    return ends_in(c, ends) | let(rstrip(c), lambda t: ends_in(t, ends))
+
 
-    return chain(c) | let(rstrip(c), chain)
+def shorter_than(c: Column, n: int) -> Column:
+    """``length(c) < n``, counting characters only where the byte length leaves it open."""
+    return (F.octet_length(c) < 4 * n) & (F.length(c) < n)
 
 
 def holds_any(c: Column, tokens: Sequence[str]) -> Column:
@@ -126,7 +147,7 @@ def blanks_for_whitespace(c: Column, rare: Column | None = None) -> Column:
     """
     rare = has_rare_blank(c) if rare is None else rare
     return F.when(rare, F.translate(c, WHITESPACE, " " * len(WHITESPACE))).otherwise(
-        F.replace(c, F.lit("\n"), F.lit(" "))
+        swap(c, "\n", " ")
     )
 
 
@@ -159,5 +180,4 @@ def second_word(c: Column) -> Column:
 
 
 def unix_newlines(c: Column) -> Column:
-    unix = F.replace(c, F.lit("\r\n"), F.lit("\n"))
-    return F.replace(unix, F.lit("\r"), F.lit("\n"))
+    return swap(swap(c, "\r\n", "\n"), "\r", "\n")

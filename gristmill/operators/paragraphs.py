@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.text import (
     blanks_for_whitespace,
-    ends_with_any,
+    ends_in,
     has_rare_blank,
     let,
     lines,
+    lstrip,
     remove,
-    strip,
+    rstrip_unless,
+    shorter_than,
+    swap,
     word_count,
 )
 from gristmill.operators.reasons import first_reason
@@ -65,7 +68,7 @@ def _word_rules(p: Column, rules: ParagraphRules, rare: Column | None):
             ),
         )
 
-    return let(blanks_for_whitespace(remove(p, REPLACEMENT_CHAR), rare), check)
+    return let(blanks_for_whitespace(swap(p, REPLACEMENT_CHAR, ""), rare), check)
 
 
 def paragraph_reason(
@@ -75,10 +78,13 @@ def paragraph_reason(
 
     ``rare`` may tell whether the text around it has unusual whitespace.
     """
-    return F.when(~ends_with_any(p, rules.end_marks), "no_end_mark").otherwise(
-        F.when(F.length(strip(p)) < rules.min_chars, "short").otherwise(
-            _word_rules(p, rules, rare)
-        )
+    return let(
+        rstrip_unless(p, rules.end_marks),
+        lambda t: F.when(~ends_in(t, rules.end_marks), "no_end_mark").otherwise(
+            F.when(shorter_than(lstrip(t), rules.min_chars), "short").otherwise(
+                _word_rules(p, rules, rare)
+            )
+        ),
     )
 
 
@@ -95,12 +101,14 @@ def tidy_characters(text: Column) -> Column:
 
     Works on joined paragraphs: line feeds are left alone.
     """
-    clean = remove(text, REPLACEMENT_CHAR)
-    clean = F.when(
-        clean.rlike(CONTROL_CHARS), F.regexp_replace(clean, CONTROL_CHARS, "")
-    ).otherwise(clean)
+    clean = let(
+        swap(text, REPLACEMENT_CHAR, ""),
+        lambda t: F.when(
+            t.rlike(CONTROL_CHARS), F.regexp_replace(t, CONTROL_CHARS, "")
+        ).otherwise(t),
+    )
     for blank in WIDE_BLANKS:
-        clean = F.replace(clean, F.lit(blank), F.lit(" "))
+        clean = swap(clean, blank, " ")
     return clean
 
 

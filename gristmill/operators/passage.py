@@ -17,10 +17,12 @@ from gristmill.functions.text import (
     count_token,
     ends_with_any,
     first_char,
+    holds_any,
     is_blank,
     let,
     lines,
     lstrip,
+    shorter_than,
 )
 from gristmill.operators.lexicon import lexicon_hit
 from gristmill.operators.reasons import first_reason
@@ -70,7 +72,7 @@ def layout(text: Column, rules: PassageRules = PassageRules()) -> Column:
         paragraphs(text),
         lambda ps: F.struct(
             F.size(ps).alias("n"),
-            F.size(F.filter(ps, lambda p: F.length(p) < rules.short_paragraph)).alias("n_short"),
+            F.size(F.filter(ps, lambda p: shorter_than(p, rules.short_paragraph))).alias("n_short"),
             F.size(F.filter(ps, lambda p: _starts_as_bullet(p, rules))).alias("n_bullet"),
             F.size(F.filter(ps, lambda p: _trails_off(p, rules))).alias("n_ellipsis"),
         ),
@@ -101,7 +103,7 @@ def layout_reasons(text: Column, rules: PassageRules = PassageRules()) -> Column
     """
 
     def early(ps: Column) -> Column:
-        n_short = F.size(F.filter(ps, lambda p: F.length(p) < rules.short_paragraph))
+        n_short = F.size(F.filter(ps, lambda p: shorter_than(p, rules.short_paragraph)))
         return first_reason(
             [
                 ("few_paragraphs", F.size(ps) <= rules.few_paragraphs),
@@ -115,7 +117,11 @@ def layout_reasons(text: Column, rules: PassageRules = PassageRules()) -> Column
         return first_reason(
             [
                 ("bullets", F.try_divide(n_bullet, F.size(ps)) > rules.max_bullet_share),
-                ("ellipses", F.try_divide(n_ellipsis, F.size(ps)) > rules.max_ellipsis_share),
+                (
+                    "ellipses",
+                    holds_any(text, rules.ellipses)
+                    & (F.try_divide(n_ellipsis, F.size(ps)) > rules.max_ellipsis_share),
+                ),
             ]
             + _symbol_rules(text, rules)
         )
@@ -128,7 +134,7 @@ def layout_reasons(text: Column, rules: PassageRules = PassageRules()) -> Column
 
     nothing = F.lit(None).cast("string")
     return F.when(
-        F.length(text) < rules.min_chars,
+        shorter_than(text, rules.min_chars),
         F.struct(F.lit("short_text").alias("early"), nothing.alias("late")),
     ).otherwise(let(paragraphs(text), both))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gristmill.functions.text import ink_length, remove, words
+from gristmill.functions.text import blanks_for_whitespace, let, remove, swap
 from gristmill.operators.reasons import first_reason
 
 # Columns the second stage has to deliver; two are required though unused.
@@ -41,15 +41,23 @@ class PostRules:
     max_repetition: float = 2.5
 
 
+def _ink_share(spaced: Column, length: Column) -> Column:
+    return F.try_divide(F.length(remove(spaced, " ")), length)
+
+
+def _repetition(spaced: Column) -> Column:
+    distinct = F.array_distinct(F.split(spaced, " "))
+    return F.try_divide(F.length(spaced), F.length(F.array_join(distinct, "")))
+
+
 def ink_share(text: Column, length: Column) -> Column:
     """Visible characters of the text over the ``length`` column."""
-    return F.try_divide(ink_length(text), length)
+    return _ink_share(blanks_for_whitespace(text), length)
 
 
 def repetition(text: Column) -> Column:
     """Text length over the total length of its distinct words; NULL if it has none."""
-    distinct = F.array_distinct(words(text))
-    return F.try_divide(F.length(text), F.length(F.array_join(distinct, "")))
+    return let(blanks_for_whitespace(text), _repetition)
 
 
 def missing_field() -> Column:
@@ -67,7 +75,7 @@ def post_reason(rules: PostRules = PostRules()) -> Column:
     cannot let a row through. Cheap numeric rules come before text rules.
     """
     perplexity, length = F.col("perplexity"), F.col("length")
-    return first_reason(
+    by_numbers = first_reason(
         [
             ("missing_field", missing_field()),
             (
@@ -83,14 +91,20 @@ def post_reason(rules: PostRules = PostRules()) -> Column:
             ),
             ("language_score", F.col("language_score") < rules.min_language_score),
             ("short_text", length < rules.min_length),
-            ("low_ink", ink_share(F.col("raw_content"), length) < rules.min_ink_share),
-            (
-                "repetitive",
-                F.coalesce(repetition(F.col("raw_content")) > rules.max_repetition, F.lit(True)),
-            ),
         ]
     )
 
+    def by_text(spaced: Column) -> Column:
+        repeats = _repetition(spaced) > rules.max_repetition
+        return first_reason(
+            [
+                ("low_ink", _ink_share(spaced, length) < rules.min_ink_share),
+                ("repetitive", F.coalesce(repeats, F.lit(True))),
+            ]
+        )
+
+    return by_numbers.otherwise(let(blanks_for_whitespace(F.col("raw_content")), by_text))
+
 
 def tag_post(df: DataFrame, rules: PostRules = PostRules(), strict: bool = False) -> DataFrame:
     """Add ``reason``. With ``strict`` a missing field ends the job instead."""
@@ -110,7 +124,7 @@ def corpus_rows(df: DataFrame, *extra: str, source: str = SOURCE_NAME) -> DataFr
     """Project to (source, text, language), plus any columns named."""
     return df.select(
         F.lit(source).alias("source"),
-        remove(F.col("raw_content"), BYTE_ORDER_MARK).alias("text"),
+        swap(F.col("raw_content"), BYTE_ORDER_MARK, "").alias("text"),
         "language",
         *extra,
     )

@@ -25,6 +25,7 @@ from gristmill.functions.text import (
     lstrip,
     rstrip,
     second_word,
+    shorter_than,
     strip,
     unix_newlines,
 )
@@ -170,7 +171,7 @@ def parse_documents(
     others = [c for c in rows.columns if c != value]
 
     def wanted(r: Column) -> Column:
-        return is_document(r) & (F.length(r["raw_content"]) >= min_len)
+        return is_document(r) & ~shorter_than(r["raw_content"], min_len)
 
     parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p, by_name=by_name))
     docs = rows.select(*others, F.explode(F.filter(parsed, wanted)).alias("_r"))
