@@ -23,6 +23,7 @@ from gristmill.operators.reasons import funnel
 from gristmill.plans.post import REASONS, observe_funnel
 from gristmill.sources.staging import new_folder
 from gristmill.sources.corpus import read_corpus, write_corpus
+from gristmill.sources.enriched import read_enriched
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +127,18 @@ def post_funnel_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "reason string, n bigint")
 
 
+def enriched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched rows as JSON lines by cut and shard, read back and counted per reason."""
+    folder = new_folder(spark, "enriched")
+    rows = enriched(spark, sf_dir).withColumn("shard", F.col("language")).drop("doc_id")
+    for part in ("res", "res/hashes"):
+        rows.write.mode("append").partitionBy("cut", "shard").json(f"{folder}/{part}")
+    tagged = tag_post(read_enriched(spark, folder, glob="*.json"))
+    return tagged.groupBy("cut", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 QUERIES = {
     "post_reason": post_reason,
     "post_funnel": post_funnel,
@@ -134,6 +147,7 @@ QUERIES = {
     "post_measures": post_measures,
     "corpus_rows": corpus_rows,
     "corpus_partitions": corpus_partitions,
+    "enriched_files": enriched_files,
 }
 
 KEPT = f"(SELECT * FROM {ENRICHED} WHERE {sql_reason()} IS NULL) AS k"
@@ -160,4 +174,6 @@ SQL = {
         language, doc_id FROM {MARKED} WHERE {sql_reason()} IS NULL""",
     "corpus_partitions": f"""SELECT cut, language, count(*) AS n,
         sum(length(raw_content))::BIGINT AS n_chars FROM {KEPT} GROUP BY cut, language""",
+    "enriched_files": f"""SELECT 'cut=' || cut AS cut, coalesce(reason, 'kept') AS reason, count(*) AS n
+        FROM (SELECT cut, {sql_reason()} AS reason FROM {ENRICHED}) AS r GROUP BY ALL""",
 }

@@ -24,7 +24,9 @@ def is_result_file(path: Column) -> Column:
     return cond
 
 
-def read_enriched(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
+def read_enriched(
+    spark: SparkSession, path, mode: str = "FAILFAST", glob: str = "*.wet"
+) -> DataFrame:
     """Typed rows plus file and cut. A malformed line ends the job by default.
 
     The test on the path needs file metadata only, so Spark prunes whole files.
@@ -32,7 +34,7 @@ def read_enriched(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFram
     raw = (
         spark.read.schema(ENRICHED_SCHEMA)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.wet")
+        .option("pathGlobFilter", glob)
         .option("mode", mode)
         .json(path)
     )

@@ -34,12 +34,15 @@ def list_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def landed_partitions(spark: SparkSession, out: str, *columns: str) -> DataFrame:
     """Partition values that have output: one row per distinct set, ``path`` = joined by '/'."""
-    values = [
-        F.url_decode(F.regexp_extract("path", rf"/{c}=([^/]+)/", 1)) for c in columns
-    ]
+
+    def value(column: str):
+        # Writers escape by percent signs only, a plus sign stays what it is.
+        raw = F.regexp_extract("path", rf"/{column}=([^/]+)/", 1)
+        return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+
     return (
         list_files(spark, out)
-        .select(F.concat_ws("/", *values).alias("path"))
+        .select(F.concat_ws("/", *[value(c) for c in columns]).alias("path"))
         .where("path <> '' AND NOT startswith(path, '/')")
         .distinct()
     )

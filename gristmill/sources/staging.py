@@ -8,15 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only where none is named."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a local session gets a temporary folder of its own; on a
+    cluster that is an error, as executors could not share it.
+    """
     folder = spark.conf.get(SETTING, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="gristmill-")
-        spark.conf.set(SETTING, folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="gristmill-")
+    return _local_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
