@@ -151,9 +151,9 @@ def blanks_for_whitespace(c: Column, rare: Column | None = None) -> Column:
     )
 
 
-def words(c: Column) -> Column:
+def words(c: Column, rare: Column | None = None) -> Column:
     """Whitespace-separated words as an array, without empty ones."""
-    return F.array_remove(F.split(blanks_for_whitespace(c), " "), "")
+    return F.array_remove(F.split(blanks_for_whitespace(c, rare), " "), "")
 
 
 def word_count(spaced: Column, ink: Column) -> Column:
@@ -174,9 +174,9 @@ def ink_length(c: Column) -> Column:
     return F.length(remove(blanks_for_whitespace(c), " "))
 
 
-def second_word(c: Column) -> Column:
+def second_word(c: Column, rare: Column | None = None) -> Column:
     """Second whitespace-separated word of a line, NULL when there is none."""
-    return F.get(words(c), F.lit(1))
+    return F.get(words(c, rare), F.lit(1))
 
 
 def unix_newlines(c: Column) -> Column:

@@ -19,6 +19,7 @@ from gristmill.functions.paths import base_name, netloc, without_gz
 from gristmill.functions.text import (
     WHITESPACE,
     WS_CLASS,
+    has_rare_blank,
     is_blank,
     let,
     lines,
@@ -117,15 +118,19 @@ def parse_record(record: Column, *, by_name: bool = False) -> Column:
                         (blank > 0) & (blank < F.size(stripped)),
                         F.slice(stripped, blank + 1, F.size(stripped)),
                     ),
-                    lambda body: parsed(stripped, header, body),
+                    # One look at all header lines tells whether blanks are plain.
+                    lambda body: let(
+                        has_rare_blank(F.array_join(header, " ")),
+                        lambda rare: parsed(stripped, header, body, rare),
+                    ),
                 ),
             ),
         )
 
-    def parsed(stripped: Column, header: Column, body: Column) -> Column:
+    def parsed(stripped: Column, header: Column, body: Column, rare: Column) -> Column:
         def at(i: int, name: str) -> Column:
             line = _named(header, name) if by_name else F.get(header, F.lit(i))
-            return second_word(line)
+            return second_word(line, rare)
 
         kind = at(0, "WARC-Type")
         last = _named(header, "Content-Length") if by_name else F.element_at(header, -1)
@@ -140,7 +145,7 @@ def parse_record(record: Column, *, by_name: bool = False) -> Column:
                 at(1, "WARC-Target-URI").alias("url"),
                 at(2, "WARC-Date").alias("date_download"),
                 at(5, "WARC-Block-Digest").alias("digest"),
-                F.coalesce(second_word(last).try_cast("bigint"), F.lit(0)).alias("length"),
+                F.coalesce(second_word(last, rare).try_cast("bigint"), F.lit(0)).alias("length"),
                 F.size(content).alias("nlines"),
                 F.get(body, F.lit(0)).alias("title"),
                 F.array_join(content, "\n").alias("raw_content"),
