@@ -66,7 +66,7 @@ def first_char(c: Column) -> Column:
 def swap(c: Column, old: str, new: str) -> Column:
     """Replace a literal token that most texts lack; a plain search goes first.
 
-    ``replace`` compares at every byte and takes several times as long.
+    ``replace`` calls a comparison at every byte, the search only at a first match.
     """
     return let(
         c,
@@ -127,7 +127,7 @@ def holds_any(c: Column, tokens: Sequence[str]) -> Column:
 def has_rare_blank(c: Column) -> Column:
     """True when the text has whitespace other than blanks and line feeds.
 
-    Byte searches only; a character class costs several times as much.
+    Byte searches only; a character class took more than twice as long.
     """
     return let(
         c,
