@@ -24,13 +24,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words per recursive query, and a bound for the rows that one query may keep.
-BLOCK_WORDS = 40_000
-BLOCK_ROWS = 4_000_000
+BLOCK_WORDS = 20_000
+BLOCK_ROWS = 1_500_000
 #: The recursion keeps a row per byte and merge, so it is quadratic in the length of
 #: a word. Longer pre-tokens (none in prose) are contracted with a heap instead.
 LONG_WORD = 512
+#: Characters a worker cuts into chunks at a time.
+PART_CHARS = 4_000_000
 #: Entries a worker remembers before it starts anew.
-MEMO_ENTRIES = 1_200_000
+MEMO_ENTRIES = 1_000_000
 #: The position takes so many bits of a pair's sort key.
 POS_BITS = 20
 
@@ -184,7 +186,7 @@ class Coder:
         lengths = np.array([len(raw[i]) for i in block])
         flat = np.frombuffer(b"".join(raw[i] for i in block), dtype=np.uint8)
         self.rows("start_rows", self.of_byte[flat], lengths)
-        ids = self.db.execute(CONTRACT).to_arrow_table()["ids"].combine_chunks()
+        ids = self.db.sql(CONTRACT).to_arrow_table()["ids"].combine_chunks()
         data = ids.flatten().to_numpy().astype("<i4").tobytes()
         ends = ids.offsets.to_numpy() * 4
         return {
@@ -222,26 +224,37 @@ class Coder:
         if len(self.ids) > MEMO_ENTRIES:
             self.ids.clear()
         cut = [self.chunks(t) for t in texts]
-        words = {c: self.find(c) for parts in cut for c in parts if c not in self.ids}
+        runs = [list(map(self.ids.get, parts)) for parts in cut]
+        gaps = [i for i, found in enumerate(runs) if None in found]
+        missing = {c for i in gaps for c, r in zip(cut[i], runs[i], strict=True) if r is None}
+        words = {c: self.find(c) for c in missing}
         new = {w for found in words.values() for w in found if w not in self.ids}
         self.ids |= self.encode_words(sorted(new))
         long = {}
         for chunk, found in words.items():
             keep = self.ids if len(chunk) <= LONG_WORD else long
             keep[chunk] = b"".join([self.ids[w] for w in found])
-        return [[self.ids[c] if c in self.ids else long[c] for c in parts] for parts in cut]
+        for i in gaps:
+            runs[i] = [
+                r if r is not None else self.ids[c] if c in self.ids else long[c]
+                for c, r in zip(cut[i], runs[i], strict=True)
+            ]
+        return runs
 
     def decode(self, runs: list[list[bytes]]) -> list[bytes]:
         """Bytes of each list of runs."""
         if len(self.plain) > MEMO_ENTRIES:
             self.plain.clear()
-        new = {r for parts in runs for r in parts if r not in self.plain}
+        plain = [list(map(self.plain.get, parts)) for parts in runs]
+        gaps = [i for i, found in enumerate(plain) if None in found]
+        new = {r for i in gaps for r, b in zip(runs[i], plain[i], strict=True) if b is None}
         found = self.decode_runs(sorted(new))
         self.plain |= {r: b for r, b in found.items() if len(b) <= LONG_WORD}
-        return [
-            b"".join([self.plain[r] if r in self.plain else found[r] for r in parts])
-            for parts in runs
-        ]
+        for i in gaps:
+            plain[i] = [
+                b if b is not None else found[r] for r, b in zip(runs[i], plain[i], strict=True)
+            ]
+        return [b"".join(parts) for parts in plain]
 
     def runs_of(self, ids: np.ndarray) -> list[bytes]:
         """Ids cut before each token that starts with a blank: runs that come again."""
@@ -255,6 +268,19 @@ class Coder:
         return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
 
 
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, cut in lists of bounded length."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= PART_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def _id_arrays(runs: list[list[bytes]]) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(parts), dtype="<i4") for parts in runs]
 
@@ -292,7 +318,10 @@ class Vocabulary:
         @F.pandas_udf("array<int>")
         def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield pd.Series(_id_arrays(coder().encode(texts.fillna("").tolist())))
+                rows = []
+                for part in _parts(texts.fillna("").tolist()):
+                    rows += _id_arrays(coder().encode(part))
+                yield pd.Series(rows)
 
         return ids(text)
 
@@ -319,8 +348,12 @@ class Vocabulary:
         @F.pandas_udf("ids array<int>, decoded binary")
         def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for texts in batches:
-                runs = coder().encode(texts.fillna("").tolist())
-                yield pd.DataFrame({"ids": _id_arrays(runs), "decoded": coder().decode(runs)})
+                ids, decoded = [], []
+                for part in _parts(texts.fillna("").tolist()):
+                    runs = coder().encode(part)
+                    ids += _id_arrays(runs)
+                    decoded += coder().decode(runs)
+                yield pd.DataFrame({"ids": ids, "decoded": decoded})
 
         return both(text)
 
