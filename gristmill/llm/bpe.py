@@ -18,21 +18,20 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words per recursive query, and a bound for the rows that one query may keep.
-BLOCK_WORDS = 20_000
-BLOCK_ROWS = 1_500_000
+BLOCK_WORDS = 10_000
+BLOCK_ROWS = 700_000
 #: The recursion keeps a row per byte and merge, so it is quadratic in the length of
 #: a word. Longer pre-tokens (none in prose) are contracted with a heap instead.
 LONG_WORD = 512
 #: Characters a worker cuts into chunks at a time.
-PART_CHARS = 4_000_000
+PART_CHARS = 2_000_000
 #: Entries a worker remembers before it starts anew.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 400_000
 #: The position takes so many bits of a pair's sort key.
 POS_BITS = 20
 
@@ -268,12 +267,12 @@ class Coder:
         return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
 
 
-def _parts(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, cut in lists of bounded length."""
+def parts(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, cut in lists of bounded length; NULL is the empty text."""
     part, size = [], 0
     for text in texts:
-        part.append(text)
-        size += len(text)
+        part.append(text.as_py() or "")
+        size += len(part[-1])
         if size >= PART_CHARS:
             yield part
             part, size = [], 0
@@ -281,8 +280,16 @@ def _parts(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def _id_arrays(runs: list[list[bytes]]) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(parts), dtype="<i4") for parts in runs]
+def id_lists(runs: list[list[bytes]]) -> pa.ListArray:
+    """One list of ids for each list of runs."""
+    data = [b"".join(r) for r in runs]
+    offsets = np.cumsum([0] + [len(d) // 4 for d in data]).astype(np.int32)
+    flat = pa.array(np.frombuffer(b"".join(data), dtype="<i4"))
+    return pa.ListArray.from_arrays(pa.array(offsets), flat)
+
+
+def _joined(arrays: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(arrays) if arrays else pa.array([], kind)
 
 
 class Vocabulary:
@@ -315,13 +322,11 @@ class Vocabulary:
         """Ids of a text as array<int>."""
         coder = self._coder()
 
-        @F.pandas_udf("array<int>")
-        def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<int>")
+        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                rows = []
-                for part in _parts(texts.fillna("").tolist()):
-                    rows += _id_arrays(coder().encode(part))
-                yield pd.Series(rows)
+                found = [id_lists(coder().encode(part)) for part in parts(texts)]
+                yield _joined(found, pa.list_(pa.int32()))
 
         return ids(text)
 
@@ -329,11 +334,12 @@ class Vocabulary:
         """Bytes of an array of ids; NULL gives none."""
         coder = self._coder()
 
-        @F.pandas_udf("binary")
-        def plain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("binary")
+        def plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for arrays in batches:
-                rows = [np.array([] if a is None else a, dtype=np.int64) for a in arrays]
-                yield pd.Series(coder().decode([coder().runs_of(a) for a in rows]))
+                rows = [np.array(a.as_py() or [], dtype=np.int64) for a in arrays]
+                runs = [coder().runs_of(a) for a in rows]
+                yield pa.array(coder().decode(runs), pa.binary())
 
         return plain(ids)
 
@@ -345,15 +351,18 @@ class Vocabulary:
         """
         coder = self._coder()
 
-        @F.pandas_udf("ids array<int>, decoded binary")
-        def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf("ids array<int>, decoded binary")
+        def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
                 ids, decoded = [], []
-                for part in _parts(texts.fillna("").tolist()):
+                for part in parts(texts):
                     runs = coder().encode(part)
-                    ids += _id_arrays(runs)
-                    decoded += coder().decode(runs)
-                yield pd.DataFrame({"ids": ids, "decoded": decoded})
+                    ids.append(id_lists(runs))
+                    decoded.append(pa.array(coder().decode(runs), pa.binary()))
+                yield pa.StructArray.from_arrays(
+                    [_joined(ids, pa.list_(pa.int32())), _joined(decoded, pa.binary())],
+                    ["ids", "decoded"],
+                )
 
         return both(text)
 
