@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe
-from gristmill.llm.common import table
+from gristmill.llm import bpe, toxicity
+from gristmill.llm.common import held_out, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -29,8 +29,20 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by compression distance."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        model.score(F.col("text")).alias("score"),
+    ).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
