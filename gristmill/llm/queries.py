@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, toxicity
-from gristmill.llm.common import held_out, table
+from gristmill.llm import bpe, langid, rules, toxicity
+from gristmill.llm.common import fold, held_out, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by rank-order profiles, learnt from four folds of five."""
+    docs = table(spark, sf_dir, "documents")
+    by_lang = langid.profiles(docs.where(fold(F.col("doc_id")) != 0), "text", "lang")
+    return (
+        docs.select("doc_id", "text")
+        .withColumn("found", langid.predict(F.col("text"), by_lang))
+        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.lang_pred", "found.score")
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the multi-language ranks, and the text back from them."""
     import public_tokenizers
@@ -29,6 +40,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; the language is the stratum of the cutoffs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = rules.judge(docs, table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *[f"m.{c}" for c in counts], "base_failed", "kept")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document by compression distance."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,7 +60,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_quality_rules": op3_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
 
