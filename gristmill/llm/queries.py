@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, langid, rules, toxicity
+from gristmill.llm import bpe, langid, rules, toxicity, warc_zst
 from gristmill.llm.common import fold, held_out, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -48,6 +48,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"m.{c}" for c in counts], "base_failed", "kept")
 
 
+def op8_warc_zst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through an archive and back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+
+    def page(column: str):
+        return F.regexp_extract(column, "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
+
+    return warc_zst.round_trip(pages).select(
+        page("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        page("refers_to_id").alias("refers_to"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document by compression distance."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,10 +79,21 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op8_warc_zst": op8_warc_zst,
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op8_warc_zst": """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
+               FROM pages),
+    a AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS r
+          FROM p)
+    SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN r = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN r <> page_id THEN r END AS refers_to
+    FROM a""",
+}
 
 
 def queries():
