@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, langid, rules, secrets, toxicity, warc_zst
+from gristmill.llm import bpe, langid, neardup, rules, secrets, toxicity, warc_zst
 from gristmill.llm.common import fold, held_out, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -48,6 +48,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"m.{c}" for c in counts], "base_failed", "kept")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by links of four-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, words=4)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with the corpus-wide verdict on each value."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -85,6 +91,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_near_duplicates": op4_near_duplicates,
     "op7_secrets": op7_secrets,
     "op8_warc_zst": op8_warc_zst,
     "op10_toxicity": op10_toxicity,
