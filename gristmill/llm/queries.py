@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, langid, neardup, rules, secrets, toxicity, warc_zst
+from gristmill.llm import bpe, decontaminate, langid, neardup, rules, secrets, toxicity, warc_zst
 from gristmill.llm.common import fold, held_out, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -54,6 +54,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, words=4)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of benchmark items in the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with the corpus-wide verdict on each value."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -92,6 +98,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_decontamination": op6_decontamination,
     "op7_secrets": op7_secrets,
     "op8_warc_zst": op8_warc_zst,
     "op10_toxicity": op10_toxicity,
