@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import bpe, decontaminate, langid, neardup, rules, secrets, toxicity, warc_zst
+from gristmill.llm import attribution, bpe, decontaminate, langid, neardup, rules, secrets, toxicity, warc_zst
 from gristmill.llm.common import fold, held_out, table
 
+COUNT_RANKS = "byte_bpe_50k.tiktoken"
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -82,6 +83,20 @@ def op8_warc_zst(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token belongs to the line it starts in."""
+    import public_tokenizers
+
+    encoder = attribution.Encoder(
+        spark, public_tokenizers.path(COUNT_RANKS), public_tokenizers.PATTERN
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = attribution.section_counts(docs, encoder)
+    return counted.select(
+        "doc_id", "section", "start", "end", F.col("tokens").cast("long").alias("n_tokens")
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document by compression distance."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,6 +116,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_secrets": op7_secrets,
     "op8_warc_zst": op8_warc_zst,
+    "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
