@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import attribution, bpe, decontaminate, langid, neardup, rules, secrets, toxicity, warc_zst
+from gristmill.llm import attribution, bpe, decontaminate, langid, neardup, pii, rules, secrets, toxicity, warc_zst
 from gristmill.llm.common import fold, held_out, table
 
 COUNT_RANKS = "byte_bpe_50k.tiktoken"
@@ -55,6 +55,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, words=4)
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: basic spans, and those the classifier adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.summary(pii.scan(docs))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of benchmark items in the documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,6 +119,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_personal_data": op5_personal_data,
     "op6_decontamination": op6_decontamination,
     "op7_secrets": op7_secrets,
     "op8_warc_zst": op8_warc_zst,
