@@ -12,9 +12,10 @@ at the last level are cut into blocks, and all pairs of blocks are compared, so
 candidate is given up. Links of a node leave it as a spanning forest, never as all
 pairs. ``TREES`` independent trees are searched.
 
-Recall: a pair of similarity 0.8 shares one of the tokens a root picks (1.5 on
-average, never none) with probability 0.68 or more, so ten trees miss one such pair
-in 80,000; groups of copies have many paths besides.
+Recall: a root picks 1.5 tokens on average and never none, so a pair of similarity 0.8
+meets in a child of it with probability 0.86, and eight trees miss one such pair in
+seven million; each level more that a large node branches costs some of that (0.72 per
+tree after three levels, one in 26,000 for all), and groups that large have many paths.
 
 Components come from alternating star contractions over tables in the shared folder;
 nothing is collected to the driver but counts.
@@ -38,11 +39,11 @@ from gristmill.sources.staging import stage
 
 WORDS = 5
 PERCENT = 80
-TREES = 10
+TREES = 8
 TOKENS = 64
 #: Share of a node's token positions that branch: one over the similarity sought.
 PICK = 100 / (PERCENT * TOKENS)
-SMALL_NODE = 400
+SMALL_NODE = 1_000
 LEVELS = 6
 #: Estimated similarity under which two classes are not compared on full sets. With 64
 #: tokens a pair of 0.8 falls below it once in ten million.
