@@ -141,16 +141,25 @@ def sketch(text: Column, words: int) -> Column:
     return sketched(text)
 
 
-def full_sets(text: Column, words: int) -> Column:
-    """The hashed shingles of a text as bytes."""
+def full_sets(text: Column, digest: Column, words: int) -> Column:
+    """The hashed shingles of a text as bytes, NULL where they have another digest.
+
+    The digest comes from the other side of a join, so sets are made of joined rows only.
+    """
 
     @F.arrow_udf("binary")
-    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def sets(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        import xxhash
+
         shingler = Shingler(words)
-        for texts in batches:
-            yield pa.array([shingler(t.as_py() or "").tobytes() for t in texts], pa.binary())
+        for texts, digests in batches:
+            found = []
+            for text, own in zip(texts, digests, strict=True):
+                data = shingler(text.as_py() or "").tobytes()
+                found.append(data if xxhash.xxh3_128_digest(data) == own.as_py() else None)
+            yield pa.array(found, pa.binary())
 
-    return sets(text)
+    return sets(text, digest)
 
 
 def picked(nodes: np.ndarray, used: np.ndarray) -> np.ndarray:
@@ -369,10 +378,9 @@ def confirmed_links(
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text"))
     # A class is compared on the text of its representative; a key that stands for
     # several texts is told apart by the digest.
-    sets = texts.join(needed, "rep").select(
-        "rep", "digest", full_sets(F.col("_text"), words).alias("value"), sketch_digest("_text", words)
-    )
-    sets = sets.where("digest = own").dropDuplicates(["digest"]).select("rep", "digest", "value")
+    value = full_sets(F.col("_text"), F.col("digest"), words)
+    sets = texts.join(needed, "rep").select("rep", "digest", value.alias("value"))
+    sets = sets.where("value IS NOT NULL").dropDuplicates(["digest"])
     rows = groups.join(sets, "digest").select(F.col("group").alias("node"), F.col("rep"), "value")
 
     def compare(reps, values):
@@ -383,23 +391,6 @@ def confirmed_links(
     )
 
 
-def sketch_digest(text: str, words: int) -> Column:
-    """Digest alone, as ``own``."""
-
-    @F.arrow_udf("binary")
-    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import xxhash
-
-        shingler = Shingler(words)
-        for texts in batches:
-            sets = [shingler(t.as_py() or "") for t in texts]
-            yield pa.array(
-                [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()
-            )
-
-    return digest(F.col(text)).alias("own")
-
-
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction of edges (u, v): each vertex hands its neighbours to the least of them."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
