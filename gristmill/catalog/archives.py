@@ -123,12 +123,12 @@ def wet_file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wet_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per sound file; a file with one unreadable byte is withheld."""
-    good, _ = wet.quarantine(wet.parse_records(_spoiled_rows(spark, sf_dir)))
-    return good.where("is_doc").groupBy("file").agg(F.count(F.lit(1)).alias("n_docs"))
+    good, _ = wet.quarantine(_spoiled_rows(spark, sf_dir))
+    return wet.parse_records(good).where("is_doc").groupBy("file").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def wet_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wet.bad_files(wet.parse_records(_spoiled_rows(spark, sf_dir)))
+    return wet.bad_files(_spoiled_rows(spark, sf_dir))
 
 
 def wet_to_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

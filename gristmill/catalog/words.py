@@ -60,17 +60,17 @@ def lexicon_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon_pairs_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same pairs on conversations, by the join for lists beyond the bound."""
+    """The same pairs on conversations, with the list folded in shards of five entries."""
     turns = table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text"
     )
-    return lex.lexicon_pairs(turns, "turn_id", "text", _part_words(spark, sf_dir), max_entries=0)
+    return lex.lexicon_pairs(turns, "turn_id", "text", _part_words(spark, sf_dir), max_entries=5)
 
 
 def lexicon_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without any word of a list held in a table."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return lex.drop_hits(docs, "doc_id", "text", _part_words(spark, sf_dir)).select("doc_id", "lang")
+    return lex.drop_hits(docs, "text", _part_words(spark, sf_dir)).select("doc_id", "lang")
 
 
 def lexicon_flags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +39,16 @@ def path_part(path: Column, from_end: int) -> Column:
 def cut_of(path: Column) -> Column:
     """Name of the dump a stage-2 file belongs to: third element from the end."""
     return path_part(path, 3)
+
+
+def plain_path(path: Column) -> Column:
+    """A file path of Spark's metadata column without percent signs, as file systems list it.
+
+    Only percent escapes are undone, a plus sign stays what it is.
+    """
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: str) -> str:
+    """A path as a reader takes it, with the characters of patterns escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

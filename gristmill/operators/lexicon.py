@@ -1,19 +1,23 @@
 """Word-list operators: load order, reduction, matching.
 
 Entries match as plain substrings of the lower-cased text, without word
-boundaries. A list of checked size travels to the tasks; a list beyond the
-bound is matched by an equi-join on substrings instead, with the same result.
+boundaries. A list comes as a Python list or as a DataFrame with a ``word``
+column. It travels to the tasks in shards of bounded size: most lists are one
+shard, a longer one is folded over the text shard by shard, with the same result
+and without a shuffle of texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import holds_any, let, strip
+from gristmill.sources.staging import stage
 
 # Entries put before every list.
 LITERALS = ("{", "}", "javascript", "lorem ipsum")
@@ -21,8 +25,8 @@ LITERALS = ("{", "}", "javascript", "lorem ipsum")
 HEAD_LANGUAGES = ("en", "zh", "de", "ja", "fr", "it", "es", "ar", "th", "ru", "eo")
 DOC_FILES = ("README.md", "LICENSE", "USERS.md")
 
-# A list stays a literal chain up to this many entries, travels as a broadcast
-# up to the next bound, and is joined beyond it.
+# A list stays a literal chain up to this many entries; beyond, a shard of it
+# travels as a broadcast within the next bounds.
 CHAIN_ENTRIES = 24
 BROADCAST_ENTRIES = 200_000
 BROADCAST_CHARS = 8_000_000
@@ -143,48 +147,115 @@ def bounded_words(
     lexicon: DataFrame,
     max_entries: int = BROADCAST_ENTRIES,
     max_chars: int = BROADCAST_CHARS,
-) -> list[str] | None:
-    """The entries as a list when they fit the bound, else None.
+) -> list[str]:
+    """The entries of a list that fits the bound; a longer one raises.
 
     The size is checked before anything but one row of counts reaches the driver.
+    ``word_shards`` takes lists of any length.
     """
-    words = lexicon.select("word").where("word <> ''").distinct()
-    size = words.agg(
+    words = _entries(lexicon)
+    n, chars = _size(words)
+    if n > max_entries or chars > max_chars:
+        raise ValueError(f"{n} entries of {chars} characters are over the bound; pass the DataFrame")
+    return _sorted_words(words)
+
+
+def _entries(lexicon: DataFrame) -> DataFrame:
+    return lexicon.select("word").where("word <> ''").distinct()
+
+
+def _size(words: DataFrame) -> tuple[int, int]:
+    row = words.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("word")), F.lit(0)).alias("chars")
     ).first()
-    if size["n"] > max_entries or size["chars"] > max_chars:
-        return None
+    return row["n"], row["chars"]
+
+
+def _sorted_words(words: DataFrame) -> list[str]:
     return sorted((r["word"] for r in words.collect()), key=lambda w: (len(w), w))
 
 
+def word_shards(
+    words: Sequence[str] | DataFrame,
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
+) -> Iterator[list[str]]:
+    """The list in parts that fit the bound, one on the driver at a time; none without entries."""
+    if words is None:
+        raise TypeError("a word list is needed; pass an empty one for no words")
+    if not isinstance(words, DataFrame):
+        listed = [w for w in dict.fromkeys(words) if w]
+        parts, size = [[]], 0
+        for w in listed:
+            if parts[-1] and (len(parts[-1]) >= max_entries or size + len(w) > max_chars):
+                parts.append([])
+                size = 0
+            parts[-1].append(w)
+            size += len(w)
+        yield from (p for p in parts if p)
+        return
+    listed = _entries(words)
+    n, chars = _size(listed)
+    if n <= max_entries and chars <= max_chars:
+        if n:
+            yield _sorted_words(listed)
+        return
+    # Half the bound on average, so that uneven hashing stays within it; a shard that
+    # does not is cut again.
+    listed = stage(listed, "lexicon")
+    n_shards = max(-(-2 * n // max_entries), -(-2 * chars // max_chars))
+    for i in range(n_shards):
+        yield from word_shards_of(
+            listed.where(F.pmod(F.xxhash64("word"), F.lit(n_shards)) == i), max_entries, max_chars
+        )
+
+
+def settled(
+    words: Sequence[str] | DataFrame, max_entries: int = BROADCAST_ENTRIES
+) -> Sequence[str] | DataFrame:
+    """For repeated use: a DataFrame that fits the bound as a list, all else as it is."""
+    if words is None:
+        raise TypeError("a word list is needed; pass an empty one for no words")
+    if not isinstance(words, DataFrame):
+        return words
+    n, chars = _size(_entries(words))
+    return words if n > max_entries or chars > BROADCAST_CHARS else _sorted_words(_entries(words))
+
+
+def word_shards_of(part: DataFrame, max_entries: int, max_chars: int) -> Iterator[list[str]]:
+    """Rows of one hash range in lists within the bound, read row by row."""
+    shard, size = [], 0
+    for row in part.toLocalIterator():
+        if shard and (len(shard) >= max_entries or size + len(row["word"]) > max_chars):
+            yield sorted(shard, key=lambda w: (len(w), w))
+            shard, size = [], 0
+        shard.append(row["word"])
+        size += len(row["word"])
+    if shard:
+        yield sorted(shard, key=lambda w: (len(w), w))
+
+
 def _finder():
-    """Builder of the two matchers: any listed word, and all listed words.
+    """Builder of an automaton out of a broadcast.
 
-    It is a closure, hence pickled whole: tasks need not import this package.
+    It is a closure, hence pickled whole: tasks need not import this package. Worker
+    processes keep a broadcast from task to task, and with it the automaton.
     """
 
-    def build(words):
-        try:
-            import ahocorasick
-        except ImportError:
-            return (
-                lambda t: any(w in t for w in words),
-                lambda t: sorted(w for w in words if w in t),
-            )
-        automaton = ahocorasick.Automaton()
-        for w in words:
-            automaton.add_word(w, w)
-        automaton.make_automaton()
-        return (
-            lambda t: next(automaton.iter(t), None) is not None,
-            lambda t: sorted({w for _, w in automaton.iter(t)}),
-        )
+    def build(held: dict):
+        if "automaton" not in held:
+            automaton = ahocorasick.Automaton()
+            for w in held["words"]:
+                automaton.add_word(w, w)
+            automaton.make_automaton()
+            held["automaton"] = automaton
+        return held["automaton"]
 
     return build
 
 
 def _broadcast(words: Sequence[str]):
-    return SparkSession.active().sparkContext.broadcast(list(words))
+    return SparkSession.active().sparkContext.broadcast({"words": list(words)})
 
 
 def _automaton_hit(text: Column, words: Sequence[str]) -> Column:
@@ -192,72 +263,89 @@ def _automaton_hit(text: Column, words: Sequence[str]) -> Column:
 
     @F.pandas_udf("boolean")
     def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        any_word, _ = build(shared.value)
+        automaton = build(shared.value)
         for texts in batches:
-            yield texts.map(lambda t: t is not None and any_word(t)).astype(bool)
+            yield texts.map(
+                lambda t: t is not None and next(automaton.iter(t), None) is not None
+            ).astype(bool)
 
     return hit(text)
 
 
-def lexicon_hit(text: Column, words: Sequence[str], method: str = "auto") -> Column:
-    """True when the (lower-cased) text contains any of the words.
+def lexicon_hit(
+    text: Column,
+    words: Sequence[str] | DataFrame,
+    method: str = "auto",
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
+) -> Column:
+    """True when the (lower-cased) text contains any of the words; NULL text is no hit.
 
-    ``chain`` stays in the JVM and suits a handful of words; ``automaton`` finds
-    all words in one pass over the text, whatever their number. NULL text is no hit.
+    ``chain`` stays in the JVM and suits a handful of words; ``automaton`` finds all
+    words of a shard in one pass over the text. A text that hits one shard is not
+    searched for the next. ``None`` for a list raises.
     """
-    words = [w for w in dict.fromkeys(words) if w]
-    if not words:
-        return F.lit(False)
-    if method == "auto":
-        method = "chain" if len(words) <= CHAIN_ENTRIES else "automaton"
-    if method == "chain":
-        return F.coalesce(holds_any(text, words), F.lit(False))
-    if method == "automaton":
-        return _automaton_hit(text, words)
-    raise ValueError(f"unknown method {method!r}")
-
-
-def words_found(text: Column, words: Sequence[str]) -> Column:
-    """Sorted array of the distinct listed words the text contains."""
-    shared, build = _broadcast([w for w in dict.fromkeys(words) if w]), _finder()
-
-    @F.pandas_udf("array<string>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        _, all_words = build(shared.value)
-        for texts in batches:
-            yield texts.map(lambda t: [] if t is None else all_words(t))
+    if method not in ("auto", "chain", "automaton"):
+        raise ValueError(f"unknown method {method!r}")
+    hit = F.lit(False)
+    for i, shard in enumerate(word_shards(words, max_entries, max_chars)):
+        if method == "chain" or (method == "auto" and len(shard) <= CHAIN_ENTRIES):
+            found = F.coalesce(holds_any(text, shard), F.lit(False))
+        else:
+            found = _automaton_hit(F.when(~hit, text) if i else text, shard)
+        hit = hit | found if i else found
+    return hit
+
+
+def words_found(
+    text: Column,
+    words: Sequence[str] | DataFrame,
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
+) -> Column:
+    """Array of the distinct listed words the text contains, sorted within each shard."""
+
+    def in_shard(shard: list[str]) -> Column:
+        shared, build = _broadcast(shard), _finder()
 
-    return found(text)
+        @F.pandas_udf("array<string>")
+        def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            automaton = build(shared.value)
+            for texts in batches:
+                yield texts.map(
+                    lambda t: [] if t is None else sorted({w for _, w in automaton.iter(t)})
+                )
+
+        return found(text)
+
+    parts = [in_shard(s) for s in word_shards(words, max_entries, max_chars)]
+    if not parts:
+        return F.array().cast("array<string>")
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
 def lexicon_pairs(
     df: DataFrame,
     key: str,
     text: str,
-    lexicon: DataFrame,
+    lexicon: Sequence[str] | DataFrame,
     max_entries: int = BROADCAST_ENTRIES,
     max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
-    """Distinct (key, word) for every listed word in every text; key is unique."""
-    lowered = df.select(key, F.lower(F.col(text)).alias("_lower"))
-    words = bounded_words(lexicon, max_entries, max_chars)
-    if words is None:
-        return substring_pairs(lowered, key, "_lower", lexicon)
-    return lowered.select(key, F.explode(words_found(F.col("_lower"), words)).alias("word"))
+    """(key, word) for every listed word in every text; only hits leave the row."""
+    found = words_found(F.lower(F.col(text)), lexicon, max_entries, max_chars)
+    return df.select(key, F.explode(found).alias("word"))
 
 
 def drop_hits(
     df: DataFrame,
-    key: str,
     text: str,
-    lexicon: DataFrame,
+    lexicon: Sequence[str] | DataFrame,
     max_entries: int = BROADCAST_ENTRIES,
     max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
-    """Rows whose text contains no entry of the lexicon; key is unique."""
-    words = bounded_words(lexicon, max_entries, max_chars)
-    if words is not None:
-        return df.where(~lexicon_hit(F.lower(F.col(text)), words))
-    lowered = df.select(key, F.lower(F.col(text)).alias("_lower"))
-    hit = substring_pairs(lowered, key, "_lower", lexicon).select(key).distinct()
-    return df.join(hit, key, "left_anti")
+    """Rows whose text contains no entry of the list."""
+    hit = lexicon_hit(
+        F.lower(F.col(text)), lexicon, max_entries=max_entries, max_chars=max_chars
+    )
+    return df.where(~hit)

@@ -24,7 +24,7 @@ from gristmill.functions.text import (
     lstrip,
     shorter_than,
 )
-from gristmill.operators.lexicon import lexicon_hit
+from gristmill.operators.lexicon import BROADCAST_CHARS, BROADCAST_ENTRIES, lexicon_hit
 from gristmill.operators.reasons import first_reason
 
 # Characters that open a bullet point.
@@ -142,9 +142,11 @@ def layout_reasons(text: Column, rules: PassageRules = PassageRules()) -> Column
 def tag_passages(
     df: DataFrame,
     text: str = "raw_content",
-    words: Sequence[str] = (),
+    words: Sequence[str] | DataFrame = (),
     rules: PassageRules = PassageRules(),
     method: str = "auto",
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Add ``reason`` to every row, NULL for the ones that pass.
 
@@ -153,7 +155,7 @@ def tag_passages(
     tagged = df.withColumn("_layout", layout_reasons(F.col(text), rules))
     candidate = F.when(F.col("_layout.early").isNull(), F.lower(F.col(text)))
     return (
-        tagged.withColumn("_hit", lexicon_hit(candidate, words, method))
+        tagged.withColumn("_hit", lexicon_hit(candidate, words, method, max_entries, max_chars))
         .withColumn(
             "reason",
             F.coalesce(
@@ -169,10 +171,12 @@ def tag_passages(
 def keep_passages(
     df: DataFrame,
     text: str = "raw_content",
-    words: Sequence[str] = (),
+    words: Sequence[str] | DataFrame = (),
     rules: PassageRules = PassageRules(),
     method: str = "auto",
     only: Column | None = None,
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Rows that no rule rejects; rows outside ``only`` pass unseen.
 
@@ -187,7 +191,4 @@ def keep_passages(
     if only is not None:
         passes = F.when(only, passes).otherwise(True)
         lowered = F.when(only, lowered)
-    kept = df.where(passes)
-    if not words:
-        return kept
-    return kept.where(~lexicon_hit(lowered, words, method))
+    return df.where(passes).where(~lexicon_hit(lowered, words, method, max_entries, max_chars))

@@ -1,36 +1,40 @@
 """First stage: archives in, cleaned archives out.
 
-Scan, generator, filters, projection and write form one stage without a
-shuffle. Archives are read once: surviving documents, file headers and marks of
-unreadable text are staged, and that table, a small share of the input, decides
-which files are withheld.
+A pass over raw bytes finds the files to withhold. Scan, generator, filters,
+projection and write of the others then form one stage without a shuffle, and a
+ledger beside the output says which archives have landed.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.operators.manifest import anti_landed
+from gristmill.functions.paths import literal_path
+from gristmill.operators.lexicon import BROADCAST_ENTRIES, settled
 from gristmill.operators.paragraphs import ParagraphRules, clean_documents
 from gristmill.operators.passage import PassageRules, keep_passages
-from gristmill.sources.staging import stage
 from gristmill.sources.listing import (
-    landed_partitions,
+    landed,
     list_archives,
+    mark_landed,
     path_batches,
+    path_exists,
     unreadable_files,
 )
+from gristmill.sources.staging import staged
 from gristmill.sources.wet import (
     ORDER,
+    bad_files,
     header_text,
+    output_name,
     parse_records,
-    quarantine,
     read_wet_rows,
     to_wet_text,
     write_wet,
@@ -49,107 +53,157 @@ class CoarseReport:
 
 def clean_rows(
     docs: DataFrame,
-    words: Sequence[str] = (),
+    words: Sequence[str] | DataFrame = (),
     passage: PassageRules = PassageRules(),
     paragraph: ParagraphRules = ParagraphRules(),
     text: str = "raw_content",
     only=None,
+    max_entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Document rules, then paragraph cleaning; narrow."""
-    kept = keep_passages(docs, text, words, passage, only=only)
+    kept = keep_passages(docs, text, words, passage, only=only, max_entries=max_entries)
     return clean_documents(kept, text, paragraph, only=only)
 
 
 def coarse_rows(
     records: DataFrame,
-    words: Sequence[str] = (),
+    words: Sequence[str] | DataFrame = (),
     passage: PassageRules = PassageRules(),
     paragraph: ParagraphRules = ParagraphRules(),
     min_len: int = 1,
+    max_entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
-    """Archive text of what stays: file, order columns, bad, wet.
+    """Archive text of what stays: file, order columns, wet.
 
-    Headers and marks of bad text pass the cleaning steps untouched, in the same
-    scan and the same order as the documents around them.
+    Headers pass the cleaning steps untouched, in the same scan and the same order as
+    the documents around them.
     """
-    doc = F.col("is_doc") & F.col("bad").isNull() & (F.length("raw_content") >= min_len)
+    doc = F.col("is_doc") & (F.length("raw_content") >= min_len)
     role = (
-        F.when(F.col("bad").isNotNull(), "bad")
-        .when(doc, "doc")
+        F.when(doc, "doc")
         .when(F.col("kind") == "warcinfo", "header")
     )
     flow = records.withColumn("role", role).where("role IS NOT NULL")
-    cleaned = clean_rows(flow, words, passage, paragraph, only=F.col("role") == "doc")
+    cleaned = clean_rows(flow, words, passage, paragraph, only=F.col("role") == "doc", max_entries=max_entries)
     wet = F.when(F.col("role") == "doc", to_wet_text()).when(
         F.col("role") == "header", header_text()
     )
-    return cleaned.select("file", *ORDER, "bad", wet.alias("wet"))
+    return cleaned.select("file", *ORDER, wet.alias("wet"))
 
 
-def stage_batch(
-    spark: SparkSession, paths: list[str], newline: str, min_len: int, *rules
-) -> tuple[DataFrame | None, dict[str, int], list[str]]:
-    """Staged rows of a batch, its counts, and the files that could not be read.
+#: What Spark says of a file that ends early or is not what its name says.
+BROKEN = re.compile("EOFException|ZipException|not in gzip format|invalid (stored|block|distance|code|bit)|end of ZLIB|FAILED_READ_FILE")
 
-    Only when reading fails are the files checked one by one; the batch then runs
-    again without the broken ones. Any other failure is raised.
+
+def check_batch(
+    spark: SparkSession, paths: list[str], newline: str
+) -> tuple[list[str], list[tuple[str, str, int]]]:
+    """The sound files of a batch, and (file, reason, n_bad) of the others.
+
+    One pass over raw rows tells bad text. Only when a file cannot be read are the
+    files looked at one by one; any other failure is raised.
     """
     unreadable: list[str] = []
     while True:
-        seen = Observation()
         good = [p for p in paths if p not in set(unreadable)]
         if not good:
-            return None, {"n_parsed": 0, "n_docs": 0}, unreadable
-        records = parse_records(read_wet_rows(spark, good, newline)).observe(
+            return [], [(p, "unreadable", 1) for p in unreadable]
+        rows = read_wet_rows(spark, [literal_path(p) for p in good], newline)
+        try:
+            bad = {r["file"]: (r["reason"], r["n_bad"]) for r in bad_files(rows).collect()}
+            break
+        except (PySparkException, Py4JJavaError) as err:
+            if unreadable or not BROKEN.search(str(err)):
+                raise
+            unreadable = unreadable_files(spark, paths)
+            if not unreadable:
+                raise
+    # Names of files are compared without their scheme, which readers spell differently.
+    bad_paths = {_bare(f): found for f, found in bad.items()}
+    failed = [(p, "unreadable", 1) for p in unreadable]
+    failed += [(p, *bad_paths[_bare(p)]) for p in good if _bare(p) in bad_paths]
+    return [p for p in good if _bare(p) not in bad_paths], failed
+
+
+def _bare(path: str) -> str:
+    return re.sub(r"^[a-z0-9]+:/*", "/", path)
+
+
+def write_failed(spark: SparkSession, failed: list[tuple[str, str, int]], paths: list[str], out: str) -> None:
+    """Bring the list of failed files up to date: one row per file, as its last try ended."""
+    folder = f"{out.rstrip('/')}/{FAILED_FOLDER}"
+    schema = "file string, reason string, n_bad bigint"
+    if not path_exists(spark, folder):
+        if failed:
+            spark.createDataFrame(failed, schema).write.json(folder)
+        return
+    tried = spark.createDataFrame([(p,) for p in paths], "file string")
+    others = spark.read.schema(schema).json(folder).join(tried, "file", "left_anti")
+    with staged(others.unionByName(spark.createDataFrame(failed, schema)), "failed") as now:
+        now.write.mode("overwrite").json(folder)
+
+
+def land_batch(
+    spark: SparkSession,
+    paths: list[str],
+    out: str,
+    words: Sequence[str] | DataFrame = (),
+    passage: PassageRules = PassageRules(),
+    paragraph: ParagraphRules = ParagraphRules(),
+    newline: str = "crlf",
+    min_len: int = 1,
+    max_entries: int = BROADCAST_ENTRIES,
+) -> CoarseReport:
+    """Clean some archives: withhold the broken ones, write the rest, enter them as landed.
+
+    Documents go straight from the scan to the writer. What an archive left behind in a
+    run that was broken off is replaced.
+    """
+    good, failed = check_batch(spark, paths, newline)
+    report = CoarseReport(n_files=len(paths), n_failed=len(failed))
+    if good:
+        seen = Observation()
+        rows = read_wet_rows(spark, [literal_path(p) for p in good], newline)
+        records = parse_records(rows).observe(
             seen,
             F.count_if("is_doc").alias("n_parsed"),
             F.count_if(F.col("is_doc") & (F.length("raw_content") >= min_len)).alias("n_docs"),
         )
-        try:
-            return stage(coarse_rows(records, *rules, min_len), "coarse"), seen.get, unreadable
-        except (PySparkException, Py4JJavaError):
-            unreadable = [] if unreadable else unreadable_files(spark, paths)
-            if not unreadable:
-                raise
+        cleaned = coarse_rows(records, words, passage, paragraph, min_len, max_entries)
+        write_wet(cleaned, out, "overwrite")
+        report.n_parsed, report.n_docs = seen.get["n_parsed"], seen.get["n_docs"]
+        names = spark.createDataFrame([(p,) for p in good], "file string")
+        mark_landed(names.select(output_name(F.col("file")).alias("path")), out)
+    write_failed(spark, failed, paths, out)
+    return report
 
 
 def run_coarse(
     spark: SparkSession,
     data: str,
     out: str,
-    words: Sequence[str] = (),
+    words: Sequence[str] | DataFrame = (),
     passage: PassageRules = PassageRules(),
     paragraph: ParagraphRules = ParagraphRules(),
     newline: str = "crlf",
     min_len: int = 1,
     batch_files: int = 10_000,
+    max_entries: int = BROADCAST_ENTRIES,
 ) -> CoarseReport:
-    """Clean every archive under ``data`` that has no output under ``out`` yet.
+    """Clean every archive under ``data`` that has not landed under ``out`` yet.
 
-    Works through the files in batches of bounded length; a run that was broken
-    off goes on with the files that have not landed. Files with bad text or a
-    broken compression leave no output and are listed in ``out/_failed`` as JSON
-    lines.
+    Works through the files in batches of bounded length; a run that was broken off
+    goes on with the files that are not in the ledger. Files with bad text or a broken
+    compression leave no output and are listed in ``out/_failed`` as JSON lines.
     """
     report = CoarseReport()
-    pending = anti_landed(list_archives(spark, data), landed_partitions(spark, out, "archive"))
-    for paths in path_batches(pending, batch_files):
-        staged, counts, unreadable = stage_batch(
-            spark, paths, newline, min_len, words, passage, paragraph
-        )
-        failed = spark.createDataFrame(
-            [(p, "unreadable", 1) for p in unreadable], "file string, reason string, n_bad bigint"
+    words = settled(words, max_entries)
+    files = list_archives(spark, data).withColumn("_name", output_name(F.col("path")))
+    done = landed(spark, out).select(F.col("path").alias("_name"))
+    for paths in path_batches(files.join(done, "_name", "left_anti"), batch_files):
+        one = land_batch(
+            spark, paths, out, words, passage, paragraph, newline, min_len, max_entries
         )
-        if staged is not None:
-            sound, bad = quarantine(staged)
-            has_bad = not bad.isEmpty()
-            write_wet(sound if has_bad else staged, out)
-            failed = failed.unionByName(bad)
-        n_failed = failed.count()
-        if n_failed:
-            failed.write.mode("append").json(f"{out.rstrip('/')}/{FAILED_FOLDER}")
-        report.n_files += len(paths)
-        report.n_failed += n_failed
-        report.n_parsed += counts["n_parsed"]
-        report.n_docs += counts["n_docs"]
+        for f in fields(CoarseReport):
+            setattr(report, f.name, getattr(report, f.name) + getattr(one, f.name))
     return report

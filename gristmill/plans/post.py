@@ -7,11 +7,11 @@ from collections import Counter
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions.paths import base_name, cut_of
+from gristmill.functions.paths import base_name, cut_of, literal_path
 from gristmill.operators.postfilter import PostRules, corpus_rows, tag_post
 from gristmill.sources.corpus import write_corpus
 from gristmill.sources.enriched import is_result_file, read_enriched
-from gristmill.sources.listing import landed_partitions, list_files, path_batches
+from gristmill.sources.listing import landed, list_files, mark_landed, path_batches
 
 REASONS = (
     "missing_field",
@@ -33,15 +33,16 @@ def observe_funnel(tagged: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def pending_files(spark: SparkSession, data: str, out: str) -> DataFrame:
-    """Result files without output yet, told apart by cut and file name.
+    """Result files that are not in the ledger yet, told apart by cut and file name.
 
-    A cut that is half done is resumed: only its finished files are skipped.
+    A cut that is half done is resumed: only its finished files are skipped, and what
+    an unfinished one left is replaced.
     """
     files = list_files(spark, data, "*.wet").where(is_result_file(F.col("path")))
     keyed = files.withColumn(
         "_key", F.concat_ws("/", cut_of(F.col("path")), base_name(F.col("path")))
     )
-    done = landed_partitions(spark, out, "cut", "file").select(F.col("path").alias("_key"))
+    done = landed(spark, out).select(F.col("path").alias("_key"))
     return keyed.join(done, "_key", "left_anti").select("path")
 
 
@@ -56,8 +57,12 @@ def run_post(
     """Filter every pending result file and write the corpus; returns rows per reason."""
     counts: Counter[str] = Counter()
     for paths in path_batches(pending_files(spark, data, out), batch_files):
-        tagged, seen = observe_funnel(tag_post(read_enriched(spark, paths), rules, strict))
+        given = read_enriched(spark, [literal_path(p) for p in paths])
+        tagged, seen = observe_funnel(tag_post(given, rules, strict))
         kept = tagged.where("reason IS NULL")
-        write_corpus(corpus_rows(kept, "cut", "file"), out, by_file=True)
+        write_corpus(corpus_rows(kept, "cut", "file"), out, by_file=True, mode="overwrite")
         counts.update(seen.get)
+        names = spark.createDataFrame([(p,) for p in paths], "file string")
+        key = F.concat_ws("/", cut_of(F.col("file")), base_name(F.col("file")))
+        mark_landed(names.select(key.alias("path")), out)
     return dict(counts)

@@ -14,7 +14,9 @@ def write_corpus(
     many files. ``by_file`` is what resume by file needs.
     """
     keys = ["cut", "file"] if by_file else ["cut"]
-    df.select("source", "text", "language", *keys).write.mode(mode).partitionBy(*keys).format(
+    rows = df.select("source", "text", "language", *keys)
+    # With mode "overwrite" only the partitions these rows belong to are replaced.
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(
         fmt
     ).save(out)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions.paths import base_name, cut_of
+from gristmill.functions.paths import base_name, cut_of, plain_path
 from gristmill.operators.postfilter import ENRICHED_SCHEMA
 
 # A result file lies under this directory and under none of the others.
@@ -38,7 +38,7 @@ def read_enriched(
         .option("mode", mode)
         .json(path)
     )
-    file = F.col("_metadata.file_path")
+    file = plain_path(F.col("_metadata.file_path"))
     return raw.where(is_result_file(file)).select(
         *ENRICHED_SCHEMA.names, base_name(file).alias("file"), cut_of(file).alias("cut")
     )

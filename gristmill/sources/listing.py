@@ -7,7 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.sources.staging import stage
+from gristmill.functions.paths import literal_path, plain_path
+from gristmill.sources.staging import staged
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -28,6 +29,25 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.col("length").alias("size"))
 
 
+LEDGER = "_landed"
+
+
+def landed(spark: SparkSession, out: str) -> DataFrame:
+    """Names of the inputs whose output is complete, as ``path``; none before the first batch."""
+    folder = f"{out.rstrip('/')}/{LEDGER}"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], "path string")
+    return spark.read.schema("path string").json(folder).distinct()
+
+
+def mark_landed(names: DataFrame, out: str) -> None:
+    """Enter names after the commit of their output.
+
+    An input that is not entered is worked on again, and what it left is replaced.
+    """
+    names.select("path").write.mode("append").json(f"{out.rstrip('/')}/{LEDGER}")
+
+
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path, "*.{gz,wet}")
 
@@ -36,9 +56,7 @@ def landed_partitions(spark: SparkSession, out: str, *columns: str) -> DataFrame
     """Partition values that have output: one row per distinct set, ``path`` = joined by '/'."""
 
     def value(column: str):
-        # Writers escape by percent signs only, a plus sign stays what it is.
-        raw = F.regexp_extract("path", rf"/{column}=([^/]+)/", 1)
-        return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+        return plain_path(F.regexp_extract("path", rf"/{column}=([^/]+)/", 1))
 
     return (
         list_files(spark, out)
@@ -55,15 +73,15 @@ def path_batches(files: DataFrame, size: int) -> Iterator[list[str]]:
     Each batch starts after the last path of the one before, so it ends even if
     files of an earlier batch did not land.
     """
-    listing = stage(files.select("path").orderBy("path"), "listing")
     last = ""
-    while True:
-        batch = listing.where(F.col("path") > last).orderBy("path").limit(size)
-        paths = [r["path"] for r in batch.collect()]
-        if not paths:
-            return
-        yield paths
-        last = paths[-1]
+    with staged(files.select("path").orderBy("path"), "listing") as listing:
+        while True:
+            batch = listing.where(F.col("path") > last).orderBy("path").limit(size)
+            paths = [r["path"] for r in batch.collect()]
+            if not paths:
+                return
+            yield paths
+            last = paths[-1]
 
 
 def unreadable_files(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -97,5 +115,6 @@ def unreadable_files(spark: SparkSession, paths: list[str]) -> list[str]:
     zipped = [p for p in paths if p.endswith(".gz")]
     if not zipped:
         return []
-    files = spark.read.format("binaryFile").load(zipped).select("path", "content")
+    given = [literal_path(p) for p in zipped]
+    files = spark.read.format("binaryFile").load(given).select("path", "content")
     return sorted(r["path"] for r in files.mapInPandas(check, "path string").collect())

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions.paths import base_name, netloc, without_gz
+from gristmill.functions.paths import base_name, netloc, plain_path, without_gz
 from gristmill.functions.text import (
     WHITESPACE,
     WS_CLASS,
@@ -233,7 +233,7 @@ def read_wet_rows(spark: SparkSession, path, newline: str = "crlf") -> DataFrame
 
 def row_columns() -> list[Column]:
     return [
-        F.col("_metadata.file_path").alias("file"),
+        plain_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
         F.col("value"),
@@ -277,24 +277,27 @@ def parse_stats(records: DataFrame, min_len: int = 1, by: str | None = None) ->
     return stats.withColumn("kept_ratio", F.try_divide("n_kept", "n_docs"))
 
 
-def bad_files(records: DataFrame) -> DataFrame:
-    """Files with at least one distrusted record, as (file, reason, n_bad)."""
+def bad_files(rows: DataFrame) -> DataFrame:
+    """Files with bytes that are no UTF-8, as (file, reason, n_bad), from raw rows of archives.
+
+    Only bytes are looked at: no record is parsed.
+    """
+    broken = ~F.call_function("is_valid_utf8", F.col("value"))
     return (
-        records.where("bad IS NOT NULL")
+        rows.where(broken)
         .groupBy("file")
-        .agg(F.min("bad").alias("reason"), F.count(F.lit(1)).alias("n_bad"))
+        .agg(F.lit("bad_utf8").alias("reason"), F.count(F.lit(1)).alias("n_bad"))
     )
 
 
-def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split in records of sound files and the list of failed files.
+def quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split raw rows in those of sound files and the list of failed files.
 
     The list is staged: its size is then known, so the planner broadcasts a
-    short one and joins a long one. Stage expensive inputs as well, they are
-    read for both parts.
+    short one and joins a long one. Records are parsed afterwards, of sound files only.
     """
-    failed = stage(bad_files(records), "failed")
-    return records.join(failed.select("file"), "file", "left_anti"), failed
+    failed = stage(bad_files(rows), "failed")
+    return rows.join(failed.select("file"), "file", "left_anti"), failed
 
 
 def to_wet_text(
@@ -345,6 +348,8 @@ def output_name(file: Column) -> Column:
 def write_wet(df: DataFrame, out: str, mode: str = "append") -> None:
     """Write archives to ``out/archive=<name>/``, in record order within each task.
 
+    With mode ``overwrite`` only the archives that ``df`` holds are replaced.
+
     ``df`` has file, the columns of ``ORDER`` and ``wet`` (archive text of a header or
     a document). Rows stay in the task that read them: no shuffle, and a hot archive
     is written by as many tasks as read it. The task that read the start of a file
@@ -355,6 +360,7 @@ def write_wet(df: DataFrame, out: str, mode: str = "append") -> None:
         .sortWithinPartitions("archive", *ORDER)
         .select("archive", F.col("wet").alias("value"))
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("archive")
         .option("lineSep", RECORD_END)
         .option("compression", "gzip")

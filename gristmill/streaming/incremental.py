@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gristmill.operators.lexicon import settled
 from gristmill.operators.paragraphs import ParagraphRules
 from gristmill.operators.passage import PassageRules
-from gristmill.plans.coarse import clean_rows
+from gristmill.plans.coarse import clean_rows, land_batch
 from gristmill.sources.wet import parse_documents, record_separator
 
 
@@ -35,7 +36,7 @@ def stream_wet(
 
 def clean_stream(
     docs: DataFrame,
-    words: Sequence[str] = (),
+    words: Sequence[str] | DataFrame = (),
     passage: PassageRules = PassageRules(),
     paragraph: ParagraphRules = ParagraphRules(),
     text: str = "raw_content",
@@ -53,3 +54,44 @@ def write_new(df: DataFrame, out: str, checkpoint: str, fmt: str = "parquet") ->
         .trigger(availableNow=True)
         .start()
     )
+
+
+def land_new(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    words: Sequence[str] | DataFrame = (),
+    passage: PassageRules = PassageRules(),
+    paragraph: ParagraphRules = ParagraphRules(),
+    newline: str = "crlf",
+    min_len: int = 1,
+    files_per_batch: int = 1_000,
+) -> StreamingQuery:
+    """Archives that have arrived, through the batch stage: same quarantine, ledger and output.
+
+    The stream carries paths only; a broken archive is listed as failed and the others
+    of its batch land. A batch that is repeated after a failure replaces what it left.
+    """
+    words = settled(words)
+    paths = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.{gz,wet}")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
+        .select("path")
+    )
+
+    def land(batch: DataFrame, _: int) -> None:
+        names = sorted(r["path"] for r in batch.collect())
+        if names:
+            land_batch(spark, names, out, words, passage, paragraph, newline, min_len)
+
+    return (
+        paths.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

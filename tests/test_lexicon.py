@@ -49,7 +49,7 @@ def test_all_forms_find_the_same_pairs(frames, sample):
 @pytest.mark.parametrize("limit", [lex.BROADCAST_ENTRIES, 3])
 def test_texts_with_a_hit_are_dropped(frames, sample, limit):
     listed, docs = frames
-    kept = {r["id"] for r in lex.drop_hits(docs, "id", "text", listed, max_entries=limit).collect()}
+    kept = {r["id"] for r in lex.drop_hits(docs, "text", listed, max_entries=limit).collect()}
     hit = {i for i, _ in expected_pairs(*sample)}
     assert kept == {i for i, _ in sample[1]} - hit
 
@@ -68,6 +68,29 @@ def test_no_words_no_hits(frames):
         lex.lexicon_hit(F.col("text"), ["a"], "other")
 
 
+def test_shards_hold_every_entry_within_the_bound(frames, sample):
+    for given in (frames[0], sample[0]):
+        shards = list(lex.word_shards(given, 7, 20))
+        assert sorted(w for s in shards for w in s) == sample[0]
+        assert len(shards) > 5 and all(len(s) <= 7 and sum(map(len, s)) <= 20 for s in shards)
+    assert list(lex.word_shards([])) == [] == list(lex.word_shards(frames[0].limit(0)))
+
+
+def test_a_missing_list_is_an_error(frames):
+    for use in (lambda: lex.lexicon_hit(F.col("text"), None), lambda: lex.drop_hits(frames[1], "text", None)):
+        with pytest.raises(TypeError):
+            use()
+
+
+@pytest.mark.parametrize("as_frame", [True, False])
+def test_folded_list_gives_the_same_flags(frames, sample, as_frame):
+    words, texts = sample
+    given = frames[0] if as_frame else words
+    rows = frames[1].select("id", lex.lexicon_hit(F.col("text"), given, max_entries=9).alias("hit")).collect()
+    hit = {i for i, _ in expected_pairs(words, texts)}
+    assert {r["id"]: r["hit"] for r in rows} == {i: i in hit for i, _ in texts}
+
+
 def test_reduction_keeps_the_decision(frames, sample):
     words, texts = sample
     listed, _ = frames
@@ -99,8 +122,9 @@ def test_load_order_files(spark, tmp_path):
     assert kept == {"one", "two", "last"}
     assert {r["word"] for r in lex.with_literals(loaded).collect()} >= set(lex.LITERALS)
     assert lex.bounded_words(loaded) == ["Un", "one", "two", "last"]
-    assert lex.bounded_words(loaded, max_entries=3) is None
-    assert lex.bounded_words(loaded, max_chars=11) is None
+    for bound in ({"max_entries": 3}, {"max_chars": 11}):
+        with pytest.raises(ValueError):
+            lex.bounded_words(loaded, **bound)
 
 
 def test_missing_folder_is_an_error(spark, tmp_path):

@@ -1,10 +1,14 @@
 import gzip
 import json
 import os
+import shutil
+
+import pytest
 
 from gristmill.plans.coarse import run_coarse
+from gristmill.sources.listing import landed_partitions
 from gristmill.sources.wet import file_headers, read_wet, read_wet_rows
-from gristmill.streaming.incremental import clean_stream, stream_wet, write_new
+from gristmill.streaming.incremental import clean_stream, land_new, stream_wet, write_new
 from test_wet import INFO, record
 
 GOOD = "Title\n" + "\n".join(
@@ -34,7 +38,7 @@ def test_first_stage_end_to_end(spark, tmp_path):
     archive(data, "none.warc.wet.gz", {"6": SHORT})
 
     report = run_coarse(spark, str(data), out, ["forbidden"], batch_files=3)
-    assert (report.n_files, report.n_failed, report.n_parsed, report.n_docs) == (4, 1, 6, 6)
+    assert (report.n_files, report.n_failed, report.n_parsed, report.n_docs) == (4, 1, 5, 5)
     assert urls(spark, out) == ["http://h1:8/p", "http://h4:8/p"]
 
     # One folder per archive, the header first, a header also where nothing is left.
@@ -97,6 +101,84 @@ def test_many_words_give_the_same_documents(spark, tmp_path):
     assert urls(spark, str(tmp_path / "few")) == urls(spark, str(tmp_path / "many")) == ["http://h1:8/p"]
 
 
+def test_output_is_equal_on_both_sides_of_the_bound(spark, tmp_path, monkeypatch):
+    data = tmp_path / "in"
+    data.mkdir()
+    archive(data, "a.wet", {"1": GOOD, "3": HIT})
+    words = spark.createDataFrame([(w,) for w in ["forbidden", "x1", "x2", "x3", "x4", "x5"]], "word string")
+    run_coarse(spark, str(data), str(tmp_path / "within"), words)
+    run_coarse(spark, str(data), str(tmp_path / "beyond"), words, max_entries=2)
+    assert urls(spark, str(tmp_path / "within")) == urls(spark, str(tmp_path / "beyond")) == ["http://h1:8/p"]
+    with pytest.raises(TypeError):
+        run_coarse(spark, str(data), str(tmp_path / "none"), None)
+
+
+ODD_NAMES = ("a b.wet", "a%20c.wet", "d+e.wet.gz", "f[1].wet", "ü{x}.wet.gz")
+
+
+def test_odd_names_land_once(spark, tmp_path):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    for i, name in enumerate(ODD_NAMES):
+        archive(data, name, {str(i): GOOD})
+    assert run_coarse(spark, str(data), out).n_files == 5
+    assert run_coarse(spark, str(data), out).n_files == 0
+    assert urls(spark, out) == sorted(f"http://h{i}:8/p" for i in range(5))
+    got = {r["path"] for r in landed_partitions(spark, out, "archive").collect()}
+    assert got == {n.removesuffix(".gz") for n in ODD_NAMES}
+
+
+def test_half_landed_archives_are_replaced(spark, tmp_path):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    archive(data, "x.wet", {"1": GOOD, "2": GOOD})
+    run_coarse(spark, str(data), out)
+    shutil.copytree(f"{out}/archive=x.wet", tmp_path / "half")
+    other = str(tmp_path / "other")
+    shutil.copytree(tmp_path / "half", f"{other}/archive=x.wet")
+    # The ledger does not know the archive, whatever lies in its folder.
+    assert run_coarse(spark, str(data), other).n_files == 1
+    assert urls(spark, other) == ["http://h1:8/p", "http://h2:8/p"]
+
+
+def test_archives_without_survivors_are_done(spark, tmp_path):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    (data / "only.wet").write_text("no record at all")
+    archive(data, "short.wet", {"1": SHORT})
+    assert run_coarse(spark, str(data), out).n_files == 2
+    assert run_coarse(spark, str(data), out).n_files == 0
+
+
+def test_failed_files_are_listed_once(spark, tmp_path):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    archive(data, "bad.wet", {"1": GOOD}, broken=True)
+    (data / "noise.wet.gz").write_bytes(b"no gzip at all")
+    for _ in range(2):
+        assert run_coarse(spark, str(data), out).n_failed == 2
+    listed = spark.read.json(f"{out}/_failed").collect()
+    assert sorted((r["file"].split("/")[-1], r["reason"]) for r in listed) == [("bad.wet", "bad_utf8"), ("noise.wet.gz", "unreadable")]
+    archive(data, "bad.wet", {"1": GOOD})
+    assert run_coarse(spark, str(data), out).n_failed == 1
+    assert [r["file"].split("/")[-1] for r in spark.read.json(f"{out}/_failed").collect()] == ["noise.wet.gz"]
+
+
+def test_stream_withholds_what_the_batch_withholds(spark, tmp_path):
+    data, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    data.mkdir()
+    archive(data, "a.wet.gz", {"1": GOOD, "2": SHORT})
+    archive(data, "bad.wet", {"3": GOOD}, broken=True)
+    (data / "noise.wet.gz").write_bytes(b"no gzip at all")
+    for _ in range(2):
+        land_new(spark, str(data), out, state, ["forbidden"]).awaitTermination()
+        assert urls(spark, out) == ["http://h1:8/p"]
+    assert spark.read.json(f"{out}/_failed").count() == 2
+    archive(data, "b.wet", {"4": GOOD})
+    land_new(spark, str(data), out, state, ["forbidden"]).awaitTermination()
+    assert urls(spark, out) == ["http://h1:8/p", "http://h4:8/p"]
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     data, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     data.mkdir()

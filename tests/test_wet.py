@@ -153,9 +153,8 @@ def test_bad_bytes_put_the_whole_file_aside(spark, tmp_path):
     write(tmp_path / "good.gz", INFO + record("1", "T\nx\n"))
     broken = (INFO + record("2", "T\nx\n") + record("3", "T\n?\n")).encode().replace(b"?", b"\xff")
     write(tmp_path / "bad.gz", broken)
-    records = wet.parse_records(wet.read_wet_rows(spark, str(tmp_path)))
-    good, failed = wet.quarantine(records)
-    assert {r["url"] for r in good.where("is_doc").collect()} == {"http://h1:8/p"}
+    good, failed = wet.quarantine(wet.read_wet_rows(spark, str(tmp_path)))
+    assert {r["url"] for r in wet.parse_records(good).where("is_doc").collect()} == {"http://h1:8/p"}
     row = failed.first()
     assert (row["file"].split("/")[-1], row["reason"], row["n_bad"]) == ("bad.gz", "bad_utf8", 1)
 
