@@ -1,8 +1,8 @@
 """Registered queries with their SQL counterparts, grouped by area."""
 
-from gristmill.catalog import archives, corpus, documents, manifests, words
+from gristmill.catalog import archives, corpus, documents, enrichment, manifests, words
 
-AREAS = (documents, words, corpus, archives, manifests)
+AREAS = (documents, words, corpus, enrichment, archives, manifests)
 
 
 def queries():
