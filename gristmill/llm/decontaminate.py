@@ -3,8 +3,10 @@
 An item may appear with up to ``RATE`` of its characters edited. It is cut into one
 piece more than the edits allowed, so at least one piece survives any such edits
 unchanged. One automaton finds all pieces of all items in a single pass over the
-whole text; around each hit the item is verified with the bit-parallel edit distance
-of Myers. Texts are compared in lower case with runs of blanks as one.
+whole text. A hit is verified with the bit-parallel edit distance of Myers, first in
+growing neighbourhoods: of m pieces with fewer than m edits one half has fewer edits
+than pieces again, so some surviving piece passes at every size up to the whole item,
+and a chance hit fails at the first, small one. Texts are compared in lower case with runs of blanks as one.
 
 Documents stay where they are: the pass is one column, without a shuffle. The items
 travel to the tasks in blocks of ``BLOCK_CHARS`` characters at most, whose size is
@@ -43,6 +45,25 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def paths(n_pieces: int) -> list[list[tuple[int, int]]]:
+    """For each piece the growing runs of pieces around it, the whole left out.
+
+    Runs are the nodes of a binary tree over the pieces, smallest first.
+    """
+    found: list[list[tuple[int, int]]] = [[] for _ in range(n_pieces)]
+
+    def split(a: int, b: int) -> None:
+        if b - a < n_pieces and b - a > 1:
+            for i in range(a, b):
+                found[i].insert(0, (a, b))
+        if b - a > 1:
+            split(a, (a + b) // 2)
+            split((a + b) // 2, b)
+
+    split(0, n_pieces)
+    return found
+
+
 def masks(item: str) -> dict[str, int]:
     found: dict[str, int] = {}
     for i, c in enumerate(item):
@@ -85,10 +106,15 @@ class Finder:
         self.budget = [int(rate * len(t)) if len(t) >= SHORT else 0 for _, t in self.items]
         self.mask = [masks(t) for _, t in self.items]
         self.back = [masks(t[::-1]) for _, t in self.items]
+        self.cuts: list[list[int]] = []
+        self.paths = [paths(b + 1) for b in self.budget]
+        self.parts: dict[tuple[int, int, int], dict[str, int]] = {}
         held: dict[str, list[tuple[int, int]]] = {}
         for n, (_, item) in enumerate(self.items):
-            for offset, piece in pieces(item, self.budget[n]):
-                held.setdefault(piece, []).append((n, offset + len(piece)))
+            cut = pieces(item, self.budget[n])
+            self.cuts.append([offset for offset, _ in cut] + [len(item)])
+            for i, (_, piece) in enumerate(cut):
+                held.setdefault(piece, []).append((n, i))
         self.automaton = ahocorasick.Automaton()
         for piece, places in held.items():
             self.automaton.add_word(piece, places)
@@ -101,13 +127,27 @@ class Finder:
             return []
         starts: dict[int, list[int]] = {}
         for end, places in self.automaton.iter(text):
-            for n, upto in places:
-                starts.setdefault(n, []).append(end + 1 - upto)
+            for n, i in places:
+                start = end + 1 - self.cuts[n][i + 1]
+                if self.likely(n, i, start, text):
+                    starts.setdefault(n, []).append(start)
         found = []
         for n, at in sorted(starts.items()):
             found += self.verified(n, sorted(set(at)), text)
         return found
 
+    def likely(self, n: int, i: int, start: int, text: str) -> bool:
+        """Do the runs around a piece fit, with fewer edits than pieces each?"""
+        cut = self.cuts[n]
+        for a, b in self.paths[n][i]:
+            budget, low, high = b - a - 1, cut[a], cut[b]
+            if (n, a, b) not in self.parts:
+                self.parts[n, a, b] = masks(self.items[n][1][low:high])
+            region = text[max(0, start + low - budget) : max(0, start + high + budget)]
+            if best_end(self.parts[n, a, b], high - low, region)[0] > budget:
+                return False
+        return True
+
     def verified(self, n: int, starts: list[int], text: str) -> list[tuple[int | None, int, int, int]]:
         name, item = self.items[n]
         budget, size = self.budget[n], len(item)
@@ -123,6 +163,11 @@ class Finder:
             j = i
             while j + 1 < len(starts) and starts[j + 1] - starts[j] <= budget:
                 j += 1
+            exact = next((s for s in starts[i : j + 1] if s >= 0 and text.startswith(item, s)), None)
+            if exact is not None:
+                hits.append((0, exact, exact + size))
+                i = j + 1
+                continue
             low = max(0, starts[i] - budget)
             region = text[low : starts[j] + size + budget]
             distance, end = best_end(self.mask[n], size, region)
