@@ -109,6 +109,7 @@ class Finder:
         self.cuts: list[list[int]] = []
         self.paths = [paths(b + 1) for b in self.budget]
         self.parts: dict[tuple[int, int, int], dict[str, int]] = {}
+        self.halves: dict[tuple[int, int], list[str]] = {}
         held: dict[str, list[tuple[int, int]]] = {}
         for n, (_, item) in enumerate(self.items):
             cut = pieces(item, self.budget[n])
@@ -138,16 +139,33 @@ class Finder:
 
     def likely(self, n: int, i: int, start: int, text: str) -> bool:
         """Do the runs around a piece fit, with fewer edits than pieces each?"""
+        item = self.items[n][1]
+        if start >= 0 and text.startswith(item, start):
+            return True
         cut = self.cuts[n]
         for a, b in self.paths[n][i]:
             budget, low, high = b - a - 1, cut[a], cut[b]
-            if (n, a, b) not in self.parts:
-                self.parts[n, a, b] = masks(self.items[n][1][low:high])
             region = text[max(0, start + low - budget) : max(0, start + high + budget)]
+            if b - a <= 3 and not any(h in region for h in self.halves_around(n, i, a, b)):
+                return False
+            if (n, a, b) not in self.parts:
+                self.parts[n, a, b] = masks(item[low:high])
             if best_end(self.parts[n, a, b], high - low, region)[0] > budget:
                 return False
         return True
 
+    def halves_around(self, n: int, i: int, a: int, b: int) -> list[str]:
+        """Halves of the other pieces of a run; one at least is unchanged, as edits are fewer."""
+        if (n, i) not in self.halves:
+            cut, item = self.cuts[n], self.items[n][1]
+            found = []
+            for j in range(a, b):
+                if j != i:
+                    middle = (cut[j] + cut[j + 1]) // 2
+                    found += [item[cut[j] : middle], item[middle : cut[j + 1]]]
+            self.halves[n, i] = found
+        return self.halves[n, i]
+
     def verified(self, n: int, starts: list[int], text: str) -> list[tuple[int | None, int, int, int]]:
         name, item = self.items[n]
         budget, size = self.budget[n], len(item)
