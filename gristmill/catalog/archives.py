@@ -16,10 +16,11 @@ from gristmill.catalog.common import (
 )
 from gristmill.functions.paths import base_name, cut_of, netloc, without_gz
 from gristmill.operators.manifest import anti_landed
-from gristmill.plans.coarse import clean_rows, run_coarse
+from gristmill.plans.coarse import clean_rows, land_batch, run_coarse
+from gristmill.sources.listing import list_archives
 from gristmill.sources.staging import new_folder
 from gristmill.sources import wet
-from gristmill.streaming.incremental import clean_stream, stream_wet, write_new
+from gristmill.streaming.incremental import clean_stream, land_new, stream_wet, write_new
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +119,9 @@ def wet_file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace("value", r"urn:uuid:[0-9a-f-]*", "urn:uuid:0").alias("value"),
     )
     heads = wet.file_headers(rows)
-    return heads.select("file", F.array_join(F.slice("headers", 1, 11), "|").alias("head"))
+    # Blank lines between records end the last line of a head; they are cut on both sides.
+    head = F.rtrim(F.array_join("headers", "|"), F.lit("|"))
+    return heads.select("file", head.alias("head"))
 
 
 def wet_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +157,25 @@ def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("url string, n_kept int, raw_content string").parquet(out)
 
 
+def coarse_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over part of the files, then one over all: every document lands once."""
+    data, out = _archive_folder(spark, sf_dir), new_folder(spark, "resumed")
+    first = sorted(r["path"] for r in list_archives(spark, data).collect())[::2]
+    land_batch(spark, first, out, DEMO_WORDS)
+    run_coarse(spark, data, out, DEMO_WORDS)
+    run_coarse(spark, data, out, DEMO_WORDS)
+    return wet.read_wet(spark, out).select("url", "title", "length", "raw_content")
+
+
+def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream through the batch stage, twice: each archive once, with its ledger."""
+    out, state = new_folder(spark, "landed"), new_folder(spark, "state")
+    given = _archive_folder(spark, sf_dir)
+    for _ in range(2):
+        land_new(spark, given, out, state, DEMO_WORDS).awaitTermination()
+    return wet.read_wet(spark, out).select("url", "title", "length", "raw_content")
+
+
 def url_netloc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", netloc(F.col("url")).alias("netloc"))
 
@@ -207,6 +229,8 @@ QUERIES = {
     "wet_failed_files": wet_failed_files,
     "wet_to_clean": wet_to_clean,
     "coarse_run_files": coarse_run_files,
+    "coarse_resume": coarse_resume,
+    "incremental_quarantine": incremental_quarantine,
     "incremental_clean": incremental_clean,
     "url_netloc": url_netloc,
     "cut_names": cut_names,
@@ -239,11 +263,12 @@ SQL = {
     "wet_bad_headers": f"""SELECT doc_id, date_download,
         CASE WHEN lang = 'es' THEN 0 ELSE length END AS length
         FROM ({PARSED}) AS a WHERE lang NOT IN ('fr', 'de')""",
-    "wet_file_headers": """SELECT source AS file, concat_ws('|', 'WARC/1.0',
+    "wet_file_headers": f"""SELECT source AS file, rtrim(concat_ws('|', 'WARC/1.0',
         'WARC-Type: conversion', 'WARC-Target-URI: https://user@' || source || '.example.org:8080/' || doc_id,
         'WARC-Date: 2023-02-05T10:20:30Z', 'WARC-Record-ID: <urn:uuid:0>', 'WARC-Refers-To: <urn:uuid:0>',
         'WARC-Block-Digest: sha1:' || upper(md5(text)), 'Content-Type: text/plain',
-        'Content-Length: ' || n_chars, '', 'Title ' || doc_id) AS head
+        'Content-Length: ' || n_chars, '', 'Title ' || doc_id,
+        replace({STRIPPED}, chr(10), '|')), '|') AS head
         FROM documents JOIN (SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source) AS m
         USING (source, doc_id)""",
     "wet_quarantine": f"""SELECT source AS file, count(*) AS n_docs FROM ({PARSED}) AS a
@@ -260,3 +285,4 @@ SQL = {
     "landed_anti_join": f"""SELECT page_id, path FROM {PAGE_PATHS}
         WHERE NOT contains(path, '.com/') AND NOT contains(path, '.net/')""",
 }
+SQL["coarse_resume"] = SQL["incremental_quarantine"] = SQL["coarse_run_files"]

@@ -10,13 +10,16 @@ from gristmill.catalog.common import (
     DEMO_WORDS,
     ELLIPSIS_COND,
     sql_clean,
+    sql_hit,
     sql_paragraph_reason,
     sql_paragraphs,
     sql_passage_reason,
     sql_share,
     sql_symbol_share,
+    sql_words,
     table,
 )
+from gristmill.functions.text import words as words_of
 from gristmill.operators import paragraphs as para
 from gristmill.operators import passage
 from gristmill.operators.reasons import funnel
@@ -32,6 +35,29 @@ def passage_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("doc_id", "reason")
 
 
+def _word_frame(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in DEMO_WORDS], "word string")
+
+
+def passage_reason_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reasons with a list over the bound, folded in shards of three entries."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tagged = passage.tag_passages(docs, "text", _word_frame(spark), max_entries=3)
+    return tagged.select("doc_id", "reason")
+
+
+LONG_LIST_LENGTH = 12
+
+
+def passage_reason_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons by a list of all long words of the benchmark."""
+    items = table(spark, sf_dir, "benchmark")
+    listed = items.select(F.explode(words_of(F.lower("text"))).alias("word"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    long = listed.where(F.length("word") >= LONG_LIST_LENGTH).distinct()
+    return passage.tag_passages(docs, "text", long).select("doc_id", "reason")
+
+
 def passage_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel(passage_reason(spark, sf_dir))
 
@@ -141,6 +167,14 @@ def strict_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel(passage.tag_passages(docs, "text", rules=rules))
 
 
+def coarse_clean_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coarse cleaning with a list over the bound: the same rows as ``coarse_clean``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return clean_rows(docs, _word_frame(spark), text="text", max_entries=3).select(
+        "doc_id", "n_kept", "text"
+    )
+
+
 QUERIES = {
     "passage_reason": passage_reason,
     "passage_funnel": passage_funnel,
@@ -153,6 +187,9 @@ QUERIES = {
     "clean_paragraph_reasons": clean_paragraph_reasons,
     "clean_characters": clean_characters,
     "coarse_clean": coarse_clean,
+    "coarse_clean_sharded": coarse_clean_sharded,
+    "passage_reason_sharded": passage_reason_sharded,
+    "passage_reason_long_list": passage_reason_long_list,
     "strict_rules": strict_rules,
 }
 
@@ -194,3 +231,10 @@ SQL = {
           WHEN {sql_share('length(p) < 16')} > 0.05 THEN 'short_paragraphs' END AS reason
         FROM {PS}) AS r GROUP BY ALL""",
 }
+SQL["coarse_clean_sharded"] = SQL["coarse_clean"]
+SQL["passage_reason_sharded"] = REASONS
+SQL["passage_reason_long_list"] = f"""SELECT doc_id, {sql_passage_reason()} AS reason FROM {PS}""".replace(
+    sql_hit("text"),
+    f"""EXISTS (SELECT 1 FROM (SELECT DISTINCT unnest({sql_words('lower(text)')}) AS word FROM benchmark) AS w
+        WHERE length(w.word) >= {LONG_LIST_LENGTH} AND contains(lower(d.text), w.word))""",
+)

@@ -101,8 +101,8 @@ def manifest_splits_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_renumber(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New positions over many small buckets, ids of the events table."""
-    events = table(spark, sf_dir, "events").where("event_type = 'view'").select("event_id")
-    return renumber(events.withColumn("pos", F.col("event_id")), width=64)
+    events = table(spark, sf_dir, "events").select("event_id")
+    return renumber(events.withColumn("pos", F.col("event_id") * 3), width=64)
 
 
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +207,7 @@ SQL = {
     "manifest_splits_gaps": f"""SELECT pos, path, (ntile(7) OVER (ORDER BY pos) - 1)::INTEGER AS split
         FROM {KEPT}""",
     "manifest_renumber": """SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos
-        FROM events WHERE event_type = 'view'""",
+        FROM events""",
     "manifest_files": f"""SELECT row_number() OVER (ORDER BY o, q) - 1 AS pos, path,
         'CC-MAIN-' || split_part(split_part(path, 'CC-MAIN-', 2), '/', 1) AS dump,
         split_part(path, '/', 4) AS file_name

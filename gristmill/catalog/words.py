@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gristmill.catalog.common import DEMO_WORDS, sql_hit, sql_values, sql_words, table
 from gristmill.functions.text import words as words_of
 from gristmill.operators import lexicon as lex
+from gristmill.sources.staging import new_folder
 
 
 def _part_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,18 @@ def lexicon_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lexicon_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word files by language, written and loaded again, in load order."""
+    folder = new_folder(spark, "lists")
+    docs = table(spark, sf_dir, "documents")
+    words = docs.select("lang", F.explode(words_of(F.lower("text"))).alias("value")).distinct()
+    # One file per language, with its name, as lists come.
+    for lang in sorted(r["lang"] for r in words.select("lang").distinct().collect()):
+        words.where(F.col("lang") == lang).select("value").coalesce(1).write.text(f"{folder}/{lang}")
+    loaded = lex.load_lexicon(spark, folder, name=-2)
+    return lex.with_load_order(loaded).select("lang", "lang_rank", "word")
+
+
 QUERIES = {
     "lexicon_load_order": lexicon_load_order,
     "lexicon_minimal": lexicon_minimal,
@@ -93,6 +106,7 @@ QUERIES = {
     "lexicon_pairs_joined": lexicon_pairs_joined,
     "lexicon_clean_documents": lexicon_clean_documents,
     "lexicon_flags": lexicon_flags,
+    "lexicon_files": lexicon_files,
 }
 
 HEAD = "[" + ", ".join(f"'{h}'" for h in lex.HEAD_LANGUAGES) + "]"
@@ -104,6 +118,9 @@ SQL = {
         count(*) AS n_words
         FROM (SELECT DISTINCT lang, unnest({sql_words('lower(text)')}) AS word FROM documents) AS x
         GROUP BY lang""",
+    "lexicon_files": f"""SELECT DISTINCT lang,
+        coalesce(list_position({HEAD}, lang), {len(lex.HEAD_LANGUAGES) + 1})::INTEGER AS lang_rank,
+        unnest({sql_words('lower(text)')}) AS word FROM documents""",
     "lexicon_minimal": f"""WITH l AS {BENCHMARK_WORDS}
         SELECT word FROM l WHERE NOT EXISTS (
           SELECT 1 FROM l AS s WHERE s.word <> l.word AND contains(l.word, s.word))""",

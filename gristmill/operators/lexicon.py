@@ -32,16 +32,18 @@ BROADCAST_ENTRIES = 200_000
 BROADCAST_CHARS = 8_000_000
 
 
-def load_lexicon(spark: SparkSession, path: str) -> DataFrame:
+def load_lexicon(spark: SparkSession, path: str, name: int = -1) -> DataFrame:
     """Word files, one entry per line, as (lang, line_no, word).
 
+    ``lang`` is the last part of the path, or with ``name=-2`` the folder of the file.
+
     ``line_no`` keeps the order inside a file. Blank lines are left out: as a
     substring they would match every text. A missing path raises.
     """
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
     return (
         raw.select(
-            F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("lang"),
+            F.element_at(F.split(F.col("_metadata.file_path"), "/"), name).alias("lang"),
             F.monotonically_increasing_id().alias("line_no"),
             strip(F.col("value")).alias("word"),
         )
