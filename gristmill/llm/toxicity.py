@@ -33,7 +33,7 @@ from gristmill.llm.common import fold
 #: calibration, characters per text. It is chosen by a hash of the id.
 FIT_TOXIC = 1_500
 FIT_ORDINARY = 3_000
-FIT_CALIBRATION = 5_000
+FIT_CALIBRATION = 4_000
 FIT_CHARS = 20_000
 #: Folds of the ids (see ``common.fold``) that build dictionaries and calibrate.
 DICTIONARY_FOLDS = (1, 2)
@@ -75,22 +75,44 @@ def padded(data: bytes) -> bytes:
     return b" " * CONTEXT + data + b" " * CONTEXT
 
 
-def uses(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Grams and in how many different surroundings each occurs; copies count once."""
-    found = [grams(padded(t)) for t in texts]
-    gram = np.concatenate([g for g, _ in found])
-    _, first = np.unique(np.concatenate([h for _, h in found]), return_index=True)
-    return np.unique(gram[first], return_counts=True)
+def frequent(texts: list[bytes], least: float) -> np.ndarray:
+    """Grams that occur at least so many times, sorted; a quarter of them is counted at a time."""
+    found = []
+    for part in range(4):
+        some = []
+        for text in texts:
+            g = grams(padded(text))[0]
+            some.append(g[(g >> np.uint64(8)) & np.uint64(3) == part])
+        gram, n = np.unique(np.concatenate(some), return_counts=True)
+        found.append(gram[n >= least])
+    return np.sort(np.concatenate(found))
+
+
+def uses(texts: list[bytes], wanted: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many different surroundings each wanted gram occurs, and the number of all grams.
+
+    Copies of a passage count once. Only uses of wanted grams are held.
+    """
+    gram, around, total = [], [], 0
+    for text in texts:
+        g, h = grams(padded(text))
+        total += len(g)
+        at = np.minimum(np.searchsorted(wanted, g), max(len(wanted) - 1, 0))
+        hit = wanted[at] == g if len(wanted) else np.zeros(len(g), bool)
+        gram.append(at[hit].astype(np.int32))
+        around.append(h[hit])
+    _, first = np.unique(np.concatenate(around), return_index=True)
+    return np.bincount(np.concatenate(gram)[first], minlength=len(wanted)), total
 
 
 def typical_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Words of toxic texts that hold a gram typical of them, most frequent first."""
-    gram, n = uses(toxic)
-    other, n_other = uses(ordinary)
-    at = np.minimum(np.searchsorted(other, gram), len(other) - 1)
-    there = np.where(other[at] == gram, n_other[at], 0) if len(other) else np.zeros(len(gram))
-    rare = (there + 1) / max(n_other.sum(), 1) * 20 < n / max(n.sum(), 1)
-    typical = gram[rare & (n >= max(3, 0.02 * len(toxic)))]
+    least = max(3, 0.02 * len(toxic))
+    gram = frequent(toxic, least)
+    n, total = uses(toxic, gram)
+    there, other_total = uses(ordinary, gram)
+    rare = (there + 1) / max(other_total, 1) * 20 < n / max(total, 1)
+    typical = gram[rare & (n >= least)]
     words: Counter[bytes] = Counter()
     for text in toxic:
         found = set()
