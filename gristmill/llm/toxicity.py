@@ -44,6 +44,8 @@ STRIDE = 24
 LEVEL = 6
 DICTIONARY_BYTES = 7_000
 TYPICAL_WORDS = 300
+#: Pieces of 96 bytes the dictionary trainer gets; it takes memory on the driver.
+TRAINER_SAMPLES = 15_000
 #: Bytes in a gram, and on each side of it that tell one use of it from a copy.
 GRAM = 6
 CONTEXT = 8
@@ -134,7 +136,8 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
 
     toxic = sorted({plain(t) for t in toxic})
     ordinary = sorted({plain(t) for t in ordinary})
-    samples = [t[i : i + 96] for t in ordinary for i in range(0, len(t), 96)][:60_000]
+    samples = [t[i : i + 96] for t in ordinary for i in range(0, len(t), 96)]
+    samples = samples[:: -(-len(samples) // TRAINER_SAMPLES) or 1]
     try:
         shared = zstandard.train_dictionary(DICTIONARY_BYTES + 1_000, samples).as_bytes()
         shared = shared[-DICTIONARY_BYTES:]
