@@ -59,32 +59,44 @@ def plain(text: str) -> bytes:
     return b" " + " ".join(text.lower().split()).encode() + b" "
 
 
-def grams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """All grams of padded bytes as numbers, and a hash of each with what stands around it."""
-    b = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
-    n = len(b) - GRAM - 2 * CONTEXT + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    gram, around = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+def _bytes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
+
+
+def grams(data: bytes) -> np.ndarray:
+    """All grams of padded bytes as numbers."""
+    b = _bytes(data)
+    n = max(0, len(b) - GRAM - 2 * CONTEXT + 1)
+    gram = np.zeros(n, np.uint64)
     for k in range(GRAM):
         gram |= b[CONTEXT + k : CONTEXT + k + n] << np.uint64(8 * k)
+    return gram
+
+
+def surroundings(data: bytes, at: np.ndarray) -> np.ndarray:
+    """A hash of the grams at some places with what stands around them."""
+    b, around = _bytes(data), np.zeros(len(at), np.uint64)
     for k in range(GRAM + 2 * CONTEXT):
-        around = around * np.uint64(0x9E3779B97F4A7C15) + b[k : k + n] + np.uint64(1)
-    return gram, around ^ (gram * np.uint64(0xC2B2AE3D27D4EB4F))
+        around = around * np.uint64(0x9E3779B97F4A7C15) + b[at + k] + np.uint64(1)
+    return around
 
 
 def padded(data: bytes) -> bytes:
     return b" " * CONTEXT + data + b" " * CONTEXT
 
 
+#: Counting works on so many parts of the grams in turn, which bounds the driver's memory.
+PARTS = 4
+
+
 def frequent(texts: list[bytes], least: float) -> np.ndarray:
-    """Grams that occur at least so many times, sorted; a quarter of them is counted at a time."""
+    """Grams that occur at least so many times, sorted."""
     found = []
-    for part in range(4):
+    for part in range(PARTS):
         some = []
         for text in texts:
-            g = grams(padded(text))[0]
-            some.append(g[(g >> np.uint64(8)) & np.uint64(3) == part])
+            g = grams(padded(text))
+            some.append(g[(g >> np.uint64(8)) % np.uint64(PARTS) == part])
         gram, n = np.unique(np.concatenate(some), return_counts=True)
         found.append(gram[n >= least])
     return np.sort(np.concatenate(found))
@@ -93,18 +105,26 @@ def frequent(texts: list[bytes], least: float) -> np.ndarray:
 def uses(texts: list[bytes], wanted: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many different surroundings each wanted gram occurs, and the number of all grams.
 
-    Copies of a passage count once. Only uses of wanted grams are held.
+    Copies of a passage count once.
     """
-    gram, around, total = [], [], 0
+    count, total = np.zeros(len(wanted), dtype=np.int64), 0
+    for part in range(PARTS):
+        some = wanted[part::PARTS]
+        if not len(some):
+            continue
+        gram, around = [], []
+        for text in texts:
+            data = padded(text)
+            g = grams(data)
+            at = np.minimum(np.searchsorted(some, g), len(some) - 1)
+            hit = np.flatnonzero(some[at] == g)
+            gram.append(at[hit].astype(np.int32))
+            around.append(surroundings(data, hit))
+        _, first = np.unique(np.concatenate(around), return_index=True)
+        count[part::PARTS] = np.bincount(np.concatenate(gram)[first], minlength=len(some))
     for text in texts:
-        g, h = grams(padded(text))
-        total += len(g)
-        at = np.minimum(np.searchsorted(wanted, g), max(len(wanted) - 1, 0))
-        hit = wanted[at] == g if len(wanted) else np.zeros(len(g), bool)
-        gram.append(at[hit].astype(np.int32))
-        around.append(h[hit])
-    _, first = np.unique(np.concatenate(around), return_index=True)
-    return np.bincount(np.concatenate(gram)[first], minlength=len(wanted)), total
+        total += max(0, len(text) - GRAM + 1)
+    return count, total
 
 
 def typical_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
@@ -118,7 +138,7 @@ def typical_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     words: Counter[bytes] = Counter()
     for text in toxic:
         found = set()
-        for i in np.flatnonzero(np.isin(grams(padded(text))[0], typical)):
+        for i in np.flatnonzero(np.isin(grams(padded(text)), typical)):
             start = i + (text[i : i + 1] == b" ")
             start = text.rfind(b" ", 0, start) + 1
             found.add(text[start : text.find(b" ", start + 1)].strip(b".,;:!?"))
