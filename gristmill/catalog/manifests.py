@@ -40,6 +40,19 @@ def html_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.extract_list_items(pages).select("page_id", "item_no", "item_text")
 
 
+NESTED = (
+    "<ul class=a><li>one<ol><li>two &#233;</li><LI id=x>three &#x20AC;&#0;</ol></li><li>open",
+    "<li><b>five &amp;#65;</b></ul>rest",
+)
+
+
+def html_nested_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that are nested, left open or full of references, after each page."""
+    page = F.concat("html", F.lit(NESTED[0]), F.col("page_id").cast("string"), F.lit(NESTED[1]))
+    pages = table(spark, sf_dir, "pages").select("page_id", page.alias("html"))
+    return m.extract_list_items(pages).select("page_id", "item_no", "item_text")
+
+
 MONTHS = ("January", "June", "November")
 
 
@@ -149,6 +162,7 @@ def retry_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "html_list_items": html_list_items,
+    "html_nested_items": html_nested_items,
     "dump_index_entries": dump_index_entries,
     "manifest_names": manifest_names,
     "manifest_exclude": manifest_exclude,
@@ -177,16 +191,27 @@ for _entity, _char in (
     ("&amp;", "&"),
 ):
     TEXT = f"replace({TEXT}, '{_entity}', '{_char}')"
+TEXT = TEXT.replace("item,", "replace(replace(item, '&#233;', 'é'), '&#x20AC;', '€'),", 1)
+
+
+def _items(html: str) -> str:
+    """Start tags become a mark to split at; what follows an end is cut off."""
+    return f"""SELECT page_id, (item_no - 1)::INTEGER AS item_no, {TEXT} AS item_text
+        FROM (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) AS item_no
+              FROM (SELECT page_id, list_transform(
+                      string_split(regexp_replace({html}, '(?i)<li(\\s[^>]*)?>', chr(1), 'g'), chr(1))[2:],
+                      lambda x: regexp_extract(x, '(?is)^(.*?)(</li|</ul|</ol|$)', 1)) AS items
+                    FROM pages) AS p) AS x"""
+
+
 KEPT = f"""(SELECT pos, path FROM {MANIFEST}
     WHERE NOT contains(path, 'CC-MAIN-2019') AND NOT contains(path, 'CC-MAIN-2020')) AS k"""
 SHUFFLED = f"""(SELECT path, row_number() OVER (ORDER BY md5('2023:' || path || ':' || pos), path, pos) - 1
     AS pos FROM {KEPT}) AS s"""
 
 SQL = {
-    "html_list_items": f"""SELECT page_id, (item_no - 1)::INTEGER AS item_no, {TEXT} AS item_text
-        FROM (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) AS item_no
-              FROM (SELECT page_id, regexp_extract_all(html,
-                      '(?is)<li(?:\\s[^>]*)?>(.*?)</li\\s*>', 1) AS items FROM pages) AS p) AS x""",
+    "html_list_items": _items("html"),
+    "html_nested_items": _items(f"html || '{NESTED[0]}' || page_id || '{NESTED[1]}'"),
     "dump_index_entries": """SELECT page_id, month || ' ' || year AS date_label,
         'CC-MAIN-' || year || '-' || page_id AS dump_id,
         'https://data.commoncrawl.org/crawl-data/CC-MAIN-' || year || '-' || page_id || '/wet.paths.gz'

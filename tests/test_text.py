@@ -84,3 +84,11 @@ def test_html_items(spark):
     assert one(spark, items[0], inner_text) == "One & two x"
     assert one(spark, items[0], lambda c: inner_text(first_link(c))) == "One & two"
     assert one(spark, items[1], first_link) == ""
+
+
+def test_html_items_nested_open_and_numeric(spark):
+    html = "<ul><li>a<ul><li>b</li><LI k=1>c</ul><li>d &#233;&#x20ac;&#128512;&#0;&#xD800;&amp;#65;</ul> tail"
+    items = one(spark, html, list_items)
+    assert items == ["a<ul>", "b", "c", "d &#233;&#x20ac;&#128512;&#0;&#xD800;&amp;#65;"]
+    assert one(spark, items[3], inner_text) == "d é€😀&#0;&#xD800;&#65;"
+    assert one(spark, "no items", list_items) == []
