@@ -1,6 +1,8 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
+from gristmill.catalog import oracle_sql, queries
 from oracle_check import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -65,3 +67,8 @@ def test_scans_read_only_needed_columns(spark, name):
 def test_flagship_query(spark):
     df = entry(spark)
     assert df.columns == ["doc_id", "n_kept", "text"] and df.count() > 0
+
+
+def test_entry_point_offers_the_library(spark):
+    assert set(queries()) <= set(__spark_entry__.queries())
+    assert set(oracle_sql()) <= set(__spark_entry__.oracle_sql())
