@@ -23,6 +23,11 @@ from gristmill.llm.queries import BPE_RANKS
 from gristmill.sources.staging import stage
 
 
+#: Pre-tokens a worker remembers. Workers live on into the next run's first stages, so
+#: they hold less here than a job that only encodes.
+MEMO = 120_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(model.score(F.col("text")) < 0.5)
@@ -46,7 +51,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(
-        spark, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN
+        spark, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, memo=MEMO
     )
     coded = bpe.round_trip(docs, vocabulary)
     plain = F.coalesce(F.col("text"), F.lit("")).cast("binary")

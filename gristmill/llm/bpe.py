@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words per recursive query, and a bound for the rows that one query may keep.
-BLOCK_WORDS = 10_000
-BLOCK_ROWS = 700_000
+BLOCK_WORDS = 6_000
+BLOCK_ROWS = 400_000
 #: The recursion keeps a row per byte and merge, so it is quadratic in the length of
 #: a word. Longer pre-tokens (none in prose) are contracted with a heap instead.
 LONG_WORD = 512
@@ -133,11 +133,12 @@ def contract_long(word: bytes, tokens: list[bytes], rank: dict[bytes, int]) -> l
 class Coder:
     """DuckDB tables of one vocabulary, and what one worker has met so far."""
 
-    def __init__(self, tokens: list[bytes], merges: np.ndarray, pattern: str):
+    def __init__(self, tokens: list[bytes], merges: np.ndarray, pattern: str, memo: int):
         import duckdb
         import regex
 
         self.tokens = tokens
+        self.memo = memo
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.find = regex.compile(pattern).findall
         latin = pattern.replace(r"^\s\p{L}\p{N}", rf"^\s{LETTERS}0-9")
@@ -217,7 +218,7 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[list[bytes]]:
         """Runs of ids of each text, one for each pre-token."""
-        if len(self.ids) > MEMO_ENTRIES:
+        if len(self.ids) > self.memo:
             self.ids.clear()
         cut = [self.words(t) for t in texts]
         runs = [list(map(self.ids.get, words)) for words in cut]
@@ -233,7 +234,7 @@ class Coder:
 
     def decode(self, runs: list[list[bytes]]) -> list[bytes]:
         """Bytes of each list of runs."""
-        if len(self.plain) > MEMO_ENTRIES:
+        if len(self.plain) > self.memo:
             self.plain.clear()
         plain = [list(map(self.plain.get, parts)) for parts in runs]
         gaps = [i for i, found in enumerate(plain) if None in found]
@@ -287,14 +288,16 @@ class Vocabulary:
     """A rank file, read once on the driver and sent to the workers.
 
     Its size is that of the file, whatever the data; more than 2**20 tokens are refused.
+    ``memo`` is the number of pre-tokens a worker remembers: more take memory (some 260
+    bytes each, from task to task), fewer take time, and none changes a result.
     """
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str):
+    def __init__(self, spark: SparkSession, path: str, pattern: str, memo: int = MEMO_ENTRIES):
         tokens = read_ranks(path)
         if len(tokens) > 1 << 20:
             raise ValueError("the vocabulary is over the bound of a broadcast")
         self.shared = spark.sparkContext.broadcast(
-            {"tokens": tokens, "merges": merge_table(tokens), "pattern": pattern}
+            {"tokens": tokens, "merges": merge_table(tokens), "pattern": pattern, "memo": memo}
         )
 
     def _coder(self):
@@ -304,7 +307,9 @@ class Vocabulary:
             # Worker processes keep a broadcast, and with it the coder, from task to task.
             held = shared.value
             if "coder" not in held:
-                held["coder"] = Coder(held["tokens"], held["merges"], held["pattern"])
+                held["coder"] = Coder(
+                    held["tokens"], held["merges"], held["pattern"], held["memo"]
+                )
             return held["coder"]
 
         return coder
