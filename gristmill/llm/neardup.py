@@ -43,7 +43,7 @@ TREES = 8
 TOKENS = 64
 #: Share of a node's token positions that branch: one over the similarity sought.
 PICK = 100 / (PERCENT * TOKENS)
-SMALL_NODE = 1_000
+SMALL_NODE = 2_000
 LEVELS = 6
 #: Estimated similarity under which two classes are not compared on full sets. With 64
 #: tokens a pair of 0.8 falls below it once in ten million.
