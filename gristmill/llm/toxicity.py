@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are built from labelled text. Both hold a part trained
-on ordinary text; the toxic one ends with words typical of toxic text, the
+on ordinary text; the toxic one ends with words typical of toxic text (not with a
+part zstandard has trained on it, which tells the classes apart much worse), the
 ordinary one with filler of the same length, so that offsets cost the same. Each
 text is cut in overlapping windows of a few words, and the bytes a window saves
 with the toxic dictionary tell how toxic it reads. A logistic curve over the best
@@ -43,7 +44,10 @@ WINDOW = 32
 STRIDE = 24
 LEVEL = 6
 DICTIONARY_BYTES = 7_000
-TYPICAL_WORDS = 300
+#: Chance that anything is taken for typical of toxic text where nothing is.
+CHANCE = 0.05
+#: Times something typical must be more frequent in toxic than in ordinary text.
+RARER = 20
 #: Pieces of 96 bytes the dictionary trainer gets; it takes memory on the driver.
 TRAINER_SAMPLES = 15_000
 #: Bytes in a gram, and on each side of it that tell one use of it from a copy.
@@ -127,27 +131,48 @@ def uses(texts: list[bytes], wanted: np.ndarray) -> tuple[np.ndarray, int]:
     return count, total
 
 
+def typical(n: np.ndarray, total: int, there: np.ndarray, other_total: int) -> np.ndarray:
+    """Which counts of toxic text are too high, against ordinary text, to come by chance.
+
+    By Chernoff's bound of the binomial tail and Bonferroni's correction over all counts,
+    so how many uses are needed follows from the samples.
+    """
+    n, there = np.asarray(n, float), np.asarray(there, float)
+    share, even = n / (n + there), total / (total + other_total)
+    other = np.maximum(1 - share, 1e-300)
+    unlike = share * np.log(share / even) + (1 - share) * np.log(other / (1 - even))
+    sure = (n + there) * unlike > np.log(max(len(n), 1) / CHANCE)
+    return sure & (share > even) & ((there + 1) / other_total * RARER < n / total)
+
+
+#: What ends a word.
+BETWEEN = re.compile(rb"[ .,;:!?]+")
+
+
 def typical_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words of toxic texts that hold a gram typical of them, most frequent first."""
-    least = max(3, 0.02 * len(toxic))
-    gram = frequent(toxic, least)
+    """Words of toxic texts that are typical or hold a typical gram, most frequent first."""
+    gram = frequent(toxic, 3)
     n, total = uses(toxic, gram)
     there, other_total = uses(ordinary, gram)
-    rare = (there + 1) / max(other_total, 1) * 20 < n / max(total, 1)
-    typical = gram[rare & (n >= least)]
+    stems = gram[typical(n, max(total, 1), there, max(other_total, 1))]
+    held = Counter(w for t in toxic for w in set(BETWEEN.split(t)) if w)
+    held = Counter({w: n for w, n in held.items() if n >= 3})
+    seen = Counter(w for t in ordinary for w in set(BETWEEN.split(t)) if w in held)
     words: Counter[bytes] = Counter()
     for text in toxic:
         found = set()
-        for i in np.flatnonzero(np.isin(grams(padded(text)), typical)):
+        for i in np.flatnonzero(np.isin(grams(padded(text)), stems)):
             start = i + (text[i : i + 1] == b" ")
             start = text.rfind(b" ", 0, start) + 1
             found.add(text[start : text.find(b" ", start + 1)].strip(b".,;:!?"))
         words.update(w for w in found if w)
-    seen = Counter(
-        w for t in ordinary for w in set(re.split(rb"[ .,;:!?]+", t)) if w in words
-    )
-    kept = [w for w, n in words.items() if n >= 3 and 10 * seen[w] < n]
-    return sorted(kept, key=lambda w: (-words[w], w))[:TYPICAL_WORDS]
+    kept = {w: n for w, n in words.items() if n >= 3 and 10 * seen[w] < n}
+    # Short words have no gram of their own.
+    names = list(held)
+    counts = [np.array([c[w] for w in names], dtype=float) for c in (held, seen)]
+    for i in np.flatnonzero(typical(counts[0], len(toxic), counts[1], len(ordinary))):
+        kept.setdefault(names[i], held[names[i]])
+    return sorted(kept, key=lambda w: (-kept[w], w))
 
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:

@@ -42,3 +42,14 @@ def test_edge_cases(spark):
     scores = [r["s"] for r in odd.select(model.score(odd.text).alias("s")).collect()]
     assert len(scores) == 5 and all(0 <= s <= 1 for s in scores) and scores[3] == scores[4]
     assert odd.limit(0).select(model.score(odd.text)).collect() == []
+
+
+def test_typical_words_are_not_cut():
+    plain = [toxicity.plain(f"the quiet river number {i} runs past the old mill {i * 7}") for i in range(2000)]
+    # Each of 400 words is in 15 texts of 1,500, which is 1 %, and one word has three letters.
+    rude = [
+        toxicity.plain(f"the river {i} " + " ".join(f"{'abcdefghijklmnopqrst'[k // 20]}zworp{'abcdefghijklmnopqrst'[k % 20]}" for k in range(i % 100, 400, 100)) + (" zek" if i % 40 == 0 else ""))
+        for i in range(1500)
+    ]
+    words = toxicity.typical_words(rude, plain)
+    assert len(words) > 390 and b"zek" in words and b"river" not in words
