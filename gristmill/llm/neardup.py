@@ -9,13 +9,15 @@ every level, and different texts part. Nodes of up to ``SMALL_NODE`` classes are
 compared exhaustively: by their minwise tokens first, which tells classes that have
 no partner at all, then on full sets. Larger nodes branch again. Those still large
 at the last level are cut into blocks, and all pairs of blocks are compared, so no
-candidate is given up. Links of a node leave it as a spanning forest, never as all
-pairs. ``TREES`` independent trees are searched.
+candidate is given up. Full sets are compared in groups of bounded size: one of too
+many shingles is cut likewise. Links of a node leave it as a spanning forest, never as
+all pairs. ``TREES`` independent trees are searched.
 
 Recall: a root picks 1.5 tokens on average and never none, so a pair of similarity 0.8
-meets in a child of it with probability 0.86, and eight trees miss one such pair in
-seven million; each level more that a large node branches costs some of that (0.72 per
-tree after three levels, one in 26,000 for all), and groups that large have many paths.
+meets in a child of it with probability 0.86, and ten independent trees miss one such
+pair in 350 million; each level more that a large node branches costs some of that (0.72
+per tree after three levels, one in 340,000 for all), and groups that large have many
+paths.
 
 Components come from alternating star contractions over tables in the shared folder;
 nothing is collected to the driver but counts.
@@ -39,7 +41,7 @@ from gristmill.sources.staging import stage
 
 WORDS = 5
 PERCENT = 80
-TREES = 8
+TREES = 10
 TOKENS = 64
 #: Share of a node's token positions that branch: one over the similarity sought.
 PICK = 100 / (PERCENT * TOKENS)
@@ -50,6 +52,8 @@ LEVELS = 6
 ESTIMATE = 0.5
 #: Copies of the minimum's side in star joins, for vertices with very many links.
 SALTS = 16
+#: Shingles compared in one task: groups with more are cut in pairs of blocks.
+GROUP_SHINGLES = 2_000_000
 MEMO_WORDS = 500_000
 
 _GOLD = 0x9E3779B97F4A7C15
@@ -298,18 +302,40 @@ def by_node(
     )
 
 
-def alike_groups(digests: list[bytes], tokens: list[bytes]) -> list[tuple[bytes, bytes]]:
+def pairs_of_blocks(names: list[bytes], sizes: list[int], most: int) -> list[list[bytes]]:
+    """Lists of names of which each pair is in one; no more than ``most`` by size, if possible.
+
+    A block is over half of that only if one member is.
+    """
+    blocks, size = [[]], 0
+    for name, n in zip(names, sizes, strict=True):
+        if blocks[-1] and size + n > most // 2:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(name)
+        size += n
+    if sum(sizes) <= most or len(blocks) < 2:
+        return [names]
+    return [a + b for i, a in enumerate(blocks) for b in blocks[:i]]
+
+
+def alike_groups(
+    digests: list[bytes], values: list[bytes], most: int = GROUP_SHINGLES
+) -> list[tuple[bytes, bytes]]:
     """(group, digest): members joined by estimated similarity; loners are left out.
 
-    A group is named by a hash of its members, so that one found in several trees or
-    nodes is compared on full sets once.
+    A value holds the tokens and the number of shingles (see ``sized``). A group is named
+    by a hash of its members, so that one found in several trees or nodes is compared on
+    full sets once.
     """
     import xxhash
 
     digests, first = np.unique(np.array(digests, dtype=object), return_index=True)
     if len(digests) < 2:
         return []
-    matrix = np.frombuffer(b"".join([tokens[i] for i in first]), dtype=np.uint32).reshape(-1, TOKENS)
+    tokens = b"".join([values[i][:-8] for i in first])
+    matrix = np.frombuffer(tokens, dtype=np.uint32).reshape(-1, TOKENS)
+    sizes = [int.from_bytes(values[i][-8:], "big") for i in first]
     left = set(range(len(digests)))
     groups = []
     while left:
@@ -323,11 +349,18 @@ def alike_groups(digests: list[bytes], tokens: list[bytes]) -> list[tuple[bytes,
                 left.difference_update(near)
                 todo += near
         if len(group) > 1:
-            names = [digests[i] for i in sorted(group)]
-            groups += [(xxhash.xxh3_128_digest(b"".join(names)), d) for d in names]
+            group.sort()
+            parts = pairs_of_blocks([digests[i] for i in group], [sizes[i] for i in group], most)
+            for names in parts:
+                groups += [(xxhash.xxh3_128_digest(b"".join(names)), d) for d in names]
     return groups
 
 
+def sized(tokens: Column, n_shingles: Column) -> Column:
+    """Tokens, and behind them the number of shingles in eight bytes."""
+    return F.concat(tokens, F.unhex(F.lpad(F.hex(n_shingles), 16, "0")))
+
+
 def links(digests: list[bytes], sets: list[bytes], percent: int = PERCENT) -> list[tuple[bytes, bytes]]:
     """A spanning forest of the links between full sets.
 
@@ -440,13 +473,23 @@ def near_duplicates(
     )
     named = rows.where("digest IS NOT NULL AND _key IS NOT NULL")
     classes = stage(
-        named.groupBy("digest").agg(F.min("_key").alias("rep"), F.min("tokens").alias("tokens")), "classes"
+        named.groupBy("digest").agg(
+            F.min("_key").alias("rep"),
+            F.min("tokens").alias("tokens"),
+            F.min("n_shingles").alias("n_shingles"),
+        ),
+        "classes",
     )
     members = small_nodes(classes, trees).join(
-        classes.select("digest", F.col("tokens").alias("value")), "digest"
+        classes.select("digest", sized(F.col("tokens"), F.col("n_shingles")).alias("value")), "digest"
     )
+    most = GROUP_SHINGLES
+
+    def alike(digests, values):
+        return alike_groups(digests, values, most)
+
     groups = stage(
-        by_node(members, alike_groups, "group binary, digest binary", ["group", "digest"]).distinct(),
+        by_node(members, alike, "group binary, digest binary", ["group", "digest"]).distinct(),
         "groups",
     )
     found = components(confirmed_links(docs, classes, groups, key, text, words, percent))

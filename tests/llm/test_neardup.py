@@ -93,3 +93,20 @@ def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 501)], "a long, b long")
     got = {r["u"]: r["component"] for r in neardup.components(edges).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {501: 500}
+
+
+def test_heavy_groups_are_compared_in_parts(spark, copies, monkeypatch):
+    names = [bytes([i]) for i in range(40)]
+    values = [b"\1" * 4 * neardup.TOKENS + (50 + i).to_bytes(8, "big") for i in range(40)]
+    parts = {}
+    for group, name in neardup.alike_groups(names, values, 600):
+        parts.setdefault(group, set()).add(name)
+    assert max(sum(50 + x[0] for x in p) for p in parts.values()) <= 600
+    assert all(any({a, b} <= p for p in parts.values()) for a in names for b in names)
+    monkeypatch.setattr(neardup, "GROUP_SHINGLES", 3000)
+    docs = spark.createDataFrame(copies, "doc_id long, text string")
+    check(neardup.near_duplicates(docs, words=4).collect(), brute(copies, 4))
+
+
+def test_ten_trees():
+    assert neardup.TREES >= 10
