@@ -13,11 +13,11 @@ candidate is given up. Full sets are compared in groups of bounded size: one of
 many shingles is cut likewise. Links of a node leave it as a spanning forest, never as
 all pairs. ``TREES`` independent trees are searched.
 
-Recall: a root picks 1.5 tokens on average and never none, so a pair of similarity 0.8
-meets in a child of it with probability 0.86, and ten independent trees miss one such
-pair in 350 million; each level more that a large node branches costs some of that (0.72
-per tree after three levels, one in 340,000 for all), and groups that large have many
-paths.
+Recall: a root picks 1.5 tokens on average and never none, and roots share no position.
+The ten roots branch at 15 different positions, so a pair of similarity 0.8 meets in no
+child of any with probability 0.2 to the 15th, one in 30 billion; each level more that a
+large node branches costs some of that (0.72 per tree after three levels, one in some
+340,000 for all), and groups that large have many paths.
 
 Components come from alternating star contractions over tables in the shared folder;
 nothing is collected to the driver but counts.
@@ -177,6 +177,16 @@ def picked(nodes: np.ndarray, used: np.ndarray) -> np.ndarray:
     return pick & (u < 2.0)
 
 
+def root_positions(trees: int) -> list[np.ndarray]:
+    """The positions at which each root branches: as many as ``picked`` says, dealt from a
+    permutation of all, so roots share none before all have been used."""
+    order = np.argsort(mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(_GOLD)), kind="stable")
+    root = mix(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(_GOLD))
+    ends = np.cumsum(picked(root, np.zeros(trees, np.uint64)).sum(1))
+    starts = np.concatenate([[0], ends[:-1]])
+    return [order[np.arange(a, b) % TOKENS] for a, b in zip(starts, ends, strict=True)]
+
+
 def child(nodes: np.ndarray, position: np.ndarray, value: np.ndarray) -> np.ndarray:
     key = (position.astype(np.uint64) << np.uint64(32)) | value.astype(np.uint64)
     return mix(mix(nodes + np.uint64(_GOLD)) ^ mix(key + np.uint64(1)))
@@ -193,8 +203,8 @@ def _token_matrix(column: pa.Array) -> np.ndarray:
 _MEMBER = "node long, used long, digest binary"
 
 
-def _children(nodes, used, digests: list[bytes], tokens: np.ndarray) -> pa.RecordBatch:
-    row, position = np.nonzero(picked(nodes, used))
+def _children(nodes, used, digests: list[bytes], tokens: np.ndarray, pick=None) -> pa.RecordBatch:
+    row, position = np.nonzero(picked(nodes, used) if pick is None else pick)
     after = used[row] | (np.uint64(1) << position.astype(np.uint64))
     to = child(nodes[row], position, tokens[row, position])
     return pa.RecordBatch.from_arrays(
@@ -210,6 +220,8 @@ def _children(nodes, used, digests: list[bytes], tokens: np.ndarray) -> pa.Recor
 def roots(classes: DataFrame, trees: int) -> DataFrame:
     """Members of the first level of all trees."""
 
+    positions = root_positions(trees)
+
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -217,7 +229,9 @@ def roots(classes: DataFrame, trees: int) -> DataFrame:
             digests, tokens = batch.column(0).to_pylist(), _token_matrix(batch.column(1))
             for tree in range(trees):
                 root = mix(np.full(len(digests), tree + 1, dtype=np.uint64) * np.uint64(_GOLD))
-                yield _children(root, np.zeros(len(digests), np.uint64), digests, tokens)
+                pick = np.zeros((len(digests), TOKENS), dtype=bool)
+                pick[:, positions[tree]] = True
+                yield _children(root, np.zeros(len(digests), np.uint64), digests, tokens, pick)
 
     return classes.select("digest", "tokens").mapInArrow(plant, _MEMBER)
 

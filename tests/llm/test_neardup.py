@@ -110,3 +110,9 @@ def test_heavy_groups_are_compared_in_parts(spark, copies, monkeypatch):
 
 def test_ten_trees():
     assert neardup.TREES >= 10
+
+
+def test_roots_share_no_position(spark):
+    classes = spark.createDataFrame([(b"a", bytearray(4 * neardup.TOKENS))], "digest binary, tokens binary")
+    used = [r["used"] for r in neardup.roots(classes, neardup.TREES).collect()]
+    assert len(used) >= neardup.TREES and len(set(used)) == len(used)
