@@ -3,7 +3,8 @@
 Candidates are found row by row with built-in functions. The hash of each value is
 counted over the whole corpus by distinct repositories (documents) and by distinct
 owners (sources): a value that many owners hold is a widely copied example, a value
-of few owners that looks random is taken for a live credential. Only hashes and ids
+of few owners that looks random is taken for a live credential. Documents are counted
+but do not enter the verdict. Only hashes and ids
 are shuffled, never texts; distinct pairs are formed before anything is counted, so
 a value that every document holds is no hot key, and verdicts return to their
 documents by the document's key.
