@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import attribution, bpe, decontaminate, langid, neardup, pii, rules, secrets, toxicity, warc_zst
+from gristmill.llm import (
+    attribution,
+    bpe,
+    decontaminate,
+    langid,
+    neardup,
+    periodicity,
+    phrases,
+    pii,
+    rules,
+    secrets,
+    sharding,
+    toxicity,
+    warc_zst,
+)
 from gristmill.llm.common import fold, held_out, table
 
 COUNT_RANKS = "byte_bpe_50k.tiktoken"
@@ -114,6 +128,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, equal texts together as far as even shards allow."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one in ten of which is made to repeat itself."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = periodicity.planted(F.col("doc_id"), F.col("text"))
+    return periodicity.digest(periodicity.scan(docs.select("doc_id", text.alias("text"))))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -125,6 +156,9 @@ QUERIES = {
     "op8_warc_zst": op8_warc_zst,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_sharding": op11_sharding,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 SQL = {
@@ -137,6 +171,74 @@ SQL = {
            CASE WHEN r = page_id THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN r <> page_id THEN r END AS refers_to
     FROM a""",
+    # Runs of twelve words or more hold six words in a row that equal those one period on.
+    "op12_periodic_runs": r"""
+    WITH t AS (SELECT list_reduce(list_prepend(k, range(8)),
+                        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v, k
+               FROM range(256) r(k)),
+    crc_table AS (SELECT list(v ORDER BY k) AS v FROM t),
+    d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'),
+                                     lambda w: w <> '') AS given,
+                 xor(list_reduce(list_prepend(4294967295, list_transform(
+                         string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                     lambda c, b: xor(c >> 8, v[(xor(c, b) & 255) + 1])), 4294967295) AS h
+          FROM documents, crc_table),
+    p AS (SELECT *, len(given) AS n, h // 10 AS g,
+                 CASE WHEN len(given) > 0 THEN (h // 10) % len(given) ELSE 0 END AS a FROM d),
+    q AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM p),
+    docs AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                 THEN list_transform(range(n), lambda i: given[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                 ELSE given END AS w FROM q),
+    -- Spread before grams are made, as a list operation walks its whole list.
+    spread AS (SELECT doc_id, generate_subscripts(w, 1) - 1 AS i, unnest(w) AS word FROM docs),
+    grams AS (SELECT doc_id, i, hash(word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+                                     lead(word, 4) OVER o, lead(word, 5) OVER o) AS six,
+                     lead(word, 5) OVER o IS NOT NULL AS whole
+              FROM spread WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y
+              ON x.doc_id = y.doc_id AND x.six = y.six AND x.i < y.i WHERE x.whole AND y.whole),
+    islands AS (SELECT doc_id, q, min(i) AS s, max(i) + 6 + q AS e
+                FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS gap FROM pairs)
+                GROUP BY doc_id, q, gap),
+    runs AS (SELECT doc_id, s, e, min(q) AS q FROM islands WHERE e - s >= greatest(12, 2 * q)
+             GROUP BY doc_id, s, e),
+    listed AS (SELECT doc_id, count(*) AS n_runs,
+                      sha256(string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256,
+                      min({'l': s - e, 's': s, 'q': q}) AS best
+               FROM runs GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM runs),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS plain
+             FROM spread ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length, best.q AS period,
+           (-1000 * best.l) // best.q AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+           sha256(coalesce(plain, '')) AS collapsed_sha256
+    FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_collocations": r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces),
+    starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+    f AS (SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase, count(*) AS f
+          FROM starts, range(1, 6) r(size) WHERE i + size - 1 <= len(words) GROUP BY ALL),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+    often AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE f >= 100),
+    cuts AS (SELECT lang, phrase, words, size, f, k, array_to_string(words[1:k], ' ') AS head,
+                    array_to_string(words[k + 1:size], ' ') AS tail
+             FROM often, range(1, 5) r(k) WHERE k < size),
+    scores AS (SELECT c.lang, c.phrase, c.words, c.size, c.f AS a, l.f AS l, r.f AS r, n, k,
+                      ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+               FROM cuts c JOIN often l ON l.lang = c.lang AND l.phrase = head
+               JOIN often r ON r.lang = c.lang AND r.phrase = tail JOIN total t ON t.lang = c.lang),
+    one AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (SELECT lang, array_to_string(words[s:e], ' ') AS phrase, f
+               FROM often, range(1, 6) x(s), range(1, 6) y(e) WHERE s <= e AND e <= size AND e - s + 1 < size),
+    most AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY lang, phrase)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS "rank",
+           phrase, a, l, r, n, score
+    FROM one LEFT JOIN most m USING (lang, phrase) WHERE m.f IS NULL OR 100 * m.f < 100 * a
+    QUALIFY "rank" <= 2000""",
 }
 
 
