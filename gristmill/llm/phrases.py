@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.llm.common import freed
 from gristmill.sources.staging import stage
 
 UNKNOWN = "und"
@@ -47,7 +48,9 @@ PARTITION_CHARS = 1 << 24
 SENT_SURVIVORS = 4_000_000
 #: Bytes of text hashed at a time, and distinct hashes a task gathers before it sends them.
 CHUNK_BYTES = 4_000_000
-GATHERED = 3_000_000
+GATHERED = 2_000_000
+#: Phrases a task of the second pass gathers before it sends them.
+GATHERED_PHRASES = 300_000
 #: Counters that wait for a merge besides twice the capacity.
 LEAST_MERGED = 200_000
 #: Bits of a hash in the first pass.
@@ -156,7 +159,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]
     """Texts of one language together, in lists of bounded size."""
     waiting: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
-    for batch in batches:
+    for batch in freed(batches):
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             lang, text = lang.as_py(), text.as_py()
             waiting.setdefault(lang, []).append(text)
@@ -256,21 +259,88 @@ def survivors(docs: DataFrame, parts: int, threshold: int, max_words: int) -> Da
     return sent.groupBy("part").applyInArrow(merge, "key long")
 
 
-def counted(docs: DataFrame, max_words: int, kept: DataFrame, sent: int) -> DataFrame:
-    """(lang, phrase, size, f) of the n-grams with a surviving key; size 0 counts all words."""
-    spark = docs.sparkSession
-    shared = None
-    if kept.count() <= sent:
-        column = kept.toArrow().column("key").to_numpy().astype(np.uint64)
-        shared = spark.sparkContext.broadcast(np.sort(column))
+def part_of(key: int, parts: int) -> int:
+    return key * parts >> BITS
+
+
+def count_survivors(parts: int, max_words: int, shared):
+    """Task of the second pass: rows (part, phrases, counts) of what it has counted.
+
+    ``phrases`` has a line for each n-gram: language, number of words, words.
+    """
+
+    def sent(rows: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+        import zstandard
+
+        rows.sort()
+        cuts = [i for i in range(len(rows)) if not i or rows[i][0] != rows[i - 1][0]]
+        groups = [rows[a:b] for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([g[0][0] for g in groups], pa.int32()),
+                pa.array(
+                    [zstandard.compress(b"\n".join(r[1] for r in g), 1) for g in groups], pa.binary()
+                ),
+                pa.array([[r[2] for r in g] for g in groups], pa.list_(pa.int64())),
+            ],
+            ["part", "phrases", "counts"],
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[int, bytes], int] = {}
+        for lang, texts in chunks(batches):
+            name = lang.encode().hex().encode()  # may hold tabs and line feeds itself
+            for phrase, size, key, f in exact_grams(texts, lang, max_words, shared.value):
+                at = part_of(key, parts), b"%s\t%d\t%s" % (name, size, phrase)
+                counts[at] = counts.get(at, 0) + f
+            if len(counts) >= GATHERED_PHRASES:
+                yield sent([(*at, f) for at, f in counts.items()])
+                counts = {}
+        if counts:
+            yield sent([(*at, f) for at, f in counts.items()])
+
+    return work
+
+
+def add_counts(given: pa.Table) -> pa.Table:
+    """(lang, phrase, size, f) of one part: what all tasks have counted."""
+    import zstandard
+
+    total: dict[bytes, int] = {}
+    for phrases, counts in zip(given.column("phrases"), given.column("counts"), strict=True):
+        lines = zstandard.decompress(phrases.as_py()).split(b"\n")
+        for line, f in zip(lines, counts.as_py(), strict=True):
+            total[line] = total.get(line, 0) + f
+    split = [line.split(b"\t", 2) for line in total]
+    return pa.table(
+        {
+            "lang": pa.array([bytes.fromhex(x[0].decode()).decode() for x in split], pa.string()),
+            "phrase": pa.array([x[2] for x in split], pa.binary()),
+            "size": pa.array([int(x[1]) for x in split], pa.int32()),
+            "f": pa.array(list(total.values()), pa.int64()),
+        }
+    )
+
+
+def counted_in_tasks(docs: DataFrame, max_words: int, parts: int, keys: np.ndarray) -> DataFrame:
+    """Counts by tasks that know the surviving keys; they meet in the key's hash partition."""
+    shared = docs.sparkSession.sparkContext.broadcast(keys)
+    work = count_survivors(parts, max_words, shared)
+    sent = docs.mapInArrow(work, "part int, phrases binary, counts array<long>")
+    return sent.groupBy("part").applyInArrow(
+        add_counts, "lang string, phrase binary, size int, f long"
+    )
+
+
+def counted_by_join(docs: DataFrame, max_words: int, kept: DataFrame) -> DataFrame:
+    """Counts of all n-grams, joined with the surviving keys, then added up."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in chunks(batches):
-            rows = list(exact_grams(texts, lang, max_words, shared and shared.value))
-            phrase, size, key, f = zip(*rows, strict=True)
+            phrase, size, key, f = zip(*exact_grams(texts, lang, max_words, None), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(rows), pa.string()),
+                    pa.array([lang] * len(f), pa.string()),
                     pa.array(phrase, pa.binary()),
                     pa.array(size, pa.int32()),
                     pa.array(key, pa.int64()),
@@ -280,13 +350,18 @@ def counted(docs: DataFrame, max_words: int, kept: DataFrame, sent: int) -> Data
             )
 
     rows = docs.mapInArrow(work, "lang string, phrase binary, size int, key long, f long")
-    if shared is None:
-        rows = rows.where("size = 0").unionByName(rows.join(kept, "key", "left_semi"))
-    return (
-        rows.withColumn("phrase", F.col("phrase").cast("string"))
-        .groupBy("lang", "phrase", "size")
-        .agg(F.sum("f").alias("f"))
-    )
+    rows = rows.where("size = 0").unionByName(rows.join(kept, "key", "left_semi"))
+    return rows.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+
+
+def counted(docs: DataFrame, max_words: int, parts: int, kept: DataFrame, sent: int) -> DataFrame:
+    """(lang, phrase, size, f) of the n-grams with a surviving key; size 0 counts all words."""
+    if kept.count() <= sent:
+        column = kept.toArrow().column("key").to_numpy().astype(np.uint64)
+        rows = counted_in_tasks(docs, max_words, parts, np.sort(column))
+    else:
+        rows = counted_by_join(docs, max_words, kept)
+    return rows.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def frequent_phrases(
@@ -308,9 +383,8 @@ def frequent_phrases(
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + chars // PARTITION_CHARS
     kept = stage(survivors(texts, parts, threshold, max_words), "phrase-keys")
-    return stage(
-        counted(texts, max_words, kept, sent).where(f"f >= {threshold} OR size = 0"), "phrases"
-    )
+    found = counted(texts, max_words, parts, kept, sent)
+    return stage(found.where(f"f >= {threshold} OR size = 0"), "phrases")
 
 
 def scored(frequent: DataFrame) -> DataFrame:

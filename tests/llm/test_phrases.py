@@ -113,11 +113,12 @@ def test_summary_round_trip():
 
 def test_odd_rows(spark):
     rows = [(None, "A b. A b, a B\ta b"), (None, None), ("und", "a b"), ("xx", ""), ("xx", "ÄB äb ÄB"), ("yy", "a" * 300_000), ("yy", " \n\t.;")]
+    rows += [("odd\n\tlang", "p q " * 9)]
     rows += [("en", "the cat sat on the mat the cat sat")] * 9 + [("en", "x\x0by \xa0 z")]
     docs = spark.createDataFrame([(t, l, 1, "p") for l, t in rows], "text string, lang string, n int, phrase string")
     got = phrases.collocations(docs, threshold=5).collect()
     assert sorted(map(tuple, got)) == sorted(brute(rows, 5))
-    assert {r["lang"] for r in got} == {"und", "en"}
+    assert {r["lang"] for r in got} == {"und", "en", "odd\n\tlang"}
     assert phrases.collocations(docs.limit(0)).collect() == []
     assert phrases.collocations(docs.where(F.col("text") == "")).collect() == []
 
