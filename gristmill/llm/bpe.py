@@ -22,16 +22,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.llm.common import freed
+
 #: Words per recursive query, and a bound for the rows that one query may keep.
-BLOCK_WORDS = 6_000
-BLOCK_ROWS = 400_000
+BLOCK_WORDS = 20_000
+BLOCK_ROWS = 800_000
+#: Memory of the queries; a block of the sizes above takes a fifth of it.
+QUERY_MEMORY = "400MB"
 #: The recursion keeps a row per byte and merge, so it is quadratic in the length of
 #: a word. Longer pre-tokens (none in prose) are contracted with a heap instead.
 LONG_WORD = 512
 #: Characters a worker cuts into pre-tokens at a time.
 PART_CHARS = 2_000_000
-#: Entries a worker remembers before it starts anew.
-MEMO_ENTRIES = 500_000
+#: Entries and bytes a worker remembers, of words and of runs each.
+MEMO_ENTRIES = 400_000
+MEMO_BYTES = 100_000_000
 #: The position takes so many bits of a pair's sort key.
 POS_BITS = 20
 
@@ -130,6 +135,26 @@ def contract_long(word: bytes, tokens: list[bytes], rank: dict[bytes, int]) -> l
     return [rank[p] for p in part if p is not None]
 
 
+def remember(known: dict, lists: list[list], find, most: int) -> dict:
+    """What is known, with what ``find`` says of the entries of the lists that are not.
+
+    Beyond ``most`` entries, or a size of ``MEMO_BYTES``, only those in the lists are kept.
+    """
+    used = set().union(*lists)
+    if len(known) + len(used) > most or known.get(None, 0) > MEMO_BYTES:
+        known = {x: known[x] for x in used if x in known}
+        known[None] = sum(map(entry_bytes, known, known.values()))
+    new = find(sorted(used - known.keys()))
+    known |= new
+    known[None] = known.get(None, 0) + sum(map(entry_bytes, new, new.values()))
+    return known
+
+
+def entry_bytes(key: str | bytes, value: bytes) -> int:
+    """About what an entry of a worker's memory takes."""
+    return 200 + len(key) + len(value)
+
+
 class Coder:
     """DuckDB tables of one vocabulary, and what one worker has met so far."""
 
@@ -146,9 +171,9 @@ class Coder:
         self.quick = re.compile(latin).findall if "\\p" not in latin else None
         self.of_byte = np.array([self.rank[bytes([i])] for i in range(256)], dtype=np.int32)
         self.opens = np.array([t[:1] in (b" ", b"\n") for t in tokens])
-        self.ids: dict[str, bytes] = {}
-        self.plain: dict[bytes, bytes] = {}
-        self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
+        self.ids: dict[str | None, bytes | int] = {}
+        self.plain: dict[bytes | None, bytes | int] = {}
+        self.db = duckdb.connect(config={"threads": 1, "temp_directory": "", "memory_limit": QUERY_MEMORY})
         self.load("merges", a=merges[:, 0], b=merges[:, 1], merged=merges[:, 2])
         self.load("vocab", id=np.arange(len(tokens)), hex=[t.hex() for t in tokens])
 
@@ -218,34 +243,14 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[list[bytes]]:
         """Runs of ids of each text, one for each pre-token."""
-        if len(self.ids) > self.memo:
-            self.ids.clear()
         cut = [self.words(t) for t in texts]
-        runs = [list(map(self.ids.get, words)) for words in cut]
-        gaps = [i for i, found in enumerate(runs) if None in found]
-        new = {w for i in gaps for w, r in zip(cut[i], runs[i], strict=True) if r is None}
-        found = self.encode_words(sorted(new))
-        self.ids |= {w: r for w, r in found.items() if len(r) <= LONG_WORD}
-        for i in gaps:
-            runs[i] = [
-                r if r is not None else found[w] for w, r in zip(cut[i], runs[i], strict=True)
-            ]
-        return runs
+        self.ids = remember(self.ids, cut, self.encode_words, self.memo)
+        return [list(map(self.ids.__getitem__, words)) for words in cut]
 
     def decode(self, runs: list[list[bytes]]) -> list[bytes]:
         """Bytes of each list of runs."""
-        if len(self.plain) > self.memo:
-            self.plain.clear()
-        plain = [list(map(self.plain.get, parts)) for parts in runs]
-        gaps = [i for i, found in enumerate(plain) if None in found]
-        new = {r for i in gaps for r, b in zip(runs[i], plain[i], strict=True) if b is None}
-        found = self.decode_runs(sorted(new))
-        self.plain |= {r: b for r, b in found.items() if len(b) <= LONG_WORD}
-        for i in gaps:
-            plain[i] = [
-                b if b is not None else found[r] for r, b in zip(runs[i], plain[i], strict=True)
-            ]
-        return [b"".join(parts) for parts in plain]
+        self.plain = remember(self.plain, runs, self.decode_runs, self.memo)
+        return [b"".join(map(self.plain.__getitem__, parts)) for parts in runs]
 
     def runs_of(self, ids: np.ndarray) -> list[bytes]:
         """Ids cut before each token that starts with a blank: runs that come again."""
@@ -320,7 +325,7 @@ class Vocabulary:
 
         @F.arrow_udf("array<int>")
         def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for texts in batches:
+            for texts in freed(batches):
                 found = [id_lists(coder().encode(part)) for part in parts(texts)]
                 yield _joined(found, pa.list_(pa.int32()))
 
@@ -332,7 +337,7 @@ class Vocabulary:
 
         @F.arrow_udf("binary")
         def plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for arrays in batches:
+            for arrays in freed(batches):
                 rows = [np.array(a.as_py() or [], dtype=np.int64) for a in arrays]
                 runs = [coder().runs_of(a) for a in rows]
                 yield pa.array(coder().decode(runs), pa.binary())
@@ -349,7 +354,7 @@ class Vocabulary:
 
         @F.arrow_udf("ids array<int>, decoded binary")
         def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for texts in batches:
+            for texts in freed(batches):
                 ids, decoded = [], []
                 for part in parts(texts):
                     runs = coder().encode(part)
