@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.llm.common import freed
 from gristmill.sources.staging import stage
 
 WORDS = 5
@@ -130,7 +131,7 @@ def sketch(text: Column, words: int) -> Column:
         import xxhash
 
         shingler, by = Shingler(words), factors()
-        for texts in batches:
+        for texts in freed(batches):
             n, digest, tokens = [], [], []
             for text in texts:
                 s = shingler(text.as_py() or "")
@@ -156,7 +157,7 @@ def full_sets(text: Column, digest: Column, words: int) -> Column:
         import xxhash
 
         shingler = Shingler(words)
-        for texts, digests in batches:
+        for texts, digests in freed(batches):
             found = []
             for text, own in zip(texts, digests, strict=True):
                 data = shingler(text.as_py() or "").tobytes()
@@ -223,7 +224,7 @@ def roots(classes: DataFrame, trees: int) -> DataFrame:
     positions = root_positions(trees)
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             if not batch.num_rows:
                 continue
             digests, tokens = batch.column(0).to_pylist(), _token_matrix(batch.column(1))
@@ -240,7 +241,7 @@ def branch(members: DataFrame) -> DataFrame:
     """Members (node, used, digest, tokens) of the level below."""
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             if batch.num_rows:
                 yield _children(
                     _longs(batch.column(0)),
@@ -292,7 +293,7 @@ def by_node(
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, digests, values, out = None, [], [], []
-        for batch in batches:
+        for batch in freed(batches):
             for n, d, v in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True
             ):

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import fold
+from gristmill.llm.common import fold, freed
 
 #: Bounds of the labelled sample: texts per class for the dictionaries, texts for the
 #: calibration, characters per text. It is chosen by a hash of the id.
@@ -277,7 +277,7 @@ class Model:
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             pair = compressor(shared.toxic), compressor(shared.ordinary)
-            for texts in batches:
+            for texts in freed(batches):
                 x = text_features(*pair, texts.fillna("").tolist())
                 yield pd.Series(shared.probabilities(x), dtype=float)
 
