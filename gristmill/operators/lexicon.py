@@ -2,9 +2,10 @@
 
 Entries match as plain substrings of the lower-cased text, without word
 boundaries. A list comes as a Python list or as a DataFrame with a ``word``
-column. It travels to the tasks in shards of bounded size: most lists are one
-shard, a longer one is folded over the text shard by shard, with the same result
-and without a shuffle of texts.
+column. One within a bound travels to the tasks, and texts are searched in their
+row. A longer one becomes an index of q-grams that texts are joined with
+(``qgrams``), with the same result. Only a Column, and a stream, cannot be joined:
+there a longer list is folded over the text in shards of bounded size.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import holds_any, let, strip
+from gristmill.operators.qgrams import GramIndex, with_hit
 from gristmill.sources.staging import stage
 
 # Entries put before every list.
@@ -35,15 +37,17 @@ BROADCAST_CHARS = 8_000_000
 def load_lexicon(spark: SparkSession, path: str, name: int = -1) -> DataFrame:
     """Word files, one entry per line, as (lang, line_no, word).
 
-    ``lang`` is the last part of the path, or with ``name=-2`` the folder of the file.
+    ``lang`` is the last part of the path, or with ``name=-2`` the folder of the file, and
+    so on; of a folder ``column=value``, as a partitioned write leaves them, the value.
 
     ``line_no`` keeps the order inside a file. Blank lines are left out: as a
     substring they would match every text. A missing path raises.
     """
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
+    part = F.element_at(F.split(F.col("_metadata.file_path"), "/"), name)
     return (
         raw.select(
-            F.element_at(F.split(F.col("_metadata.file_path"), "/"), name).alias("lang"),
+            (part if name == -1 else F.substring_index(part, "=", -1)).alias("lang"),
             F.monotonically_increasing_id().alias("line_no"),
             strip(F.col("value")).alias("word"),
         )
@@ -127,8 +131,8 @@ def substring_pairs(
 
 def shortest_listed(lexicon: DataFrame) -> DataFrame:
     """For each entry the shortest listed entry inside it, as (word, shortest)."""
-    listed = lexicon.select(F.col("word").alias("entry")).distinct()
-    inside = substring_pairs(listed, "entry", "entry", lexicon)
+    index = GramIndex.of(lexicon)
+    inside = index.pairs(index.words.withColumnRenamed("word", "entry"), "entry", "entry")
     return inside.groupBy("entry").agg(
         F.min(F.struct(F.length("word").alias("n"), F.col("word").alias("w"))).alias("m")
     ).select(F.col("entry").alias("word"), F.col("m.w").alias("shortest"))
@@ -213,15 +217,24 @@ def word_shards(
 
 
 def settled(
-    words: Sequence[str] | DataFrame, max_entries: int = BROADCAST_ENTRIES
-) -> Sequence[str] | DataFrame:
-    """For repeated use: a DataFrame that fits the bound as a list, all else as it is."""
+    words: Sequence[str] | DataFrame | GramIndex,
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
+) -> Sequence[str] | GramIndex:
+    """For repeated use: a list that fits the bound as such, a longer one as an index."""
     if words is None:
         raise TypeError("a word list is needed; pass an empty one for no words")
-    if not isinstance(words, DataFrame):
+    if isinstance(words, GramIndex):
         return words
-    n, chars = _size(_entries(words))
-    return words if n > max_entries or chars > BROADCAST_CHARS else _sorted_words(_entries(words))
+    if isinstance(words, DataFrame):
+        n, chars = _size(_entries(words))
+        if n <= max_entries and chars <= max_chars:
+            return _sorted_words(_entries(words))
+        return GramIndex.of(words)
+    listed = [w for w in dict.fromkeys(words) if w]
+    if len(listed) <= max_entries and sum(map(len, listed)) <= max_chars:
+        return listed
+    return GramIndex.of(SparkSession.active().createDataFrame([(w,) for w in listed], "word string"))
 
 
 def word_shards_of(part: DataFrame, max_entries: int, max_chars: int) -> Iterator[list[str]]:
@@ -285,8 +298,11 @@ def lexicon_hit(
 
     ``chain`` stays in the JVM and suits a handful of words; ``automaton`` finds all
     words of a shard in one pass over the text. A text that hits one shard is not
-    searched for the next. ``None`` for a list raises.
+    searched for the next. ``None`` for a list raises. Each shard is a node of the plan
+    with workers of its own: ``flag_hits`` takes long lists better, by a join.
     """
+    if isinstance(words, GramIndex):
+        words = words.words
     if method not in ("auto", "chain", "automaton"):
         raise ValueError(f"unknown method {method!r}")
     hit = F.lit(False)
@@ -330,24 +346,46 @@ def lexicon_pairs(
     df: DataFrame,
     key: str,
     text: str,
-    lexicon: Sequence[str] | DataFrame,
+    lexicon: Sequence[str] | DataFrame | GramIndex,
     max_entries: int = BROADCAST_ENTRIES,
     max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
-    """(key, word) for every listed word in every text; only hits leave the row."""
-    found = words_found(F.lower(F.col(text)), lexicon, max_entries, max_chars)
+    """(key, word) for every listed word in every text; a list beyond the bound is joined."""
+    listed = settled(lexicon, max_entries, max_chars)
+    if isinstance(listed, GramIndex):
+        lowered = df.select(key, F.lower(F.col(text)).alias("_lowered"))
+        return listed.pairs(lowered, key, "_lowered")
+    found = words_found(F.lower(F.col(text)), listed, max_entries, max_chars)
     return df.select(key, F.explode(found).alias("word"))
 
 
+def flag_hits(
+    df: DataFrame,
+    text: Column,
+    lexicon: Sequence[str] | DataFrame | GramIndex,
+    method: str = "auto",
+    max_entries: int = BROADCAST_ENTRIES,
+    max_chars: int = BROADCAST_CHARS,
+    name: str = "_hit",
+) -> DataFrame:
+    """All rows and columns, with a flag: the (lower-cased) text contains a listed word.
+
+    Within the bound, and in streams, the flag is worked out in the row; else by a join.
+    """
+    listed = settled(lexicon, max_entries, max_chars)
+    if isinstance(listed, GramIndex) and not df.isStreaming:
+        return with_hit(df, text, listed, name)
+    return df.withColumn(name, lexicon_hit(text, listed, method, max_entries, max_chars))
+
+
 def drop_hits(
     df: DataFrame,
     text: str,
-    lexicon: Sequence[str] | DataFrame,
+    lexicon: Sequence[str] | DataFrame | GramIndex,
     max_entries: int = BROADCAST_ENTRIES,
     max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Rows whose text contains no entry of the list."""
-    hit = lexicon_hit(
-        F.lower(F.col(text)), lexicon, max_entries=max_entries, max_chars=max_chars
-    )
-    return df.where(~hit)
+    lowered = F.lower(F.col(text))
+    flagged = flag_hits(df, lowered, lexicon, "auto", max_entries, max_chars)
+    return flagged.where(~F.col("_hit")).drop("_hit")

@@ -24,7 +24,7 @@ from gristmill.functions.text import (
     lstrip,
     shorter_than,
 )
-from gristmill.operators.lexicon import BROADCAST_CHARS, BROADCAST_ENTRIES, lexicon_hit
+from gristmill.operators.lexicon import BROADCAST_CHARS, BROADCAST_ENTRIES, flag_hits
 from gristmill.operators.reasons import first_reason
 
 # Characters that open a bullet point.
@@ -155,7 +155,7 @@ def tag_passages(
     tagged = df.withColumn("_layout", layout_reasons(F.col(text), rules))
     candidate = F.when(F.col("_layout.early").isNull(), F.lower(F.col(text)))
     return (
-        tagged.withColumn("_hit", lexicon_hit(candidate, words, method, max_entries, max_chars))
+        flag_hits(tagged, candidate, words, method, max_entries, max_chars)
         .withColumn(
             "reason",
             F.coalesce(
@@ -191,4 +191,5 @@ def keep_passages(
     if only is not None:
         passes = F.when(only, passes).otherwise(True)
         lowered = F.when(only, lowered)
-    return df.where(passes).where(~lexicon_hit(lowered, words, method, max_entries, max_chars))
+    flagged = flag_hits(df.where(passes), lowered, words, method, max_entries, max_chars)
+    return flagged.where(~F.col("_hit")).drop("_hit")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gristmill.operators import lexicon as lex
+from gristmill.operators import qgrams
 
 ALPHABET = "abé😀ß "
 
@@ -46,6 +47,43 @@ def test_all_forms_find_the_same_pairs(frames, sample):
         assert set(rows) == want
 
 
+def index_pairs(index, docs):
+    rows = [(r["id"], r["word"]) for r in index.pairs(docs, "id", "text").collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.mark.parametrize("q, bits", [(8, qgrams.BITMAP_BITS), (2, qgrams.ROW_BITS), (1, qgrams.ROW_BITS), (3, 2 * qgrams.ROW_BITS)])
+def test_index_finds_the_same_pairs(frames, sample, q, bits):
+    listed, docs = frames
+    assert index_pairs(qgrams.GramIndex.of(listed, q, bits), docs) == expected_pairs(*sample)
+
+
+def test_index_of_long_and_alike_entries(spark):
+    words = ["x" * n for n in range(1, 40)] + ["prefix " + "y" * n for n in range(30)] + ["z" * 3000, "😀" * 20, "a"]
+    texts = [(0, "x" * 50), (1, "a prefix yyyyy!"), (2, "z" * 3001), (3, "😀" * 19), (4, "b" + "😀" * 20), (5, None), (6, "")]
+    listed = spark.createDataFrame([(w,) for w in words + ["", None]], "word string")
+    docs = spark.createDataFrame(texts, "id int, text string")
+    assert index_pairs(qgrams.GramIndex.of(listed), docs) == expected_pairs(set(words), texts)
+    empty = qgrams.GramIndex.of(listed.limit(0))
+    assert index_pairs(empty, docs) == set()
+    assert qgrams.with_hit(docs, F.col("text"), empty).where("_hit").count() == 0
+
+
+def test_a_long_list_takes_one_python_node_and_rows_linear_in_characters(frames, sample):
+    listed, docs = frames
+    flagged = lex.flag_hits(docs, F.col("text"), listed, max_entries=6)  # ten shards
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    hit = {i for i, _ in expected_pairs(*sample)}
+    assert {r["id"]: r["_hit"] for r in flagged.collect()} == {i: i in hit for i, _ in sample[1]}
+    index = qgrams.GramIndex.of(listed)
+    chars = sum(len(t or "") for _, t in sample[1])
+    assert docs.select(F.explode(index.places(F.col("text")))).count() <= index.q * chars
+    entries = index.words.select(F.sum(F.length("word")).alias("n")).first()["n"]
+    assert index.words.select(F.explode(index.places(F.col("word")))).count() <= index.q * entries
+
+
 @pytest.mark.parametrize("limit", [lex.BROADCAST_ENTRIES, 3])
 def test_texts_with_a_hit_are_dropped(frames, sample, limit):
     listed, docs = frames
