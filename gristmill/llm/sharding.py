@@ -41,7 +41,7 @@ TRIES = 3
 #: Buckets of groups for positions and sums: three digits of the group's hash.
 BUCKET_DIGITS = 3
 #: Rows of a group that are numbered together on average, if it is a large one.
-PART_ROWS = 100_000
+PART_ROWS = 1_000
 MAX_PARTS = 4096
 
 
