@@ -40,6 +40,8 @@ ROUNDS = 60
 TRIES = 3
 #: Buckets of groups for positions and sums: three digits of the group's hash.
 BUCKET_DIGITS = 3
+#: The same where sums are by pairs of shards.
+PAIR_DIGITS = 1
 #: Rows of a group that are numbered together on average, if it is a large one.
 PART_ROWS = 1_000
 MAX_PARTS = 4096
@@ -50,22 +52,25 @@ def group_of(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def bucket(group: str) -> Column:
-    return F.substring(group, 1, BUCKET_DIGITS)
+def bucket(group: str, digits: int = BUCKET_DIGITS) -> Column:
+    return F.substring(group, 1, digits)
 
 
-def sums_before(df: DataFrame, by: list[str], order: list[str], value: str, name: str):
-    """Add the sum of ``value`` over the rows before, per ``by``, in the order of the bucket
-    of ``group`` and then ``order``."""
-    b = df.withColumn("_bucket", bucket("group"))
+def sums_before(
+    df: DataFrame, by: list[str], value: str, name: str, digits: int = BUCKET_DIGITS
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows before, per ``by``, in the order of ``group``.
+
+    The sums by bucket are broadcast: 16 ** ``digits`` rows at most for each value of ``by``.
+    """
+    b = df.withColumn("_bucket", bucket("group", digits))
     sizes = b.groupBy(*by, "_bucket").agg(F.sum(value).alias("_size"))
-    inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    inside = Window.partitionBy(*by, "_bucket").orderBy("group")
     to_here = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         *by, "_bucket", F.coalesce(F.sum("_size").over(to_here), F.lit(0)).alias("_start")
     )
     before = F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    # At most one row for each bucket and value of ``by``: 4096 times the shards.
     return (
         b.withColumn(name, F.coalesce(before, F.lit(0)))
         .join(F.broadcast(starts), [*by, "_bucket"])
@@ -81,7 +86,7 @@ def capacities(n: int, shards: int) -> list[int]:
 
 def dealt(linked: DataFrame, shards: int) -> DataFrame:
     """(group, shard, c) of all groups, their documents dealt round-robin one after another."""
-    at = sums_before(linked, [], ["group"], "n", "pos")
+    at = sums_before(linked, [], "n", "pos")
     j = F.sequence(F.lit(0).cast("long"), F.least(F.col("n"), F.lit(shards)) - 1)
     return at.select("group", "n", "pos", F.explode(j).alias("j")).select(
         "group",
@@ -180,9 +185,9 @@ def one_round(blocks: DataFrame, room: list[int], stuck: int) -> DataFrame | Non
     placed = sums_before(
         asked.join(F.broadcast(quota), ["shard", "target"]),
         ["shard", "target"],
-        ["group"],
         "c",
         "before",
+        PAIR_DIGITS,
     )
     moves = placed.select(
         "group", "shard", "target", F.least("c", F.col("quota") - F.col("before")).alias("c")
@@ -213,7 +218,7 @@ def propagate(linked: DataFrame, room_of: list[int], rounds: int = ROUNDS) -> Da
 def places(blocks: DataFrame) -> DataFrame:
     """(group, blocks): the blocks of each group by shard, with the rank of their first
     document in the group and its slot in the shard."""
-    at = sums_before(blocks, ["shard"], ["group"], "c", "slot")
+    at = sums_before(blocks, ["shard"], "c", "slot")
     in_group = Window.partitionBy("group").orderBy("shard")
     before = F.sum("c").over(in_group.rowsBetween(Window.unboundedPreceding, -1))
     return (
@@ -227,20 +232,26 @@ def fill(single: DataFrame, taken: list[int], room_of: list[int]) -> DataFrame:
     """(group, blocks) of groups of one document, in the order of their hash."""
     need = [a - b for a, b in zip(room_of, taken, strict=True)]
     starts = [sum(need[:s]) for s in range(len(need))]
-    rows = [(a, a + n, s, t - a) for s, (a, n, t) in enumerate(zip(starts, need, taken)) if n]
-    ranges = single.sparkSession.createDataFrame(
-        rows, "_from long, _to long, shard int, _shift long"
-    )
     at = number_rows(single, bucket("group"), [F.col("group")])
-    return at.join(
-        F.broadcast(ranges), (F.col("pos") >= F.col("_from")) & (F.col("pos") < F.col("_to"))
-    ).select(
+    ranges = F.array(
+        *[
+            F.struct(
+                F.lit(a).cast("long").alias("start"),
+                F.lit(s).alias("shard"),
+                F.lit(t - a).cast("long").alias("shift"),
+            )
+            for s, (a, n, t) in enumerate(zip(starts, need, taken, strict=True))
+            if n
+        ]
+    )
+    own = F.element_at(F.filter(ranges, lambda r: r["start"] <= F.col("pos")), -1)
+    return at.withColumn("own", own).select(
         "group",
         F.array(
             F.struct(
                 F.lit(0).cast("long").alias("first"),
-                "shard",
-                (F.col("pos") + F.col("_shift")).alias("slot"),
+                F.col("own.shard").alias("shard"),
+                (F.col("pos") + F.col("own.shift")).alias("slot"),
             )
         ).alias("blocks"),
     )
@@ -265,8 +276,9 @@ def shard_rows(
     blocks = propagate(groups.where("n > 1"), room_of, rounds)
     single = groups.where("n = 1").select("group")
     placed = places(blocks)
-    if n:
-        placed = placed.unionByName(fill(single, loads(blocks, shards), room_of))
+    taken = loads(blocks, shards)
+    if taken != room_of:
+        placed = placed.unionByName(fill(single, taken, room_of))
     of_group = Window.partitionBy("group").orderBy("_part")
     before = F.sum("c").over(of_group.rowsBetween(Window.unboundedPreceding, -1))
     starts = (
