@@ -16,8 +16,8 @@ from gristmill.catalog.common import (
 )
 from gristmill.functions.paths import base_name, cut_of, netloc, without_gz
 from gristmill.operators.manifest import anti_landed
-from gristmill.plans.coarse import clean_rows, land_batch, run_coarse
-from gristmill.sources.listing import list_archives
+from gristmill.plans.coarse import FAILED_FOLDER, clean_rows, land_batch, run_coarse
+from gristmill.sources.listing import list_archives, path_exists
 from gristmill.sources.staging import new_folder
 from gristmill.sources import wet
 from gristmill.streaming.incremental import clean_stream, land_new, stream_wet, write_new
@@ -149,6 +149,58 @@ def coarse_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wet.read_wet(spark, out).select("url", "title", "length", "raw_content")
 
 
+#: Archives that documents are dealt to by their id.
+BUCKETS = 4
+
+
+def _bucket_archives(spark: SparkSession, sf_dir: str) -> str:
+    """An archive for each bucket of ids. Each starts with a record of type ``metadata``;
+    in the last bucket, very long texts end with a byte that is no UTF-8."""
+    folder = new_folder(spark, "buckets")
+    spoiled = F.concat(wet.to_wet_text().cast("binary"), F.unhex(F.lit("FF0A"))).cast("string")
+    for b in range(BUCKETS):
+        last = F.lit(b == BUCKETS - 1)
+        text = F.when(last & (F.col("length") > 20_000), spoiled).otherwise(wet.to_wet_text())
+        docs = _documents(spark, sf_dir).where(F.col("doc_id") % BUCKETS == b)
+        lead = ["WARC/1.0", "WARC-Type: metadata", f"WARC-Target-URI: bucket:{b}", "", "note"]
+        lead = "".join(line + "\r\n" for line in lead)
+        rows = docs.select("doc_id", text.alias("value")).unionByName(
+            spark.range(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit(lead).alias("value"))
+        )
+        # A packed archive is read by one task, and written by one here.
+        rows.repartition(1).sortWithinPartitions("doc_id").select("value").write.option(
+            "lineSep", wet.RECORD_END
+        ).option("compression", "gzip").text(f"{folder}/{b}")
+    return folder
+
+
+def coarse_other_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First records of archives that start with another type, out of the cleaned archives."""
+    out = new_folder(spark, "cleaned")
+    run_coarse(spark, _bucket_archives(spark, sf_dir), out, DEMO_WORDS)
+    heads = wet.file_headers(wet.read_wet_rows(spark, out))
+    head = F.rtrim(F.array_join("headers", "|"), F.lit("|"))
+    return heads.where("headers[1] = 'WARC-Type: metadata'").select(head.alias("head"))
+
+
+def coarse_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run publishes of each bucket, or why it withholds the bucket's archive."""
+    given, out = _bucket_archives(spark, sf_dir), new_folder(spark, "cleaned")
+    run_coarse(spark, given, out, DEMO_WORDS)
+    bucket = F.regexp_extract("url", r"(\d+)$", 1).cast("long") % BUCKETS
+    sound = wet.read_wet(spark, out).groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit("published").alias("state")
+    )
+    listed = F.element_at(F.split("file", "/"), -2).cast("long").alias("bucket")
+    schema = "file string, reason string, n_bad long"
+    if not path_exists(spark, f"{out}/{FAILED_FOLDER}"):
+        return sound
+    failed = spark.read.schema(schema).json(f"{out}/{FAILED_FOLDER}")
+    return sound.unionByName(
+        failed.select(listed, F.col("n_bad").alias("n"), F.col("reason").alias("state"))
+    )
+
+
 def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first stage as a file stream that takes what is there and stops."""
     out, state = new_folder(spark, "stream-out"), new_folder(spark, "stream-state")
@@ -229,6 +281,8 @@ QUERIES = {
     "wet_failed_files": wet_failed_files,
     "wet_to_clean": wet_to_clean,
     "coarse_run_files": coarse_run_files,
+    "coarse_other_headers": coarse_other_headers,
+    "coarse_failed_files": coarse_failed_files,
     "coarse_resume": coarse_resume,
     "incremental_quarantine": incremental_quarantine,
     "incremental_clean": incremental_clean,
@@ -277,6 +331,15 @@ SQL = {
         FROM documents WHERE n_chars > 20000 GROUP BY source""",
     "wet_to_clean": f"SELECT doc_id, n_kept, raw_content AS text FROM ({CLEAN}) AS c",
     "coarse_run_files": f"""SELECT url, title, length, {REREAD} AS raw_content FROM ({CLEAN}) AS c""",
+    "coarse_other_headers": f"""SELECT DISTINCT concat_ws('|', 'WARC/1.0', 'WARC-Type: metadata',
+        'WARC-Target-URI: bucket:' || doc_id % {BUCKETS}, '', 'note') AS head FROM documents
+        WHERE doc_id % {BUCKETS} <> {BUCKETS - 1} OR NOT EXISTS (SELECT 1 FROM documents
+          WHERE n_chars > 20000 AND doc_id % {BUCKETS} = {BUCKETS - 1})""",
+    "coarse_failed_files": f"""WITH bad AS (SELECT count(*) AS n FROM documents
+          WHERE n_chars > 20000 AND doc_id % {BUCKETS} = {BUCKETS - 1})
+        SELECT doc_id % {BUCKETS} AS bucket, count(*) AS n, 'published' AS state FROM ({CLEAN}) AS c
+        WHERE doc_id % {BUCKETS} <> {BUCKETS - 1} OR (SELECT n FROM bad) = 0 GROUP BY doc_id % {BUCKETS}
+        UNION ALL SELECT {BUCKETS - 1}, n, 'bad_utf8' FROM bad WHERE n > 0""",
     "incremental_clean": f"SELECT url, n_kept, raw_content FROM ({CLEAN}) AS c",
     "url_netloc": """SELECT page_id, regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)
         AS netloc FROM pages""",

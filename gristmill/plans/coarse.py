@@ -1,13 +1,15 @@
 """First stage: archives in, cleaned archives out.
 
-A pass over raw bytes finds the files to withhold. Scan, generator, filters,
-projection and write of the others then form one stage without a shuffle, and a
-ledger beside the output says which archives have landed.
+Scan, generator, filters, projection and write form one stage without a shuffle. It
+stages the text of each archive, and notes on files to withhold and on first records;
+then sound archives are published one by one, and a ledger beside the output says which
+have landed. A file that cannot be read ends the stage: it is found and left out.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
@@ -28,14 +30,19 @@ from gristmill.sources.listing import (
     path_exists,
     unreadable_files,
 )
-from gristmill.sources.staging import staged
+from gristmill.sources.staging import discard, staged
 from gristmill.sources.wet import (
+    NOTE_PART,
     ORDER,
-    bad_files,
+    TEXT_PART,
     header_text,
+    note_json,
+    noted_headers,
     output_name,
-    parse_records,
+    parse_noted,
+    publish,
     read_wet_rows,
+    staged_notes,
     to_wet_text,
     write_wet,
 )
@@ -73,56 +80,61 @@ def coarse_rows(
     min_len: int = 1,
     max_entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
-    """Archive text of what stays: file, order columns, wet.
+    """Archive text of what stays, and notes: file, order columns, part, wet.
 
-    Headers pass the cleaning steps untouched, in the same scan and the same order as
-    the documents around them.
+    Headers and notes pass the cleaning steps untouched, in the same scan and the same
+    order as the documents around them. A record of another type in the first row of a
+    block may be the first of its file, and is noted.
     """
     doc = F.col("is_doc") & (F.length("raw_content") >= min_len)
+    noted = (F.col("block_start") == 0) & (F.col("piece") == 0) & F.col("record_text").isNotNull()
     role = (
-        F.when(doc, "doc")
+        F.when(F.col("note").isNotNull(), "note")
+        .when(doc, "doc")
         .when(F.col("kind") == "warcinfo", "header")
+        .when(noted, "note")
     )
     flow = records.withColumn("role", role).where("role IS NOT NULL")
     cleaned = clean_rows(flow, words, passage, paragraph, only=F.col("role") == "doc", max_entries=max_entries)
-    wet = F.when(F.col("role") == "doc", to_wet_text()).when(
-        F.col("role") == "header", header_text()
+    wet = (
+        F.when(F.col("role") == "doc", to_wet_text())
+        .when(F.col("role") == "header", header_text())
+        .otherwise(note_json())
     )
-    return cleaned.select("file", *ORDER, wet.alias("wet"))
+    part = F.when(F.col("role") == "note", NOTE_PART).otherwise(TEXT_PART)
+    return cleaned.select("file", *ORDER, part.alias("part"), wet.alias("wet"))
 
 
 #: What Spark says of a file that ends early or is not what its name says.
 BROKEN = re.compile("EOFException|ZipException|not in gzip format|invalid (stored|block|distance|code|bit)|end of ZLIB|FAILED_READ_FILE")
 
 
-def check_batch(
-    spark: SparkSession, paths: list[str], newline: str
-) -> tuple[list[str], list[tuple[str, str, int]]]:
-    """The sound files of a batch, and (file, reason, n_bad) of the others.
+def stage_batch(
+    spark: SparkSession, paths: list[str], folder: str, newline: str, clean
+) -> tuple[Observation | None, list[str]]:
+    """Stage the cleaned text and the notes of a batch, in one pass over its files.
 
-    One pass over raw rows tells bad text. Only when a file cannot be read are the
-    files looked at one by one; any other failure is raised.
+    Returns the counts that were observed and the files that cannot be read. Only when
+    the pass fails for such a file are the files looked at one by one, and the others
+    staged anew; any other failure is raised.
     """
     unreadable: list[str] = []
     while True:
         good = [p for p in paths if p not in set(unreadable)]
         if not good:
-            return [], [(p, "unreadable", 1) for p in unreadable]
-        rows = read_wet_rows(spark, [literal_path(p) for p in good], newline)
+            return None, unreadable
+        seen = Observation()
+        records = parse_noted(read_wet_rows(spark, [literal_path(p) for p in good], newline))
         try:
-            bad = {r["file"]: (r["reason"], r["n_bad"]) for r in bad_files(rows).collect()}
-            break
+            write_wet(clean(records, seen), folder)
+            return seen, unreadable
         except (PySparkException, Py4JJavaError) as err:
             if unreadable or not BROKEN.search(str(err)):
                 raise
             unreadable = unreadable_files(spark, paths)
             if not unreadable:
                 raise
-    # Names of files are compared without their scheme, which readers spell differently.
-    bad_paths = {_bare(f): found for f, found in bad.items()}
-    failed = [(p, "unreadable", 1) for p in unreadable]
-    failed += [(p, *bad_paths[_bare(p)]) for p in good if _bare(p) in bad_paths]
-    return [p for p in good if _bare(p) not in bad_paths], failed
+            discard(spark, folder)
 
 
 def _bare(path: str) -> str:
@@ -154,26 +166,55 @@ def land_batch(
     min_len: int = 1,
     max_entries: int = BROADCAST_ENTRIES,
 ) -> CoarseReport:
-    """Clean some archives: withhold the broken ones, write the rest, enter them as landed.
+    """Clean some archives: withhold the broken ones, publish the rest, enter them as landed.
 
-    Documents go straight from the scan to the writer. What an archive left behind in a
-    run that was broken off is replaced.
+    Each archive is read once. Its text is staged beside the output and moved there when
+    the whole batch is known; what the archive left there in a run that was broken off is
+    replaced.
     """
-    good, failed = check_batch(spark, paths, newline)
-    report = CoarseReport(n_files=len(paths), n_failed=len(failed))
-    if good:
-        seen = Observation()
-        rows = read_wet_rows(spark, [literal_path(p) for p in good], newline)
-        records = parse_records(rows).observe(
-            seen,
-            F.count_if("is_doc").alias("n_parsed"),
-            F.count_if(F.col("is_doc") & (F.length("raw_content") >= min_len)).alias("n_docs"),
-        )
-        cleaned = coarse_rows(records, words, passage, paragraph, min_len, max_entries)
-        write_wet(cleaned, out, "overwrite")
-        report.n_parsed, report.n_docs = seen.get["n_parsed"], seen.get["n_docs"]
-        names = spark.createDataFrame([(p,) for p in good], "file string")
-        mark_landed(names.select(output_name(F.col("file")).alias("path")), out)
+    counts = F.col("is_doc"), F.col("is_doc") & (F.length("raw_content") >= min_len)
+
+    def clean(records: DataFrame, seen: Observation) -> DataFrame:
+        n_parsed, n_docs = (F.count_if(c) for c in counts)
+        observed = records.observe(seen, n_parsed.alias("n_parsed"), n_docs.alias("n_docs"))
+        return coarse_rows(observed, words, passage, paragraph, min_len, max_entries)
+
+    folder = f"{out.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    try:
+        seen, unreadable = stage_batch(spark, paths, folder, newline, clean)
+        notes = staged_notes(spark, folder)
+        bad = {
+            # Names of files are compared without their scheme, which readers spell differently.
+            _bare(r["file"]): r["n"]
+            for r in notes.where("note = 'bad_utf8'").groupBy("file").agg(F.count("*").alias("n")).collect()
+        }
+        read = [p for p in paths if p not in set(unreadable)]
+        good = [p for p in read if _bare(p) not in bad]
+        failed = [(p, "unreadable", 1) for p in unreadable]
+        failed += [(p, "bad_utf8", bad[_bare(p)]) for p in read if _bare(p) in bad]
+        report = CoarseReport(n_files=len(paths), n_failed=len(failed))
+        if seen is not None:
+            report.n_parsed, report.n_docs = seen.get["n_parsed"], seen.get["n_docs"]
+        if good:
+            heads = noted_headers(notes).select(
+                "file",
+                *[F.lit(0).alias(c) for c in ORDER],
+                F.lit(TEXT_PART).alias("part"),
+                header_text().alias("wet"),
+            )
+            if not heads.isEmpty():
+                write_wet(heads, folder)
+            names = spark.createDataFrame([(p,) for p in good], "file string")
+            names = names.select(output_name(F.col("file")).alias("path"))
+            publish(spark, folder, out, sorted({r["path"] for r in names.collect()}))
+            mark_landed(names, out)
+    finally:
+        discard(spark, folder)
+    withheld = [literal_path(p) for p in read if _bare(p) in bad]
+    if withheld:  # their documents are not in the output, and not in the counts
+        records = parse_noted(read_wet_rows(spark, withheld, newline))
+        n_parsed, n_docs = records.agg(*[F.count_if(c) for c in counts]).first()
+        report.n_parsed, report.n_docs = report.n_parsed - n_parsed, report.n_docs - n_docs
     write_failed(spark, failed, paths, out)
     return report
 

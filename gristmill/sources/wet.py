@@ -30,6 +30,7 @@ from gristmill.functions.text import (
     strip,
     unix_newlines,
 )
+from gristmill.sources.listing import path_exists
 from gristmill.sources.staging import stage
 
 NEWLINES = {"crlf": "\r\n", "lf": "\n"}
@@ -217,6 +218,56 @@ def parse_records(rows: DataFrame, value: str = "value", by_name: bool = False)
     )
 
 
+def parse_noted(rows: DataFrame, value: str = "value") -> DataFrame:
+    """Every non-blank record, and a note on rows that say something of their file.
+
+    As ``parse_records``, with two columns more. ``note`` is NULL for records,
+    ``bad_utf8`` for a row with bytes that are no UTF-8, and ``open`` for a blank row that
+    opens a file: the first record of the file is in the row after it. ``leads`` marks
+    the first record where the row that opens the file holds it.
+    """
+    others = [c for c in rows.columns if c != value]
+    valid = F.call_function("is_valid_utf8", F.col(value))
+    starts = F.col("block_start") == 0
+
+    def noted(ps: Column) -> Column:
+        def note(name: str) -> Column:
+            # Out of bounds: a NULL of the record's type.
+            record = F.get(ps, F.lit(-1)).alias("r")
+            return F.struct(record, F.lit(0).alias("piece"), F.lit(name).alias("note"))
+
+        records = F.transform(
+            ps,
+            lambda p, i: F.struct(
+                p.alias("r"), i.alias("piece"), F.lit(None).cast("string").alias("note")
+            ),
+        )
+        holds = (F.lit("bad_utf8"), ~valid), (F.lit("open"), starts & is_blank(F.col(value)))
+        notes = F.filter(
+            F.array(note("bad_utf8"), note("open")),
+            lambda n: F.coalesce(*[F.when(n["note"] == name, test) for name, test in holds]),
+        )
+        return F.concat(records, notes)
+
+    parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p))
+    marked = starts & F.startswith(lstrip(F.col(value)), F.lit("WARC/"))
+    flat = rows.select(*others, marked.alias("_marked"), F.explode(let(parsed, noted)).alias("_n"))
+    doc = F.coalesce(is_document(F.col("_n.r")), F.lit(False))
+    return flat.select(
+        *others,
+        F.col("_n.piece").alias("piece"),
+        F.col("_n.note").alias("note"),
+        (F.col("_marked") & (F.col("_n.piece") == 0)).alias("leads"),
+        F.col("_n.r.kind").alias("kind"),
+        doc.alias("is_doc"),
+        F.col("_n.r.record_text").alias("record_text"),
+        *[
+            netloc(F.col("_n.r.url")).alias(c) if c == "source_domain" else F.col(f"_n.r.{c}")
+            for c in DOC_COLUMNS
+        ],
+    )
+
+
 def read_wet_rows(spark: SparkSession, path, newline: str = "crlf") -> DataFrame:
     """Raw rows (file, block_start, row_id, value) of all archives under ``path``.
 
@@ -345,23 +396,85 @@ def output_name(file: Column) -> Column:
     return without_gz(base_name(file))
 
 
+#: Folders of a staged write: archive text, and what else was found of the files.
+TEXT_PART, NOTE_PART = "text", "note"
+NOTE = "file string, archive string, row_id long, piece int, note string, leads boolean, text string"
+
+
+def note_json(record_text="record_text") -> Column:
+    """What a note or the first record of a block says, as one line."""
+    return F.to_json(
+        F.struct(
+            "file",
+            output_name(F.col("file")).alias("archive"),
+            "row_id",
+            "piece",
+            "note",
+            "leads",
+            F.col(record_text).alias("text"),
+        )
+    )
+
+
+def staged_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """The notes of a staged write, with the columns of ``NOTE``."""
+    path = f"{folder}/part={NOTE_PART}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], NOTE)
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", RECORD_END).text(path)
+    return lines.select(F.from_json("value", NOTE).alias("n")).select("n.*")
+
+
+def noted_headers(notes: DataFrame) -> DataFrame:
+    """(file, record_text) of files that start with a record of a type of its own.
+
+    Such a record is the first of the row that opens the file, or of the next row of the
+    same task if that is blank.
+    """
+    found = notes.where("note IS NULL")
+    opens = notes.where("note = 'open'").select("file", (F.col("row_id") + 1).alias("row_id"))
+    after = found.where("NOT leads AND piece = 0").join(opens, ["file", "row_id"], "left_semi")
+    return found.where("leads").unionByName(after).select("file", F.col("text").alias("record_text"))
+
+
+def publish(spark: SparkSession, folder: str, out: str, names: list[str]) -> None:
+    """Move the staged text of the named archives to ``out``, one by one.
+
+    What an archive has there is replaced; nothing of other archives is touched.
+    """
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    target = new_path(out)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    for name in names:
+        part = f"archive={escape(name)}"
+        staged_at, place = new_path(f"{folder}/part={TEXT_PART}/{part}"), new_path(f"{out}/{part}")
+        files.delete(place, True)
+        if files.exists(staged_at) and not files.rename(staged_at, place):
+            raise OSError(f"could not move {staged_at.toString()} to {place.toString()}")
+
+
 def write_wet(df: DataFrame, out: str, mode: str = "append") -> None:
     """Write archives to ``out/archive=<name>/``, in record order within each task.
 
-    With mode ``overwrite`` only the archives that ``df`` holds are replaced.
+    With mode ``overwrite`` only the archives that ``df`` holds are replaced. A column
+    ``part``, if there is one, makes folders ``part=<part>`` above those of the archives.
 
     ``df`` has file, the columns of ``ORDER`` and ``wet`` (archive text of a header or
     a document). Rows stay in the task that read them: no shuffle, and a hot archive
     is written by as many tasks as read it. The task that read the start of a file
     has its header record, so the header leads that part.
     """
+    by = [*(["part"] if "part" in df.columns else []), "archive"]
     (
-        df.select(output_name(F.col("file")).alias("archive"), *ORDER, "wet")
-        .sortWithinPartitions("archive", *ORDER)
-        .select("archive", F.col("wet").alias("value"))
+        df.withColumn("archive", output_name(F.col("file")))
+        .select(*by, *ORDER, "wet")
+        .sortWithinPartitions(*by, *ORDER)
+        .select(*by, F.col("wet").alias("value"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("archive")
+        .partitionBy(*by)
         .option("lineSep", RECORD_END)
         .option("compression", "gzip")
         .text(out)

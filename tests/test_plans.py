@@ -5,6 +5,7 @@ import shutil
 
 import pytest
 
+from gristmill.plans import coarse
 from gristmill.plans.coarse import run_coarse
 from gristmill.sources.listing import landed_partitions
 from gristmill.sources.wet import file_headers, read_wet, read_wet_rows
@@ -113,6 +114,79 @@ def test_output_is_equal_on_both_sides_of_the_bound(spark, tmp_path, monkeypatch
         run_coarse(spark, str(data), str(tmp_path / "none"), None)
 
 
+@pytest.mark.parametrize("kind", ["metadata", "request", "warcinfo"])
+@pytest.mark.parametrize("name", ["a.wet.gz", "a.wet"])
+@pytest.mark.parametrize("written, read", [("crlf", "crlf"), ("lf", "lf"), ("lf", "crlf")])
+def test_headers_of_any_type_stay(spark, tmp_path, kind, name, written, read):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    others = record("9", "second\nmetadata\n", kind="metadata")
+    text = INFO.replace("warcinfo", kind) + others + record("1", GOOD) + others
+    if written == "lf":
+        text = text.replace("\r\n", "\n")
+    (data / name).write_bytes(gzip.compress(text.encode()) if name.endswith(".gz") else text.encode())
+    run_coarse(spark, str(data), out, newline=read)
+    assert urls(spark, out) == ["http://h1:8/p"]
+    heads = [r["headers"] for r in file_headers(read_wet_rows(spark, out)).collect()]
+    heads = [h for h in heads if h[1] != "WARC-Type: conversion"]
+    assert [h[:4] for h in heads] == [["WARC/1.0", f"WARC-Type: {kind}", "WARC-Date: 2023-01-01T00:00:00Z", "WARC-Filename: a.warc.wet.gz"]]
+
+
+def test_headers_of_split_plain_files(spark, tmp_path):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    for name in "ab":
+        bodies = {f"{name}{i}": GOOD for i in range(40)}
+        text = INFO.replace("warcinfo", "metadata").replace("a.warc", name) + "".join(record(n, b) for n, b in bodies.items())
+        (data / f"{name}.wet").write_text(text.replace("\r\n", "\n").replace("\n", "\r\n"), newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        run_coarse(spark, str(data), out)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(urls(spark, out)) == 80
+    heads = [r["headers"] for r in file_headers(read_wet_rows(spark, out)).collect()]
+    assert sorted(h[3] for h in heads if h[1] == "WARC-Type: metadata") == ["WARC-Filename: a.wet.gz", "WARC-Filename: b.wet.gz"]
+
+
+def test_an_archive_is_read_once(spark, tmp_path, monkeypatch):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    archive(data, "a.wet.gz", {"1": GOOD})
+    archive(data, "b.wet", {"2": GOOD})
+    read = []
+
+    def counted(spark, paths, newline):
+        read.extend(paths)
+        return read_wet_rows(spark, paths, newline)
+
+    monkeypatch.setattr(coarse, "read_wet_rows", counted)
+    run_coarse(spark, str(data), out)
+    assert sorted(p.split("/")[-1] for p in read) == ["a.wet.gz", "b.wet"]
+    assert urls(spark, out) == ["http://h1:8/p", "http://h2:8/p"]
+    assert not [d for d in os.listdir(out) if d.startswith("_staging")]
+
+
+def test_a_run_broken_off_before_publishing(spark, tmp_path, monkeypatch):
+    data, out = tmp_path / "in", str(tmp_path / "out")
+    data.mkdir()
+    for name in "abc":
+        archive(data, f"{name}.wet", {name: GOOD})
+    publish = coarse.publish
+
+    def part(spark, folder, out, names):
+        publish(spark, folder, out, names[:2])
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(coarse, "publish", part)
+    with pytest.raises(RuntimeError):
+        run_coarse(spark, str(data), out)
+    monkeypatch.setattr(coarse, "publish", publish)
+    assert run_coarse(spark, str(data), out).n_files == 3
+    assert urls(spark, out) == ["http://ha:8/p", "http://hb:8/p", "http://hc:8/p"]
+
+
 ODD_NAMES = ("a b.wet", "a%20c.wet", "d+e.wet.gz", "f[1].wet", "ü{x}.wet.gz")
 
 
