@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gristmill.llm.common import freed
 
@@ -33,7 +34,7 @@ QUERY_MEMORY = "400MB"
 #: a word. Longer pre-tokens (none in prose) are contracted with a heap instead.
 LONG_WORD = 512
 #: Characters a worker cuts into pre-tokens at a time.
-PART_CHARS = 2_000_000
+PART_CHARS = 1_000_000
 #: Entries and bytes a worker remembers, of words and of runs each.
 MEMO_ENTRIES = 400_000
 MEMO_BYTES = 100_000_000
@@ -344,30 +345,39 @@ class Vocabulary:
 
         return plain(ids)
 
-    def round_trip(self, text: Column) -> Column:
-        """Struct (ids, decoded): the ids of a text, and the bytes these ids stand for.
 
-        The decoder gets the ids in the runs the encoder made, which spares finding
-        runs again.
-        """
-        coder = self._coder()
+#: The column that ``round_trip`` adds.
+BPE = "ids array<int>, decoded binary"
 
-        @F.arrow_udf("ids array<int>, decoded binary")
-        def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for texts in freed(batches):
-                ids, decoded = [], []
-                for part in parts(texts):
-                    runs = coder().encode(part)
-                    ids.append(id_lists(runs))
-                    decoded.append(pa.array(coder().decode(runs), pa.binary()))
-                yield pa.StructArray.from_arrays(
-                    [_joined(ids, pa.list_(pa.int32())), _joined(decoded, pa.binary())],
-                    ["ids", "decoded"],
-                )
 
-        return both(text)
+def round_trip(
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """All rows and columns, with ids and decoded bytes of the text as struct ``bpe``.
 
+    ``keep`` names the columns to go on with, if not all.
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
-    """All rows and columns, with ids and decoded bytes of the text as struct ``bpe``."""
-    return docs.withColumn("bpe", vocabulary.round_trip(F.col(text)))
+    The decoder gets the ids in the runs the encoder made, which spares finding runs
+    again. Results leave a task in batches of some ``PART_CHARS`` of text, so that neither
+    side of it holds those of a whole batch it was given.
+    """
+    coder = vocabulary._coder()
+    given = docs.drop("bpe") if text != "bpe" else docs
+    names = set(given.columns if keep is None else keep) - {"bpe"}
+    others = [f for f in given.schema.fields if f.name in names]
+    at = given.columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in freed(batches):
+            done = 0
+            for part in parts(batch.column(at)):
+                rows = batch.slice(done, len(part))
+                done += len(part)
+                runs = coder().encode(part)
+                plain = pa.array(coder().decode(runs), pa.binary())
+                both = pa.StructArray.from_arrays([id_lists(runs), plain], ["ids", "decoded"])
+                kept = {f.name: rows.column(f.name) for f in others}
+                yield pa.RecordBatch.from_pydict(kept | {"bpe": both})
+
+    schema = StructType(others).add("bpe", StructType.fromDDL(BPE))
+    return given.mapInArrow(work, schema)

@@ -45,7 +45,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.round_trip(docs, vocabulary).select(
+    return bpe.round_trip(docs, vocabulary, keep=["doc_id"]).select(
         "doc_id",
         F.size("bpe.ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("bpe.ids").cast("array<string>"), ",").cast("binary"), 256).alias(
