@@ -379,5 +379,5 @@ def round_trip(
                 kept = {f.name: rows.column(f.name) for f in others}
                 yield pa.RecordBatch.from_pydict(kept | {"bpe": both})
 
-    schema = StructType(others).add("bpe", StructType.fromDDL(BPE))
+    schema = StructType([*others]).add("bpe", StructType.fromDDL(BPE))
     return given.mapInArrow(work, schema)
