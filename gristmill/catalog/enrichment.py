@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.catalog.common import DEMO_WORDS, sql_clean, sql_passage_reason, sql_paragraphs, sql_strip, sql_words, table
 from gristmill.catalog.corpus import sql_reason
-from gristmill.operators import enrich
+from gristmill.operators import enrich, ngrams
 from gristmill.operators.postfilter import tag_post
 from gristmill.operators.reasons import funnel
 from gristmill.plans.coarse import clean_rows
@@ -31,6 +31,23 @@ def unigram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents under the trigram model of their language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    scored = ngrams.ngram_perplexity(docs, ngrams.fit_ngrams(docs))
+    return scored.select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+
+
+def ngram_perplexity_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations, with n-grams never seen, under the model of all documents."""
+    docs = table(spark, sf_dir, "documents").select(F.lit("all").alias("lang"), "text")
+    turns = table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), F.lit("all").alias("lang"), "text"
+    )
+    scored = ngrams.ngram_perplexity(turns, ngrams.fit_ngrams(docs), "turn_id")
+    return scored.select("turn_id", F.round("perplexity", 3).alias("perplexity"))
+
+
 def _enriched(docs: DataFrame) -> DataFrame:
     """Deduplicated documents with the columns of the final rules."""
     unique = enrich.dedup_paragraphs(docs, "doc_id", "raw_content")
@@ -67,6 +84,8 @@ QUERIES = {
     "paragraph_dedup": paragraph_dedup,
     "language_score": language_score,
     "unigram_perplexity": unigram_perplexity,
+    "ngram_perplexity": ngram_perplexity,
+    "ngram_perplexity_turns": ngram_perplexity_turns,
     "post_funnel_dedup": post_funnel_dedup,
     "pipeline_full": pipeline_full,
 }
@@ -109,6 +128,43 @@ def _perplexity(source: str, text: str) -> str:
       FROM tokens JOIN c USING (lang, word) JOIN s USING (lang) GROUP BY doc_id"""
 
 
+def _grams(source: str, key: str, text: str, by: str) -> str:
+    return f"""SELECT k, b, w, coalesce(lag(w, 1) OVER o, '') AS v, coalesce(lag(w, 2) OVER o, '') AS u
+      FROM (SELECT k, b, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+            FROM (SELECT {key} AS k, {by} AS b, {sql_words(f'lower({text})')} AS ws FROM {source}) AS a) AS c
+      WINDOW o AS (PARTITION BY k ORDER BY i)"""
+
+
+def _trigrams(fit: str, scored: str, name: str, digits: int) -> str:
+    """Perplexity of the scored rows under the trigram model of the fitted ones."""
+
+    def share(c: str, s: str, d: str) -> str:
+        return f"""CASE WHEN {s}.total IS NULL THEN p
+          ELSE (greatest(coalesce({c}.c, 0) - {d}, 0) + {d} * {s}.types * p) / {s}.total END"""
+
+    def discount(i: int) -> str:
+        once, twice = (f"count(*) FILTER (c = {n})" for n in (1, 2))
+        return f"""d{i} AS (SELECT b, coalesce({once}::DOUBLE / nullif({once} + 2 * {twice}, 0), 0) AS d
+          FROM c{i} GROUP BY b)"""
+
+    return f"""WITH f AS ({fit}), g AS ({scored}),
+      c3 AS (SELECT b, u, v, w, count(*) AS c FROM f GROUP BY ALL),
+      c2 AS (SELECT b, v, w, count(*) AS c FROM c3 GROUP BY ALL),
+      c1 AS (SELECT b, w, count(*) AS c FROM c2 GROUP BY ALL),
+      s3 AS (SELECT b, u, v, sum(c)::DOUBLE AS total, count(*) AS types FROM c3 GROUP BY ALL),
+      s2 AS (SELECT b, v, sum(c)::DOUBLE AS total, count(*) AS types FROM c2 GROUP BY ALL),
+      s1 AS (SELECT b, sum(c)::DOUBLE AS total, count(*) AS types FROM c1 GROUP BY ALL),
+      {discount(1)}, {discount(2)}, {discount(3)},
+      p1 AS (SELECT g.*, (greatest(coalesce(c1.c, 0) - d1.d, 0) + d1.d * s1.types / (s1.types + 1)) / s1.total AS p,
+                    d2.d AS e2, d3.d AS e3
+             FROM g JOIN s1 USING (b) JOIN d1 USING (b) JOIN d2 USING (b) JOIN d3 USING (b) LEFT JOIN c1 USING (b, w)),
+      p2 AS (SELECT p1.* REPLACE ({share('c2', 's2', 'e2')} AS p)
+             FROM p1 LEFT JOIN c2 USING (b, v, w) LEFT JOIN s2 USING (b, v)),
+      p3 AS (SELECT p2.* REPLACE ({share('c3', 's3', 'e3')} AS p)
+             FROM p2 LEFT JOIN c3 USING (b, u, v, w) LEFT JOIN s3 USING (b, u, v))
+      SELECT k AS {name}, round(exp(-avg(ln(p))), {digits}) AS perplexity FROM p3 GROUP BY k"""
+
+
 def _all(source: str) -> str:
     """Deduplicated rows with scores, as CTEs ``u`` and ``e``."""
     return f"""WITH u AS MATERIALIZED ({_dedup(source, 'raw_content', 'doc_id, lang')}),
@@ -133,6 +189,15 @@ SQL = {
         FROM ({_scores('documents', 'text')}) AS x""",
     "unigram_perplexity": f"""SELECT doc_id, round(perplexity, 4) AS perplexity
         FROM ({_perplexity('documents', 'text')}) AS x""",
+    "ngram_perplexity": _trigrams(
+        _grams("documents", "doc_id", "text", "lang"), _grams("documents", "doc_id", "text", "lang"), "doc_id", 4
+    ),
+    "ngram_perplexity_turns": _trigrams(
+        _grams("documents", "doc_id", "text", "'all'"),
+        _grams("conversations", "conv_id * 1000 + turn", "text", "'all'"),
+        "turn_id",
+        3,
+    ),
     "post_funnel_dedup": f"""{_all(DOCS)} SELECT coalesce(reason, 'kept') AS reason, count(*) AS n
         FROM (SELECT {FINAL} AS reason FROM e) AS r GROUP BY ALL""",
     "pipeline_full": f"""{_all(CLEANED)} SELECT doc_id, nlines, length, language, {FINAL} AS reason FROM e""",
