@@ -35,11 +35,15 @@ QUERY_MEMORY = "400MB"
 LONG_WORD = 512
 #: Characters a worker cuts into pre-tokens at a time.
 PART_CHARS = 1_000_000
-#: Entries and bytes a worker remembers, of words and of runs each.
-MEMO_ENTRIES = 400_000
-MEMO_BYTES = 100_000_000
+#: Entries and bytes a worker remembers, of words and of runs each, and about what an
+#: entry takes besides its key and value.
+MEMO_ENTRIES = 500_000
+MEMO_BYTES = 120_000_000
+ENTRY_BYTES = 200
 #: The position takes so many bits of a pair's sort key.
 POS_BITS = 20
+#: Ids are below this; a pair of them is one number.
+ID_SPACE = 1 << 20
 
 #: Letters of the first 256 code points, for which the standard library's expressions,
 #: twice as fast, find the same pre-tokens as the pattern; other texts take the pattern.
@@ -49,9 +53,7 @@ ODD = re.compile(f"[^ -~\n{LETTERS}]")
 CONTRACT = f"""
 WITH RECURSIVE step(it, w, pos, tok, nxt, npos, k) AS (
   SELECT 0, w, pos, tok, nxt, npos, (merged::BIGINT << {POS_BITS}) | pos
-  FROM (SELECT w, pos, tok, lead(tok) OVER o AS nxt, lead(pos) OVER o AS npos
-        FROM start_rows WINDOW o AS (PARTITION BY w ORDER BY pos))
-  LEFT JOIN merges ON tok = a AND nxt = b
+  FROM start_rows LEFT JOIN merges ON tok::BIGINT * {ID_SPACE} + nxt = pair
   UNION ALL
   SELECT it, w, pos, tok, nxt, npos,
          CASE WHEN changed THEN (merged::BIGINT << {POS_BITS}) | pos ELSE k END
@@ -69,7 +71,7 @@ WITH RECURSIVE step(it, w, pos, tok, nxt, npos, k) AS (
       JOIN step g ON g.w = best.w AND g.pos = best.gone
     ) h ON s.w = h.w
     WHERE s.pos <> h.gone
-  ) LEFT JOIN merges ON changed AND tok = a AND nxt = b
+  ) LEFT JOIN merges ON CASE WHEN changed THEN tok::BIGINT * {ID_SPACE} + nxt END = pair
 )
 SELECT w, list(tok ORDER BY pos) AS ids
 FROM step JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) USING (w, it)
@@ -136,24 +138,30 @@ def contract_long(word: bytes, tokens: list[bytes], rank: dict[bytes, int]) -> l
     return [rank[p] for p in part if p is not None]
 
 
-def remember(known: dict, lists: list[list], find, most: int) -> dict:
-    """What is known, with what ``find`` says of the entries of the lists that are not.
+class Memory:
+    """What a worker has found, in two generations of bounded size.
 
-    Beyond ``most`` entries, or a size of ``MEMO_BYTES``, only those in the lists are kept.
+    An entry that is used moves to the young one. When that is full it becomes the old
+    one, and what only the old one held is forgotten.
     """
-    used = set().union(*lists)
-    if len(known) + len(used) > most or known.get(None, 0) > MEMO_BYTES:
-        known = {x: known[x] for x in used if x in known}
-        known[None] = sum(map(entry_bytes, known, known.values()))
-    new = find(sorted(used - known.keys()))
-    known |= new
-    known[None] = known.get(None, 0) + sum(map(entry_bytes, new, new.values()))
-    return known
 
-
-def entry_bytes(key: str | bytes, value: bytes) -> int:
-    """About what an entry of a worker's memory takes."""
-    return 200 + len(key) + len(value)
+    def __init__(self, entries: int):
+        self.entries = entries
+        self.young: dict = {}
+        self.old: dict = {}
+        self.size = 0
+
+    def look_up(self, lists: list[list], find) -> dict:
+        """Entries of all that is in the lists; ``find`` works out the ones not known."""
+        used = set().union(*lists)
+        if len(self.young) + len(used) > self.entries // 2 or self.size > MEMO_BYTES // 2:
+            self.old, self.young, self.size = self.young, {}, 0
+        rest = used - self.young.keys()
+        known = rest & self.old.keys()
+        more = {x: self.old[x] for x in known} | find(sorted(rest - known))
+        self.young |= more
+        self.size += sum(map(len, more)) + sum(map(len, more.values())) + ENTRY_BYTES * len(more)
+        return self.young
 
 
 class Coder:
@@ -164,7 +172,6 @@ class Coder:
         import regex
 
         self.tokens = tokens
-        self.memo = memo
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.find = regex.compile(pattern).findall
         latin = pattern.replace(r"^\s\p{L}\p{N}", rf"^\s{LETTERS}0-9")
@@ -172,10 +179,11 @@ class Coder:
         self.quick = re.compile(latin).findall if "\\p" not in latin else None
         self.of_byte = np.array([self.rank[bytes([i])] for i in range(256)], dtype=np.int32)
         self.opens = np.array([t[:1] in (b" ", b"\n") for t in tokens])
-        self.ids: dict[str | None, bytes | int] = {}
-        self.plain: dict[bytes | None, bytes | int] = {}
+        self.ids = Memory(memo)
+        self.plain = Memory(memo)
         self.db = duckdb.connect(config={"threads": 1, "temp_directory": "", "memory_limit": QUERY_MEMORY})
-        self.load("merges", a=merges[:, 0], b=merges[:, 1], merged=merges[:, 2])
+        pairs = merges[:, 0].astype(np.int64) * ID_SPACE + merges[:, 1]
+        self.load("merges", pair=pairs, merged=merges[:, 2])
         self.load("vocab", id=np.arange(len(tokens)), hex=[t.hex() for t in tokens])
 
     def load(self, name: str, **columns) -> None:
@@ -184,14 +192,20 @@ class Coder:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def rows(self, name: str, flat: np.ndarray, lengths: np.ndarray) -> None:
+    def rows(self, name: str, flat: np.ndarray, lengths: np.ndarray, pairs: bool) -> None:
+        """Rows (w, pos, tok) of all words; with ``pairs`` also the next token and its place."""
         first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        self.load(
-            name,
-            w=np.repeat(np.arange(len(lengths), dtype=np.int32), lengths),
-            pos=(np.arange(len(flat)) - first).astype(np.int32),
-            tok=flat,
-        )
+        columns = {
+            "w": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths),
+            "pos": (np.arange(len(flat)) - first).astype(np.int32),
+            "tok": flat,
+        }
+        if pairs:
+            last = np.zeros(len(flat), dtype=bool)
+            last[np.cumsum(lengths) - 1] = True
+            columns["nxt"] = pa.array(np.append(flat[1:], flat[:1]), mask=last)
+            columns["npos"] = pa.array(columns["pos"] + np.int32(1), mask=last)
+        self.load(name, **columns)
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Each pre-token with its ids as little-endian 32-bit integers."""
@@ -216,7 +230,7 @@ class Coder:
     def contract(self, block: list[int], words: list[str], raw: list[bytes]) -> dict[str, bytes]:
         lengths = np.array([len(raw[i]) for i in block])
         flat = np.frombuffer(b"".join(raw[i] for i in block), dtype=np.uint8)
-        self.rows("start_rows", self.of_byte[flat], lengths)
+        self.rows("start_rows", self.of_byte[flat], lengths, True)
         ids = self.db.sql(CONTRACT).to_arrow_table()["ids"].combine_chunks()
         data = ids.flatten().to_numpy().astype("<i4").tobytes()
         ends = ids.offsets.to_numpy() * 4
@@ -233,7 +247,7 @@ class Coder:
             flat = np.frombuffer(b"".join(part), dtype="<i4")
             if len(flat) and (flat.min() < 0 or flat.max() >= len(self.tokens)):
                 raise ValueError("id outside the vocabulary")
-            self.rows("id_rows", flat, np.array([len(r) // 4 for r in part]))
+            self.rows("id_rows", flat, np.array([len(r) // 4 for r in part]), False)
             plain = self.db.sql(DECODE).to_arrow_table()["plain"].to_pylist()
             found |= zip(part, plain, strict=True)
         return found
@@ -245,13 +259,13 @@ class Coder:
     def encode(self, texts: list[str]) -> list[list[bytes]]:
         """Runs of ids of each text, one for each pre-token."""
         cut = [self.words(t) for t in texts]
-        self.ids = remember(self.ids, cut, self.encode_words, self.memo)
-        return [list(map(self.ids.__getitem__, words)) for words in cut]
+        found = self.ids.look_up(cut, self.encode_words)
+        return [list(map(found.__getitem__, words)) for words in cut]
 
     def decode(self, runs: list[list[bytes]]) -> list[bytes]:
         """Bytes of each list of runs."""
-        self.plain = remember(self.plain, runs, self.decode_runs, self.memo)
-        return [b"".join(map(self.plain.__getitem__, parts)) for parts in runs]
+        found = self.plain.look_up(runs, self.decode_runs)
+        return [b"".join(map(found.__getitem__, parts)) for parts in runs]
 
     def runs_of(self, ids: np.ndarray) -> list[bytes]:
         """Ids cut before each token that starts with a blank: runs that come again."""
@@ -300,7 +314,7 @@ class Vocabulary:
 
     def __init__(self, spark: SparkSession, path: str, pattern: str, memo: int = MEMO_ENTRIES):
         tokens = read_ranks(path)
-        if len(tokens) > 1 << 20:
+        if len(tokens) > ID_SPACE:
             raise ValueError("the vocabulary is over the bound of a broadcast")
         self.shared = spark.sparkContext.broadcast(
             {"tokens": tokens, "merges": merge_table(tokens), "pattern": pattern, "memo": memo}
