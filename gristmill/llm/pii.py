@@ -60,7 +60,9 @@ BEFORE = (
     "account", "konto", "cuenta", "compte", "login", "telefon", "kontakt", "courriel", "correo",
 )
 NOT_BEFORE = ("page", "isbn", "version", "chapter", "issn", "doi", "seite", "total", "price", "figure")
-AROUND = 24
+
+#: Type of an added span.
+ADDED = "struct<s:int,k:int,e:int,kind:string>"
 
 LABELERS = ("regex", "gazetteer", "context", "shape")
 ABSTAIN = 2
@@ -166,10 +168,8 @@ def candidates(text: Column) -> Column:
 
     def described(family: str, k: int):
         def span(x: Column) -> Column:
-            start = F.greatest(x["s"] - AROUND, F.lit(0))
-            before = F.lower(F.substring(text, start + 1, x["s"] - start))
             return let(
-                votes(family, x["v"], before),
+                votes(family, x["v"], F.lower(x["before"])),
                 lambda ballot: F.struct(
                     x["s"].alias("s"),
                     F.lit(k).alias("k"),
@@ -327,10 +327,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         F.filter("candidates", lambda c: model.accepts(c["features"])),
         lambda c: F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"), c["kind"].alias("kind")),
     )
-    return found.select(
-        F.col("_key").alias(key),
-        "base",
-        not_inside_others(without_overlap(accepted, F.col("base"))).alias("added"),
+    apart = without_overlap(accepted, F.col("base"), ADDED).alias("added")
+    return found.select(F.col("_key").alias(key), "base", apart).withColumn(
+        "added", not_inside_others(F.col("added"), ADDED)
     )
 
 

@@ -1,16 +1,17 @@
 """Secrets, told from copied examples by who else has them.
 
-Candidates are found row by row with built-in functions. The hash of each value is
-counted over the whole corpus by distinct repositories (documents) and by distinct
-owners (sources): a value that many owners hold is a widely copied example, a value
-of few owners that looks random is taken for a live credential. Documents are counted
-but do not enter the verdict. Only hashes and ids
-are shuffled, never texts; distinct pairs are formed before anything is counted, so
-a value that every document holds is no hot key, and verdicts return to their
-documents by the document's key.
-
-Defined results: NULL text is empty. NULL owners count as one owner. Documents that
-share a key get the same verdict for the same value. Long texts are searched whole.
+Candidates are found row by row with built-in functions. The hash of each secret is
+counted over the whole corpus by distinct repositories (documents) and by distinct owners
+(sources): a value that more than ``MAX_OWNERS`` owners or ``MAX_REPOS`` repositories hold
+is a widely copied example; a value of fewer that looks random is taken for a live
+credential. Of a match only the secret is counted and judged: the value of an assignment,
+the password of a login, the token of a header. Only hashes and ids are shuffled, never
+texts; distinct pairs are formed before anything is counted, so a value that every
+document holds is no hot key, and verdicts return to their documents by the document's key.
+
+Defined results: NULL text is empty. A NULL owner may be anyone, so each of its documents
+counts as an owner of its own; a document without a key is named by its text. Documents
+that share a key get the same verdict for the same value. Long texts are searched whole.
 """
 
 from __future__ import annotations
@@ -19,11 +20,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import let
-from gristmill.llm.spans import kind_spans, not_inside_others, span_text, without_overlap
+from gristmill.llm.spans import (
+    kind_spans,
+    looked_up,
+    not_inside_others,
+    replaced,
+    span_text,
+    without_overlap,
+)
 from gristmill.sources.staging import stage
 
-#: A value more owners than this hold is an example.
+#: A value more owners, or more documents, than this hold is an example.
 MAX_OWNERS = 3
+MAX_REPOS = 100
+#: A secret has so many characters and so many different ones; more if all are letters.
+LENGTH, DIFFERENT = 8, 8
+LETTERS_LENGTH, LETTERS_DIFFERENT = 12, 7
+
+FOUND = "struct<s:int,k:int,e:int,kind:string,hash:string,random:boolean>"
+COUNTED = "struct<hash:string,n_owners:bigint,n_repos:bigint>"
+JUDGED = "struct<s:int,k:int,e:int,kind:string,owners:bigint,repos:bigint,live:boolean>"
 
 # Patterns of the basic kinds. The hexadecimal run is written with its
 # least length, which finds the same runs as filtering all of them afterwards.
@@ -88,78 +104,118 @@ def extra_spans(text: Column) -> Column:
     )
 
 
-def secret_value(span: Column) -> Column:
-    """What is secret in a match: the value of an assignment, else all of it."""
-    return F.when(span["kind"] == "assign", assigned(span["v"])).otherwise(span["v"])
-
-
-def value_hash(span: Column) -> Column:
-    return F.md5(secret_value(span).cast("binary"))
-
-
-def looks_live(span: Column) -> Column:
-    """Random-looking: a digit, eight different characters, no word of a placeholder."""
-
-    def test(v: Column) -> Column:
-        different = F.size(F.array_distinct(F.split(v, "")))
-        holds = F.lit(False)
-        for word in PLACEHOLDERS:
-            holds = holds | F.contains(F.lower(v), F.lit(word))
-        return (F.length(v) >= 8) & (different >= 8) & F.rlike(v, F.lit("[0-9]")) & ~holds
-
-    return let(secret_value(span), test)
-
+#: The secret in a match of a kind; of other kinds it is the whole match.
+SECRET_PART = {
+    "assign": ASSIGN,
+    "bearer": r"^[Bb]earer (.*)$",
+    "url_login": r"://[^\s/:@]{1,64}:([^\s/@]{3,64})@",
+}
 
-def find(docs: DataFrame, key: str, owner: str, text: str) -> DataFrame:
-    """(_key, _owner, base, extra) of each row; spans hold a hash and never the value."""
-    value = F.coalesce(F.col(text), F.lit(""))
 
-    def digest(spans: Column) -> Column:
-        return F.transform(
-            spans,
-            lambda x: F.struct(
+def secret_value(span: Column) -> Column:
+    """What is secret in a match."""
+    value = span["v"]
+    for kind, pattern in SECRET_PART.items():
+        part = F.regexp_extract(span["v"], pattern, 1)
+        value = F.when(span["kind"] == kind, part).otherwise(value)
+    return value
+
+
+def looks_random(v: Column) -> Column:
+    """Long and mixed enough, and without a word of a placeholder."""
+    different = F.size(F.array_distinct(F.split(v, "")))
+    holds = F.lit(False)
+    for word in PLACEHOLDERS:
+        holds = holds | F.contains(F.lower(v), F.lit(word))
+    letters = (F.length(v) >= LETTERS_LENGTH) & (different >= LETTERS_DIFFERENT)
+    mixed = (F.length(v) >= LENGTH) & (different >= DIFFERENT) & F.rlike(v, F.lit("[0-9]"))
+    return (mixed | letters) & ~holds
+
+
+def described(spans: Column) -> Column:
+    """Spans with a hash of the secret and the look of it, and without the value."""
+    return F.transform(
+        spans,
+        lambda x: let(
+            secret_value(x),
+            lambda v: F.struct(
                 x["s"].alias("s"),
                 x["k"].alias("k"),
                 x["e"].alias("e"),
                 x["kind"].alias("kind"),
-                value_hash(x).alias("hash"),
-                looks_live(x).alias("random"),
+                F.md5(v.cast("binary")).alias("hash"),
+                looks_random(v).alias("random"),
             ),
-        )
+        ),
+    )
+
 
+def mark(key: Column, text: Column) -> Column:
+    """Name of a document: its key, or without one a hash of its text."""
+    return F.coalesce(
+        F.concat(F.lit("key:"), key.cast("string")), F.concat(F.lit("text:"), F.md5(text.cast("binary")))
+    )
+
+
+def find(docs: DataFrame, key: str, owner: str, text: str) -> DataFrame:
+    """(_key, _mark, _owner, base, extra) of each row."""
+    value = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.col(key).alias("_key"),
-        F.col(owner).alias("_owner"),
-        digest(base_spans(value)).alias("base"),
-        digest(extra_spans(value)).alias("extra"),
+        mark(F.col(key), value).alias("_mark"),
+        F.col(owner).cast("string").alias("_owner"),
+        described(base_spans(value)).alias("base"),
+        described(extra_spans(value)).alias("extra"),
     )
 
 
-def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repos) of every candidate value of the corpus."""
-    pairs = found.select("_key", "_owner", F.explode(F.concat("base", "extra")).alias("x")).select(
-        F.col("x.hash").alias("hash"), "_key", "_owner"
-    )
-    owners = pairs.select("hash", "_owner").distinct().groupBy("hash")
-    repos = pairs.select("hash", "_key").distinct().groupBy("hash")
+def ownership(held: DataFrame) -> DataFrame:
+    """(hash, n_owners, n_repos) of every candidate value; held has (hash, _mark, _owner)."""
+    owner = F.coalesce(
+        F.concat(F.lit("owner:"), "_owner"), F.concat(F.lit("of "), F.col("_mark"))
+    ).alias("_owner")
+    owners = held.select("hash", owner).distinct().groupBy("hash")
+    repos = held.select("hash", "_mark").distinct().groupBy("hash")
     return owners.agg(F.count(F.lit(1)).alias("n_owners")).join(
         repos.agg(F.count(F.lit(1)).alias("n_repos")), "hash"
     )
 
 
-def verdicts(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """(_key, copied): for each key with a candidate the hashes that are widely copied."""
-    held = found.select("_key", F.explode(F.concat("base", "extra")).alias("x")).select(
-        "_key", F.col("x.hash").alias("hash")
+def verdicts(found: DataFrame) -> DataFrame:
+    """(_mark, counts): for each document with a candidate its hashes with their counts."""
+    held = found.select("_mark", "_owner", F.explode(F.concat("base", "extra")).alias("x")).select(
+        "_mark", "_owner", F.col("x.hash").alias("hash")
     )
-    copied = F.when(F.col("n_owners") > max_owners, F.col("hash"))
-    joined = held.distinct().join(ownership(found), "hash")
-    return joined.groupBy("_key").agg(F.collect_set(copied).alias("copied"))
+    joined = held.select("_mark", "hash").distinct().join(ownership(held), "hash")
+    return joined.groupBy("_mark").agg(
+        F.collect_list(F.struct("hash", "n_owners", "n_repos")).alias("counts")
+    )
+
+
+def judged(spans: Column, counts: Column, max_owners: int, max_repos: int) -> Column:
+    """Spans with their counts, by start; live are random-looking ones that few hold."""
+    table = F.coalesce(counts, F.array()).cast(f"array<{COUNTED}>")
+    pairs = looked_up(spans, table, FOUND, COUNTED)
+
+    def verdict(p: Column) -> Column:
+        x = p["x"]
+        owners, repos = (F.coalesce(p["found"][n], F.lit(1)) for n in ("n_owners", "n_repos"))
+        copied = (owners > max_owners) | (repos > max_repos)
+        return F.struct(
+            x["s"].alias("s"),
+            x["k"].alias("k"),
+            x["e"].alias("e"),
+            x["kind"].alias("kind"),
+            owners.alias("owners"),
+            repos.alias("repos"),
+            (x["random"] & ~copied).alias("live"),
+        ).cast(JUDGED)
+
+    return F.array_sort(F.transform(pairs, verdict))
 
 
-def live(spans: Column, copied: Column) -> Column:
-    """Random-looking spans whose value few owners hold."""
-    return F.filter(spans, lambda x: x["random"] & ~F.array_contains(copied, x["hash"]))
+def live(spans: Column) -> Column:
+    return F.filter(spans, lambda x: x["live"])
 
 
 def scan(
@@ -168,34 +224,28 @@ def scan(
     owner: str = "source",
     text: str = "text",
     max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
 ) -> DataFrame:
-    """(key, base, added, live) for every row: basic spans, those the method adds, live ones."""
+    """(key, base, added, live) for every row: basic spans, those the method adds, live ones.
+
+    A span says how many owners and repositories hold its secret.
+    """
     # Texts are searched once; the spans, a small table, go on from the shared folder.
     found = stage(find(docs, key, owner, text), "secrets")
-    marks = verdicts(found, max_owners).withColumnRenamed("_key", "_mark")
-    joined = found.join(marks, F.col("_key").eqNullSafe(F.col("_mark")), "left")
-    copied = F.coalesce("copied", F.array().cast("array<string>"))
-    return joined.select(
-        F.col("_key").alias(key),
-        "base",
-        not_inside_others(without_overlap(live(F.col("extra"), copied), F.col("base"))).alias("added"),
-        live(F.col("base"), copied).alias("live"),
-    )
+    joined = found.join(verdicts(found), "_mark", "left")
 
+    def of(column: str) -> Column:
+        return judged(F.col(column), F.col("counts"), max_owners, max_repos)
 
-def replaced(text: Column, spans: Column, by: str) -> Column:
-    """The text with each of the given spans (sorted, not overlapping) replaced."""
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        spans,
-        first,
-        lambda acc, x: F.struct(
-            x["e"].alias("at"),
-            F.concat(
-                acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(by)
-            ).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+    # In steps, as one expression would be nested too deeply to be analysed.
+    marked = joined.select("_key", of("base").alias("base"), of("extra").alias("extra"))
+    apart = without_overlap(live(F.col("extra")), F.col("base"), JUDGED)
+    added = marked.select("_key", "base", apart.alias("added"))
+    return added.select(
+        F.col("_key").alias(key),
+        "base",
+        not_inside_others(F.col("added"), JUDGED).alias("added"),
+        live(F.col("base")).alias("live"),
     )
 
 
@@ -205,6 +255,7 @@ def redact(
     owner: str = "source",
     text: str = "text",
     max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
 ) -> DataFrame:
     """``docs`` with live secrets replaced by a mark; same rows and columns.
 
@@ -216,25 +267,17 @@ def redact(
     for gate in gates(value).values():
         suspect = suspect | gate
     suspects = docs.where(suspect)
-    marks = verdicts(stage(find(suspects, key, owner, text), "secrets"), max_owners)
-    copied = F.coalesce(F.col("_gm_marks.copied"), F.array().cast("array<string>"))
-    spans = F.transform(
-        F.concat(base_spans(value), extra_spans(value)),
-        lambda x: F.struct(
-            x["s"].alias("s"),
-            x["k"].alias("k"),
-            x["e"].alias("e"),
-            value_hash(x).alias("hash"),
-            looks_live(x).alias("random"),
-        ),
-    )
-    cleaned = let(
-        not_inside_others(live(spans, copied)),
-        lambda x: F.when(F.size(x) > 0, replaced(F.col(text), x, REDACTED)).otherwise(F.col(text)),
-    )
-    marks = marks.select(F.col("_key").alias("_gm_key"), F.struct("copied").alias("_gm_marks"))
-    joined = suspects.join(marks, F.col(key).eqNullSafe(F.col("_gm_key")), "left")
-    mended = joined.select(
+    marks = verdicts(stage(find(suspects, key, owner, text), "secrets"))
+    marks = marks.select(F.col("_mark").alias("_gm_key"), F.col("counts").alias("_gm_counts"))
+    joined = suspects.join(marks, mark(F.col(key), value) == F.col("_gm_key"), "left")
+    # In steps, as one expression would be nested too deeply to be analysed.
+    spans = described(F.concat(base_spans(value), extra_spans(value)))
+    steps = joined.withColumn("_gm_spans", spans)
+    found = live(judged(F.col("_gm_spans"), F.col("_gm_counts"), max_owners, max_repos))
+    steps = steps.withColumn("_gm_spans", found)
+    steps = steps.withColumn("_gm_spans", not_inside_others(F.col("_gm_spans"), JUDGED))
+    cleaned = replaced(F.col(text), F.col("_gm_spans"), REDACTED)
+    mended = steps.select(
         *[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns]
     )
     return docs.where(~suspect).unionByName(mended)
@@ -246,10 +289,15 @@ def summary(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     def n(kind: str) -> Column:
         return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
+    def most(name: str) -> Column:
+        return F.array_max(F.transform(F.concat("base", "added"), lambda x: x[name]))
+
     return scanned.select(
         key,
         *[n(kind) for kind in BASE_KINDS],
         F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         span_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.size("live").cast("long").alias("n_live"),
+        most("owners").alias("max_owners"),
+        most("repos").alias("max_repos"),
     )

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from gristmill.llm import pii, queries
 
@@ -80,3 +81,15 @@ def test_no_python_in_the_plan(spark):
     plan = pii.find(docs, "doc_id", "text")._jdf.queryExecution().toString()
     plan += pii.summary(pii.scan(docs))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_many_spans_in_one_text(spark):
+    """100,000 spans of several families in 2 MB."""
+    parts = [f"a{i}@b.co +1 222 {i:07d} 1.2.3.{i % 250}, call (555) {1000000 + i}" for i in range(25_000)]
+    text = "\n".join(parts)
+    assert len(text) > 1_000_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    row = pii.summary(pii.scan(docs)).first()
+    assert time.time() - start < 40
+    assert row["base_sha256"] == digest(brute(text)) and row["n_email"] == 25_000

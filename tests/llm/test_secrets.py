@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -89,3 +90,52 @@ def test_redaction(spark):
 def test_no_python_in_the_plan(spark):
     plan = secrets.summary(secrets.scan(corpus(spark)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+CASES = {
+    "password = correcthorsebattery": "[SECRET]",
+    "get ftp://user:letmeinplease@host/x": "get [SECRET]host/x",
+    "Authorization: Bearer abcdefghijklmnopqrstuvwxyzABCD": "Authorization: [SECRET]",
+    "at https://sampleuser:Zx81kq9Lm2pW@db1 now": "at [SECRET]db1 now",
+    "password = mandatory": None,
+    "password = yourpassword12345": None,
+}
+
+
+def test_only_the_secret_is_judged(spark):
+    rows = [(i, f"s{i}", t) for i, t in enumerate(CASES)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert got == {i: CASES[t] or t for i, _, t in rows}
+
+
+def test_copies_of_unknown_and_of_one_owner(spark):
+    token = "token = 9f8a7b6c5d4e3f2a1b0c9d8e"
+    other = "token = 0f8a7b6c5d4e3f2a1b0c9d8e"
+    few = "token = 1f8a7b6c5d4e3f2a1b0c9dzz"
+    rows = [(i, None, token) for i in range(500)] + [(1000 + i, "one", other) for i in range(150)]
+    rows += [(2000 + i, "one", few) for i in range(50)] + [(None, None, few + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    by = {r["doc_id"]: r for r in secrets.summary(secrets.scan(docs)).collect()}
+    assert (by[3]["n_live"], by[3]["max_owners"], by[3]["max_repos"]) == (0, 500, 500)
+    assert (by[1003]["n_live"], by[1003]["max_owners"], by[1003]["max_repos"]) == (0, 1, 150)
+    assert (by[2003]["n_live"], by[2003]["max_owners"], by[2003]["max_repos"]) == (1, 2, 51)
+    assert by[None]["n_live"] == 1
+    kept = {r["text"] for r in secrets.redact(docs).collect()}
+    assert kept == {token, other, "[SECRET]", "[SECRET] x"}
+
+
+@pytest.mark.parametrize("n, copies", [(20_000, 1), (5_000, 5)])
+def test_many_spans_in_one_text(spark, n, copies):
+    """Spans in one text, all different; copies make each a copied value, else it is a live one."""
+    text = " ".join(f"token={i:08x}QRSTUVWZ" for i in range(n))
+    rows = [(i, f"s{i}", text) for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    start = time.time()
+    row = secrets.summary(secrets.scan(docs)).orderBy("doc_id").first()
+    assert row["n_assign"] == n and row["base_sha256"] == digest(brute(text))
+    assert row["max_owners"] == copies and row["n_live"] == (n if copies == 1 else 0)
+    out = secrets.redact(docs).first()["text"]
+    assert out.count("[SECRET]") == (n if copies == 1 else 0) and (out == text) == (copies > 1)
+    # A pass that is quadratic in the spans takes many minutes.
+    assert time.time() - start < 120
