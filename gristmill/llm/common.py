@@ -29,9 +29,12 @@ def held_out(doc_id: Column) -> Column:
 def give_back() -> None:
     """Hand memory this process has freed back to the system, where its allocators can."""
     import ctypes
+    import gc
 
     import pyarrow
 
+    gc.collect()
+
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
