@@ -23,17 +23,29 @@ from gristmill.llm.queries import BPE_RANKS
 from gristmill.sources.staging import stage
 
 
+#: Rows per Arrow batch. Documents are long, and a task holds a batch and its results on
+#: both sides; 10,000, Spark's own setting, are some 33 MB of text.
+BATCH_ROWS = 2_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Pre-tokens a worker remembers. Workers live on into the next run's first stages, so
 #: they hold less here than a job that only encodes.
 MEMO = 120_000
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session send smaller batches to Python workers, for all stages of a run."""
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(model.score(F.col("text")) < 0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     judged = neardup.near_duplicates(docs.select("doc_id", "text"))
     # Only the ids that go are joined; a short list is broadcast by the planner, which
     # knows its size, and texts are shuffled for a long one only.
@@ -42,6 +54,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -50,6 +63,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     vocabulary = bpe.Vocabulary(
         spark, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, memo=MEMO
     )
