@@ -20,7 +20,7 @@ from gristmill.operators.postfilter import (
     tag_post,
 )
 from gristmill.operators.reasons import funnel
-from gristmill.plans.post import REASONS, observe_funnel
+from gristmill.plans.post import REASONS, land_results, observe_funnel, pending_files, run_post
 from gristmill.sources.staging import new_folder
 from gristmill.sources.corpus import read_corpus, write_corpus
 from gristmill.sources.enriched import read_enriched
@@ -117,6 +117,28 @@ def corpus_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def post_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage in three runs, with rows of one that was broken off in between.
+
+    Every result file lands once: rows per cut, file language and language of the corpus.
+    """
+    folder, out = new_folder(spark, "enriched"), new_folder(spark, "corpus")
+    # Several files in each cut, told apart by their names there.
+    rows = enriched(spark, sf_dir).withColumn("shard", F.lit("s")).repartition(5, "doc_id")
+    rows.drop("doc_id").write.partitionBy("cut", "shard").json(f"{folder}/res")
+    paths = sorted(r["path"] for r in pending_files(spark, folder, out, "*.json").collect())
+    # A run that stops before its entry leaves rows, here even such as no rule lets through.
+    left = read_enriched(spark, paths[::3], glob="*.json")
+    write_corpus(project_corpus(left, "cut", "file"), out, commit="c-broken-off")
+    land_results(spark, paths[::2], out, glob="*.json")
+    for _ in range(2):
+        run_post(spark, folder, out, glob="*.json", batch_files=1 + len(paths) // 3)
+    kept = read_corpus(spark, out)
+    return kept.groupBy("cut", "language").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("n_chars")
+    )
+
+
 def post_funnel_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts taken in passing while the corpus is written."""
     tagged, seen = observe_funnel(tag_post(enriched(spark, sf_dir)))
@@ -148,6 +170,7 @@ QUERIES = {
     "corpus_rows": corpus_rows,
     "corpus_partitions": corpus_partitions,
     "enriched_files": enriched_files,
+    "post_resume": post_resume,
 }
 
 KEPT = f"(SELECT * FROM {ENRICHED} WHERE {sql_reason()} IS NULL) AS k"
@@ -174,6 +197,8 @@ SQL = {
         language, doc_id FROM {MARKED} WHERE {sql_reason()} IS NULL""",
     "corpus_partitions": f"""SELECT cut, language, count(*) AS n,
         sum(length(raw_content))::BIGINT AS n_chars FROM {KEPT} GROUP BY cut, language""",
+    "post_resume": f"""SELECT 'cut=' || cut AS cut, language, count(*) AS n,
+        sum(length(raw_content))::BIGINT AS n_chars FROM {KEPT} GROUP BY cut, language""",
     "enriched_files": f"""SELECT 'cut=' || cut AS cut, coalesce(reason, 'kept') AS reason, count(*) AS n
         FROM (SELECT cut, {sql_reason()} AS reason FROM {ENRICHED}) AS r GROUP BY ALL""",
 }

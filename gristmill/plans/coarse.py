@@ -22,14 +22,8 @@ from gristmill.functions.paths import literal_path
 from gristmill.operators.lexicon import BROADCAST_ENTRIES, settled
 from gristmill.operators.paragraphs import ParagraphRules, clean_documents
 from gristmill.operators.passage import PassageRules, keep_passages
-from gristmill.sources.listing import (
-    landed,
-    list_archives,
-    mark_landed,
-    path_batches,
-    path_exists,
-    unreadable_files,
-)
+from gristmill.sources.ledger import landed, mark_landed
+from gristmill.sources.listing import list_archives, path_batches, path_exists, unreadable_files
 from gristmill.sources.staging import discard, staged
 from gristmill.sources.wet import (
     NOTE_PART,

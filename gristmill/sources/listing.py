@@ -29,25 +29,6 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.col("length").alias("size"))
 
 
-LEDGER = "_landed"
-
-
-def landed(spark: SparkSession, out: str) -> DataFrame:
-    """Names of the inputs whose output is complete, as ``path``; none before the first batch."""
-    folder = f"{out.rstrip('/')}/{LEDGER}"
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], "path string")
-    return spark.read.schema("path string").json(folder).distinct()
-
-
-def mark_landed(names: DataFrame, out: str) -> None:
-    """Enter names after the commit of their output.
-
-    An input that is not entered is worked on again, and what it left is replaced.
-    """
-    names.select("path").write.mode("append").json(f"{out.rstrip('/')}/{LEDGER}")
-
-
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path, "*.{gz,wet}")
 
