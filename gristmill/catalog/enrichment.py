@@ -11,6 +11,7 @@ from gristmill.operators import enrich, ngrams
 from gristmill.operators.postfilter import tag_post
 from gristmill.operators.reasons import funnel
 from gristmill.plans.coarse import clean_rows
+from gristmill.sources.staging import new_folder, stage
 
 
 def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,19 @@ def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.dedup_paragraphs(docs, "doc_id", "text")
 
 
+def paragraph_dedup_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in three increments by id, the second of them run twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    state = new_folder(spark, "paragraphs")
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    parts = [docs.where(F.floor(F.col("doc_id") * 3 / (last + 1)) == i) for i in range(3)]
+    kept = [
+        stage(enrich.dedup_increment(parts[i], state, f"{i}", "doc_id", "text"), "increment")
+        for i in (0, 1, 1, 2)
+    ]
+    return kept[0].unionByName(kept[2]).unionByName(kept[3])
+
+
 def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     scored = enrich.language_score(docs, enrich.language_profiles(docs))
@@ -50,7 +64,8 @@ def ngram_perplexity_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enriched(docs: DataFrame) -> DataFrame:
     """Deduplicated documents with the columns of the final rules."""
-    unique = enrich.dedup_paragraphs(docs, "doc_id", "raw_content")
+    # Profiles, scores, perplexity and rows all read the texts that stay.
+    unique = stage(enrich.dedup_paragraphs(docs, "doc_id", "raw_content"), "unique")
     scores = enrich.language_score(
         unique, enrich.language_profiles(unique, "lang", "raw_content"), "doc_id", "raw_content"
     )
@@ -82,6 +97,7 @@ def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "paragraph_dedup": paragraph_dedup,
+    "paragraph_dedup_increments": paragraph_dedup_increments,
     "language_score": language_score,
     "unigram_perplexity": unigram_perplexity,
     "ngram_perplexity": ngram_perplexity,
@@ -185,6 +201,7 @@ CLEANED = f"(SELECT doc_id, lang, text AS raw_content FROM ({sql_clean(PASSED, '
 
 SQL = {
     "paragraph_dedup": _dedup("documents", "text", "doc_id"),
+    "paragraph_dedup_increments": _dedup("documents", "text", "doc_id"),
     "language_score": f"""SELECT doc_id, language, round(language_score, 6) AS language_score
         FROM ({_scores('documents', 'text')}) AS x""",
     "unigram_perplexity": f"""SELECT doc_id, round(perplexity, 4) AS perplexity

@@ -5,36 +5,44 @@ Shuffles carry hashes, counts and keys; texts meet their results in one join by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gristmill.functions.text import is_blank, lines, strip, words
+from gristmill.functions.text import is_blank, let, lines, strip, words
+from gristmill.sources import ledger
+from gristmill.sources.staging import stage
 
 #: Words in a language profile.
 PROFILE_WORDS = 100
 #: Languages a profile may have; more are refused, as profiles are broadcast.
 MAX_LANGUAGES = 1_000
+#: Words of all profiles that are looked up in the row.
+IN_ROW_WORDS = 4_000
 
 
-def dedup_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "raw_content") -> DataFrame:
-    """Keep the first of equal paragraphs in the whole corpus, by key and position.
+def _kept_lines(text: str) -> Column:
+    return F.filter(lines(F.col(text)), lambda p: ~is_blank(p))
+
+
+def first_places(df: DataFrame, key: str = "doc_id", text: str = "raw_content") -> DataFrame:
+    """(_hash, _at) of the different paragraphs: the first place of each, by key and position.
 
-    Paragraphs are the lines that are not blank; they are equal when they match in lower
-    case without surrounding whitespace. Adds ``original_nlines``, ``original_length``,
-    ``nlines`` and ``length``; a text of which nothing stays is empty. The key is unique.
     Paragraphs are hashed before the shuffle and their first places combined in it, so a
     line that every document has is no hot key.
     """
-    kept_lines = F.filter(lines(F.col(text)), lambda p: ~is_blank(p))
-    places = df.select(F.col(key).alias("_key"), F.posexplode(kept_lines).alias("_pos", "_p"))
+    places = df.select(F.col(key).alias("_key"), F.posexplode(_kept_lines(text)).alias("_pos", "_p"))
     hashed = places.select("_key", "_pos", F.md5(strip(F.lower("_p")).cast("binary")).alias("_hash"))
-    first = hashed.groupBy("_hash").agg(F.min(F.struct("_key", "_pos")).alias("_at"))
+    return hashed.groupBy("_hash").agg(F.min(F.struct("_key", "_pos")).alias("_at"))
+
+
+def keep_places(df: DataFrame, first: DataFrame, key: str, text: str) -> DataFrame:
+    """The texts with the paragraphs of the given places only, and their sizes before and after."""
     by_key = first.groupBy(F.col("_at._key").alias("_key")).agg(
         F.sort_array(F.collect_list("_at._pos")).alias("_kept")
     )
     joined = df.join(by_key, F.col(key) == F.col("_key"), "left").withColumns(
-        {"_lines": kept_lines, "_kept": F.coalesce("_kept", F.array().cast("array<int>"))}
+        {"_lines": _kept_lines(text), "_kept": F.coalesce("_kept", F.array().cast("array<int>"))}
     )
     stays = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
     return (
@@ -52,6 +60,43 @@ def dedup_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "raw_conten
     )
 
 
+def dedup_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "raw_content") -> DataFrame:
+    """Keep the first of equal paragraphs in the whole corpus, by key and position.
+
+    Paragraphs are the lines that are not blank; they are equal when they match in lower
+    case without surrounding whitespace. Adds ``original_nlines``, ``original_length``,
+    ``nlines`` and ``length``; a text of which nothing stays is empty. The key is unique.
+    """
+    return keep_places(df, first_places(df, key, text), key, text)
+
+
+def dedup_increment(
+    df: DataFrame, state: str, name: str, key: str = "doc_id", text: str = "raw_content"
+) -> DataFrame:
+    """As ``dedup_paragraphs``, for rows that come after those of earlier increments.
+
+    ``state`` is a folder with the hashes of all paragraphs seen, a commit for each
+    increment and a ledger. Increments in the order of their keys keep what one run over
+    all keeps. An increment is known by its name: run again, as after a failure or for a
+    batch a stream repeats, it finds its own paragraphs new and gives the same rows.
+    """
+    spark = df.sparkSession
+    root = state.rstrip("/")
+    known = [r["commit"] for r in ledger.commits(spark, root).collect()]
+    mine = f"c-{name}"
+    folders = [f"{root}/{c}" for c in sorted(known) if c != mine]
+    first = first_places(df, key, text)
+    if folders:
+        seen = spark.read.schema("_hash string").parquet(*folders)
+        first = first.join(seen, "_hash", "left_anti")
+    first = stage(first, "first-places")
+    if mine not in known:
+        first.select("_hash").write.mode("overwrite").parquet(f"{root}/{mine}")
+        entry = spark.createDataFrame([(name,)], "path string")
+        ledger.mark_landed(entry, root, mine)
+    return keep_places(df, first, key, text)
+
+
 def language_profiles(
     df: DataFrame, lang: str = "lang", text: str = "text", size: int = PROFILE_WORDS
 ) -> DataFrame:
@@ -79,9 +124,47 @@ def language_score(
     """(key, language, language_score): the language whose frequent words make the largest share.
 
     Ties go to the first language in alphabetical order; a text without any such word has
-    no language and score 0. The key is unique. Profiles have a bounded number of rows for
-    each language and are broadcast after a check of the number of languages.
+    no language and score 0. The key is unique. Profiles of up to ``IN_ROW_WORDS`` words in
+    all are looked up in the row; more are joined, after a check of the number of languages.
     """
+    few = profiles.select("lang", "word").limit(IN_ROW_WORDS + 1).collect()
+    if len(few) <= IN_ROW_WORDS:
+        by_lang: dict[str, list[str]] = {}
+        for r in few:
+            by_lang.setdefault(r["lang"], []).append(r["word"])
+        return _score_in_row(df, by_lang, key, text)
+    return _score_by_join(df, stage(profiles, "profiles"), key, text)
+
+
+def _score_in_row(df: DataFrame, by_lang: dict[str, list[str]], key: str, text: str) -> DataFrame:
+    """Scores by a set of words for each language, in one pass over a text's words."""
+
+    def count(tokens: Column, lang: str) -> Column:
+        found = F.filter(tokens, lambda w: w.isin(by_lang[lang]))
+        return F.struct((-F.size(found)).alias("less"), F.lit(lang).alias("lang"))
+
+    def scored(tokens: Column) -> Column:
+        counts = [count(tokens, lang) for lang in sorted(by_lang)]
+        none = F.struct(F.lit(0).alias("less"), F.lit(None).cast("string").alias("lang"))
+        return let(
+            F.array_min(F.array(none, *counts)),
+            lambda best: F.struct(
+                F.when(best["less"] < 0, best["lang"]).alias("language"),
+                F.coalesce(F.try_divide(-best["less"], F.size(tokens)), F.lit(0.0)).alias(
+                    "language_score"
+                ),
+            ),
+        )
+
+    tokens = F.coalesce(words(F.lower(F.col(text))), F.array().cast("array<string>"))
+    return df.select(key, let(tokens, scored).alias("_score")).select(
+        key, "_score.language", "_score.language_score"
+    )
+
+
+def _score_by_join(df: DataFrame, profiles: DataFrame, key: str, text: str) -> DataFrame:
+    """Scores by a join of words with the profiles, which have a bounded number of rows for
+    each language and are broadcast."""
     if profiles.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     tokens = words(F.lower(F.col(text)))
