@@ -82,6 +82,19 @@ def wet_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wet.read_wet(spark, _archive_folder(spark, sf_dir)).drop("file")
 
 
+def wet_any_newline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of either line end, and archives that mix both, in one read."""
+    folder = new_folder(spark, "newlines")
+    docs = _documents(spark, sf_dir).select("doc_id", wet.to_wet_text().alias("value"))
+    unix = F.regexp_replace("value", "\r\n", "\n")
+    mixed = F.when(F.col("doc_id") % 2 == 0, unix).otherwise(F.col("value"))
+    written = (("crlf", F.col("value"), "\r\n\r\n"), ("lf", unix, "\n\n"), ("mixed", mixed, "\r\n\n"))
+    for i, (name, value, end) in enumerate(written):
+        part = docs.where(F.col("doc_id") % 3 == i).select(value.alias("value"))
+        part.write.option("lineSep", end).option("compression", "gzip").text(f"{folder}/{name}")
+    return wet.read_wet(spark, folder, newline=wet.ANY_NEWLINE).drop("file")
+
+
 def wet_inner_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A marker line inside a body ends the record there."""
     rows = _archive_rows(spark, sf_dir).select(
@@ -273,6 +286,7 @@ def landed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "wet_roundtrip": wet_roundtrip,
     "wet_files_roundtrip": wet_files_roundtrip,
+    "wet_any_newline": wet_any_newline,
     "wet_inner_marker": wet_inner_marker,
     "wet_parse_stats": wet_parse_stats,
     "wet_bad_headers": wet_bad_headers,
@@ -305,6 +319,7 @@ FIRST_PART = f"""CASE WHEN contains(rtrim(text, {WS}), '.' || chr(10))
 SQL = {
     "wet_roundtrip": f"SELECT doc_id, {DOC_FIELDS} FROM ({PARSED}) AS a",
     "wet_files_roundtrip": f"SELECT {DOC_FIELDS} FROM ({PARSED}) AS a",
+    "wet_any_newline": f"SELECT {DOC_FIELDS} FROM ({PARSED}) AS a",
     "wet_inner_marker": f"""SELECT doc_id, 'Title ' || doc_id AS title,
         len(string_split(body, chr(10)))::INTEGER AS nlines, body AS raw_content
         FROM (SELECT doc_id, array_to_string(list_transform(string_split({FIRST_PART}, chr(10)),

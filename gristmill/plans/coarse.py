@@ -26,6 +26,7 @@ from gristmill.sources.ledger import landed, mark_landed
 from gristmill.sources.listing import list_archives, path_batches, path_exists, unreadable_files
 from gristmill.sources.staging import discard, staged
 from gristmill.sources.wet import (
+    ANY_NEWLINE,
     NOTE_PART,
     ORDER,
     TEXT_PART,
@@ -118,7 +119,8 @@ def stage_batch(
         if not good:
             return None, unreadable
         seen = Observation()
-        records = parse_noted(read_wet_rows(spark, [literal_path(p) for p in good], newline))
+        rows = read_wet_rows(spark, [literal_path(p) for p in good], newline)
+        records = parse_noted(rows, numbered=newline == ANY_NEWLINE)
         try:
             write_wet(clean(records, seen), folder)
             return seen, unreadable

@@ -12,6 +12,8 @@ dropped inside the generator, and nothing is evaluated twice by filters above it
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,10 @@ from gristmill.functions.text import (
 )
 from gristmill.sources.listing import path_exists
 from gristmill.sources.staging import stage
+from gristmill.sources.wet_records import read_wet_records
 
 NEWLINES = {"crlf": "\r\n", "lf": "\n"}
+ANY_NEWLINE = "any"
 TYPE_FIELD = "WARC-Type: "
 DOC_COLUMNS = (
     "url",
@@ -218,13 +222,14 @@ def parse_records(rows: DataFrame, value: str = "value", by_name: bool = False)
     )
 
 
-def parse_noted(rows: DataFrame, value: str = "value") -> DataFrame:
+def parse_noted(rows: DataFrame, value: str = "value", numbered: bool = False) -> DataFrame:
     """Every non-blank record, and a note on rows that say something of their file.
 
     As ``parse_records``, with two columns more. ``note`` is NULL for records,
     ``bad_utf8`` for a row with bytes that are no UTF-8, and ``open`` for a blank row that
     opens a file: the first record of the file is in the row after it. ``leads`` marks
-    the first record where the row that opens the file holds it.
+    the first record where the row that opens the file holds it. ``numbered`` rows are
+    records from their marker on, with their number in the block.
     """
     others = [c for c in rows.columns if c != value]
     valid = F.call_function("is_valid_utf8", F.col(value))
@@ -251,6 +256,8 @@ def parse_noted(rows: DataFrame, value: str = "value") -> DataFrame:
 
     parsed = F.transform(split_records(F.col(value)), lambda p: parse_record(p))
     marked = starts & F.startswith(lstrip(F.col(value)), F.lit("WARC/"))
+    if numbered:
+        marked = marked & (F.col("row_id") == 0)
     flat = rows.select(*others, marked.alias("_marked"), F.explode(let(parsed, noted)).alias("_n"))
     doc = F.coalesce(is_document(F.col("_n.r")), F.lit(False))
     return flat.select(
@@ -271,8 +278,14 @@ def parse_noted(rows: DataFrame, value: str = "value") -> DataFrame:
 def read_wet_rows(spark: SparkSession, path, newline: str = "crlf") -> DataFrame:
     """Raw rows (file, block_start, row_id, value) of all archives under ``path``.
 
-    Gzip or plain goes by the suffix. (file, block_start, row_id) orders records.
+    Gzip or plain goes by the suffix. (file, block_start, row_id) orders records. With
+    ``newline="any"`` archives may end their lines either way, also within one file: they
+    are read by ``wet_records``, in Python.
     """
+    if newline == ANY_NEWLINE:
+        paths = [path] if isinstance(path, str) else path
+        plain = [re.sub(r"\\(.)", r"\1", p) for p in paths]  # undoes literal_path
+        return read_wet_records(spark, plain).drop("cut")
     raw = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.{gz,wet}")

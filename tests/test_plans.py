@@ -116,7 +116,7 @@ def test_output_is_equal_on_both_sides_of_the_bound(spark, tmp_path, monkeypatch
 
 @pytest.mark.parametrize("kind", ["metadata", "request", "warcinfo"])
 @pytest.mark.parametrize("name", ["a.wet.gz", "a.wet"])
-@pytest.mark.parametrize("written, read", [("crlf", "crlf"), ("lf", "lf"), ("lf", "crlf")])
+@pytest.mark.parametrize("written, read", [("crlf", "crlf"), ("lf", "lf"), ("lf", "crlf"), ("lf", "any")])
 def test_headers_of_any_type_stay(spark, tmp_path, kind, name, written, read):
     data, out = tmp_path / "in", str(tmp_path / "out")
     data.mkdir()
