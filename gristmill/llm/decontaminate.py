@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import freed
+from gristmill.sources.staging import stage
 
 RATE = 0.1
 SHORT = 24
 #: Characters of items one automaton may hold.
 BLOCK_CHARS = 2_000_000
 
-MATCHES = "array<struct<item_id:long,distance:int,start:int,end:int>>"
+MATCHES = "array<struct<item_id:string,distance:int,start:int,end:int>>"
 
 
 def normal(text: str) -> str:
@@ -101,7 +102,7 @@ def best_end(mask: dict[str, int], n: int, text: str) -> tuple[int, int]:
 class Finder:
     """All items of a block: automaton of their pieces, masks for the verification."""
 
-    def __init__(self, items: list[tuple[int | None, str]], rate: float):
+    def __init__(self, items: list[tuple[str | None, str]], rate: float):
         import ahocorasick
 
         self.items = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if t]
@@ -211,11 +212,11 @@ class Finder:
 
 def item_blocks(
     items: DataFrame, key: str, text: str, block_chars: int = BLOCK_CHARS
-) -> Iterator[list[tuple[int | None, str]]]:
+) -> Iterator[list[tuple[str | None, str]]]:
     """Lists of items, each within the bound; sizes are counted before rows are collected."""
     # Staged, so that every block reads the same rows.
     rows = items.where(F.col(text).isNotNull()).select(
-        F.col(key).cast("long").alias("k"), F.col(text).alias("t")
+        F.col(key).cast("string").alias("k"), F.col(text).alias("t")
     )
     total = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-2 * total // block_chars)) if total > block_chars else 1
@@ -230,7 +231,7 @@ def item_blocks(
             yield sorted(((r["k"], r["t"]) for r in block.collect()), key=str)
 
 
-def item_blocks_of(block: DataFrame, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
+def item_blocks_of(block: DataFrame, block_chars: int) -> Iterator[list[tuple[str | None, str]]]:
     """A block over the bound in smaller lists, read row by row."""
     part, size = [], 0
     for r in block.toLocalIterator():
@@ -243,17 +244,28 @@ def item_blocks_of(block: DataFrame, block_chars: int) -> Iterator[list[tuple[in
         yield part
 
 
-def matches(
+def block_passes(
     text: Column, items: DataFrame, key: str = "item_id", item_text: str = "text",
     rate: float = RATE, block_chars: int = BLOCK_CHARS,
-) -> Column:
-    """Array of (item_id, distance, start, end) of all benchmark items in a text."""
-    context = items.sparkSession.sparkContext
-    found = [
-        _block_matches(text, context.broadcast({"items": block, "rate": rate}))
-        for block in item_blocks(items, key, item_text, block_chars)
-    ]
-    return found[0] if len(found) == 1 else F.flatten(F.array(*found))
+) -> Iterator[tuple[Column, bool]]:
+    """For each block of items an array of (item_id, distance, start, end), and whether it is
+    the last one.
+
+    Blocks go one after another: the driver holds two at most, and a worker one, if what
+    comes of a block is staged before the next one is asked for.
+    """
+    spark, kind = items.sparkSession, items.schema[key].dataType.simpleString()
+
+    def found(block) -> Column:
+        shared = spark.sparkContext.broadcast({"items": block, "rate": rate})
+        return _block_matches(text, shared).cast(MATCHES.replace("item_id:string", f"item_id:{kind}"))
+
+    blocks = item_blocks(items, key, item_text, block_chars)
+    block = next(blocks)
+    while block is not None:
+        after = next(blocks, None)
+        yield found(block), after is None
+        block = after
 
 
 def _block_matches(text: Column, shared) -> Column:
@@ -265,7 +277,7 @@ def _block_matches(text: Column, shared) -> Column:
             held["finder"] = Finder(held["items"], held["rate"])
         kind = pa.list_(
             pa.struct(
-                [("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]
+                [("item_id", pa.string()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]
             )
         )
         names = ("item_id", "distance", "start", "end")
@@ -282,11 +294,23 @@ def _block_matches(text: Column, shared) -> Column:
 def contaminated(
     docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", text: str = "text", **options
 ) -> DataFrame:
-    """(doc_id, item_id, distance, start, end): one row per occurrence."""
-    found = matches(F.col(text), items, **options)
-    return docs.select(F.col(doc_key).alias("doc_id"), F.explode(found).alias("m")).select("doc_id", "m.*")
+    """(doc_id, item_id, distance, start, end): one row per occurrence.
+
+    Items beyond one block take a pass over the documents for each block.
+    """
+    rows = None
+    for found, last in block_passes(F.col(text), items, **options):
+        own = docs.select(F.col(doc_key).alias("doc_id"), F.explode(found).alias("m")).select("doc_id", "m.*")
+        if not last:
+            own = stage(own, "benchmark-hits")
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` that hold no benchmark item."""
-    return docs.where(F.size(matches(F.col(text), items, **options)) == 0)
+    """``docs`` without those that hold an item; each further block sees what is left."""
+    for found, last in block_passes(F.col(text), items, **options):
+        docs = docs.where(F.size(found) == 0)
+        if not last:
+            docs = stage(docs, "without-items")
+    return docs

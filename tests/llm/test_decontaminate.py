@@ -76,3 +76,22 @@ def test_odd_rows(spark, block):
     kept = d.clean(docs, items, block_chars=block)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 6, 6]
     assert d.clean(docs, items.limit(0)).count() == 8 and d.contaminated(docs.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize("block", [2_000_000, 60])
+def test_ids_of_any_type(spark, block):
+    items = spark.createDataFrame([("a1", "the quick brown fox jumps over it"), ("b", "another item of the benchmark")], "item_id string, text string")
+    docs = spark.createDataFrame([("x", "So the quick brown fox jumps over it all"), ("y", "clean")], "doc_id string, text string")
+    rows = d.contaminated(docs, items, block_chars=block)
+    assert dict(rows.dtypes)["item_id"] == "string"
+    assert [(r["doc_id"], r["item_id"]) for r in rows.collect()] == [("x", "a1")]
+    assert [r["doc_id"] for r in d.clean(docs, items, block_chars=block).collect()] == ["y"]
+
+
+def test_a_plan_holds_one_block(spark):
+    items = spark.createDataFrame([(i, f"item number {i} of the benchmark with some words") for i in range(30)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"see item number {i} of the benchmark with some words here") for i in range(30)], "doc_id long, text string")
+    rows = d.contaminated(docs, items, block_chars=200)
+    assert {(r["doc_id"], r["item_id"]) for r in rows.collect() if r["distance"] == 0} >= {(i, i) for i in range(30)}
+    plan = d.clean(docs, items, block_chars=200)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
