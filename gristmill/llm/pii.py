@@ -13,7 +13,10 @@ Texts are read once; spans, votes and features go on from a table in the shared
 Only counts of vote patterns and features are shuffled, combined before.
 
 Defined results: NULL text is empty; a corpus without candidates adds nothing; repeated
-rows are treated alike. Positions are code points of the whole text.
+rows are treated alike. Positions are code points of the whole text. Basic spans have any
+length. Candidates beyond them have a form, and with it a length: a name of up to 64
+characters before the sign and labels of up to 63 after it, as mail addresses are defined,
+and numbers of 7 to 41 characters; what is longer is none of them.
 """
 
 from __future__ import annotations

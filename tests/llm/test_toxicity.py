@@ -13,6 +13,35 @@ def test_held_out_accuracy(spark):
     assert np.mean([p == y for p, y in graded]) > 0.85
 
 
+def test_held_out_precision_and_recall(spark):
+    """Of labelled documents no fit may learn from; a constant finds none, or marks most wrongly."""
+    sf_dir = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = [r for r in queries.op10_toxicity(spark, sf_dir).collect() if r["held_out"] and labels.get(r["doc_id"]) is not None]
+    right = sum(r["predicted"] and labels[r["doc_id"]] for r in rows)
+    marked, toxic = sum(r["predicted"] for r in rows), sum(labels[r["doc_id"]] for r in rows)
+    assert len(rows) > 500 and toxic > 50
+    assert right / marked > 0.75 and right / toxic > 0.5
+
+
+def test_savings_match_plain_compression():
+    shared = toxicity.compressor(b"the quiet river runs past the old mill " * 20)
+    other = toxicity.compressor(b"snorfle blargh zworble " * 20)
+    texts = [toxicity.plain(t) for t in ("", "a", "snorfle the quiet river blargh", "x " * 40 + "zworble " * 30, "é" * 50)]
+    got = toxicity.savings(other, shared, texts)
+    for text, saved in zip(texts, got, strict=True):
+        starts = range(0, max(1, len(text) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        windows = [text[i : i + toxicity.WINDOW] for i in starts]
+        assert saved.tolist() == [len(shared.compress(w)) - len(other.compress(w)) for w in windows]
+
+
+def test_ties_and_copies_score_alike(spark):
+    docs = frame(spark, [(1, "same words here", "a"), (2, "same words here", "b"), (3, " same words here ", "c")])
+    model = toxicity.Model(b"same words", b"other text", np.zeros(7), np.ones(7), np.array([0.1] * 7 + [0.0]))
+    scores = [r["s"] for r in docs.select(model.score(docs.text).alias("s")).collect()]
+    assert scores[0] == scores[1]
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, score string")
 
