@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Entries of a profile, and the longest n-gram (three code points fit in 63 bits).
 SIZE = 400
@@ -125,16 +126,17 @@ def count_ngrams(rows: DataFrame, text: str, lang: str) -> DataFrame:
 def profiles(rows: DataFrame, text: str = "text", lang: str = "lang", size: int = SIZE):
     """Language -> codes in order of rank, learnt from all given rows."""
     counts = count_ngrams(rows, text, lang)
-    # Heads of the buckets first, so that no task sorts all n-grams of a large language.
-    bucket = F.pmod(F.xxhash64("code"), F.lit(64))
-    heads = counts.groupBy("lang", bucket.alias("bucket")).agg(
+    # Heads of buckets first, and limited before they meet: no task sorts or holds all
+    # n-grams of a large language.
+    in_bucket = Window.partitionBy("lang", F.pmod(F.xxhash64("code"), F.lit(64))).orderBy(
+        F.desc("n"), F.asc("code")
+    )
+    heads = counts.withColumn("rank", F.row_number().over(in_bucket)).where(F.col("rank") <= size)
+    best = heads.groupBy("lang").agg(
         F.slice(
             F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "code"))), 1, size
         ).alias("head")
     )
-    best = heads.groupBy("lang").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("head"))), 1, size).alias("head")
-    )
     found = best.select("lang", F.col("head.code").alias("codes")).limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
