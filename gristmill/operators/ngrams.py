@@ -6,10 +6,12 @@ off every count, where n1 and n2 are the numbers of n-grams counted once and twi
 gives what it has taken to the next lower order; the lowest one shares it among its words
 and one unknown word. An unseen context leaves all to the lower order.
 
-The model is tables: n-grams with the sums of their context, sharded by context and word.
+The model is tables, sharded by n-gram. Words and contexts go by 64-bit hashes of group and
+word, so rows are a few numbers: a trigram is its context of two words and its last word,
+128 bits, and a group of 10 million words has two with one hash by a chance of 1 in 300,000.
 No task holds the vocabulary of a group: totals and counts of counts are combined before
-their shuffle. A document gives a row for each of its different trigrams, so a frequent
-one weighs by documents, not by occurrences.
+their shuffle. A text gives a row for each trigram, which meets one row of each table; what
+is hot is split by adaptive execution. Tables of words are broadcast up to a bound.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import let, words
+from gristmill.functions.text import words
 from gristmill.sources.staging import stage
 
 #: Stands before the first word of a text; words are never empty.
@@ -28,37 +30,50 @@ START = ""
 MAX_GROUPS = 100_000
 
 
+#: Words a model may have for its table of words to be broadcast, some 60 bytes each.
+BROADCAST_WORDS = 1_000_000
+
+
 @dataclass
 class NgramModel:
-    """Staged tables: n-grams (by, context..., w, c) of orders 3, 2 and 1, the sums of the
-    contexts (by, context..., total, types) of orders 3 and 2, and for each group (by, d3,
-    d2, d1, total, types): its discounts and the sums of order 1."""
+    """Staged tables of hashes: trigrams (by, a, v, w, c) by context ``a`` of two words, the sums
+    of the contexts (a, total, types), bigrams (by, v, w, c), words (w, c, total, types) with
+    the sums of what follows them, and for each group (by, d3, d2, d1, total, types): its
+    discounts and the sums of order 1. ``few`` tells that the words may be broadcast."""
 
     trigrams: DataFrame
     after_two: DataFrame
     bigrams: DataFrame
-    after_one: DataFrame
-    unigrams: DataFrame
+    words: DataFrame
     groups: DataFrame
+    few: bool
 
 
-def trigrams(text: Column) -> Column:
-    """Array of (u, v, w): each word of a text with the two before it."""
+def hashed(df: DataFrame, *keep: str) -> DataFrame:
+    """(keep..., by, a, v, w) of the trigrams (by, u, v, w): hashes in the place of words."""
+    ids = {c: F.xxhash64("by", c) for c in ("u", "v", "w")}
+    return df.select(*keep, "by", F.xxhash64(ids["u"], ids["v"]).alias("a"), ids["v"].alias("v"), ids["w"].alias("w"))
 
-    def around(ws: Column) -> Column:
-        def before(i: Column, n: int) -> Column:
-            return F.coalesce(F.get(ws, i - n), F.lit(START))
 
-        return F.transform(
-            ws, lambda w, i: F.struct(before(i, 2).alias("u"), before(i, 1).alias("v"), w.alias("w"))
-        )
+def trigrams(df: DataFrame, text: str, by: str, *keep: str) -> DataFrame:
+    """(keep..., by, u, v, w): a row for each word of a text, with the two before it.
 
-    return let(words(F.lower(text)), around)
+    Shifted arrays are zipped by built-in functions, which are compiled; a lambda is not.
+    """
+    ws = df.where(F.col(by).isNotNull()).select(
+        *keep, F.col(by).alias("by"), words(F.lower(F.col(text))).alias("w")
+    )
+    start = [F.lit(START)]
+    shifted = F.arrays_zip(
+        F.concat(F.array(start * 2), "w").alias("u"), F.concat(F.array(start), "w").alias("v"), "w"
+    )
+    # The first two arrays are longer; past the last word there is none.
+    return ws.select(*keep, "by", F.inline(shifted).alias("u", "v", "w")).where("w IS NOT NULL")
 
 
 def _sums(counts: DataFrame, *context: str) -> DataFrame:
     """The sum of the counts after each context, and its different next words."""
-    return counts.groupBy("by", *context).agg(
+    return counts.groupBy(*context).agg(
         F.sum("c").alias("total"), F.count(F.lit(1)).alias("types")
     )
 
@@ -72,61 +87,55 @@ def _discount(counts: DataFrame, name: str) -> DataFrame:
 
 def fit_ngrams(df: DataFrame, text: str = "text", by: str = "lang") -> NgramModel:
     """The model of each group of texts; a NULL group has no model."""
-    tokens = df.where(F.col(by).isNotNull()).select(
-        F.col(by).alias("by"), F.explode(trigrams(F.col(text))).alias("t")
-    )
-    three = stage(
-        tokens.groupBy("by", "t.u", "t.v", "t.w").agg(F.count(F.lit(1)).alias("c")), "trigrams"
-    )
-    two = stage(three.groupBy("by", "v", "w").agg(F.count(F.lit(1)).alias("c")), "bigrams")
-    one = stage(two.groupBy("by", "w").agg(F.count(F.lit(1)).alias("c")), "unigrams")
+    one = F.count(F.lit(1)).alias("c")
+    three = stage(hashed(trigrams(df, text, by)).groupBy("a", "w", "v", "by").agg(one), "trigrams")
+    two = stage(three.groupBy("w", "v", "by").agg(one), "bigrams")
+    unigrams = stage(two.groupBy("w", "by").agg(one), "unigrams")
     groups = (
-        _sums(one)
+        _sums(unigrams, "by")
         .join(_discount(three, "d3"), "by")
         .join(_discount(two, "d2"), "by")
-        .join(_discount(one, "d1"), "by")
+        .join(_discount(unigrams, "d1"), "by")
     )
+    after_one = _sums(two, "v").withColumnRenamed("v", "w")
+    words = stage(unigrams.select("w", "c").join(after_one, "w", "full"), "words")
+    few = words.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
     return NgramModel(
-        three,
-        stage(_sums(three, "u", "v"), "after-two"),
-        two,
-        stage(_sums(two, "v"), "after-one"),
-        one,
-        stage(groups, "groups"),
+        three, stage(_sums(three, "a"), "after-two"), two, words, stage(groups, "groups"), few
     )
 
 
-def _share(d: str, lower: Column) -> Column:
-    """Interpolation of one order; a context that was never seen leaves all to the lower one."""
-    kept = F.greatest(F.coalesce("c", F.lit(0)) - F.col(d), F.lit(0.0))
-    return F.when(F.col("total").isNull(), lower).otherwise(
-        (kept + F.col(d) * F.col("types") * lower) / F.col("total")
+def _scored(rows: DataFrame, model: NgramModel) -> DataFrame:
+    """The rows (by, a, v, w, ...) with ``p``; those of a group without a model are left out."""
+    if model.groups.limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    few = F.broadcast if model.few else lambda table: table
+    # Numbers of the higher order wait until the lower one is known.
+    seen = (
+        rows.join(model.trigrams.select("a", "w", F.col("c").alias("c3")), ["a", "w"], "left")
+        .join(model.after_two.toDF("a", "total3", "types3"), "a", "left")
+        .drop("a")
+        .join(model.bigrams.select("v", "w", F.col("c").alias("c2")), ["v", "w"], "left")
+        .join(few(model.words.select(F.col("w").alias("v"), F.col("total").alias("total2"), F.col("types").alias("types2"))), "v", "left")
+        .join(few(model.words.select("w", F.col("c").alias("c1"))), "w", "left")
+        .join(F.broadcast(model.groups.withColumnsRenamed({"total": "total1", "types": "types1"})), "by")
     )
 
+    def share(n: int, lower: Column) -> Column:
+        c, d, total, types = (F.col(f"{x}{n}") for x in ("c", "d", "total", "types"))
+        kept = F.greatest(F.coalesce(c, F.lit(0)) - d, F.lit(0.0))
+        # A context that was never seen leaves all to the lower order.
+        return F.coalesce((kept + d * types * lower) / total, lower)
+
+    unknown = 1 / (F.col("types1") + 1)
+    p = share(3, share(2, share(1, unknown)))
+    return seen.select(*[c for c in rows.columns if c not in ("a", "v", "w")], p.alias("p"))
+
 
 def probabilities(needed: DataFrame, model: NgramModel) -> DataFrame:
     """(by, u, v, w, p) of different trigrams; those of a group without a model are left out."""
-    if model.groups.limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    kept = F.greatest(F.coalesce("c", F.lit(0)) - F.col("d1"), F.lit(0.0))
-    shared = F.col("d1") * F.col("types") / (F.col("types") + 1)
-    found = (
-        needed.join(F.broadcast(model.groups), "by")
-        .join(model.unigrams, ["by", "w"], "left")
-        .withColumn("p", (kept + shared) / F.col("total"))
-        .drop("c", "total", "types", "d1")
-    )
-    for context, counts, sums, d in (
-        (["v"], model.bigrams, model.after_one, "d2"),
-        (["u", "v"], model.trigrams, model.after_two, "d3"),
-    ):
-        found = (
-            found.join(counts, ["by", *context, "w"], "left")
-            .join(sums, ["by", *context], "left")
-            .withColumn("p", _share(d, F.col("p")))
-            .drop("c", "total", "types", d)
-        )
-    return found.select("by", "u", "v", "w", "p")
+    named = needed.withColumn("_t", F.struct("u", "v", "w"))
+    return _scored(hashed(named, "_t"), model).select("by", "_t.*", "p")
 
 
 def ngram_perplexity(
@@ -137,16 +146,5 @@ def ngram_perplexity(
     Texts without a word, and those of groups without a model, have no row. The key is
     unique.
     """
-    in_doc = stage(
-        df.where(F.col(by).isNotNull())
-        .select(key, F.col(by).alias("by"), F.explode(trigrams(F.col(text))).alias("t"))
-        .groupBy(key, "by", "t.u", "t.v", "t.w")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "doc-trigrams",
-    )
-    p = probabilities(in_doc.select("by", "u", "v", "w").distinct(), model)
-    return (
-        in_doc.join(p, ["by", "u", "v", "w"])
-        .groupBy(key)
-        .agg(F.exp(-F.sum(F.col("n") * F.log("p")) / F.sum("n")).alias("perplexity"))
-    )
+    rows = hashed(trigrams(df, text, by, key), key)
+    return _scored(rows, model).groupBy(key).agg(F.exp(-F.avg(F.log("p"))).alias("perplexity"))

@@ -101,3 +101,23 @@ def test_no_rows(spark):
     empty = ngrams.fit_ngrams(docs.limit(0))
     assert ngrams.ngram_perplexity(docs, empty).collect() == []
     assert ngrams.ngram_perplexity(docs.limit(0), ngrams.fit_ngrams(docs)).collect() == []
+
+
+def test_tables_and_shuffles_hold_no_words(spark, monkeypatch):
+    staged = []
+    keep = ngrams.stage
+    monkeypatch.setattr(ngrams, "stage", lambda df, label: staged.append(df) or keep(df, label))
+    docs = frame(spark, TEXTS)
+    scored = ngrams.ngram_perplexity(docs, ngrams.fit_ngrams(docs))
+    for table in staged:
+        assert [c for c, kind in table.dtypes if kind == "string" and c != "by"] == []
+    # Texts give rows once: nothing of a document is staged, and no trigram looked up twice.
+    assert all("doc_id" not in table.columns for table in staged)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("Generate") <= 2
+
+
+def test_broadcast_bound_of_words(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "BROADCAST_WORDS", 3)
+    docs = frame(spark, TEXTS)
+    got = ngrams.ngram_perplexity(docs, ngrams.fit_ngrams(docs)).collect()
+    check({r["doc_id"]: r["perplexity"] for r in got}, TEXTS, by_group())
