@@ -19,6 +19,8 @@ PROFILE_WORDS = 100
 MAX_LANGUAGES = 1_000
 #: Words of all profiles that are looked up in the row.
 IN_ROW_WORDS = 4_000
+#: Frequent words whose counts are broadcast, some 100 bytes each; rarer ones are joined.
+BROADCAST_WORDS = 300_000
 
 
 def _kept_lines(text: str) -> Column:
@@ -183,27 +185,49 @@ def _score_by_join(df: DataFrame, profiles: DataFrame, key: str, text: str) -> D
     )
 
 
+def _by_frequency(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The words of the highest counts, ``most`` at most, and the others if there are any.
+
+    The bound between them is a power of two, so a few dozen numbers come to the driver.
+    """
+    power = F.floor(F.log2("c")).cast("int")
+    sizes = counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, least = 0, max((r["power"] for r in sizes), default=0) + 1
+    for r in sorted(sizes, key=lambda r: -r["power"]):
+        total += r["n"]
+        if total > most:
+            return counts.where(power >= least), counts.where(power < least)
+        least = r["power"]
+    return counts, None
+
+
 def unigram_perplexity(
     df: DataFrame, key: str = "doc_id", text: str = "text", by: str = "lang"
 ) -> DataFrame:
     """(key, perplexity) under the add-one smoothed unigram model of each document's group.
 
-    Counts come from the whole corpus. A document gives one row for each of its different
-    words, so a frequent word weighs by documents, not by occurrences; adaptive execution
-    splits what is left of its skew. Texts without a word have no perplexity.
+    Counts come from the whole corpus and are staged. Frequent words are looked up in a
+    broadcast table, so only sums of documents are shuffled for them; the others, each in
+    few documents, meet their counts in a join. Texts without a word have no perplexity.
     """
     tokens = df.select(
         key, F.col(by).alias("_by"), F.explode(words(F.lower(F.col(text)))).alias("word")
-    )
-    in_doc = tokens.groupBy(key, "_by", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = in_doc.groupBy("_by", "word").agg(F.sum("n").alias("c"))
+    ).where("_by IS NOT NULL")
+    counted = tokens.groupBy("word", "_by").agg(F.count(F.lit(1)).alias("c"))
+    counts = stage(counted, "word-counts")
     sizes = counts.groupBy("_by").agg(
         F.sum("c").alias("total"), F.count(F.lit(1)).alias("vocabulary")
     )
     log_p = F.log((F.col("c") + 1) / (F.col("total") + F.col("vocabulary")))
-    return (
-        in_doc.join(counts, ["_by", "word"])
-        .join(sizes, "_by")
-        .groupBy(key)
-        .agg(F.exp(-F.sum(F.col("n") * log_p) / F.sum("n")).alias("perplexity"))
-    )
+    known = counts.join(sizes, "_by").select("word", "_by", log_p.alias("log_p"), "c")
+    frequent, rare = _by_frequency(known, BROADCAST_WORDS)
+    table = F.broadcast(frequent.select("word", "_by", "log_p"))
+
+    def sums(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.sum("log_p").alias("s"), F.count(F.lit(1)).alias("n"))
+
+    parts = sums(tokens.join(table, ["word", "_by"]))
+    if rare is not None:
+        others = tokens.join(table, ["word", "_by"], "left_anti")
+        parts = parts.unionByName(sums(others.join(rare.drop("c"), ["word", "_by"])))
+    return parts.groupBy(key).agg(F.exp(-F.sum("s") / F.sum("n")).alias("perplexity"))

@@ -1,3 +1,6 @@
+import math
+from collections import Counter, defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,3 +39,19 @@ def test_increments_equal_one_run(spark, tmp_path):
         assert first == again
         got += first
     assert sorted(got) == whole
+
+
+def test_unigram_perplexity_of_frequent_and_rare_words(spark, monkeypatch):
+    rows = [(1, "en", "a a a a b c"), (2, "en", "a a b"), (3, "de", "a x"), (4, "en", " "), (5, None, "a"), (None, "en", "z c"), (2, "en", "a q")]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    counts = Counter((lang, w) for _, lang, t in rows if lang for w in t.split())
+    size = {lang: sum(c + 1 for (by, _), c in counts.items() if by == lang) for lang in ("en", "de")}
+    logs = defaultdict(list)
+    for i, lang, t in rows:
+        if lang:
+            logs[i] += [math.log((counts[lang, w] + 1) / size[lang]) for w in t.split()]
+    want = {i: math.exp(-sum(x) / len(x)) for i, x in logs.items() if x}
+    for bound in (0, 2, 100):
+        monkeypatch.setattr(enrich, "BROADCAST_WORDS", bound)
+        got = enrich.unigram_perplexity(docs).collect()
+        assert {r[0]: pytest.approx(r[1], rel=1e-9) for r in got} == want and len(got) == len(want)
