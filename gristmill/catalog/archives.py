@@ -17,7 +17,7 @@ from gristmill.catalog.common import (
 from gristmill.functions.paths import base_name, cut_of, netloc, without_gz
 from gristmill.operators.manifest import anti_landed
 from gristmill.plans.coarse import FAILED_FOLDER, clean_rows, land_batch, run_coarse
-from gristmill.sources.listing import list_archives, path_exists
+from gristmill.sources.listing import list_archives, name_archives, path_exists
 from gristmill.sources.staging import new_folder
 from gristmill.sources import wet
 from gristmill.streaming.incremental import clean_stream, land_new, stream_wet, write_new
@@ -166,24 +166,39 @@ def coarse_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUCKETS = 4
 
 
+#: Partitions that buckets are dealt to by hash; enough that each has one of its own.
+BUCKET_TASKS = 64
+
+
 def _bucket_archives(spark: SparkSession, sf_dir: str) -> str:
     """An archive for each bucket of ids. Each starts with a record of type ``metadata``;
-    in the last bucket, very long texts end with a byte that is no UTF-8."""
+    in the last bucket, very long texts end with a byte that is no UTF-8.
+
+    A bucket is one file, and one task writes it; all are written at the same time, and
+    plain, so that many tasks read each.
+    """
     folder = new_folder(spark, "buckets")
     spoiled = F.concat(wet.to_wet_text().cast("binary"), F.unhex(F.lit("FF0A"))).cast("string")
-    for b in range(BUCKETS):
-        last = F.lit(b == BUCKETS - 1)
-        text = F.when(last & (F.col("length") > 20_000), spoiled).otherwise(wet.to_wet_text())
-        docs = _documents(spark, sf_dir).where(F.col("doc_id") % BUCKETS == b)
-        lead = ["WARC/1.0", "WARC-Type: metadata", f"WARC-Target-URI: bucket:{b}", "", "note"]
-        lead = "".join(line + "\r\n" for line in lead)
-        rows = docs.select("doc_id", text.alias("value")).unionByName(
-            spark.range(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit(lead).alias("value"))
-        )
-        # A packed archive is read by one task, and written by one here.
-        rows.repartition(1).sortWithinPartitions("doc_id").select("value").write.option(
-            "lineSep", wet.RECORD_END
-        ).option("compression", "gzip").text(f"{folder}/{b}")
+    last = F.col("bucket") == BUCKETS - 1
+    text = F.when(last & (F.col("length") > 20_000), spoiled).otherwise(wet.to_wet_text())
+    docs = _documents(spark, sf_dir).withColumn("bucket", F.col("doc_id") % BUCKETS)
+    start = F.lit("WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Target-URI: bucket:")
+    leads = spark.range(BUCKETS).select(
+        F.col("id").alias("bucket"),
+        F.lit(-1).cast("long").alias("doc_id"),
+        F.concat(start, F.col("id").cast("string"), F.lit("\r\n\r\nnote\r\n")).alias("value"),
+    )
+    rows = docs.where(F.col("bucket") >= 0).select("bucket", "doc_id", text.alias("value"))
+    (
+        rows.unionByName(leads)
+        .repartition(BUCKET_TASKS, "bucket")
+        .sortWithinPartitions("bucket", "doc_id")
+        .select("bucket", "value")
+        .write.partitionBy("bucket")
+        .option("lineSep", wet.RECORD_END)
+        .text(folder)
+    )
+    name_archives(spark, folder)
     return folder
 
 
@@ -204,7 +219,7 @@ def coarse_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     sound = wet.read_wet(spark, out).groupBy(bucket.alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.lit("published").alias("state")
     )
-    listed = F.element_at(F.split("file", "/"), -2).cast("long").alias("bucket")
+    listed = F.regexp_extract("file", r"/bucket=(\d+)/", 1).cast("long").alias("bucket")
     schema = "file string, reason string, n_bad long"
     if not path_exists(spark, f"{out}/{FAILED_FOLDER}"):
         return sound

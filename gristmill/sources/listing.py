@@ -33,6 +33,19 @@ def list_archives(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path, "*.{gz,wet}")
 
 
+def name_archives(spark: SparkSession, path: str) -> None:
+    """Give plain text files under ``path`` the suffix of archives, which the writer does not know.
+
+    A plain archive is split between tasks when it is read; a packed one is not.
+    """
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = new_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in list_files(spark, path, "*.txt").select("path").collect():
+        named = r["path"].removesuffix(".txt") + ".wet"
+        if not files.rename(new_path(r["path"]), new_path(named)):
+            raise OSError(f"could not rename {r['path']}")
+
+
 def landed_partitions(spark: SparkSession, out: str, *columns: str) -> DataFrame:
     """Partition values that have output: one row per distinct set, ``path`` = joined by '/'."""
 

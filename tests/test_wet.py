@@ -191,3 +191,29 @@ def test_reading_is_narrow(spark, tmp_path):
     write(tmp_path / "a.wet", record("1", "T\nx\n"))
     plan = wet.read_wet(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("Generate") == 1
+
+
+def test_bucket_archives_are_read_by_many_tasks(spark, tmp_path):
+    from gristmill.catalog import archives
+
+    text = "Some words of a line that stays in the text, and more of them.\n" * 40
+    rows = [(i, "web", "en", text + f"Line {i}.", len(text) + 30_000 * (i == 43)) for i in range(400)]
+    docs = spark.createDataFrame([*rows, (None, "web", "en", text, 1)], "doc_id long, source string, lang string, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        folder = archives._bucket_archives(spark, str(tmp_path))
+        read = wet.read_wet_rows(spark, folder)
+        assert read.rdd.getNumPartitions() > 2 * archives.BUCKETS
+        assert read.select("file").distinct().count() == archives.BUCKETS
+        records = wet.parse_records(read).where("is_doc")
+        assert records.count() == 400 and records.select("url").distinct().count() == 400
+        bad = wet.bad_files(read).collect()
+        assert [(r["reason"], r["n_bad"], "/bucket=3/" in r["file"]) for r in bad] == [("bad_utf8", 1, True)]
+        heads = archives.coarse_other_headers(spark, str(tmp_path)).collect()
+        want = [f"WARC/1.0|WARC-Type: metadata|WARC-Target-URI: bucket:{b}||note" for b in range(3)]
+        assert sorted(r["head"] for r in heads) == want
+    finally:
+        spark.conf.set(size, before)
