@@ -68,7 +68,9 @@ def trigrams(df: DataFrame, text: str, by: str, *keep: str) -> DataFrame:
         F.concat(F.array(start * 2), "w").alias("u"), F.concat(F.array(start), "w").alias("v"), "w"
     )
     # The first two arrays are longer; past the last word there is none.
-    return ws.select(*keep, "by", F.inline(shifted).alias("u", "v", "w")).where("w IS NOT NULL")
+    # A group that is a literal would turn joins by group into loops, so it goes by the words.
+    group = F.when(F.size("w") > 0, F.col("by")).alias("by")
+    return ws.select(*keep, group, F.inline(shifted).alias("u", "v", "w")).where("w IS NOT NULL")
 
 
 def _sums(counts: DataFrame, *context: str) -> DataFrame:

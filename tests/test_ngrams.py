@@ -121,3 +121,12 @@ def test_broadcast_bound_of_words(spark, monkeypatch):
     docs = frame(spark, TEXTS)
     got = ngrams.ngram_perplexity(docs, ngrams.fit_ngrams(docs)).collect()
     check({r["doc_id"]: r["perplexity"] for r in got}, TEXTS, by_group())
+
+
+def test_one_group_by_a_literal(spark):
+    docs = frame(spark, TEXTS)
+    model = ngrams.fit_ngrams(docs)
+    scored = ngrams.ngram_perplexity(docs.withColumn("lang", F.lit("en")), model)
+    assert "NestedLoop" not in scored._jdf.queryExecution().executedPlan().toString()
+    rows = [(i, "en", t) for i, _, t in TEXTS]
+    check({r["doc_id"]: r["perplexity"] for r in scored.collect()}, rows, by_group())
