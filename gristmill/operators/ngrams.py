@@ -8,7 +8,8 @@ and one unknown word. An unseen context leaves all to the lower order.
 
 The model is tables, sharded by n-gram. Words and contexts go by 64-bit hashes of group and
 word, so rows are a few numbers: a trigram is its context of two words and its last word,
-128 bits, and a group of 10 million words has two with one hash by a chance of 1 in 300,000.
+128 bits. Two of 10 million words share a hash by a chance of 1 in 300,000, two of 300 million
+contexts by 1 in 400; such two would be counted as one.
 No task holds the vocabulary of a group: totals and counts of counts are combined before
 their shuffle. A text gives a row for each trigram, which meets one row of each table; what
 is hot is split by adaptive execution. Tables of words are broadcast up to a bound.
