@@ -6,139 +6,216 @@ off every count, where n1 and n2 are the numbers of n-grams counted once and twi
 gives what it has taken to the next lower order; the lowest one shares it among its words
 and one unknown word. An unseen context leaves all to the lower order.
 
-The model is tables, sharded by n-gram. Words and contexts go by 64-bit hashes of group and
-word, so rows are a few numbers: a trigram is its context of two words and its last word,
-128 bits. Two of 10 million words share a hash by a chance of 1 in 300,000, two of 300 million
-contexts by 1 in 400; such two would be counted as one.
-No task holds the vocabulary of a group: totals and counts of counts are combined before
-their shuffle. A text gives a row for each trigram, which meets one row of each table; what
-is hot is split by adaptive execution. Tables of words are broadcast up to a bound.
+The model is a table of cells (``cells``), compressed arrays of all trigrams of some middle
+words, from which all counts of order 3 and 2 follow. Words go by 64-bit hashes of group and
+word; two of 10 million words share one by a chance of 1 in 300,000. Such two would be
+counted as one. Texts send their trigrams to the cells, again as compressed arrays, and get
+one sum for each cell they meet. Of order 1 the frequent words are broadcast, up to a bound;
+trigrams that end in other words meet their counts in a join. Only what a trigram takes in
+these arrays is shuffled, 3 to 6 bytes; shuffles are deleted as soon as their result is staged.
+
+No task holds the vocabulary of a group, or more than a cell and what one task has sent to it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from gristmill.functions.text import words
-from gristmill.sources.staging import stage
+from gristmill.operators import cells
+from gristmill.sources.staging import stage, staged
 
-#: Stands before the first word of a text; words are never empty.
-START = ""
 #: Groups a model may have; more are refused, as their discounts are broadcast.
 MAX_GROUPS = 100_000
 
 
-#: Words a model may have for its table of words to be broadcast, some 60 bytes each.
-BROADCAST_WORDS = 1_000_000
+#: Known words of a model, the most frequent ones. They are broadcast, some 30 bytes each.
+BROADCAST_WORDS = 2_000_000
+#: Trigrams of the corpus for a cell, on average.
+CELL_TRIGRAMS = 2_000_000
+#: Words are counted in so many parts.
+PARTS = 64
+
+BLOBS = "part int, blob binary"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass
 class NgramModel:
-    """Staged tables of hashes: trigrams (by, a, v, w, c) by context ``a`` of two words, the sums
-    of the contexts (a, total, types), bigrams (by, v, w, c), words (w, c, total, types) with
-    the sums of what follows them, and for each group (by, d3, d2, d1, total, types): its
-    discounts and the sums of order 1. ``few`` tells that the words may be broadcast."""
+    """Staged tables: cells with their trigrams, the sums of contexts that are in several cells
+    (cell, blob) and the words that are not known (w, c), where there are any. Broadcast:
+    the known words, and their counts with the discounts and sums of each group."""
 
-    trigrams: DataFrame
-    after_two: DataFrame
-    bigrams: DataFrame
-    words: DataFrame
-    groups: DataFrame
-    few: bool
+    cells: DataFrame
+    contexts: DataFrame | None
+    words: DataFrame | None
+    known: Broadcast
+    fitted: Broadcast
+    count: int
 
 
-def hashed(df: DataFrame, *keep: str) -> DataFrame:
-    """(keep..., by, a, v, w) of the trigrams (by, u, v, w): hashes in the place of words."""
-    ids = {c: F.xxhash64("by", c) for c in ("u", "v", "w")}
-    return df.select(*keep, "by", F.xxhash64(ids["u"], ids["v"]).alias("a"), ids["v"].alias("v"), ids["w"].alias("w"))
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within the block, the files of a shuffle go when the query that needs them has ended."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
-def trigrams(df: DataFrame, text: str, by: str, *keep: str) -> DataFrame:
-    """(keep..., by, u, v, w): a row for each word of a text, with the two before it.
+def _texts(df: DataFrame, text: str, by: str, *keep: str) -> DataFrame:
+    """(group, text, keep...) of the texts of groups."""
+    found = df.where(F.col(by).isNotNull() & F.col(text).isNotNull())
+    return found.select(F.xxhash64(by), F.lower(F.col(text)), *keep)
 
-    Shifted arrays are zipped by built-in functions, which are compiled; a lambda is not.
-    """
-    ws = df.where(F.col(by).isNotNull()).select(
-        *keep, F.col(by).alias("by"), words(F.lower(F.col(text))).alias("w")
-    )
-    start = [F.lit(START)]
-    shifted = F.arrays_zip(
-        F.concat(F.array(start * 2), "w").alias("u"), F.concat(F.array(start), "w").alias("v"), "w"
-    )
-    # The first two arrays are longer; past the last word there is none.
-    # A group that is a literal would turn joins by group into loops, so it goes by the words.
-    group = F.when(F.size("w") > 0, F.col("by")).alias("by")
-    return ws.select(*keep, group, F.inline(shifted).alias("u", "v", "w")).where("w IS NOT NULL")
 
-
-def _sums(counts: DataFrame, *context: str) -> DataFrame:
-    """The sum of the counts after each context, and its different next words."""
-    return counts.groupBy(*context).agg(
-        F.sum("c").alias("total"), F.count(F.lit(1)).alias("types")
-    )
+def _dealt(df: DataFrame, parts: int, *columns: str) -> DataFrame:
+    return df.repartition(parts, columns[0]).sortWithinPartitions(*columns)
 
 
-def _discount(counts: DataFrame, name: str) -> DataFrame:
-    n1, n2 = (F.count_if(F.col("c") == n) for n in (1, 2))
-    return counts.groupBy("by").agg(
-        F.coalesce(F.try_divide(n1, n1 + 2 * n2), F.lit(0.0)).alias(name)
-    )
+def _known(counts: DataFrame) -> tuple[dict, bool]:
+    """The known words and the number of cells, and whether all words are known."""
+    if counts.select("g").distinct().limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    groups = np.sort(counts.select("g").distinct().toArrow().column("g").to_numpy())
+    words, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    frequent = counts
+    if words > BROADCAST_WORDS:
+        least, left = None, BROADCAST_WORDS
+        for n, many in counts.groupBy("n").count().orderBy(F.desc("n")).collect():
+            left -= many
+            if left < 0:
+                break
+            least = n
+        frequent = counts.where(F.col("n") >= least if least is not None else F.lit(False))
+    g, h, n = (c.to_numpy() for c in frequent.toArrow().columns)
+    by = np.lexsort((h, -n))
+    g, h, n = g[by], h[by], n[by]
+    sort = np.argsort(h)
+    count = max(4, min(32, total // 100_000), -(-total // CELL_TRIGRAMS))
+    # A word with more trigrams than a cell has on average is dealt to several.
+    hot = int((n * count > total).sum())
+    return {
+        "sorted": h[sort],
+        "code": sort.astype(np.int32),
+        "group": np.searchsorted(groups, g).astype(np.int32),
+        "groups": groups,
+        "cells": count,
+        "hot": np.arange(hot),
+        "deals": np.minimum(-(-n[:hot] * count // max(total, 1)), count),
+    }, words <= BROADCAST_WORDS
+
+
+def _discount(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
+    all_ = n1 + 2 * n2
+    return np.divide(n1, all_, out=np.zeros(len(n1)), where=all_ > 0)
+
+
+def _fitted(known: dict, complete: bool, table: DataFrame, words: DataFrame) -> dict:
+    """What is small: sums of all cells, and the counts of known words."""
+    groups, size, hot = len(known["groups"]), len(known["sorted"]), len(known["hot"])
+    n = [np.zeros(groups, np.int64) for _ in range(4)]
+    total, types = np.zeros(hot, np.int64), np.zeros(hot, np.int64)
+    for blob in table.select("sums").toArrow().column(0):
+        *counted, at, some_total, some_types = cells.unpacked(blob.as_py())
+        for c, more in zip(n, counted, strict=True):
+            c += more
+        total[at] += some_total
+        types[at] += some_types
+    ones, twos = (F.count_if(F.col("c") == i) for i in (1, 2))
+    sums = words.groupBy("g").agg(F.sum("c"), F.count(F.lit(1)), ones, twos).toArrow()
+    g, *found = (c.to_numpy() for c in sums.columns)
+    total1, types1, n1, n2 = (np.zeros(groups, np.int64) for _ in range(4))
+    for column, c in zip((total1, types1, n1, n2), found, strict=True):
+        column[g] = c
+    code, c = (c.to_numpy() for c in words.where("code >= 0").select("code", "c").toArrow().columns)
+    # The last one is that of a word that is not known.
+    c1 = np.zeros(size + 1, np.int32 if total1.max(initial=0) < 2**31 else np.int64)
+    c1[code] = c
+    return {
+        "c1": c1, "complete": complete, "hot_total": total, "hot_types": types,
+        "total1": total1, "types1": types1, "d1": _discount(n1, n2), "d2": _discount(*n[2:]), "d3": _discount(*n[:2]),
+    }
 
 
 def fit_ngrams(df: DataFrame, text: str = "text", by: str = "lang") -> NgramModel:
     """The model of each group of texts; a NULL group has no model."""
-    one = F.count(F.lit(1)).alias("c")
-    three = stage(hashed(trigrams(df, text, by)).groupBy("a", "w", "v", "by").agg(one), "trigrams")
-    two = stage(three.groupBy("w", "v", "by").agg(one), "bigrams")
-    unigrams = stage(two.groupBy("w", "by").agg(one), "unigrams")
-    groups = (
-        _sums(unigrams, "by")
-        .join(_discount(three, "d3"), "by")
-        .join(_discount(two, "d2"), "by")
-        .join(_discount(unigrams, "d1"), "by")
-    )
-    after_one = _sums(two, "v").withColumnRenamed("v", "w")
-    words = stage(unigrams.select("w", "c").join(after_one, "w", "full"), "words")
-    few = words.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    return NgramModel(
-        three, stage(_sums(three, "a"), "after-two"), two, words, stage(groups, "groups"), few
+    spark, texts = df.sparkSession, _texts(df, text, by)
+    share = spark.sparkContext.broadcast
+    with _shuffles_deleted(spark):
+        counted = _dealt(texts.mapInArrow(cells.count_words(PARTS), BLOBS), PARTS // 2, "part")
+        with staged(counted.mapInArrow(cells.sum_words(), "g long, h long, n long"), "counts") as counts:
+            held, complete = _known(counts)
+        known, count = share(held), held["cells"]
+        parts = min(count, PARTS)
+        dealt = _dealt(texts.mapInArrow(cells.deal_counts(known), BLOBS), count, "part")
+        schema = "cell int, model binary, contexts array<binary>, words array<binary>, sums binary"
+        table = stage(dealt.mapInArrow(cells.fit_cells(known, parts), schema), "cells")
+
+        def by_part(column: str) -> DataFrame:
+            return _dealt(table.select(F.posexplode(column).alias("part", "blob")), parts, "part")
+
+        counts = by_part("words").mapInArrow(cells.sum_types(known), "code int, w long, g int, c long")
+        with staged(counts, "types") as counts:
+            fitted = share(_fitted(held, complete, table, counts))
+            words = None if complete else stage(counts.where("code < 0").select("w", "c"), "words")
+        contexts = None
+        if len(held["hot"]):
+            contexts = stage(by_part("contexts").mapInArrow(cells.merge_contexts(known), BLOBS), "contexts")
+    return NgramModel(table, contexts, words, known, fitted, count)
+
+
+def _sums(rows: DataFrame, model: NgramModel, trigrams: bool = False) -> DataFrame:
+    """(key, _s, _n) of the rows (group, text, key) or (group, u, v, w, key): the sum of the
+    logarithms of their probabilities. A key comes as often as its rows."""
+    dealt = rows.mapInArrow(
+        cells.deal_texts(model.known, trigrams), "cell int, kind int, chunk long, blob binary"
     )
 
+    def of_model(df: DataFrame, kind: int, *columns: str) -> DataFrame:
+        cell, blob = columns
+        return df.select(F.col(cell), F.lit(kind), F.lit(None).cast("long"), F.col(blob))
 
-def _scored(rows: DataFrame, model: NgramModel) -> DataFrame:
-    """The rows (by, a, v, w, ...) with ``p``; those of a group without a model are left out."""
-    if model.groups.limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    few = F.broadcast if model.few else lambda table: table
-    # Numbers of the higher order wait until the lower one is known.
-    seen = (
-        rows.join(model.trigrams.select("a", "w", F.col("c").alias("c3")), ["a", "w"], "left")
-        .join(model.after_two.toDF("a", "total3", "types3"), "a", "left")
-        .drop("a")
-        .join(model.bigrams.select("v", "w", F.col("c").alias("c2")), ["v", "w"], "left")
-        .join(few(model.words.select(F.col("w").alias("v"), F.col("total").alias("total2"), F.col("types").alias("types2"))), "v", "left")
-        .join(few(model.words.select("w", F.col("c").alias("c1"))), "w", "left")
-        .join(F.broadcast(model.groups.withColumnsRenamed({"total": "total1", "types": "types1"})), "by")
+    both = dealt.union(of_model(model.cells, cells.MODEL, "cell", "model"))
+    if model.contexts is not None:
+        both = both.union(of_model(model.contexts, cells.CONTEXTS, "part", "blob"))
+    schema = "chunk long, keys binary, sums binary, w long, text int, a double, b double, d double"
+    scored = _dealt(both, model.count, "cell", "kind").mapInArrow(
+        cells.score_cells(model.known, model.fitted), schema
     )
-
-    def share(n: int, lower: Column) -> Column:
-        c, d, total, types = (F.col(f"{x}{n}") for x in ("c", "d", "total", "types"))
-        kept = F.greatest(F.coalesce(c, F.lit(0)) - d, F.lit(0.0))
-        # A context that was never seen leaves all to the lower order.
-        return F.coalesce((kept + d * types * lower) / total, lower)
-
-    unknown = 1 / (F.col("types1") + 1)
-    p = share(3, share(2, share(1, unknown)))
-    return seen.select(*[c for c in rows.columns if c not in ("a", "v", "w")], p.alias("p"))
+    c = F.lit(0).cast("long")
+    if model.words is not None:
+        # Rows without a word have a number that spreads them.
+        scored = scored.join(model.words, "w", "left")
+        c = F.coalesce("c", c)
+    p = F.col("a") + F.col("b") * F.greatest(c - F.col("d"), F.lit(0.0))
+    scored = scored.select("chunk", "keys", "sums", "text", p.alias("p"))
+    key = rows.schema.fields[-1]
+    schema = StructType([StructField(key.name, key.dataType), StructField("_s", DoubleType()), StructField("_n", LongType())])
+    return _dealt(scored, model.count, "chunk").mapInArrow(cells.sum_texts(), schema)
 
 
 def probabilities(needed: DataFrame, model: NgramModel) -> DataFrame:
     """(by, u, v, w, p) of different trigrams; those of a group without a model are left out."""
-    named = needed.withColumn("_t", F.struct("u", "v", "w"))
-    return _scored(hashed(named, "_t"), model).select("by", "_t.*", "p")
+    # NULL is no word, as a blank is none.
+    words = [F.coalesce(c, F.lit(" ")) for c in ("u", "v", "w")]
+    rows = needed.where("by IS NOT NULL").select(
+        F.xxhash64("by"), *words, F.struct("by", "u", "v", "w").alias("_t")
+    )
+    p = F.when(F.col("_n") > 0, F.exp("_s")).otherwise(0.0)
+    return _sums(rows, model, trigrams=True).select("_t.*", p.alias("p"))
 
 
 def ngram_perplexity(
@@ -149,5 +226,5 @@ def ngram_perplexity(
     Texts without a word, and those of groups without a model, have no row. The key is
     unique.
     """
-    rows = hashed(trigrams(df, text, by, key), key)
-    return _scored(rows, model).groupBy(key).agg(F.exp(-F.avg(F.log("p"))).alias("perplexity"))
+    mean = F.try_divide(F.sum("_s"), F.sum("_n"))
+    return _sums(_texts(df, text, by, key), model).groupBy(key).agg(F.exp(-mean).alias("perplexity"))
