@@ -10,24 +10,24 @@ Everything here runs in tasks. It is pickled by value, as tasks need not import
 
 from __future__ import annotations
 
-import hashlib
-import itertools
 import sys
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Stands before the first word of a text; words are never empty.
 START = ""
-#: Trigrams a task deals at once, and the words it remembers from one time to the next. Together
-#: with the words of the last text but one they are numbered in 21 bits, else in several columns.
-CHUNK = 1_500_000
-REMEMBERED = 500_000
+#: Bytes of text a task deals at once.
+CHUNK = 8_000_000
+#: The hash of words takes 16 characters.
+HASH_KEY = "0123456789abcdef"
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -84,7 +84,7 @@ def order(*columns: np.ndarray) -> np.ndarray:
     key = columns[0].astype(np.int64)
     for c, b in zip(columns[1:], bits[1:], strict=True):
         key = (key << b) | c
-    return np.argsort(key, kind="stable")
+    return np.argsort(key)
 
 
 def find(table: np.ndarray, needles: np.ndarray) -> np.ndarray:
@@ -117,13 +117,11 @@ class Known:
         found[known], found[~known] = self.group[codes[known]], groups[codes[~known] - self.size]
         return found
 
-    def cell(self, v: np.ndarray, v_hash: np.ndarray, w_hash: np.ndarray) -> np.ndarray:
-        at = v_hash.view(np.uint64) % np.uint64(self.cells)
-        hot = find(self.hot, v)
-        many = np.flatnonzero(hot >= 0)
-        other = (w_hash[many].view(np.uint64) >> np.uint64(20)) % self.deals[hot[many]].astype(np.uint64)
-        at[many] = (at[many] + other) % np.uint64(self.cells)
-        return at.astype(np.int64)
+    def dealt(self, codes: np.ndarray) -> np.ndarray:
+        """To how many cells the trigrams of a word go."""
+        hot, n = find(self.hot, codes), np.ones(len(codes), np.int64)
+        n[hot >= 0] = self.deals[hot[hot >= 0]]
+        return n
 
     def cells_of(self, hot: int) -> list[int]:
         base = int(self.hash[self.hot[hot]]) % 2**64 % self.cells
@@ -133,9 +131,17 @@ class Known:
 def encoded(size: int, v, u, w, hashes, groups, *more) -> bytes:
     """Rows sorted by (v, u, w) with more columns. Numbers from ``size`` on are places in
     ``hashes`` and ``groups``; those are renumbered, in the same order, for these rows."""
-    used = np.unique(np.concatenate([c[c >= size] for c in (v, u, w)])) - size
+    used = np.zeros(len(hashes), bool)
+    rare = [np.flatnonzero(c >= size) for c in (v, u, w)]
+    for c, r in zip((v, u, w), rare, strict=True):
+        used[c[r] - size] = True
+    used = np.flatnonzero(used)
     if len(used):
-        v, u, w = (np.where(c >= size, size + np.searchsorted(used, c - size), c) for c in (v, u, w))
+        to = np.zeros(len(hashes), np.int64)
+        to[used] = size + np.arange(len(used))
+        v, u, w = v.copy(), u.copy(), w.copy()
+        for c, r in zip((v, u, w), rare, strict=True):
+            c[r] = to[c[r] - size]
     new_v, new_u = starts(v), starts(v, u)
     steps = [np.diff(c, prepend=0) for c in (v, u, w)]
     steps[1] = np.where(new_v, u, steps[1])
@@ -169,11 +175,8 @@ def merged(blobs: list[bytes], size: int) -> list[np.ndarray]:
     for i in range(3):
         column = []
         for p in parts:
-            to = size + np.searchsorted(hashes, p[3])
-            c, rare = p[i], p[i] >= size
-            if rare.any():
-                c = c.copy()
-                c[rare] = to[c[rare] - size]
+            c, rare = p[i], np.flatnonzero(p[i] >= size)
+            c[rare] = size + np.searchsorted(hashes, p[3])[c[rare] - size]
             column.append(c)
         columns.append(np.concatenate(column))
     more = [np.concatenate(c) for c in zip(*(p[5:] for p in parts), strict=True)]
@@ -185,89 +188,144 @@ def merged(blobs: list[bytes], size: int) -> list[np.ndarray]:
     return [*(c[first] for c in columns), hashes, groups, *more]
 
 
-class Reader:
-    """The words of a task's texts by numbers, its trigrams in chunks."""
-
-    def __init__(self, known: Known | None = None):
-        self.known, self.chunk = known, 0
-        self.forget()
-        self.clear()
-
-    def forget(self) -> None:
-        number = itertools.count().__next__
-        self.words: dict[int, defaultdict] = defaultdict(lambda: defaultdict(number))
-        self.learnt: dict[int, int] = defaultdict(int)
-        self.hash, self.group = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def clear(self) -> None:
-        self.columns: list[list[np.ndarray]] = [[], [], []]
-        self.sizes: list[int] = []
-        self.n = 0
-
-    def numbers(self, group: int, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.words[group].__getitem__, words), np.int32, len(words))
-
-    def add(self, *columns: np.ndarray) -> None:
-        """The (u, v, w) of a text."""
-        for held, c in zip(self.columns, columns, strict=True):
-            held.append(c)
-        self.sizes.append(len(columns[2]))
-        self.n += len(columns[2])
-
-    def text(self, group: int, text: str | None) -> None:
-        words = (text or "").split()
-        if words:
-            n = self.numbers(group, [START, START, *words])
-            self.add(n[:-2], n[1:-1], n[2:])
-
-    def learn(self) -> None:
-        """Hashes and groups of the words that are new."""
-        hashes, groups, at = [], [], []
-        for group, words in self.words.items():
-            done, self.learnt[group] = self.learnt[group], len(words)
-            salt = group.to_bytes(8, "little", signed=True)
-            new = itertools.islice(words, done, None)
-            hashes += [hashlib.blake2b(salt + x.encode(), digest_size=8).digest() for x in new]
-            at.append(np.fromiter(itertools.islice(words.values(), done, None), np.int64, len(words) - done))
-            groups.append(np.full(len(words) - done, group, np.int64))
-        by = np.argsort(np.concatenate(at))
-        self.hash = np.concatenate([self.hash, np.frombuffer(b"".join(hashes), np.int64)[by]])
-        self.group = np.concatenate([self.group, np.concatenate(groups)[by]])
-
-    def dealt(self, count: bool) -> Iterator[tuple[int, bytes]]:
+def mixed(x: np.ndarray) -> np.ndarray:
+    """The finalizer of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Chunk:
+    """Words of texts by numbers. ``hash`` and ``group`` are those of the numbers, ``w`` the words
+    one after another, ``v`` and ``u`` the words before, ``sizes`` the number in each text."""
+
+    def __init__(self, groups: np.ndarray, texts: list[pa.Array]):
+        n = len(groups)
+        if len(texts) == 1:
+            lists = pc.utf8_split_whitespace(texts[0])
+            words = lists.flatten()
+            sizes = np.diff(lists.offsets.to_numpy())
+        else:
+            words, sizes = pa.concat_arrays(texts), np.ones(3 * n, np.int64)
+        if pa.types.is_dictionary(words.type) or not len(words):
+            words = words.cast(pa.string())
+        words = words.dictionary_encode()
+        names = words.dictionary.to_numpy(zero_copy_only=False)
+        at = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        different, group = np.unique(groups, return_inverse=True)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        if len(texts) == 1:
+            # What stands at the ends of a text is split off as an empty word.
+            full = (names != "")[at]
+            row, at = row[full], at[full]
+            sizes = np.bincount(row, minlength=n)
+        # Words of several groups are numbered by both.
+        m = len(names)
+        by = pa.array(group[row % n] * m + at).dictionary_encode()
+        at, by = by.indices.to_numpy().astype(np.int64), by.dictionary.to_numpy()
+        hashes = pd.util.hash_array(names.astype(object), hash_key=HASH_KEY, categorize=False)
+        begin = pd.util.hash_array(np.array([START], object), hash_key=HASH_KEY, categorize=False)
+        hashes = np.concatenate([hashes[by % m] if m else hashes, np.repeat(begin, len(different))])
+        place = np.concatenate([by // m if m else by, np.arange(len(different))])
+        self.group = different[place]
+        self.hash = mixed(hashes + mixed(self.group.view(np.uint64))).view(np.int64)
+        if len(texts) == 1:
+            # Each group's start comes after its words.
+            first = np.flatnonzero(starts(row))
+            before = len(by) + group[row[first]]
+            self.w, self.v, self.u = at, np.roll(at, 1), None
+            self.v[first] = before
+            self.u = np.roll(self.v, 1)
+            self.u[first] = before
+        else:
+            self.u, self.v, self.w = at.reshape(3, n)
+            sizes = np.ones(n, np.int64)
+        self.sizes = sizes
+        self.begins = np.bincount(len(by) + group[sizes > 0], minlength=len(self.hash))
+
+    def dealt(self, known: Known, count: bool) -> Iterator[tuple[int, bytes]]:
         """(cell, rows): trigrams with their counts, or each with the place of its text."""
-        self.learn()
-        known = self.known
         codes = known.codes(self.hash)
         rare = np.flatnonzero(codes < 0)
         codes[rare] = known.size + np.arange(len(rare))
         hashes, groups = self.hash[rare], np.searchsorted(known.groups, self.group[rare])
         # Words are numbered anew, densely and in the order of their codes.
         by = np.argsort(codes)
-        names, by_hash, rank = codes[by], self.hash[by], np.empty(len(by), np.int64)
+        codes, by_hash, rank = codes[by], self.hash[by].view(np.uint64), np.empty(len(by), np.int64)
         rank[by] = np.arange(len(by))
-        u, v, w = (rank[np.concatenate(c)] for c in self.columns)
-        by = order(v, u, w)
-        u, v, w = u[by], v[by], w[by]
+        # A word takes a place for each cell it goes to; places are in the order of the cells.
+        n = known.dealt(codes)
+        last = np.cumsum(n)
+        word = np.repeat(np.arange(len(n)), n)
+        other = np.arange(len(word)) - (last - n)[word]
+        cell = (by_hash[word] % np.uint64(known.cells)).astype(np.int64) + other
+        cell %= known.cells
+        places = np.lexsort((word, cell))
+        word, cell, to = word[places], cell[places], np.empty(len(places), np.int64)
+        to[places] = np.arange(len(places))
+        first, v, w = (last - n)[rank], self.v, rank[self.w]
+        place = first[v]
+        hot = np.flatnonzero((n > 1)[rank][v])
+        place[hot] += ((by_hash[w[hot]] >> np.uint64(20)) % n[rank[v[hot]]].astype(np.uint64)).astype(np.int64)
+        place, u = to[place], rank[self.u]
         if count:
-            first = np.flatnonzero(starts(v, u, w))
-            more = np.diff(first, append=len(v))
-            u, v, w = u[first], v[first], w[first]
+            place, u, w, more = _counted(place, u, w)
         else:
+            by = order(place, u, w)
+            place, u, w = place[by], u[by], w[by]
             more = np.repeat(np.arange(len(self.sizes)), self.sizes)[by]
-        cell = known.cell(names[v], by_hash[v], by_hash[w])
-        by = np.argsort(cell, kind="stable")
-        cell = cell[by]
-        first = np.flatnonzero(starts(cell))
-        for a, b in zip(first, np.append(first[1:], len(cell)), strict=True):
-            rows = by[a:b]
-            yield int(cell[a]), encoded(known.size, *(names[c[rows]] for c in (v, u, w)), hashes, groups, more[rows])
+        v, u, w, at = codes[word[place]], codes[u], codes[w], cell[place]
+        first = np.flatnonzero(starts(at))
+        for a, b in zip(first, np.append(first[1:], len(at)), strict=True):
+            yield int(at[a]), encoded(known.size, v[a:b], u[a:b], w[a:b], hashes, groups, more[a:b])
 
-    def next(self) -> None:
-        self.chunk += 1
-        self.clear()
-        if len(self.hash) > REMEMBERED:
-            self.forget()
+
+def _counted(*columns: np.ndarray) -> list[np.ndarray]:
+    """Different rows in order, and the number of each."""
+    bits = [max(int(c.max()).bit_length(), 1) if len(c) else 1 for c in columns]
+    if sum(bits) > 63:
+        by = order(*columns)
+        columns = [c[by] for c in columns]
+        first = np.flatnonzero(starts(*columns))
+        return [*(c[first] for c in columns), np.diff(first, append=len(by))]
+    key = columns[0]
+    for c, b in zip(columns[1:], bits[1:], strict=True):
+        key = (key << b) | c
+    key = np.sort(key)
+    first = np.flatnonzero(starts(key))
+    n, key, found = np.diff(first, append=len(key)), key[first], []
+    for b in bits[:0:-1]:
+        found.append(key & ((1 << b) - 1))
+        key = key >> b
+    return [key, *found[::-1], n]
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+    """Columns of rows with texts of some size in all; the first is the group, the second a text."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)) + size
+        cuts = [*np.flatnonzero(starts(sizes // CHUNK))[1:].tolist(), batch.num_rows]
+        # What was held, with the rows up to the first cut; then the rows between cuts.
+        if sizes[0] >= CHUNK and held:
+            yield _joined(held)
+            held = []
+        at = 0
+        for cut in cuts:
+            held.append(batch.slice(at, cut - at))
+            if cut < batch.num_rows:
+                yield _joined(held)
+                held = []
+            at = cut
+        size = int(sizes[-1] % CHUNK)
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> list[pa.Array]:
+    return [pa.concat_arrays([b.column(i) for b in batches]) for i in range(batches[0].num_columns)]
 
 
 def batch_of(kind: str, *columns) -> pa.RecordBatch:
@@ -283,7 +341,7 @@ SCHEMAS = {
     "cell": pa.schema(
         [("cell", _int), ("model", _bytes), ("contexts", pa.list_(_bytes)), ("words", pa.list_(_bytes)), ("sums", _bytes)]
     ),
-    "words": pa.schema([("code", _int), ("w", _long), ("g", _int), ("c", _long)]),
+    "words": pa.schema([("code", _int), ("w", _long), ("g", _int), ("c", _long), ("part", _int), ("blob", _bytes)]),
     "dealt": pa.schema([("cell", _int), ("kind", _int), ("chunk", _long), ("blob", _bytes)]),
     "scored": pa.schema(
         [("chunk", _long), ("keys", _bytes), ("sums", _bytes), ("w", _long), ("text", _int)]
@@ -313,29 +371,20 @@ def by_key(total: Callable) -> Callable:
 def count_words(parts: int) -> Callable:
     """(group, text) -> (part, words with their counts); what starts a text counts as a word."""
 
-    def flush(reader: Reader) -> Iterator[pa.RecordBatch]:
-        reader.learn()
-        n = np.bincount(np.concatenate(reader.columns[2]), minlength=len(reader.hash))
-        n += np.bincount([c[0] for c in reader.columns[0]], minlength=len(n))
-        part = (reader.hash.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        rows = np.flatnonzero(n)
-        rows = rows[np.lexsort((reader.hash[rows], part[rows]))]
-        first = np.flatnonzero(starts(part[rows]))
-        for p in np.split(rows, first[1:]):
-            # Of hashes in order the steps are shorter; the first and they wrap around.
-            steps = np.diff(reader.hash[p], prepend=0)
-            yield batch_of("part", [int(part[p[0]])], [packed(steps, *np.unique(reader.group[p], return_inverse=True), n[p])])
-        reader.next()
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
-        for batch in batches:
-            for group, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                reader.text(group, text.as_py())
-                if reader.n >= CHUNK:
-                    yield from flush(reader)
-        if reader.n:
-            yield from flush(reader)
+        for groups, text in chunks(batches):
+            chunk = Chunk(groups.to_numpy(), [text])
+            n = np.bincount(chunk.w, minlength=len(chunk.hash)) + chunk.begins
+            part = (chunk.hash.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+            rows = np.flatnonzero(n)
+            rows = rows[np.argsort(chunk.hash[rows])]
+            rows = rows[np.argsort(part[rows].astype(np.int16), kind="stable")]
+            first = np.flatnonzero(starts(part[rows]))
+            for p in np.split(rows, first[1:]) if len(rows) else []:
+                # Of hashes in order the steps are shorter; running sums wrap around as they do.
+                steps = np.diff(chunk.hash[p], prepend=0)
+                blob = packed(steps, *np.unique(chunk.group[p], return_inverse=True), n[p])
+                yield batch_of("part", [int(part[p[0]])], [blob])
 
     return work
 
@@ -357,30 +406,20 @@ def sum_words() -> Callable:
 def deal_counts(shared) -> Callable:
     """(group, text) -> (part, trigrams with their counts), the part being a cell."""
 
-    def flush(reader: Reader) -> Iterator[pa.RecordBatch]:
-        for cell, rows in reader.dealt(count=True):
-            yield batch_of("part", [cell], [rows])
-        reader.next()
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(Known(shared.value))
-        for batch in batches:
-            for group, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                reader.text(group, text.as_py())
-                if reader.n >= CHUNK:
-                    yield from flush(reader)
-        if reader.n:
-            yield from flush(reader)
+        known = Known(shared.value)
+        for groups, text in chunks(batches):
+            for cell, rows in Chunk(groups.to_numpy(), [text]).dealt(known, count=True):
+                yield batch_of("part", [cell], [rows])
 
     return work
 
 
-def _bigrams(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different (v, w) in order, with the number of rows of each."""
-    by = order(v, w)
-    v, w = v[by], w[by]
-    first = np.flatnonzero(starts(v, w))
-    return v[first], w[first], np.diff(first, append=len(v))
+def _part(size: int, codes: np.ndarray, hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each word."""
+    part, rare = codes % parts, np.flatnonzero(codes >= size)
+    part[rare] = (hashes[codes[rare] - size].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+    return part
 
 
 def fit_cells(shared, parts: int) -> Callable:
@@ -390,7 +429,7 @@ def fit_cells(shared, parts: int) -> Callable:
         known = Known(shared.value)
         v, u, w, hashes, groups, c = merged(blobs, known.size)
         model = encoded(known.size, v, u, w, hashes, groups, c)
-        bv, bw, c2 = _bigrams(v, w)
+        bv, bw, c2 = _counted(v, w)
         first = np.flatnonzero(starts(v))
         hot = np.flatnonzero(find(known.hot, v[first]) >= 0)
         total2, types2 = np.diff(first, append=len(v)), np.diff(np.flatnonzero(starts(bv)), append=len(bv))
@@ -405,42 +444,46 @@ def fit_cells(shared, parts: int) -> Callable:
         cv, cu = v[first], u[first]
         contexts, total3, types3 = [], np.add.reduceat(c, first), np.diff(first, append=len(v))
         rows = np.flatnonzero(find(known.hot, cv) >= 0)
-        part = np.where(cu < known.size, cu, 0)
-        part[cu >= known.size] = hashes[cu[cu >= known.size] - known.size].view(np.uint64) % np.uint64(parts)
         if len(rows):
+            part = _part(known.size, cu[rows], hashes, parts)
             for p in range(parts):
-                r = rows[part[rows] % parts == p]
+                r = rows[part == p]
                 contexts.append(encoded(known.size, cv[r], cu[r], np.zeros(len(r), np.int64), hashes, groups, total3[r], types3[r]))
         # In how many contexts of one word a word is.
-        codes, n = np.unique(bw, return_counts=True)
-        rare = codes >= known.size
-        rare_hash, rare_group = hashes[codes[rare] - known.size], groups[codes[rare] - known.size]
-        rare_part = (rare_hash.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        codes, n = _counted(bw)
+        part = _part(known.size, codes, hashes, parts)
+        by = np.argsort(part, kind="stable")
         words = []
-        for p in range(parts):
-            some, other = ~rare & (codes % parts == p), rare_part == p
-            words.append(
-                packed(np.diff(codes[some], prepend=0), n[some], np.diff(rare_hash[other], prepend=0), rare_group[other], n[rare][other])
-            )
+        for rows in np.split(by, np.searchsorted(part[by], np.arange(1, parts))):
+            c, m = codes[rows], n[rows]
+            some, other = c < known.size, c[c >= known.size] - known.size
+            steps = np.diff(c[some], prepend=0), np.diff(hashes[other], prepend=0)
+            words.append(packed(np.array([cell]), steps[0], m[some], steps[1], groups[other], m[~some]))
         yield batch_of("cell", [cell], [model], [contexts], [words], [sums])
 
     return by_key(total)
 
 
 def sum_types(shared) -> Callable:
-    """(part, counts of words) -> the words."""
+    """(part, counts of words) -> the words (code, w, g, c), and (part, blob) for each cell: the
+    sums of its words that are not known."""
 
     def total(_, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         found = [unpacked(b) for b in blobs]
-        codes, at = np.unique(np.concatenate([np.cumsum(f[0]) for f in found]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([f[1] for f in found]), len(codes)).astype(np.int64)
-        group = shared.value["group"][codes] if len(codes) else []
-        yield batch_of("words", codes, np.zeros(len(codes), np.int64), group, n)
-        hashes = np.concatenate([np.cumsum(f[2]) for f in found])
-        different, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-        n = np.bincount(at, np.concatenate([f[4] for f in found]), len(different)).astype(np.int64)
-        group = np.concatenate([f[3] for f in found])[first]
-        yield batch_of("words", np.full(len(different), -1), different, group, n)
+        codes, at = np.unique(np.concatenate([np.cumsum(f[1]) for f in found]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([f[2] for f in found]), len(codes)).astype(np.int64)
+        none = [None] * len(codes)
+        yield batch_of("words", codes, np.zeros(len(codes), np.int64), shared.value["group"][codes], n, none, none)
+        rare = [np.cumsum(f[3]) for f in found]
+        hashes, first, at = np.unique(np.concatenate(rare), return_index=True, return_inverse=True)
+        if not len(hashes):
+            return
+        n = np.bincount(at, np.concatenate([f[5] for f in found]), len(hashes)).astype(np.int64)
+        none = [None] * len(hashes)
+        yield batch_of("words", np.full(len(hashes), -1), hashes, np.concatenate([f[4] for f in found])[first], n, none, none)
+        for f, own, of in zip(found, rare, np.split(n[at], np.cumsum([len(r) for r in rare])[:-1]), strict=True):
+            if len(own):
+                yield batch_of("words", [None], [None], [None], [None], [int(f[0][0])], [packed(f[3], of)])
 
     return by_key(total)
 
@@ -469,47 +512,33 @@ def deal_texts(shared, trigrams: bool) -> Callable:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(shared.value)
-        reader, task = Reader(known), TaskContext.get().partitionId()
-        models, keys = set(known.groups.tolist()), []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            chunk = task << 32 | reader.chunk
-            table = pa.Table.from_arrays([pa.chunked_array(keys), pa.chunked_array([pa.array(reader.sizes, _long)])], ["key", "n"])
+        task = TaskContext.get().partitionId()
+
+        for number, (groups, *texts, key) in enumerate(chunks(batches)):
+            groups, texts = groups.to_numpy(), texts if trigrams else texts[:1]
+            some = np.flatnonzero(find(known.groups, groups) >= 0)
+            if not len(some):
+                continue
+            groups, some = groups[some], pa.array(some)
+            found = Chunk(groups, [x.take(some) for x in texts])
+            full = np.flatnonzero(found.sizes)
+            if not len(full):
+                continue
+            chunk = task << 32 | number
+            keys = pa.RecordBatch.from_arrays([key.take(some).take(pa.array(full)), pa.array(found.sizes[full])], ["key", "n"])
+            found.sizes = found.sizes[full]
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(table.combine_chunks())
+            with pa.ipc.new_stream(sink, keys.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(keys)
             yield batch_of("dealt", [chunk % known.cells], [KEYS], [chunk], [sink.getvalue().to_pybytes()])
-            for cell, rows in reader.dealt(count=False):
+            for cell, rows in found.dealt(known, count=False):
                 yield batch_of("dealt", [cell], [TEXTS], [chunk], [rows])
-            keys.clear()
-            reader.next()
-
-        for batch in batches:
-            *texts, key = batch.columns
-            taken = []
-            for i, row in enumerate(zip(*(c.to_pylist() if k == 0 else c for k, c in enumerate(texts)), strict=True)):
-                group, before = row[0], len(reader.sizes)
-                if group in models:
-                    words = [x.as_py() for x in row[1:]]
-                    if trigrams:
-                        reader.add(*(reader.numbers(group, [x]) for x in words))
-                    else:
-                        reader.text(group, words[0])
-                if len(reader.sizes) > before:
-                    taken.append(i)
-                if reader.n >= CHUNK:
-                    keys.append(key.take(pa.array(taken, _long)))
-                    taken = []
-                    yield from flush()
-            keys.append(key.take(pa.array(taken, _long)))
-        if reader.n:
-            yield from flush()
 
     return work
 
 
 #: Kinds of rows in a cell, in the order they are read.
-MODEL, CONTEXTS, KEYS, TEXTS = range(4)
+MODEL, CONTEXTS, COUNTS, KEYS, TEXTS = range(5)
 
 
 def _at(at: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
@@ -524,7 +553,7 @@ def _seen(table: np.ndarray, keys: np.ndarray, *counts: np.ndarray) -> list[np.n
 class Cell:
     """The counts of a cell, to look trigrams up."""
 
-    def __init__(self, known: Known, fit: dict, model: bytes | None, contexts: list[bytes]):
+    def __init__(self, known: Known, fit: dict, model: bytes | None, contexts: list[bytes], counts: list[bytes]):
         self.known, self.fit = known, fit
         none = np.zeros(0, np.int64)
         v, u, w, self.hashes, _, self.c3 = decoded(model) if model else [none] * 6
@@ -534,47 +563,66 @@ class Cell:
         self.uvw = (np.cumsum(new) - 1) << 32 | w
         self.total3 = np.add.reduceat(self.c3, first) if len(first) else none
         self.types3 = np.diff(first, append=len(v)) if len(first) else none
-        bv, bw, self.c2 = _bigrams(v, w)
-        self.vw = bv << 32 | bw
+        by = order(v, w)
+        new = starts(v[by], w[by])
+        self.vw, self.c2 = (v << 32 | w)[by][new], np.diff(np.flatnonzero(new), append=len(v))
+        # The pair (v, w) of each trigram.
+        self.pair = np.empty(len(v), np.int64)
+        self.pair[by] = np.cumsum(new) - 1
         first = np.flatnonzero(starts(v))
-        self.v, self.total2 = v[first], np.diff(first, append=len(v)) if len(first) else none
-        self.types2 = np.diff(np.flatnonzero(starts(bv)), append=len(bv)) if len(first) else none
+        self.v, self.total2 = v[first], np.diff(first, append=len(v))
+        self.types2 = np.diff(np.flatnonzero(starts(self.vw >> 32)), append=len(self.vw))
+        found = [unpacked(c) for c in counts]
+        self.others, self.c1 = none, none
+        if found:
+            self.others, c1 = np.concatenate([np.cumsum(f[0]) for f in found]), np.concatenate([f[1] for f in found])
+            by = np.argsort(self.others)
+            self.others, self.c1 = self.others[by], c1[by]
         self.hot_uv = None
         if contexts:
             v, u, _, self.hot_hashes, _, self.hot_total, self.hot_types = merged(contexts, known.size)
             self.hot_uv = v << 32 | u
 
-    def numbers(self, codes: np.ndarray, hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def numbers(self, hashes: np.ndarray, table: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
         """Codes of other rows by those of a sorted table of unknown words; -1 for none."""
-        size = self.known.size
-        rare = codes >= size
-        if rare.any():
-            at = find(table, hashes)
+        size, at, found = self.known.size, find(table, hashes), []
+        at[at >= 0] += size
+        for codes in columns:
+            rare = np.flatnonzero(codes >= size)
             codes = codes.copy()
-            codes[rare] = np.where(at >= 0, at + size, -1)[codes[rare] - size]
-        return codes
+            codes[rare] = at[codes[rare] - size]
+            found.append(codes)
+        return found
 
     def look(self, data: bytes):
-        """(text, a, b, d, w): the probability is a + b * max(c - d, 0), where c counts the
-        different words before w. It is known, and b is 0, for known words; w is a hash."""
+        """(text, a, b, d, counted, w): the probability is a where that is counted, else it is
+        a + b * max(c - d, 0), where c counts the different words before the hash w."""
         known, fit = self.known, self.fit
         v, u, w, hashes, groups, text = decoded(data)
         group = known.group_of(v, groups)
-        mv, mu, mw = (self.numbers(c, hashes, self.hashes) for c in (v, u, w))
+        mv, mu, mw = self.numbers(hashes, self.hashes, v, u, w)
         ok = (mv >= 0) & (mu >= 0)
         uv = np.where(ok, mv << 32 | mu, -1)
         at = find(self.uv, uv)
         total3, types3 = _at(at, self.total3, self.types3)
-        (c3,) = _seen(self.uvw, np.where((at >= 0) & (mw >= 0), at << 32 | mw, -1), self.c3)
-        (c2,) = _seen(self.vw, np.where((mv >= 0) & (mw >= 0), mv << 32 | mw, -1), self.c2)
-        total2, types2 = _seen(self.v, mv, self.total2, self.types2)
-        hot = find(known.hot, v)
+        at = find(self.uvw, np.where((at >= 0) & (mw >= 0), at << 32 | mw, -1))
+        c3, pair = _at(at, self.c3, self.pair)
+        # A trigram that was seen has its pair; of others it is looked up.
+        rest = np.flatnonzero(at < 0)
+        pair[rest] = find(self.vw, np.where((mv[rest] >= 0) & (mw[rest] >= 0), mv[rest] << 32 | mw[rest], -1))
+        (c2,) = _at(pair, self.c2)
+        first = np.flatnonzero(starts(v))
+        times = np.diff(first, append=len(v))
+        total2, types2, hot = (
+            np.repeat(x, times)
+            for x in (*_seen(self.v, mv[first], self.total2, self.types2), find(known.hot, v[first]))
+        )
         rows = np.flatnonzero(hot >= 0)
         if len(rows):
             total2[rows], types2[rows] = fit["hot_total"][hot[rows]], fit["hot_types"][hot[rows]]
             total3[rows] = types3[rows] = 0
             if self.hot_uv is not None:
-                hu = self.numbers(u[rows], hashes, self.hot_hashes)
+                (hu,) = self.numbers(hashes, self.hot_hashes, u[rows])
                 total3[rows], types3[rows] = _seen(
                     self.hot_uv, np.where(hu >= 0, v[rows] << 32 | hu, -1), self.hot_total, self.hot_types
                 )
@@ -588,10 +636,12 @@ class Cell:
             b = np.where(some, b * (d * types) / np.maximum(total, 1), b)
         a, b = a + b * (d1 * types1 / (types1 + 1)) / total1, b / total1
         counted = w < known.size
-        if fit["complete"]:
-            counted = np.ones(len(w), bool)
         # The last count, of a word that is not known, is 0.
-        c1 = fit["c1"][np.minimum(w, known.size)]
+        c1 = fit["c1"][np.minimum(w, known.size)].astype(np.int64)
+        other = np.flatnonzero(~counted)
+        at = find(self.others, hashes)[w[other] - known.size]
+        (c1[other],) = _at(at, self.c1)
+        counted[other] = (at >= 0) | fit["complete"]
         a = np.where(counted, a + b * np.maximum(c1 - d1, 0.0), a)
         w_hash = np.zeros(len(w), np.int64)
         w_hash[~counted] = hashes[w[~counted] - known.size]
@@ -600,29 +650,31 @@ class Cell:
 
 def score_cells(shared, fitted) -> Callable:
     """(cell, kind, chunk, blob), sorted by cell and kind, -> the sums of logarithms of the texts
-    of each chunk; trigrams whose last word is not known come one by one."""
+    of each chunk. A trigram comes by itself if neither the cell nor all know its last word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, at, cell = Known(shared.value), None, None
         for batch in batches:
             for c, kind, chunk, blob in zip(*(x.to_pylist() for x in batch.columns[:3]), batch.column(3), strict=True):
                 if c != at:
-                    at, cell, model, contexts = c, None, None, []
+                    at, cell, model, contexts, counts = c, None, None, [], []
                 blob = blob.as_py()
                 if kind == MODEL:
                     model = blob
                 elif kind == CONTEXTS:
                     contexts.append(blob)
+                elif kind == COUNTS:
+                    counts.append(blob)
                 elif kind == KEYS:
-                    yield batch_of("scored", [chunk], [blob], [None], [chunk], *([None] for _ in range(4)))
+                    yield batch_of("scored", [chunk], [blob], *([None] for _ in range(6)))
                 else:
-                    cell = cell or Cell(known, fitted.value, model, contexts)
+                    cell = cell or Cell(known, fitted.value, model, contexts, counts)
                     text, a, b, d, counted, w = cell.look(blob)
                     texts, to = np.unique(text[counted], return_inverse=True)
                     logs, some = _logs(a[counted])
                     sums, n = np.bincount(to, logs, len(texts)), np.bincount(to, ~some, len(texts))
                     data = packed(np.diff(texts, prepend=0), sums.view(np.int64), n.astype(np.int64))
-                    yield batch_of("scored", [chunk], [None], [data], [chunk ^ c << 20], *([None] for _ in range(4)))
+                    yield batch_of("scored", [chunk], [None], [data], *([None] for _ in range(5)))
                     rest = np.flatnonzero(~counted)
                     if len(rest):
                         n = len(rest)

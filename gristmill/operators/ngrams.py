@@ -50,11 +50,12 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 @dataclass
 class NgramModel:
     """Staged tables: cells with their trigrams, the sums of contexts that are in several cells
-    (cell, blob) and the words that are not known (w, c), where there are any. Broadcast:
-    the known words, and their counts with the discounts and sums of each group."""
+    (part, blob), and of words that are not known, where there are any, the counts for their
+    cells (part, blob) and for all (w, c). Broadcast: the known words, and their counts with the discounts and sums of each group."""
 
     cells: DataFrame
     contexts: DataFrame | None
+    counts: DataFrame | None
     words: DataFrame | None
     known: Broadcast
     fitted: Broadcast
@@ -135,7 +136,7 @@ def _fitted(known: dict, complete: bool, table: DataFrame, words: DataFrame) ->
         total[at] += some_total
         types[at] += some_types
     ones, twos = (F.count_if(F.col("c") == i) for i in (1, 2))
-    sums = words.groupBy("g").agg(F.sum("c"), F.count(F.lit(1)), ones, twos).toArrow()
+    sums = words.where("g IS NOT NULL").groupBy("g").agg(F.sum("c"), F.count(F.lit(1)), ones, twos).toArrow()
     g, *found = (c.to_numpy() for c in sums.columns)
     total1, types1, n1, n2 = (np.zeros(groups, np.int64) for _ in range(4))
     for column, c in zip((total1, types1, n1, n2), found, strict=True):
@@ -167,14 +168,16 @@ def fit_ngrams(df: DataFrame, text: str = "text", by: str = "lang") -> NgramMode
         def by_part(column: str) -> DataFrame:
             return _dealt(table.select(F.posexplode(column).alias("part", "blob")), parts, "part")
 
-        counts = by_part("words").mapInArrow(cells.sum_types(known), "code int, w long, g int, c long")
-        with staged(counts, "types") as counts:
-            fitted = share(_fitted(held, complete, table, counts))
-            words = None if complete else stage(counts.where("code < 0").select("w", "c"), "words")
-        contexts = None
+        schema = "code int, w long, g int, c long, " + BLOBS
+        with staged(by_part("words").mapInArrow(cells.sum_types(known), schema), "types") as types:
+            fitted = share(_fitted(held, complete, table, types))
+            counts = words = contexts = None
+            if not complete:
+                counts = stage(types.where("part IS NOT NULL").select("part", "blob"), "counts")
+                words = stage(types.where("code < 0").select("w", "c"), "words")
         if len(held["hot"]):
             contexts = stage(by_part("contexts").mapInArrow(cells.merge_contexts(known), BLOBS), "contexts")
-    return NgramModel(table, contexts, words, known, fitted, count)
+    return NgramModel(table, contexts, counts, words, known, fitted, count)
 
 
 def _sums(rows: DataFrame, model: NgramModel, trigrams: bool = False) -> DataFrame:
@@ -184,27 +187,32 @@ def _sums(rows: DataFrame, model: NgramModel, trigrams: bool = False) -> DataFra
         cells.deal_texts(model.known, trigrams), "cell int, kind int, chunk long, blob binary"
     )
 
-    def of_model(df: DataFrame, kind: int, *columns: str) -> DataFrame:
-        cell, blob = columns
+    def of_model(df: DataFrame, kind: int, cell: str, blob: str) -> DataFrame:
         return df.select(F.col(cell), F.lit(kind), F.lit(None).cast("long"), F.col(blob))
 
     both = dealt.union(of_model(model.cells, cells.MODEL, "cell", "model"))
-    if model.contexts is not None:
-        both = both.union(of_model(model.contexts, cells.CONTEXTS, "part", "blob"))
+    for table, kind in ((model.contexts, cells.CONTEXTS), (model.counts, cells.COUNTS)):
+        if table is not None:
+            both = both.union(of_model(table, kind, "part", "blob"))
     schema = "chunk long, keys binary, sums binary, w long, text int, a double, b double, d double"
     scored = _dealt(both, model.count, "cell", "kind").mapInArrow(
         cells.score_cells(model.known, model.fitted), schema
     )
-    c = F.lit(0).cast("long")
+    found, none = scored.select("chunk", "keys", "sums", "text"), F.lit(None)
+    found = found.withColumn("p", none.cast("double"))
     if model.words is not None:
-        # Rows without a word have a number that spreads them.
-        scored = scored.join(model.words, "w", "left")
-        c = F.coalesce("c", c)
-    p = F.col("a") + F.col("b") * F.greatest(c - F.col("d"), F.lit(0.0))
-    scored = scored.select("chunk", "keys", "sums", "text", p.alias("p"))
+        # Staged, as sums go one way and trigrams that lack a count another.
+        with _shuffles_deleted(rows.sparkSession):
+            scored = stage(scored, "scored")
+        c = F.coalesce("c", F.lit(0).cast("long"))
+        p = F.col("a") + F.col("b") * F.greatest(c - F.col("d"), F.lit(0.0))
+        rest = scored.where("w IS NOT NULL").join(model.words, "w", "left")
+        found = scored.where("w IS NULL").select(*found.columns[:-1], none.cast("double").alias("p")).union(
+            rest.select(*found.columns[:-1], p.alias("p"))
+        )
     key = rows.schema.fields[-1]
     schema = StructType([StructField(key.name, key.dataType), StructField("_s", DoubleType()), StructField("_n", LongType())])
-    return _dealt(scored, model.count, "chunk").mapInArrow(cells.sum_texts(), schema)
+    return _dealt(found, model.count, "chunk").mapInArrow(cells.sum_texts(), schema)
 
 
 def probabilities(needed: DataFrame, model: NgramModel) -> DataFrame:
