@@ -32,7 +32,7 @@ HASH_KEY = "0123456789abcdef"
 
 def packed(*arrays: np.ndarray) -> bytes:
     """Integers as bytes: those of each place in a row, compressed."""
-    codec = pa.Codec("zstd", compression_level=3)
+    codec = pa.Codec("zstd", compression_level=1)
     head, body = [len(arrays)], []
     for array in arrays:
         array = np.ascontiguousarray(array, np.int64)
@@ -103,8 +103,6 @@ class Known:
         self.sorted, self.code, self.group = shared["sorted"], shared["code"], shared["group"]
         self.groups, self.size = shared["groups"], len(self.sorted)
         self.cells, self.hot, self.deals = shared["cells"], shared["hot"], shared["deals"]
-        self.hash = np.empty(self.size, np.int64)
-        self.hash[self.code] = self.sorted
 
     def codes(self, hashes: np.ndarray) -> np.ndarray:
         at = find(self.sorted, hashes)
@@ -124,7 +122,7 @@ class Known:
         return n
 
     def cells_of(self, hot: int) -> list[int]:
-        base = int(self.hash[self.hot[hot]]) % 2**64 % self.cells
+        base = int(self.sorted[self.code == self.hot[hot]][0]) % 2**64 % self.cells
         return [(base + i) % self.cells for i in range(int(self.deals[hot]))]
 
 
@@ -195,6 +193,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def numbered(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of keys below ``most``, and the different keys."""
+    if most > 8 * len(keys) + 1000:
+        found = pa.array(keys).dictionary_encode()
+        return found.indices.to_numpy().astype(np.int64), found.dictionary.to_numpy()
+    used = np.zeros(most, bool)
+    used[keys] = True
+    return (np.cumsum(used) - 1)[keys], np.flatnonzero(used)
+
+
 class Chunk:
     """Words of texts by numbers. ``hash`` and ``group`` are those of the numbers, ``w`` the words
     one after another, ``v`` and ``u`` the words before, ``sizes`` the number in each text."""
@@ -204,7 +212,7 @@ class Chunk:
         if len(texts) == 1:
             lists = pc.utf8_split_whitespace(texts[0])
             words = lists.flatten()
-            sizes = np.diff(lists.offsets.to_numpy())
+            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         else:
             words, sizes = pa.concat_arrays(texts), np.ones(3 * n, np.int64)
         if pa.types.is_dictionary(words.type) or not len(words):
@@ -216,13 +224,15 @@ class Chunk:
         row = np.repeat(np.arange(len(sizes)), sizes)
         if len(texts) == 1:
             # What stands at the ends of a text is split off as an empty word.
-            full = (names != "")[at]
-            row, at = row[full], at[full]
-            sizes = np.bincount(row, minlength=n)
+            empty = names == ""
+            if empty.any():
+                full = ~empty[at]
+                row, at = row[full], at[full]
+                sizes = np.bincount(row, minlength=n)
         # Words of several groups are numbered by both.
         m = len(names)
-        by = pa.array(group[row % n] * m + at).dictionary_encode()
-        at, by = by.indices.to_numpy().astype(np.int64), by.dictionary.to_numpy()
+        of = np.repeat(group, sizes) if len(texts) == 1 else np.tile(group, 3)
+        at, by = numbered(of * m + at, len(different) * m)
         hashes = pd.util.hash_array(names.astype(object), hash_key=HASH_KEY, categorize=False)
         begin = pd.util.hash_array(np.array([START], object), hash_key=HASH_KEY, categorize=False)
         hashes = np.concatenate([hashes[by % m] if m else hashes, np.repeat(begin, len(different))])
@@ -350,20 +360,21 @@ SCHEMAS = {
 }
 
 
-def by_key(total: Callable) -> Callable:
-    """Hands ``total`` a value of the first column and its blobs; the rows are sorted."""
+def by_key(total: Callable, shared=None) -> Callable:
+    """Hands ``total`` a value of the first column and its blobs, and the known words where they
+    are given; the rows are sorted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, known = None, [], () if shared is None else (Known(shared.value),)
         for batch in batches:
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if k != key and held:
-                    yield from total(key, held)
+                    yield from total(key, held, *known)
                     held = []
                 key = k
                 held.append(blob.as_py())
         if held:
-            yield from total(key, held)
+            yield from total(key, held, *known)
 
     return work
 
@@ -425,8 +436,7 @@ def _part(size: int, codes: np.ndarray, hashes: np.ndarray, parts: int) -> np.nd
 def fit_cells(shared, parts: int) -> Callable:
     """(cell, trigrams) -> a cell: all its trigrams, and what other tasks add up."""
 
-    def total(cell: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        known = Known(shared.value)
+    def total(cell: int, blobs: list[bytes], known: Known) -> Iterator[pa.RecordBatch]:
         v, u, w, hashes, groups, c = merged(blobs, known.size)
         model = encoded(known.size, v, u, w, hashes, groups, c)
         bv, bw, c2 = _counted(v, w)
@@ -461,7 +471,7 @@ def fit_cells(shared, parts: int) -> Callable:
             words.append(packed(np.array([cell]), steps[0], m[some], steps[1], groups[other], m[~some]))
         yield batch_of("cell", [cell], [model], [contexts], [words], [sums])
 
-    return by_key(total)
+    return by_key(total, shared)
 
 
 def sum_types(shared) -> Callable:
@@ -491,8 +501,7 @@ def sum_types(shared) -> Callable:
 def merge_contexts(shared) -> Callable:
     """(part, contexts) -> the sums of their words' cells, for each of these cells."""
 
-    def total(_, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        known = Known(shared.value)
+    def total(_, blobs: list[bytes], known: Known) -> Iterator[pa.RecordBatch]:
         v, u, w, hashes, groups, *more = merged(blobs, known.size)
         hot = find(known.hot, v)
         by_cell = defaultdict(list)
@@ -503,7 +512,7 @@ def merge_contexts(shared) -> Callable:
             r = np.flatnonzero(np.isin(hot, some))
             yield batch_of("part", [cell], [encoded(known.size, v[r], u[r], w[r], hashes, groups, *(c[r] for c in more))])
 
-    return by_key(total)
+    return by_key(total, shared)
 
 
 def deal_texts(shared, trigrams: bool) -> Callable:
@@ -560,7 +569,8 @@ class Cell:
         new = starts(v, u)
         first = np.flatnonzero(new)
         self.uv = (v << 32 | u)[first]
-        self.uvw = (np.cumsum(new) - 1) << 32 | w
+        # The pair (v, u) of each trigram.
+        self.context = np.cumsum(new) - 1
         self.total3 = np.add.reduceat(self.c3, first) if len(first) else none
         self.types3 = np.diff(first, append=len(v)) if len(first) else none
         by = order(v, w)
@@ -571,6 +581,13 @@ class Cell:
         self.pair[by] = np.cumsum(new) - 1
         first = np.flatnonzero(starts(v))
         self.v, self.total2 = v[first], np.diff(first, append=len(v))
+        bits = (known.size + len(self.hashes)).bit_length()
+        # Trigrams are one number where it fits, else one with that of the pair.
+        self.bits = bits if len(first).bit_length() + 2 * bits <= 63 else None
+        if self.bits is None:
+            self.uvw = self.context << 32 | w
+        else:
+            self.uvw = ((np.cumsum(starts(v)) - 1) << bits | u) << bits | w
         self.types2 = np.diff(np.flatnonzero(starts(self.vw >> 32)), append=len(self.vw))
         found = [unpacked(c) for c in counts]
         self.others, self.c1 = none, none
@@ -601,22 +618,26 @@ class Cell:
         v, u, w, hashes, groups, text = decoded(data)
         group = known.group_of(v, groups)
         mv, mu, mw = self.numbers(hashes, self.hashes, v, u, w)
-        ok = (mv >= 0) & (mu >= 0)
-        uv = np.where(ok, mv << 32 | mu, -1)
-        at = find(self.uv, uv)
-        total3, types3 = _at(at, self.total3, self.types3)
-        at = find(self.uvw, np.where((at >= 0) & (mw >= 0), at << 32 | mw, -1))
+        first = np.flatnonzero(starts(v))
+        times = np.diff(first, append=len(v))
+        at, hot = (np.repeat(x, times) for x in (find(self.v, mv[first]), find(known.hot, v[first])))
+        total2, types2 = _at(at, self.total2, self.types2)
+        uv = np.where((mv >= 0) & (mu >= 0), mv << 32 | mu, -1)
+        if self.bits is None:
+            context = find(self.uv, uv)
+            at = find(self.uvw, np.where((context >= 0) & (mw >= 0), context << 32 | mw, -1))
+        else:
+            key = (at << self.bits | mu) << self.bits | mw
+            at = find(self.uvw, np.where((at >= 0) & (uv >= 0) & (mw >= 0), key, -1))
+            (context,) = _at(at, self.context)
+            rest = np.flatnonzero(at < 0)
+            context[rest] = find(self.uv, uv[rest])
+        total3, types3 = _at(context, self.total3, self.types3)
         c3, pair = _at(at, self.c3, self.pair)
         # A trigram that was seen has its pair; of others it is looked up.
         rest = np.flatnonzero(at < 0)
         pair[rest] = find(self.vw, np.where((mv[rest] >= 0) & (mw[rest] >= 0), mv[rest] << 32 | mw[rest], -1))
         (c2,) = _at(pair, self.c2)
-        first = np.flatnonzero(starts(v))
-        times = np.diff(first, append=len(v))
-        total2, types2, hot = (
-            np.repeat(x, times)
-            for x in (*_seen(self.v, mv[first], self.total2, self.types2), find(known.hot, v[first]))
-        )
         rows = np.flatnonzero(hot >= 0)
         if len(rows):
             total2[rows], types2[rows] = fit["hot_total"][hot[rows]], fit["hot_types"][hot[rows]]
