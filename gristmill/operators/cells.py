@@ -255,6 +255,8 @@ class Chunk:
 
     def dealt(self, known: Known, count: bool) -> Iterator[tuple[int, bytes]]:
         """(cell, rows): trigrams with their counts, or each with the place of its text."""
+        if not len(self.w):
+            return
         codes = known.codes(self.hash)
         rare = np.flatnonzero(codes < 0)
         codes[rare] = known.size + np.arange(len(rare))

@@ -12,7 +12,7 @@ word; two of 10 million words share one by a chance of 1 in 300,000. Such two wo
 counted as one. Texts send their trigrams to the cells, again as compressed arrays, and get
 one sum for each cell they meet. Of order 1 the frequent words are broadcast, up to a bound;
 trigrams that end in other words meet their counts in a join. Only what a trigram takes in
-these arrays is shuffled, 3 to 6 bytes; shuffles are deleted as soon as their result is staged.
+these arrays is shuffled, some 5 bytes; shuffles are deleted as soon as their result is staged.
 
 No task holds the vocabulary of a group, or more than a cell and what one task has sent to it.
 """

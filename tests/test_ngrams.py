@@ -1,9 +1,13 @@
+import glob
 import math
+import random
+import tempfile
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from gristmill.functions.text import WHITESPACE
 from gristmill.operators import ngrams
 
 TEXTS = [
@@ -130,3 +134,83 @@ def test_one_group_by_a_literal(spark):
     assert "NestedLoop" not in scored._jdf.queryExecution().executedPlan().toString()
     rows = [(i, "en", t) for i, _, t in TEXTS]
     check({r["doc_id"]: r["perplexity"] for r in scored.collect()}, rows, by_group())
+
+
+OTHERS = [
+    (1, "en", "the zebra sat on a zebra the cat sat on a mat"),
+    (2, "de", "der zug und der hund"),
+    (3, "xx", "der hund"),
+    (4, "en", "zebra"),
+]
+
+
+@pytest.mark.parametrize("known", [0, 3, 1000])
+@pytest.mark.parametrize("text_bytes", [1, 8_000_000])
+def test_many_cells_and_words_in_several(spark, monkeypatch, known, text_bytes):
+    """Frequent words go to several cells, rare words are not known, tasks deal often."""
+    monkeypatch.setattr(ngrams, "BROADCAST_WORDS", known)
+    monkeypatch.setattr(ngrams, "CELL_TRIGRAMS", 4)
+    monkeypatch.setattr(ngrams.cells, "CHUNK", text_bytes)
+    docs = frame(spark, TEXTS)
+    model = ngrams.fit_ngrams(docs)
+    assert model.count > 4 and (model.contexts is not None) == (known > 0) and (model.words is None) == (known == 1000)
+    for rows in (TEXTS, OTHERS):
+        got = ngrams.ngram_perplexity(frame(spark, rows), model).collect()
+        check({r["doc_id"]: r["perplexity"] for r in got}, rows, by_group())
+
+
+def test_trigrams_are_shuffled_as_few_bytes(spark):
+    """Neither rows for each trigram nor joins; a trigram of random words takes some bytes."""
+    rng = random.Random(1)
+    docs = frame(spark, [(i, "en", " ".join(f"w{int(rng.paretovariate(0.5)) % 5000}" for _ in range(400))) for i in range(200)])
+    model = ngrams.fit_ngrams(docs)
+    size = model.cells.agg(F.sum(F.length("model"))).first()[0]
+    assert size < 8 * 80_000
+    plan = ngrams.ngram_perplexity(docs, model)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_shuffles_end_with_the_fit(spark):
+    def files():
+        return {f for d in glob.glob(f"{root}/**/blockmgr-*", recursive=True) for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+    root = spark.conf.get("spark.local.dir", None) or tempfile.gettempdir()
+    setting = spark.conf.get(ngrams.CLEANUP)
+    docs = frame(spark, TEXTS)
+    before = files()
+    ngrams.fit_ngrams(docs)
+    assert not any(f.endswith(".data") for f in files() - before)
+    assert spark.conf.get(ngrams.CLEANUP) == setting
+
+
+def test_all_whitespace_parts_words(spark):
+    rows = [(1, "en", "".join(f"{c}a{c}{c}b" for c in WHITESPACE)), (2, "en", " ".join(["a b"] * len(WHITESPACE)))]
+    docs = frame(spark, rows)
+    got = {r["doc_id"]: r["perplexity"] for r in ngrams.ngram_perplexity(docs, ngrams.fit_ngrams(docs)).collect()}
+    check(got, rows, {"en": Plain([t for _, _, t in rows])})
+    assert got[1] == pytest.approx(got[2], rel=1e-12)
+
+
+def test_probabilities_of_zero_do_not_count(spark):
+    """Where all trigrams come twice the discount is zero, and unseen ones after a seen context have no logarithm."""
+    model = ngrams.fit_ngrams(frame(spark, [(i, "en", "a b c a b d") for i in range(2)]))
+    plain = Plain(["a b c a b d"] * 2)
+    assert plain.d[2] == 0
+    rows = [(1, "en", "a b"), (2, "en", "a b b"), (3, "en", "d"), (4, "en", "a c")]
+    got = {r["doc_id"]: r["perplexity"] for r in ngrams.ngram_perplexity(frame(spark, rows), model).collect()}
+    assert plain.p("a", "b", "b") == 0 and plain.p("", "", "d") == 0
+    assert set(got) == {1, 2, 3, 4} and got[3] is None
+    for i, _, text in rows[:2] + rows[3:]:
+        ps = [p for p in (plain.p(*t) for t in plain.trigrams(text)) if p > 0]
+        assert got[i] == pytest.approx(math.exp(-sum(map(math.log, ps)) / len(ps)), rel=1e-9)
+
+
+def test_keys_of_any_kind_repeated_or_null(spark):
+    rows = [("x", "en", TEXTS[0][2]), ("x", "de", TEXTS[3][2]), (None, "en", TEXTS[1][2])]
+    model = ngrams.fit_ngrams(frame(spark, TEXTS))
+    docs = spark.createDataFrame(rows, "doc_id string, lang string, text string")
+    got = {r["doc_id"]: r["perplexity"] for r in ngrams.ngram_perplexity(docs, model).collect()}
+    plain = by_group()
+    logs = [math.log(plain[g].p(*t)) for _, g, text in rows[:2] for t in plain[g].trigrams(text)]
+    assert got["x"] == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-9)
+    assert got[None] == pytest.approx(plain["en"].perplexity(rows[2][2]), rel=1e-9)
